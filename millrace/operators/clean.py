@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.checks import fully_matches, is_iso_time, skewed, within
+from millrace.functions.checks import fully_matches, is_iso_time, skewed
 from millrace.functions.clock import instant, micros
 from millrace.schema import DOCUMENTED_RANGES, READING_SCHEMA, REQUIRED, Ranges
 
@@ -72,7 +72,3 @@ def strict_reject(
     verdicts = field_verdicts(ranges)
     reasons = F.array(*[F.when(fault, name).otherwise("") for name, fault in verdicts.items()])
     return text_fields(msgs, keep).select(*keep, "value", F.array_remove(reasons, "").alias("reasons"))
-
-
-def in_bounds(df: DataFrame, name: str, bounds: tuple[float, float]) -> DataFrame:
-    return df.filter(within(name, bounds))

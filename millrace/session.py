@@ -27,9 +27,6 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", root) if spark.conf.isModifiable(
-            "spark.checkpoint.dir"
-        ) else None
     return f"{root.rstrip('/')}/{label}-{uuid4().hex}"
 
 
