@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +34,7 @@ def clock_skew_check(df: DataFrame, tol: str = "1 minute") -> DataFrame:
     return df.withColumn("skewed", skewed(F.col("time"), F.col("collected_at"), micros(tol)))
 
 
-def field_verdicts(ranges: Ranges = DOCUMENTED_RANGES) -> dict[str, F.Column]:
+def field_verdicts(ranges: Ranges = DOCUMENTED_RANGES) -> dict[str, Column]:
     """Named faults of one message over its fields read as text (struct column ``r``).
 
     Missing, no such type and out of range exclude each other for a field; every fault is false, never

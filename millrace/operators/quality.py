@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.clock import as_timestamp
@@ -26,7 +26,7 @@ def quality_report(
     """
     faults = field_verdicts(ranges)
 
-    def any_of(start: str, but: str = "") -> F.Column:
+    def any_of(start: str, but: str = "") -> Column:
         return reduce(or_, [v for name, v in faults.items() if name.startswith(start) and name != but])
 
     wrong_device = "out_of_range_DeviceId"
