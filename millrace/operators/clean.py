@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.checks import fully_matches, is_iso_time, skewed
 from millrace.functions.clock import instant, micros
+from millrace.operators.parse import decoded, text_schema
 from millrace.schema import DOCUMENTED_RANGES, READING_SCHEMA, REQUIRED, Ranges
 
 
@@ -35,7 +36,7 @@ def clock_skew_check(df: DataFrame, tol: str = "1 minute") -> DataFrame:
 
 
 def field_verdicts(ranges: Ranges = DOCUMENTED_RANGES) -> dict[str, Column]:
-    """Named faults of one message over its fields read as text (struct column ``r``).
+    """Named faults of one message over its fields read as text.
 
     Missing, no such type and out of range exclude each other for a field; every fault is false, never
     null, for a field that is sound.
@@ -43,7 +44,7 @@ def field_verdicts(ranges: Ranges = DOCUMENTED_RANGES) -> dict[str, Column]:
     verdicts = {}
     bounds = dict(ranges.items())
     for field in READING_SCHEMA:
-        text = F.col(f"r.{field.name}")
+        text = F.col(field.name)
         missing = text.isNull() | (F.trim(text) == "")
         verdicts[f"missing_{field.name}"] = missing
         if isinstance(field.dataType, T.StringType):
@@ -59,16 +60,11 @@ def field_verdicts(ranges: Ranges = DOCUMENTED_RANGES) -> dict[str, Column]:
     return {name: F.coalesce(fault, F.lit(False)) for name, fault in verdicts.items()}
 
 
-def text_fields(msgs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Messages with their fields as text in the struct ``r``."""
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in READING_SCHEMA])
-    return msgs.select(*keep, "value", F.from_json("value", text).alias("r"))
-
-
 def strict_reject(
     msgs: DataFrame, ranges: Ranges = DOCUMENTED_RANGES, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Every message with the list of reasons to refuse it; an accepted one has an empty list."""
     verdicts = field_verdicts(ranges)
     reasons = F.array(*[F.when(fault, name).otherwise("") for name, fault in verdicts.items()])
-    return text_fields(msgs, keep).select(*keep, "value", F.array_remove(reasons, "").alias("reasons"))
+    fields = decoded(msgs, text_schema(), [*keep, "value"])
+    return fields.select(*keep, "value", F.array_remove(reasons, "").alias("reasons"))

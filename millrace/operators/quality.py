@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.clock import as_timestamp
-from millrace.operators.clean import field_verdicts, text_fields
-from millrace.operators.parse import parse_reading, time_partitions
+from millrace.operators.clean import field_verdicts
+from millrace.operators.parse import decoded, parse_reading, text_schema, time_partitions
 from millrace.operators.series import time_reversal
 from millrace.schema import DEDUP_KEYS, DOCUMENTED_RANGES, Ranges
 
@@ -37,16 +37,14 @@ def quality_report(
         "out_of_range": any_of("out_of_range_", but=wrong_device),
         "wrong_device": faults[wrong_device],
     }
-    text = text_fields(msgs).withColumns(
-        {
-            "DeviceId": F.col("r.DeviceId").try_cast("int"),
-            "ts": as_timestamp(F.col("r.collected_at")),
-        }
+    dated = decoded(msgs, text_schema()).withColumn("ts", as_timestamp(F.col("collected_at")))
+    counts = time_partitions(dated).select(
+        *[F.col(c).try_cast("int").alias(c) for c in by],
+        *[fault.cast("long").alias(name) for name, fault in issues.items()],
     )
     per_message = (
-        time_partitions(text)
-        .groupBy(*by)
-        .agg(*[F.count_if(fault).alias(name) for name, fault in issues.items()])
+        counts.groupBy(*by)
+        .agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in issues])
         .unpivot(list(by), list(issues), "issue", "messages")
     )
     readings = time_partitions(
