@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import reading_queries  # noqa: F401
+from millrace.plans import reading_queries, series_queries, stream_queries, text_queries  # noqa: F401
 from millrace.plans.registry import ORACLES, QUERIES, Query
 
 
