@@ -48,17 +48,30 @@ def through(spark, stream, label: str, mode: str = "append"):
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def written_layers(spark, sf_dir, **options):
-    path = shared_dir(spark, "stream-layers")
+def run_layers(spark, sf_dir, path, **options):
+    """Run the layered write to its end. A hot hour is spread over a quarter of the cluster's cores."""
     jobs = start_layers(
         message_stream(spark, sf_dir),
         path,
         trigger=None,
+        files_per_hour=max(1, state_partitions(spark) // 4),
         state_partitions=state_partitions(spark),
         **options,
     )
     supervise(spark, jobs)
-    return path, jobs
+    return jobs
+
+
+_written: dict[tuple[str, str], tuple] = {}
+
+
+def written_layers(spark, sf_dir):
+    """Path and finished query of the layered write, run when an application first asks for it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        path = shared_dir(spark, "stream-layers")
+        _written[key] = (path, run_layers(spark, sf_dir, path))
+    return _written[key]
 
 
 @query(
@@ -84,7 +97,8 @@ def layered_write(spark, sf_dir):
     ),
 )
 def layered_write_separate(spark, sf_dir):
-    path, _ = written_layers(spark, sf_dir, separate=True)
+    path = shared_dir(spark, "stream-separate")
+    run_layers(spark, sf_dir, path, separate=True)
     parts = [
         scan_layer(spark, path, layer, separate=True).select(F.lit(layer).alias("layer"), *FIELDS.split(", "))
         for layer in ("raw-data", *BRANCHES)
@@ -95,9 +109,9 @@ def layered_write_separate(spark, sf_dir):
 @query("checkpoint_recovery", with_(*TO_LAYERS, body=_LAYER_ROWS))
 def checkpoint_recovery(spark, sf_dir):
     """Started again on its own checkpoint, the job finds nothing new and repeats nothing."""
-    path, _ = written_layers(spark, sf_dir, files_per_hour=2)
-    again = start_layers(message_stream(spark, sf_dir), path, trigger=None, files_per_hour=2)
-    supervise(spark, again)
+    path = shared_dir(spark, "stream-again")
+    for _ in range(2):
+        run_layers(spark, sf_dir, path)
     return scan_layer(spark, path).drop("year", "month", "day", "hour")
 
 

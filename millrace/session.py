@@ -31,6 +31,21 @@ def shared_dir(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]):
+    """Session settings for the length of a block."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def stateful_settings(spark: SparkSession, state_partitions: int | None = None):
     """Settings a stateful query takes over when it starts.
 
@@ -43,14 +58,4 @@ def stateful_settings(spark: SparkSession, state_partitions: int | None = None):
     }
     if state_partitions:
         wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    return settings(spark, wanted)

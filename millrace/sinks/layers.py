@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.schema import DEDUP_KEYS, PARTITIONS, TRIGGER
+from millrace.session import settings
 
 
 def _packed(df: DataFrame, partitions: Sequence[str], files_per_hour: int | None) -> DataFrame:
@@ -44,7 +45,9 @@ def write_layer(
     """
     packed = _packed(df, partitions, files_per_hour)
     if not df.isStreaming:
-        packed.write.mode("append").format(fmt).options(**options).partitionBy(*partitions).save(path)
+        # Opening many files costs more than moving few bytes: let small data keep several writers.
+        with settings(df.sparkSession, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}):
+            packed.write.mode("append").format(fmt).options(**options).partitionBy(*partitions).save(path)
         return None
     pace = {"processingTime": trigger} if trigger else {"availableNow": True}
     writer = (
