@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from millrace.functions.clock import micros
+from millrace.operators.alerts import alert_messages, alert_node_memory, alert_states, alert_threshold
+from millrace.session import shared_dir
+from millrace.sources.streams import stream_source
+from millrace.streaming.alerts import next_state, stream_alert_states
+
+T0 = datetime(2024, 1, 1)
+BREACH = "metric string, device_id string, eval_ts timestamp, value double, breach boolean"
+
+
+def minute(m: float) -> datetime:
+    return T0 + timedelta(minutes=m)
+
+
+def series(flags: str, device: str = "1"):
+    """b = breach, c = calm, x = no value; one per minute."""
+    value = {"b": (9.0, True), "c": (1.0, False), "x": (None, None)}
+    return [("m", device, minute(i), *value[f]) for i, f in enumerate(flags)]
+
+
+def states(rows, flags, for_="1 minute", keep="30 seconds"):
+    got = alert_states(rows(series(flags), BREACH), for_, keep).orderBy("eval_ts").collect()
+    return "".join({"Normal": "N", "Pending": "P", "Firing": "F", "Recovering": "R", "NoData": "X"}[r["state"]] for r in got)
+
+
+@pytest.mark.parametrize(
+    ("flags", "for_", "keep", "want"),
+    [
+        ("cbcbbbcc", "1 minute", "30 seconds", "NPNPFFRN"),
+        ("bbbb", "2 minutes", "30 seconds", "PPFF"),
+        ("bbcbcbc", "1 minute", "2 minutes", "PFRFRFR"),
+        ("bbcccb", "1 minute", "2 minutes", "PFRRNP"),
+        ("bbxbb", "1 minute", "30 seconds", "PFXPF"),
+        ("bcb", "0 minutes", "0 seconds", "FNF"),
+        ("xcx", "1 minute", "30 seconds", "XNX"),
+    ],
+)
+def test_states(rows, flags, for_, keep, want):
+    assert states(rows, flags, for_, keep) == want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_windows_equal_the_step_by_step_machine(rows, seed):
+    rnd = random.Random(seed)
+    hold, keep = rnd.choice(["0 minutes", "1 minute", "3 minutes"]), rnd.choice(["30 seconds", "2 minutes", "4 minutes"])
+    data = []
+    for device in ("1", "2", "3"):
+        data += series("".join(rnd.choices("bcx", (5, 4, 1), k=80)), device)
+    got = {(r["device_id"], r["eval_ts"]): r["state"] for r in alert_states(rows(data, BREACH), hold, keep).collect()}
+    for device in ("1", "2", "3"):
+        memory = ("", 0, False)
+        for row in [r for r in data if r[1] == device]:
+            kind = "none" if row[4] is None else "breach" if row[4] else "calm"
+            us = (row[2] - T0) // timedelta(microseconds=1)
+            state, memory = next_state(kind, us, memory, micros(hold), micros(keep))
+            assert got[device, row[2]] == state
+
+
+def test_messages_are_the_changes(rows):
+    got = alert_messages(alert_states(rows(series("cbbcc"), BREACH)), "too hot").orderBy("eval_ts").collect()
+    assert [(r["previous"], r["state"]) for r in got] == [
+        ("Normal", "Pending"), ("Pending", "Firing"), ("Firing", "Recovering"), ("Recovering", "Normal"),
+    ]
+    assert got[1]["message"] == "too hot: m 1 Pending -> Firing"
+
+
+def test_threshold_is_strict(rows):
+    data = [("m", "1", minute(i), v) for i, v in enumerate([90.0, 90.5])]
+    df = rows(data, "metric string, device_id string, ts timestamp, value double")
+    got = alert_threshold(df, ">", 90, until=minute(1)).orderBy("eval_ts").collect()
+    assert [r["breach"] for r in got] == [False, True]
+
+
+def test_node_memory(rows):
+    data = []
+    for i, used in enumerate([70, 80, 80, 80, 70]):
+        data += [("av", "node", "h", minute(i), 100.0 - used), ("to", "node", "h", minute(i), 100.0)]
+    df = rows(data, "metric string, job string, instance string, ts timestamp, value double")
+    got = alert_node_memory(df, "av", "to", lookback="30 seconds").orderBy("eval_ts").collect()
+    assert [r["state"] for r in got] == ["Normal", "Pending", "Firing", "Firing", "Recovering"]
+
+
+def test_stream_states_equal_batch_over_several_batches(spark, rows):
+    rnd = random.Random(11)
+    data = []
+    for device in ("1", "2"):
+        data += series("".join(rnd.choices("bcx", (5, 4, 1), k=60)), device)
+    data.sort(key=lambda r: r[2])
+    path = shared_dir(spark, "breaches")
+    schema = rows(data, BREACH).schema
+    out = shared_dir(spark, "states")
+
+    def run():
+        states = stream_alert_states(
+            stream_source(spark, "parquet", path, schema, maxFilesPerTrigger="1"), "2 minutes", "2 minutes"
+        )
+        job = (
+            states.writeStream.format("parquet").option("checkpointLocation", f"{out}_c")
+            .trigger(availableNow=True).start(out)
+        )
+        job.awaitTermination()
+
+    for chunk in range(0, len(data), 30):
+        rows(data[chunk : chunk + 30], BREACH).coalesce(1).write.mode("append").parquet(path)
+        run()
+    got = sorted(map(tuple, spark.read.parquet(out).select("device_id", "eval_ts", "state").collect()))
+    want = alert_states(rows(data, BREACH), "2 minutes", "2 minutes").select("device_id", "eval_ts", "state")
+    assert got == sorted(map(tuple, want.collect()))
