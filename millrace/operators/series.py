@@ -15,6 +15,7 @@ from millrace.functions.clock import as_timestamp, ceil_to, floor_to, from_micro
 from millrace.operators.metrics import SERIES
 
 SLICE = "1 minute"
+SLICE_WINDOWS = 20
 
 
 def _growth(previous: str, value: str):
@@ -30,11 +31,11 @@ def counter_increase(
     Null where the window holds one sample only. The growth is the running total at the sample minus the
     running total at the first sample of its window. To find that first sample without rescanning the
     window, each row also enters the order at the window's start, as a probe that takes the nearest sample
-    from there on: linear in the samples however dense they are. Slices get the rows of one window length
-    before them as well, so each one is complete in itself.
+    from there on: linear in the samples however dense they are. A slice is some windows long and gets the
+    rows of one more window before it, so it is complete in itself.
     """
     length = micros(window)
-    width = max(length, micros(SLICE))
+    width = max(SLICE_WINDOWS * length, micros(SLICE))
     rows = (
         m.filter("value IS NOT NULL")
         .select(*series, to_micros(F.col("ts")).alias("us"), "value")
@@ -44,28 +45,27 @@ def counter_increase(
     forward = Window.partitionBy(*series, "slice").orderBy("us", "value")
     so_far = forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = (
-        rows.withColumns({"prev": F.lag("value").over(forward), "nth": F.row_number().over(forward)})
+        rows.withColumns({"prev": F.lag("value").over(forward), "prev_us": F.lag("us").over(forward)})
         .withColumn("step", F.coalesce(_growth("prev", "value"), F.lit(0.0)))
         .withColumn("total", F.sum("step").over(so_far))
+        .withColumn("alone", F.coalesce(F.col("prev_us") < F.col("us") - length, F.lit(True)))
     )
-    sample = F.struct(F.col("us").alias("at"), F.lit(False).alias("probe"))
-    probe = F.struct((F.col("us") - length).alias("at"), F.lit(True).alias("probe"))
-    marks = F.when(F.col("slice") == F.col("home"), F.array(sample, probe)).otherwise(F.array(sample))
+    sample, start = F.struct(F.col("us").alias("at"), F.lit(False).alias("probe")), F.col("us") - length
+    both = F.array(sample, F.struct(start.alias("at"), F.lit(True).alias("probe")))
+    marks = F.when(F.col("slice") == F.col("home"), both).otherwise(F.array(sample))
+    # Totals never fall, so of samples with one time the earliest comes last in this order.
     backward = (
         Window.partitionBy(*series, "slice")
-        .orderBy(F.col("mark.at").desc(), F.col("mark.probe"), F.col("nth").desc())
+        .orderBy(F.col("at").desc(), "probe", F.col("total").desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    only_samples = ~F.col("mark.probe")
-    found = totals.withColumn("mark", F.explode(marks)).withColumns(
-        {
-            "from_total": F.last(F.when(only_samples, F.col("total")), ignorenulls=True).over(backward),
-            "from_nth": F.last(F.when(only_samples, F.col("nth")), ignorenulls=True).over(backward),
-        }
-    )
-    grown = F.when(F.col("nth") > F.col("from_nth"), F.col("total") - F.col("from_total"))
-    return found.filter("mark.probe").select(
-        *series, from_micros(F.col("us")).alias("ts"), "value", grown.alias("increase")
+    base = F.last(F.when(~F.col("probe"), F.col("total")), ignorenulls=True).over(backward)
+    found = totals.select(*series, "slice", "us", "value", "total", "alone", F.inline(marks))
+    grown = F.when(~F.col("alone"), F.col("total") - F.col("base"))
+    return (
+        found.withColumn("base", base)
+        .filter("probe")
+        .select(*series, from_micros(F.col("us")).alias("ts"), "value", grown.alias("increase"))
     )
 
 
@@ -186,9 +186,10 @@ def time_reversal(df: DataFrame, key: str = "DeviceId", slice_width: str = SLICE
 
     Arrivals are the distinct collection times of a device, each with its latest ``time``: copies and
     readings of one instant melt into one arrival before the shuffle. The previous arrival is looked up
-    inside a slice of the clock; only the first arrival of a slice needs the last one of the slice before,
-    which comes from a table of one row per device and slice. The verdicts are then joined back by device
-    and instant, a join whose hot keys the engine may split.
+    inside a slice of the clock. The first arrival of a slice finds it in the slice before: for that, the
+    first and last arrivals of all slices of a device form one more group, two rows per slice, while the
+    others stay in groups of their slice. The verdicts are then joined back by device and instant, a join
+    whose hot keys the engine may split.
     """
     width = micros(slice_width)
     us = to_micros(F.col("ts"))
@@ -199,22 +200,17 @@ def time_reversal(df: DataFrame, key: str = "DeviceId", slice_width: str = SLICE
         .agg(F.max("seen").alias("seen"))
         .withColumn("slice", F.floor(F.col("_us") / width))
     )
-    by_slice = Window.partitionBy(key).orderBy("slice")
-    carried = (
-        arrivals.groupBy(key, "slice")
-        .agg(F.max_by("seen", "_us").alias("last_seen"))
-        .select(key, "slice", F.lag("last_seen").over(by_slice).alias("carry"))
-    )
     inside = Window.partitionBy(key, "slice").orderBy("_us")
-    before = (
-        arrivals.join(carried, [key, "slice"])
-        .withColumn(
-            "before",
-            F.when(F.lag("_us").over(inside).isNull(), F.col("carry")).otherwise(
-                F.lag("seen").over(inside)
-            ),
-        )
-        .select(key, "_us", "before")
+    placed = arrivals.withColumns(
+        {
+            "first": F.lag("_us").over(inside).isNull(),
+            "last": F.lead("_us").over(inside).isNull(),
+            "inner": F.lag("seen").over(inside),
+        }
+    ).withColumn("group", F.when(~F.col("first") & ~F.col("last"), F.col("slice")))
+    edges = Window.partitionBy(key, "group").orderBy("_us")
+    before = placed.withColumn("outer", F.lag("seen").over(edges)).select(
+        key, "_us", F.when(F.col("first"), F.col("outer")).otherwise(F.col("inner")).alias("before")
     )
     late = to_micros(as_timestamp(F.col("time"))) < F.col("before")
     return (

@@ -14,7 +14,6 @@ from millrace.plans.registry import (
     FIELDS,
     ISO,
     LAGGING,
-    LAYERS,
     MEASURED,
     MESSAGES,
     READINGS,
@@ -24,7 +23,8 @@ from millrace.plans.registry import (
     table,
     with_,
 )
-from millrace.schema import DEDUP_KEYS, MEASURES, READING_SCHEMA
+from millrace.schema import MEASURES, READING_SCHEMA
+from millrace.session import shared_dir
 
 ID = ("event_id", "copy")
 AS_OF = "2024-01-15 12:30:00"
@@ -214,7 +214,9 @@ def route_branch(spark, sf_dir):
     ),
 )
 def branch_union_check(spark, sf_dir):
-    raw = layers(spark, sf_dir)
+    path = shared_dir(spark, "raw")
+    layers(spark, sf_dir).write.parquet(path)
+    raw = spark.read.parquet(path)
     fail, dataerr, data = route.route_fail(raw), route.route_dataerr(raw), route.route_correct(raw)
     cases = {
         "all_parts": [fail, dataerr, data],
@@ -398,7 +400,7 @@ def device_count(spark, sf_dir):
     ),
 )
 def is_empty(spark, sf_dir):
-    rows = layers(spark, sf_dir)
+    rows = labelled_readings(messages(spark, sf_dir))
     verdicts = [
         ("data", metrics.is_empty(rows.filter("branch = 'data'"))),
         ("future", metrics.is_empty(rows.filter("ts > TIMESTAMP '2100-01-01'"))),
@@ -454,5 +456,3 @@ _HOURLY = """SELECT date_trunc('hour', ts) AS hour_start, DeviceId, branch, coun
 @query("hourly_branch_counts", with_(*TO_LAYERS, body=_HOURLY))
 def hourly_branch_counts(spark, sf_dir):
     return metrics.hourly_branch_counts(layers(spark, sf_dir))
-
-

@@ -57,9 +57,9 @@ def event_messages(events: DataFrame, device_clock_lag: bool = False) -> DataFra
     fields = F.struct(*[F.col(name) for name in READING_SCHEMA.fieldNames()])
     event = F.col("event_id")
     copies = F.when(event % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return event_readings(events, device_clock_lag).select(
-        "event_id",
-        F.explode(copies).alias("copy"),
-        F.col("DeviceId").cast("string").alias("key"),
-        F.when(event % 211 == 0, '{"DeviceId":').otherwise(F.to_json(fields)).alias("value"),
+    value = F.when(event % 211 == 0, '{"DeviceId":').otherwise(F.to_json(fields))
+    # As an element the text is made once, however often a later filter looks at it.
+    texts = event_readings(events, device_clock_lag).select(
+        "event_id", F.col("DeviceId").cast("string").alias("key"), F.explode(F.array(value)).alias("value")
     )
+    return texts.select("event_id", F.explode(copies).alias("copy"), "key", "value")
