@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,3 +39,19 @@ def dedup_bounded(
     if not df.isStreaming:
         return dedup_exact(df, keys)
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def melt_copies(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFrame:
+    """Drop copies within each Arrow batch of a task, ahead of a streaming deduplication.
+
+    A stream has no map-side step of its own for this: all copies of a reading would travel to the one
+    task that holds its key. Which copies are left does not matter, the state behind drops them.
+    """
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]).append_column("_row", pa.array(range(batch.num_rows)))
+            kept = rows.group_by(list(keys), use_threads=False).aggregate([("_row", "min")])
+            yield batch.take(kept["_row_min"].combine_chunks())
+
+    return df.mapInArrow(firsts, df.schema)

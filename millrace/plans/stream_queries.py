@@ -8,18 +8,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import parse
-from millrace.operators.dedup import dedup_bounded
 from millrace.plans.readings import event_messages, labelled_readings
 from millrace.plans.reading_queries import _HOURLY, _LAYER_ROWS, ID
 from millrace.plans.registry import CLEANED, FIELDS, MESSAGES, READINGS, TO_LAYERS, query, with_
 from millrace.plans.series_queries import _ERROR_STATES, _recursive, error_breaches
 from millrace.schema import BRANCHES
 from millrace.session import shared_dir, stateful_settings
+from millrace.sinks.layers import write_layer
 from millrace.sources.layers import scan_layer
-from millrace.sources.streams import stream_source, table_stream
+from millrace.sources.streams import archive_source, stream_source, table_stream
 from millrace.streaming.alerts import stream_alert_states
 from millrace.streaming.archive import archive_stream
-from millrace.streaming.layering import start_layers
+from millrace.streaming.layering import distinct, start_layers
 from millrace.streaming.progress import progress_frame, state_metrics
 from millrace.streaming.supervise import supervise
 from millrace.streaming.windows import streaming_branch_counts
@@ -115,18 +115,39 @@ def checkpoint_recovery(spark, sf_dir):
     return scan_layer(spark, path).drop("year", "month", "day", "hour")
 
 
-@query(
-    "stateful_dedup",
-    with_(
-        *TO_LAYERS,
-        body="SELECT DeviceId, branch, count(*) AS readings FROM layers WHERE ts IS NOT NULL GROUP BY ALL",
-    ),
-)
+_PER_DEVICE = "SELECT DeviceId, branch, count(*) AS readings FROM layers{} GROUP BY ALL"
+
+
+def per_device(rows):
+    return rows.groupBy("DeviceId", "branch").agg(F.count("*").alias("readings"))
+
+
+@query("stateful_dedup", with_(*TO_LAYERS, body=_PER_DEVICE.format("")))
 def stateful_dedup(spark, sf_dir):
-    """Deduplication whose state expires; copies in the table arrive within the delay."""
+    """Every distinct reading is remembered."""
+    rows = labelled_readings(message_stream(spark, sf_dir))
+    return per_device(through(spark, distinct(rows), "exact-dedup"))
+
+
+@query("dedup_bounded", with_(*TO_LAYERS, body=_PER_DEVICE.format(" WHERE ts IS NOT NULL")))
+def dedup_bounded(spark, sf_dir):
+    """Readings are forgotten after a while; copies in the table arrive within the delay."""
     rows = labelled_readings(message_stream(spark, sf_dir)).filter("ts IS NOT NULL")
-    kept = through(spark, dedup_bounded(rows, delay="1 hour"), "bounded-dedup")
-    return kept.groupBy("DeviceId", "branch").agg(F.count("*").alias("readings"))
+    return per_device(through(spark, distinct(rows, "bounded", "1 hour"), "bounded-dedup"))
+
+
+@query("micro_batch_trigger", with_(*TO_LAYERS, body=_PER_DEVICE.format("")))
+def micro_batch_trigger(spark, sf_dir):
+    """The same on a clock, stopped when it has caught up."""
+    path = shared_dir(spark, "ticking")
+    rows = distinct(labelled_readings(message_stream(spark, sf_dir)))
+    with stateful_settings(spark, state_partitions(spark)):
+        job = write_layer(rows, path, "ticking", "1 second", "parquet", partitions=["branch"])
+    try:
+        job.processAllAvailable()
+    finally:
+        job.stop()
+    return per_device(spark.read.schema(rows.schema).parquet(path))
 
 
 @query(
@@ -135,7 +156,10 @@ def stateful_dedup(spark, sf_dir):
 )
 def ingest_archive(spark, sf_dir):
     path = shared_dir(spark, "archive")
-    job = archive_stream(message_stream(spark, sf_dir), path, trigger=None)
+    table_path = f"{sf_dir}/events.parquet"
+    schema = spark.read.parquet(table_path).schema
+    events = archive_source(spark, "parquet", path=f"{table_path}*", schema=schema)
+    job = archive_stream(event_messages(events), path, trigger=None)
     supervise(spark, [job])
     return parse.parse_reading(spark.read.text(path).select("value"))
 
@@ -174,11 +198,25 @@ def progress_metrics(spark, sf_dir):
     )
 
 
-@query("stream_state_metrics")
+@query(
+    "stream_state_metrics",
+    with_(
+        *TO_LAYERS,
+        body="""SELECT 'layers_latency' AS metric, CAST(1 AS DOUBLE) AS value
+                UNION ALL SELECT 'layers_input_rows', CAST(count(*) AS DOUBLE) FROM events
+                UNION ALL SELECT 'layers_states_rowsTotal', CAST(count(*) AS DOUBLE) FROM layers""",
+    ),
+)
 def stream_state_metrics(spark, sf_dir):
-    """Latency and state size per batch as metric samples."""
+    """The metric samples of the batches, summed up; of the latency, which varies, only the sign."""
     _, jobs = written_layers(spark, sf_dir)
-    return state_metrics(progress_frame(*jobs))
+    name = F.col("metric")
+    value = (
+        F.when(name.endswith("_latency"), F.signum(F.max("value")))
+        .when(name.endswith("_input_rows"), F.sum("value"))
+        .otherwise(F.max("value"))
+    )
+    return state_metrics(progress_frame(*jobs)).groupBy("metric").agg(value.alias("value"))
 
 
 @query(

@@ -6,21 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.dedup import dedup_bounded, dedup_exact
+from millrace.operators.dedup import dedup_bounded, dedup_exact, melt_copies
 from millrace.plans.readings import labelled_readings
 from millrace.schema import BRANCHES, DEFAULT_RANGES, PARTITIONS, TRIGGER, Ranges
 from millrace.session import stateful_settings
 from millrace.sinks.layers import write_layer
 
 
-def distinct_readings(
-    messages: DataFrame, ranges: Ranges = DEFAULT_RANGES, dedup: str = "exact", delay: str = "1 hour"
-) -> DataFrame:
-    """Parsed, complete, dated, labelled and distinct readings of a stream or a batch of messages."""
-    rows = labelled_readings(messages, ranges)
-    if dedup == "bounded":
-        return dedup_bounded(rows, delay=delay)
-    return dedup_exact(rows)
+def distinct(rows: DataFrame, dedup: str = "exact", delay: str = "1 hour", melt: bool = True) -> DataFrame:
+    """Distinct readings of a stream; copies that arrive together melt before they are shuffled."""
+    if dedup not in ("exact", "bounded"):
+        raise ValueError(f"dedup must be exact or bounded, not {dedup}")
+    rows = melt_copies(rows) if melt and rows.isStreaming else rows
+    return dedup_bounded(rows, delay=delay) if dedup == "bounded" else dedup_exact(rows)
 
 
 def start_layers(
@@ -29,6 +27,7 @@ def start_layers(
     ranges: Ranges = DEFAULT_RANGES,
     dedup: str = "exact",
     delay: str = "1 hour",
+    melt: bool = True,
     separate: bool = False,
     trigger: str | None = TRIGGER,
     fmt: str = "json",
@@ -46,20 +45,19 @@ def start_layers(
     """
     spark = messages.sparkSession
     with stateful_settings(spark, state_partitions):
+        rows = labelled_readings(messages, ranges)
         if not separate:
-            rows = distinct_readings(messages, ranges, dedup, delay)
+            one = distinct(rows, dedup, delay, melt)
             query = write_layer(
-                rows, root, name, trigger, fmt, ("branch", *PARTITIONS), checkpoint, files_per_hour
+                one, root, name, trigger, fmt, ("branch", *PARTITIONS), checkpoint, files_per_hour
             )
             return [query]
-        rows = labelled_readings(messages, ranges)
         queries = []
         for layer in ("raw-data", *BRANCHES):
             own = rows if layer == "raw-data" else rows.filter(F.col("branch") == layer)
-            own = dedup_bounded(own, delay=delay) if dedup == "bounded" else dedup_exact(own)
             queries.append(
                 write_layer(
-                    own.drop("branch"),
+                    distinct(own, dedup, delay, melt).drop("branch"),
                     f"{root}/{layer}",
                     f"{name}-{layer}",
                     trigger,

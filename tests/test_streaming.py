@@ -115,6 +115,16 @@ def test_bounded_dedup_drops_copies_within_the_delay_and_forgets_later(spark, ro
                    (3.0, "2024-01-01T05:10:00")]
 
 
+def test_copies_melt_within_a_task(spark, rows):
+    from millrace.operators.dedup import melt_copies
+
+    data = [(i % 3, 1.0 if i % 2 else float("nan"), None, i) for i in range(3000)]
+    df = rows(data, "a int, b double, c string, n int").coalesce(1)
+    got = melt_copies(df, ["a", "b", "c"])
+    assert got.schema == df.schema
+    assert sorted(r["n"] for r in got.collect()) == [0, 1, 2, 3, 4, 5]
+
+
 def test_window_counts_leave_out_late_rows(spark, rows):
     path, out = shared_dir(spark, "source"), shared_dir(spark, "out")
     schema = "DeviceId int, branch string, collected_at string"
