@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from millrace.functions.checks import valid_range
 from millrace.operators import clean, dedup, metrics, parse, quality, route, series
 from millrace.plans import monitors
-from millrace.plans.readings import distinct_layers, event_messages, event_readings, labelled_readings
+from millrace.plans.readings import (
+    complete_readings,
+    distinct_layers,
+    event_messages,
+    event_readings,
+    labelled_readings,
+)
 from millrace.plans.registry import (
     CLEANED,
     FIELDS,
@@ -239,8 +245,8 @@ _LAYER_ROWS = f"SELECT {FIELDS}, ts, branch FROM layers"
 
 @query("dedup_exact", with_(*TO_LAYERS, body=_LAYER_ROWS))
 def dedup_exact(spark, sf_dir):
-    rows = labelled_readings(messages(spark, sf_dir))
-    return dedup.dedup_exact(rows).drop("year", "month", "day", "hour")
+    rows = dedup.dedup_exact(complete_readings(messages(spark, sf_dir)))
+    return route.route_branch(rows)
 
 
 @query(
@@ -252,7 +258,8 @@ def dedup_exact(spark, sf_dir):
     ),
 )
 def trailing_window(spark, sf_dir):
-    return clean.trailing_window(dedup_exact(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")), "ts", AS_OF)
+    rows = route.route_branch(dedup.dedup_exact(complete_readings(messages(spark, sf_dir))))
+    return clean.trailing_window(rows, "ts", AS_OF)
 
 
 @query(

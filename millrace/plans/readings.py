@@ -15,17 +15,29 @@ from millrace.operators.route import route_branch
 from millrace.schema import DEFAULT_RANGES, READING_SCHEMA, Ranges
 
 
+def complete_readings(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Messages parsed, complete and dated, row by row, on batch or stream."""
+    return event_time(drop_incomplete(parse_reading(messages, keep=keep)))
+
+
+def labelled(readings: DataFrame, ranges: Ranges = DEFAULT_RANGES) -> DataFrame:
+    """Add the partition columns and the branch."""
+    return route_branch(time_partitions(readings), ranges)
+
+
 def labelled_readings(
     messages: DataFrame, ranges: Ranges = DEFAULT_RANGES, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Row-by-row part of the job: no shuffle up to here, on batch or stream."""
-    rows = drop_incomplete(parse_reading(messages, keep=keep))
-    return route_branch(time_partitions(event_time(rows)), ranges)
+    return labelled(complete_readings(messages, keep), ranges)
 
 
 def distinct_layers(messages: DataFrame, ranges: Ranges = DEFAULT_RANGES) -> DataFrame:
-    """All layers of a batch of messages, told apart by ``branch``."""
-    return dedup_exact(labelled_readings(messages, ranges))
+    """All layers of a batch of messages, told apart by ``branch``.
+
+    Labels are added behind the deduplication, so its shuffle does not carry them. They depend on its keys
+    only: a filter on the branch still moves below it.
+    """
+    return labelled(dedup_exact(complete_readings(messages)), ranges)
 
 
 def event_readings(events: DataFrame, device_clock_lag: bool = False) -> DataFrame:

@@ -6,10 +6,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.tokens import words_any_space
 from millrace.operators import words
-from millrace.operators.dedup import dedup_exact
 from millrace.plans import monitors
-from millrace.plans.reading_queries import _LATEST, AS_OF, layers, messages
-from millrace.plans.readings import labelled_readings
+from millrace.plans.reading_queries import _LATEST, AS_OF, layers
 from millrace.plans.registry import FIELDS, MEASURED, TO_LAYERS, query, table, with_
 from millrace.schema import PARTITIONS
 from millrace.session import shared_dir
@@ -117,8 +115,7 @@ def written(spark, sf_dir) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
         path = shared_dir(spark, "layers")
-        rows = dedup_exact(labelled_readings(messages(spark, sf_dir)))
-        write_layer(rows, path, partitions=("branch", *PARTITIONS))
+        write_layer(layers(spark, sf_dir), path, partitions=("branch", *PARTITIONS))
         _written[key] = path
     return _written[key]
 
@@ -156,7 +153,10 @@ def missing_partition_as_empty(spark, sf_dir):
     "monitor_layer",
     with_(
         *TO_LAYERS,
-        _LATEST.replace("branch = 'data'", "branch = 'data' AND ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'"),
+        _LATEST.replace(
+            "branch = 'data'",
+            "branch = 'data' AND ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'",
+        ),
         body=f"""SELECT metric, device_id, value FROM (
                    SELECT CAST(DeviceId AS VARCHAR) AS device_id, {MEASURED} FROM latest)
                  UNPIVOT (value FOR metric IN ({MEASURED}))""",

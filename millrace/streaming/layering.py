@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.functions.checks import branch_label
 from millrace.operators.dedup import dedup_bounded, dedup_exact, melt_copies
-from millrace.plans.readings import labelled_readings
+from millrace.operators.parse import time_partitions
+from millrace.plans.readings import complete_readings, labelled
 from millrace.schema import BRANCHES, DEFAULT_RANGES, PARTITIONS, TRIGGER, Ranges
 from millrace.session import stateful_settings
 from millrace.sinks.layers import write_layer
@@ -45,19 +46,19 @@ def start_layers(
     """
     spark = messages.sparkSession
     with stateful_settings(spark, state_partitions):
-        rows = labelled_readings(messages, ranges)
+        rows = complete_readings(messages)
         if not separate:
-            one = distinct(rows, dedup, delay, melt)
+            one = labelled(distinct(rows, dedup, delay, melt), ranges)
             query = write_layer(
                 one, root, name, trigger, fmt, ("branch", *PARTITIONS), checkpoint, files_per_hour
             )
             return [query]
         queries = []
         for layer in ("raw-data", *BRANCHES):
-            own = rows if layer == "raw-data" else rows.filter(F.col("branch") == layer)
+            own = rows if layer == "raw-data" else rows.filter(branch_label(ranges) == layer)
             queries.append(
                 write_layer(
-                    distinct(own, dedup, delay, melt).drop("branch"),
+                    time_partitions(distinct(own, dedup, delay, melt)),
                     f"{root}/{layer}",
                     f"{name}-{layer}",
                     trigger,
