@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,10 +25,18 @@ def error_metrics(dataerr: DataFrame, as_of, metric: str = "error_count_per_hour
 
 
 def monitor_layer(
-    spark: SparkSession, root: str, layer: str | None, start, end, prefix: str = ""
+    spark: SparkSession, root: str, layer: str | None, start, end, prefix: str = "", **layout
 ) -> DataFrame:
     """Snapshot straight from a written layer; only the hours of [start, end) are read."""
-    return latest_metrics(scan_layer(spark, root, layer, start, end), prefix)
+    return latest_metrics(scan_layer(spark, root, layer, start, end, **layout), prefix)
+
+
+def monitor_errors(
+    spark: SparkSession, root: str, as_of: datetime, metric: str = "error_count_per_hour", **layout
+) -> DataFrame:
+    """Implausible readings of the hour before ``as_of``; the two hours it touches are read."""
+    start, end = as_of - timedelta(hours=1), as_of + timedelta(microseconds=1)
+    return error_metrics(scan_layer(spark, root, "dataerr", start, end, **layout), as_of, metric)
 
 
 def counter_metrics(events: DataFrame) -> DataFrame:

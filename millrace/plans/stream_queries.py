@@ -25,8 +25,12 @@ from millrace.streaming.supervise import supervise
 from millrace.streaming.windows import streaming_branch_counts
 
 
-def message_stream(spark, sf_dir):
-    return event_messages(table_stream(spark, f"{sf_dir}/events.parquet"))
+# A batch of a terabyte is done over when it fails, not the whole table.
+BATCH = {"maxBytesPerTrigger": str(10**12)}
+
+
+def message_stream(spark, sf_dir, **options):
+    return event_messages(table_stream(spark, f"{sf_dir}/events.parquet", **options))
 
 
 def state_partitions(spark) -> int:
@@ -51,7 +55,7 @@ def through(spark, stream, label: str, mode: str = "append"):
 def run_layers(spark, sf_dir, path, **options):
     """Run the layered write to its end. A hot hour is spread over a quarter of the cluster's cores."""
     jobs = start_layers(
-        message_stream(spark, sf_dir),
+        message_stream(spark, sf_dir, **BATCH),
         path,
         trigger=None,
         files_per_hour=max(1, state_partitions(spark) // 4),
@@ -79,7 +83,7 @@ def written_layers(spark, sf_dir):
     with_(READINGS, MESSAGES, body="SELECT event_id, copy, CAST(DeviceId AS VARCHAR) AS key FROM messages"),
 )
 def stream_source_(spark, sf_dir):
-    return through(spark, message_stream(spark, sf_dir).select(*ID, "key"), "stream-source")
+    return through(spark, message_stream(spark, sf_dir, **BATCH).select(*ID, "key"), "stream-source")
 
 
 @query("layered_write", with_(*TO_LAYERS, body=_LAYER_ROWS))
@@ -125,13 +129,13 @@ def per_device(rows):
 @query("stateful_dedup", with_(*TO_LAYERS, body=_PER_DEVICE.format("")))
 def stateful_dedup(spark, sf_dir):
     """Every distinct reading is remembered."""
-    rows = labelled_readings(message_stream(spark, sf_dir))
+    rows = labelled_readings(message_stream(spark, sf_dir, **BATCH))
     return per_device(through(spark, distinct(rows), "exact-dedup"))
 
 
 @query("dedup_bounded", with_(*TO_LAYERS, body=_PER_DEVICE.format(" WHERE ts IS NOT NULL")))
 def dedup_bounded(spark, sf_dir):
-    """Readings are forgotten after a while; copies in the table arrive within the delay."""
+    """Readings are forgotten after a while; the table is one batch, so its copies meet before that."""
     rows = labelled_readings(message_stream(spark, sf_dir)).filter("ts IS NOT NULL")
     return per_device(through(spark, distinct(rows, "bounded", "1 hour"), "bounded-dedup"))
 
@@ -158,7 +162,7 @@ def ingest_archive(spark, sf_dir):
     path = shared_dir(spark, "archive")
     table_path = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(table_path).schema
-    events = archive_source(spark, "parquet", path=f"{table_path}*", schema=schema)
+    events = archive_source(spark, "parquet", path=f"{table_path}*", schema=schema, **BATCH)
     job = archive_stream(event_messages(events), path, trigger=None)
     supervise(spark, [job])
     return parse.parse_reading(spark.read.text(path).select("value"))
@@ -178,7 +182,7 @@ def ingest_archive(spark, sf_dir):
     ),
 )
 def streaming_window_count(spark, sf_dir):
-    """Hours that the watermark has closed."""
+    """Hours that the watermark has closed. The table is one batch, so that no row is late."""
     return through(spark, streaming_branch_counts(labelled_readings(message_stream(spark, sf_dir))), "windows")
 
 

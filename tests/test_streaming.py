@@ -115,6 +115,19 @@ def test_bounded_dedup_drops_copies_within_the_delay_and_forgets_later(spark, ro
                    (3.0, "2024-01-01T05:10:00")]
 
 
+def test_bounded_dedup_loses_no_reading_without_a_time(spark, rows):
+    path, out = shared_dir(spark, "source"), shared_dir(spark, "out")
+
+    def reading(at, value):
+        return json.dumps(dict(DeviceId=1, sensor1=value, sensor2=1.0, sensor3=1.0, motor1=1.0, motor2=1.0, motor3=1.0,
+                               isFail=False, collected_at=at))
+
+    for batch in ([("bad", 1.0), ("bad", 1.0), ("2024-01-01T00:00:00", 2.0)], [("2024-01-01T05:00:00", 3.0)], [("bad", 5.0)]):
+        rows([(reading(*r),) for r in batch], "value string").coalesce(1).write.mode("append").text(path)
+        supervise(spark, start_layers(stream(spark, path), out, dedup="bounded", trigger=None, state_partitions=2))
+    assert sorted(r["sensor1"] for r in scan_layer(spark, out).collect()) == [1.0, 2.0, 3.0, 5.0]
+
+
 def test_copies_melt_within_a_task(spark, rows):
     from millrace.operators.dedup import melt_copies
 
