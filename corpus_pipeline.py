@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import queries, quality_rules
+from millrace.llm import exact_dedup, near_dup, queries, quality_rules
 from millrace.llm.tables import written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -31,6 +31,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the least ``doc_id`` stays."""
+    kept = near_dup.near_duplicates(docs).filter("kept").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+
+
+def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes that a document with a lesser ``doc_id`` has too go; what is left of a text stays, were it empty."""
+    rest = exact_dedup.remove_repeats(docs, keep_text=True).select(F.col("doc_id").alias("of"), "kept_text")
+    kept = docs.drop("text", "n_chars").join(rest, F.col("doc_id") == F.col("of"))
+    return kept.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}).select(*COLUMNS)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return queries.packed(docs)
 
@@ -38,6 +51,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language_id", language),
     ("quality_rules", quality),
+    ("near_dedup", near_dedup),
+    ("suffix_array_dedup", repeat_removal),
     ("best_fit_packing", packing),
 ]
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, near_dup, packing, quality_rules
+from millrace.llm import exact_dedup, langid, near_dup, packing, quality_rules
 from millrace.session import use_utc
 
 
@@ -39,6 +39,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("doc_id", "held_out", "lang_pred", "score", "spans")
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_language_id": op2_language_id,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
