@@ -19,29 +19,31 @@ LEAST_SCORE = 0.4
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter or without a leading language go; a missing ``lang`` is filled in."""
-    found = queries.languages(docs).select(F.col("doc_id").alias("of"), "lang_pred", "score")
+    found = queries.languages(docs, COLUMNS)
     good = found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
-    kept = docs.join(good, F.col("doc_id") == F.col("of"))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+    return good.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the fences of their language and source reject go."""
-    kept = quality_rules.judge(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    return quality_rules.kept_documents(docs, COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least ``doc_id`` stays."""
-    kept = near_dup.near_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """Of each group of near-duplicates the document with the least ``doc_id`` stays, and so do those without one.
+
+    Rows that repeat a ``doc_id`` stay or go together.
+    """
+    kept = near_dup.near_duplicates(docs).filter("kept").select("doc_id").distinct()
+    nameless = docs.filter(F.col("doc_id").isNull()).select(*COLUMNS)
+    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS).union(nameless)
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes that a document with a lesser ``doc_id`` has too go; what is left of a text stays, were it empty."""
-    rest = exact_dedup.remove_repeats(docs, keep_text=True).select(F.col("doc_id").alias("of"), "kept_text")
-    kept = docs.drop("text", "n_chars").join(rest, F.col("doc_id") == F.col("of"))
-    return kept.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}).select(*COLUMNS)
+    rest = exact_dedup.remove_repeats(docs, ("doc_id", "lang", "source"), keep_text=True)
+    return rest.select("doc_id", F.col("kept_text").alias("text"), "lang", "source",
+                       F.length("kept_text").cast("long").alias("n_chars"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

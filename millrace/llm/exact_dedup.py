@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.llm import flat
 from millrace.llm.groups import changes, whole_groups
@@ -263,34 +264,24 @@ def _spans(doc: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.RecordBat
     return pa.RecordBatch.from_pydict({"doc": doc, "begin": begin, "size": size.astype(np.int64)})
 
 
-CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+_CUT = ("n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def _without_bytes(keep_text: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple] = []
-            for doc_id, text, spans in zip(batch.column("doc_id"), batch.column("text"), batch.column("spans")):
-                raw = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
-                kept, at, removed, n = [], 0, 0, 0
-                if spans.is_valid:
-                    rows = spans.values
-                    begin, size = rows.field(0).to_numpy(), rows.field(1).to_numpy()
-                    order = np.argsort(begin, kind="stable")
-                    begin, end = begin[order], np.maximum.accumulate(begin[order] + size[order])
-                    for _, b, e in zip(*_merged(np.zeros(len(begin), np.int64), begin, end)):
-                        kept.append(raw[at:b])
-                        removed, n, at = removed + int(e - b), n + 1, int(e)
-                rest = b"".join(kept + [raw[at:]])
-                row = (doc_id.as_py(), len(raw), removed, n, hashlib.sha256(rest).hexdigest())
-                # a span may begin or end within a character; what is left of that one goes too
-                out.append(row + (rest.decode("utf-8", "ignore"),) if keep_text else row)
-            kinds = [pa.int64()] * 4 + [pa.string()] * (2 if keep_text else 1)
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else
-                                             [pa.array([], k) for k in kinds], names[: len(kinds)])
-
-    return run
+def _cut(text: pa.Scalar, spans: pa.Scalar, keep_text: bool) -> tuple:
+    """What is removed from one text, and what is left."""
+    raw = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
+    kept, at, removed, n = [], 0, 0, 0
+    if spans.is_valid:
+        begin, size = (spans.values.field(k).to_numpy() for k in range(2))
+        order = np.argsort(begin, kind="stable")
+        begin, end = begin[order], np.maximum.accumulate(begin[order] + size[order])
+        for _, b, e in zip(*_merged(np.zeros(len(begin), np.int64), begin, end)):
+            kept.append(raw[at:b])
+            removed, n, at = removed + int(e - b), n + 1, int(e)
+    rest = b"".join(kept + [raw[at:]])
+    found = (len(raw), removed, n, hashlib.sha256(rest).hexdigest())
+    # a span may begin or end within a character; what is left of that one goes too
+    return found + (rest.decode("utf-8", "ignore"),) if keep_text else found
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -307,23 +298,33 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return repeats.union(settled)
 
 
-def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
-    """Bytes removed from every document and the hash of the rest; with ``keep_text`` also the rest, as text."""
+def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), keep_text: bool = False) -> DataFrame:
+    """The columns ``keep``, the bytes removed and the hash of the rest; with ``keep_text`` also ``kept_text``."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    chosen = rows.groupBy("doc_id").agg(F.count("*").alias("n"))
-    again = written(chosen.filter("n > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("of")), "again")
     sources = rows.filter("doc_id IS NOT NULL")
-    if not again.isEmpty():
-        twice = sources.join(again, F.col("doc_id") == F.col("of"), "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-        sources = sources.join(again, F.col("doc_id") == F.col("of"), "left_anti").unionByName(twice)
-    sources = sources.filter(F.octet_length("text") >= SPAN)
-    spans = written(repeated_spans(sources), "spans")
-    by_doc = spans.groupBy(F.col("doc").alias("of")).agg(F.collect_list(F.struct("begin", "size")).alias("spans"))
-    joined = rows.join(by_doc, F.col("doc_id") == F.col("of"), "left")
-    if not again.isEmpty():
-        text = sources.join(again, F.col("doc_id") == F.col("of"), "left_semi").select(F.col("doc_id").alias("one"), F.col("text").alias("its"))
-        joined = joined.join(text, F.col("doc_id") == F.col("one"), "left").withColumn(
-            "spans", F.when(F.col("one").isNull() | F.col("text").eqNullSafe(F.col("its")), F.col("spans"))
-        )
-    schema = CUT + (", kept_text string" if keep_text else "")
-    return joined.select("doc_id", "text", "spans").mapInArrow(_without_bytes(keep_text), schema)
+    again = written(sources.groupBy(F.col("doc_id").alias("of")).count().filter("count > 1").select("of"), "again")
+    repeated = not again.isEmpty()
+    if repeated:
+        one = F.col("doc_id") == F.col("of")
+        twice = sources.join(again, one, "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+        sources = sources.join(again, one, "left_anti").unionByName(twice)
+    spans = written(repeated_spans(sources.filter(F.octet_length("text") >= SPAN)), "spans")
+    by_doc = spans.groupBy(F.col("doc").alias("_of")).agg(F.collect_list(F.struct("begin", "size")).alias("_spans"))
+    wanted = docs.select(*keep, F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"))
+    joined = wanted.join(by_doc, F.col("_id") == F.col("_of"), "left")
+    if repeated:
+        its = twice.select(F.col("doc_id").alias("_one"), F.col("text").alias("_its"))
+        whole = F.col("_one").isNotNull() & ~F.col("_text").eqNullSafe(F.col("_its"))
+        joined = joined.join(its, F.col("_id") == F.col("_one"), "left").withColumn("_spans", F.when(~whole, F.col("_spans")))
+    added = StructType.fromDDL(_CUT + ", kept_text string" * keep_text)
+    kinds = [pa.int64()] * 3 + [pa.string()] * (len(added) - 3)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in flat.pieces(batch, "_text", TOGETHER):
+                cut = [_cut(t, s, keep_text) for t, s in zip(part.column("_text"), part.column("_spans"))]
+                found = [pa.array(c, kind) for c, kind in zip(zip(*cut), kinds)]
+                yield pa.RecordBatch.from_arrays([*(part.column(name) for name in keep), *found], [*keep, *added.names])
+
+    schema = StructType([*docs.select(*keep).schema.fields, *added.fields])
+    return joined.select(*keep, "_text", "_spans").mapInArrow(run, schema)

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.llm import flat
 
@@ -191,7 +192,7 @@ def _viterbi(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
     return labels
 
 
-SCHEMA = "lang_pred string, score double, spans array<struct<begin:long,stop:long,lang:string>>"
+_RESULT = "lang_pred string, score double, spans array<struct<begin:long,stop:long,lang:string>>"
 
 
 def _spans(labels, begins, stops, first, model) -> pa.Array:
@@ -242,14 +243,17 @@ def label_texts(texts: list[str | None], model: Model) -> tuple[pa.Array, pa.Arr
     return pa.array(names), pa.array(share), _spans(labels, begins - offset, stops - offset, first, model)
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, the language with most letters, its share of all letters, and the spans of each language."""
+def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep``, the language with most letters, its share of all letters, and the spans of each language."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers per language
+    wanted = docs.select(*keep, F.col("text").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in flat.pieces(batch, "text", AT_ONCE):
-                out = label_texts(part.column("text").to_pylist(), shared.value)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *out], ["doc_id", "lang_pred", "score", "spans"])
+            for part in flat.pieces(batch, "_text", AT_ONCE):
+                out = label_texts(part.column("_text").to_pylist(), shared.value)
+                kept = [part.column(name) for name in keep]
+                yield pa.RecordBatch.from_arrays([*kept, *out], [*keep, "lang_pred", "score", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, {SCHEMA}")
+    schema = StructType([*docs.select(*keep).schema.fields, *StructType.fromDDL(_RESULT).fields])
+    return wanted.mapInArrow(run, schema)

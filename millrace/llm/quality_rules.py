@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm import flat
 from millrace.llm.tables import written
@@ -29,7 +30,6 @@ SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
-SCHEMA = "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS)
 
 #: Measures with a fence, and the least spread it is drawn with, so that a group of equal texts still allows for some
 #: variety. ``both`` fences low values too.
@@ -90,20 +90,21 @@ def _measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in flat.pieces(batch, "text"):
-            counts = _measure(*flat.texts(part.column("text")))
-            kept = [part.column(c) for c in ("doc_id", "lang", "source")]
-            yield pa.RecordBatch.from_arrays(
-                kept + [pa.array(counts[c].astype(np.int64)) for c in COUNTS], ["doc_id", "lang", "source", *COUNTS]
-            )
+def text_metrics(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang", "source")) -> DataFrame:
+    """The columns ``keep`` and counts per text: words, code points in words, symbols, repeated lines, words in
+    repeated windows, lines."""
+    wanted = docs.select(*keep, F.col("text").alias("_text"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in flat.pieces(batch, "_text"):
+                counts = _measure(*flat.texts(part.column("_text")))
+                kept = [part.column(name) for name in keep]
+                found = [pa.array(counts[name].astype(np.int64)) for name in COUNTS]
+                yield pa.RecordBatch.from_arrays(kept + found, [*keep, *COUNTS])
 
-def text_metrics(docs: DataFrame) -> DataFrame:
-    """Counts per text: words, code points in words, symbols, repeated lines, words in repeated windows, lines."""
-    wanted = docs.select(F.col("doc_id").cast("long"), "text", "lang", "source")
-    return wanted.mapInArrow(_measured, SCHEMA)
+    counted = StructType([StructField(name, LongType()) for name in COUNTS])
+    return wanted.mapInArrow(run, StructType([*docs.select(*keep).schema.fields, *counted.fields]))
 
 
 def rates(metrics: DataFrame) -> DataFrame:
@@ -153,16 +154,26 @@ def thresholds(measured: DataFrame) -> DataFrame:
     return joined.select("for_lang", "for_source", *fences)
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """Metrics of every document, whether the base rules reject it, and whether it is kept."""
-    measured = rates(written(text_metrics(docs), "metrics"))
-    fences = thresholds(measured)
+def _judged(measured: DataFrame, fences: DataFrame) -> DataFrame:
     inside = F.lit(True)
     for name in FENCED:
         inside &= F.col(name).between(F.col(f"{name}_low"), F.col(f"{name}_high"))
     same = F.col("lang").eqNullSafe(F.col("for_lang")) & F.col("source").eqNullSafe(F.col("for_source"))
-    joined = measured.join(fences, same, "left")
     # A group without fences has no document that passes the base rules.
-    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))).select(
-        "doc_id", *COUNTS[:5], "base_failed", "kept", *FENCED
-    )
+    kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
+    return measured.join(fences, same, "left").withColumn("kept", kept)
+
+
+def judge(docs: DataFrame) -> DataFrame:
+    """Metrics of every document, whether the base rules reject it, and whether it is kept."""
+    measured = rates(written(text_metrics(docs), "metrics"))
+    return _judged(measured, thresholds(measured)).select("doc_id", *COUNTS[:5], "base_failed", "kept", *FENCED)
+
+
+def kept_documents(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """The columns ``keep`` of the documents that are kept.
+
+    Texts are measured a second time rather than shuffled, as only the fences are joined to them.
+    """
+    fences = written(thresholds(rates(written(text_metrics(docs), "metrics"))), "fences")
+    return _judged(rates(text_metrics(docs, keep)), fences).filter("kept").select(*keep)

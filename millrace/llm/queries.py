@@ -29,14 +29,15 @@ def held_out() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
 
 
-def languages(docs: DataFrame) -> DataFrame:
+def languages(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """A document without ``doc_id`` is not held out, and not learned from either."""
     model = langid.fit(docs.filter(~held_out()))
-    return langid.identify(docs, model).withColumn("held_out", held_out())
+    return langid.identify(docs, model, keep)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = languages(table(spark, sf_dir, "documents"))
-    return labelled.select("doc_id", "held_out", "lang_pred", "score", "spans")
+    return labelled.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "spans")
 
 
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
