@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, langid, near_dup, packing, quality_rules
+from millrace.llm import exact_dedup, langid, near_dup, packing, quality_rules, vector_dedup
 from millrace.session import use_utc
 
 
@@ -44,6 +44,10 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_language_id": op2_language_id,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
