@@ -58,7 +58,7 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
-        column = pc.fill_null(column, "")
+        column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else "")
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, places, data = column.buffers()
     if len(column) == 0 or places is None:

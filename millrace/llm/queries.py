@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, langid, near_dup, packing, quality_rules, vector_dedup
+from millrace.llm import exact_dedup, langid, near_dup, packing, quality_rules, url_filters, vector_dedup, warc
 from millrace.session import use_utc
 
 
@@ -44,10 +44,25 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+#: Verdicts that are given; the longest that fits a url decides.
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables label documents only; a page counts as labelled like the document of its number."""
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad)
+    return url_filters.filter_urls(table(spark, sf_dir, "pages"), labels, URL_RULES)
+
+
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages"), CAPTURED))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -56,13 +71,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+#: The pages carry no time of capture.
+CAPTURED = "2024-01-15T00:00:00Z"
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_language_id": op2_language_id,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op5_url_filters": op5_url_filters,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op10_warc_derivatives": op10_warc_derivatives,
 }
 
 ORACLES: dict[str, str] = {}
