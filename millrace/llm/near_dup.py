@@ -6,9 +6,10 @@ a filled one found by its own fixed probing order. Documents with equal sets for
 the set, so that copies travel as one row from there on. ``ROWS`` bins make a band; in each bucket of a band every
 class is paired with the least one only, which bounds pairs by the number of bands. Pairs are confirmed on the full
 sets. A star can miss a pair of two members of different components; ``_missed`` compares just those, within the
-mixed buckets, in blocks of bounded size, so that the bound on pairs costs no link.
+mixed buckets, in blocks of bounded size, each pair in the first band that it agrees in, so that the bound on pairs
+costs no link.
 
-At a similarity of 0.75 a pair shares no bucket with a probability of (1 - 0.75^4)^32, about 5 in a million.
+At a similarity of 0.75 a pair shares no bucket with a probability of (1 - 0.75^5)^51, about one in a million.
 
 Defined cases: null or empty text has no shingles and is linked with nothing; with fewer than five words the whole
 sequence is the one shingle; a row without ``doc_id`` is linked with nothing, its component is null and it is kept;
@@ -31,11 +32,11 @@ from millrace.llm.tables import written
 
 SHINGLE = 5
 PERCENT = 75
-BINS = 128
-ROWS = 4
+BINS = 256
+ROWS = 5
 BANDS = BINS // ROWS
 #: Rows of a mixed bucket that are compared with each other at once.
-BLOCK = 1000
+BLOCK = 500
 
 _BIN_BITS = BINS.bit_length() - 1
 _PROBES = np.random.default_rng(11).integers(0, BINS, (4096, BINS))
@@ -65,15 +66,15 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def densified(keys: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """One 32-bit value per text and bin; rows of texts without shingles are zero."""
+    """One 16-bit value per text and bin; rows of texts without shingles are zero."""
     n = len(first) - 1
     owner = flat.owners(first)
     slot = owner * BINS + (keys >> np.uint64(64 - _BIN_BITS)).astype(np.int64)
     head = np.ones(len(slot), dtype=bool)
     head[1:] = slot[1:] != slot[:-1]
-    values = np.zeros((n, BINS), dtype=np.uint32)
+    values = np.zeros((n, BINS), dtype=np.uint16)
     filled = np.zeros((n, BINS), dtype=bool)
-    values.ravel()[slot[head]] = (keys[head] >> np.uint64(32 - _BIN_BITS)).astype(np.uint32)
+    values.ravel()[slot[head]] = (keys[head] & np.uint64(0xFFFF)).astype(np.uint16)
     filled.ravel()[slot[head]] = True
     text, empty = np.nonzero(~filled & (np.diff(first) > 0)[:, None])
     for probe in _PROBES:
@@ -121,7 +122,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _values(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(-1, BINS)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, BINS)
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,6 +135,7 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key = np.full(len(part), band + 1, dtype=np.uint64)
             for k in range(ROWS):
                 key = flat.mix(key * np.uint64(0x9E3779B97F4A7C15) + part[:, k])
+            key = (key & ~np.uint64(63)) | np.uint64(band)  # the bucket tells its band
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column("doc_id")], ["bucket", "doc"])
 
 
@@ -163,50 +165,98 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.take(pa.array(hits, pa.int64())).select(["a", "b"])
 
 
-def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def shingle_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The full sets of the documents in ``pairs``.
+
+    Their number follows the corpus, so that the join never is a broadcast.
+    """
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().hint("merge")
+    held = docs.select(F.col("doc_id").cast("long"), "text").join(ends, F.col("doc_id") == F.col("id"), "left_semi")
+    return held.mapInArrow(_set_rows, "of long, shingles binary")
+
+
+def confirm(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those pairs (``a``, ``b``) whose full sets are similar enough.
 
     The shingles of ``a`` travel to ``b``. Where many pairs share ``b``, as in a star, the engine may split that join.
     """
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    held = docs.select(F.col("doc_id").cast("long"), "text").join(ends, F.col("doc_id") == F.col("id"), "left_semi")
-    sets = written(held.mapInArrow(_set_rows, "of long, shingles binary"), "sets")
     one = pairs.join(sets.select(F.col("of").alias("a"), F.col("shingles").alias("one")), "a")
     both = one.join(sets.select(F.col("of").alias("b"), F.col("shingles").alias("other")), "b")
     return both.select("a", "b", "one", "other").mapInArrow(_confirmed, "a long, b long").distinct()
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one group that belong to different components and whose sketches do not rule them out."""
-    for table in whole_groups(batches, ["bucket", "i", "j"]):
-        begins = changes(table, ["bucket", "i", "j"])
-        names = ("doc", "comp", "n_shingles", "block", "i", "j")
-        doc, comp, size, block, i, j = (table.column(c).to_numpy() for c in names)
+_GROUP = ["bucket", "i", "j"]
+
+
+def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a group that have a partner in another component whom their sketches do not rule out."""
+    for table in whole_groups(batches, _GROUP):
+        begins = changes(table, _GROUP)
+        names = ("bucket", "doc", "comp", "n_shingles", "block", "i", "j")
+        bucket, doc, comp, size, block, i, j = (table.column(c).to_numpy() for c in names)
         values = _values(table.column("sketch"))
+        chosen = np.zeros(table.num_rows, dtype=bool)
         for lo, hi in zip(begins, [*begins[1:], table.num_rows]):
             left = np.flatnonzero(block[lo:hi] == i[lo]) + lo
             right = np.flatnonzero(block[lo:hi] == j[lo]) + lo
             for x in left:
-                y = right[(comp[right] != comp[x]) & (doc[right] != doc[x])]
-                if i[lo] == j[lo]:
-                    y = y[doc[y] > doc[x]]
+                y = right[comp[right] != comp[x]]
                 small, large = np.minimum(size[y], size[x]), np.maximum(size[y], size[x])
                 y, small = y[100 * small >= PERCENT * large], small[100 * small >= PERCENT * large]
                 if not len(y):
                     continue
-                # five standard deviations below the threshold, for bins and for elements
-                least = PERCENT / 100 - 5 * np.sqrt(0.1875 * (1 / BINS + 1 / small))
-                y = y[(values[y] == values[x]).mean(axis=1) >= least]
-                if len(y):
-                    yield pa.RecordBatch.from_pydict({"a": np.maximum(doc[y], doc[x]), "b": np.minimum(doc[y], doc[x])})
-
-
-def _missed(bands: DataFrame, sketched: DataFrame, parts: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs that share a bucket but not a component and have not been tried."""
+                # four standard deviations below the threshold, where the bins hold the less distinct elements the wider
+                least = PERCENT / 100 - 4 * np.sqrt(0.1875 / np.minimum(BINS, small))
+                agree = values[y] == values[x]
+                first = agree[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+                y = y[(agree.mean(axis=1) >= least) & (first == bucket[lo] & 63)]
+                chosen[y] = True
+                chosen[x] |= len(y) > 0
+        yield from table.filter(pa.array(chosen)).select(["bucket", "i", "j", "doc", "comp"]).to_batches()
+
+
+def _shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, by a product over the shingles that more than one of the sets has."""
+    keys, inverse, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    column = np.cumsum(count > 1) - 1
+    use = count[inverse] > 1
+    owner, at = owner[use], column[inverse[use]]
+    shared = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for low in range(0, int((count > 1).sum()), 4096):
+        part = (at >= low) & (at < low + 4096)
+        held = np.zeros((len(sets), 4096), dtype=np.float32)
+        held[owner[part], at[part] - low] = 1
+        shared += held @ held.T
+    return shared.astype(np.int64)
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each group the links between components, as a forest: never more edges than rows."""
+    for table in whole_groups(batches, _GROUP):
+        begins = changes(table, _GROUP)
+        doc, comp = table.column("doc").to_numpy(), table.column("comp").to_numpy()
+        held = table.column("shingles")
+        for lo, hi in zip(begins, [*begins[1:], table.num_rows]):
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in held[lo:hi]]
+            size = np.array([len(x) for x in sets])
+            shared = _shared_counts(sets)
+            alike = 100 * shared >= PERCENT * (size[:, None] + size[None, :] - shared)
+            low, before = doc[lo:hi].copy(), None
+            while before is None or (low != before).any():
+                before = low
+                low = np.minimum(low, np.where(alike, low[None, :], low[:, None]).min(axis=1))
+            some = low != doc[lo:hi]
+            yield pa.RecordBatch.from_pydict({"a": doc[lo:hi][some], "b": low[some]})
+
+
+def _missed(bands: DataFrame, sketched: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
+    """Links between members of one bucket that are not in one component yet."""
     known = parts.select(F.col("node").alias("doc"), "component")
     placed = bands.join(known, "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
-    mixed = mixed.filter("lo < hi").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    # of two members the star has tried the only pair
+    mixed = mixed.filter("lo < hi AND n > 2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     rows = placed.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     others = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
@@ -216,9 +266,10 @@ def _missed(bands: DataFrame, sketched: DataFrame, parts: DataFrame, tried: Data
         "bucket", "doc", "comp", "block", "ij.i", "ij.j"
     )
     with_sketch = rows.join(sketched.select(F.col("doc_id").alias("doc"), "n_shingles", "sketch"), "doc")
-    keys = ("bucket", "i", "j")
-    dealt = with_sketch.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(_alike, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
+    dealt = with_sketch.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+    chosen = dealt.mapInArrow(_promising, "bucket long, i int, j int, doc long, comp long")
+    whole = chosen.join(sets.withColumnRenamed("of", "doc"), "doc").repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+    return whole.mapInArrow(_linked, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -234,11 +285,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     centres = bands.groupBy("bucket").agg(F.min("doc").alias("b"), F.count("*").alias("n")).filter("n > 1")
     shared = written(bands.join(centres.select("bucket", "b"), "bucket"), "buckets")
     stars = written(shared.filter("doc > b").select(F.col("doc").alias("a"), "b").distinct(), "stars")
-    links = written(confirm(docs, stars), "links")
+    sets = written(shingle_sets(docs, stars), "sets")
+    links = written(confirm(sets, stars), "links")
     parts = components(links)
-    missed = written(_missed(shared.select("bucket", "doc"), sketched, parts, stars), "missed")
+    # whoever shares a bucket is an end of a star, so that its set is there
+    missed = written(_missed(shared.select("bucket", "doc"), sketched, sets, parts), "missed")
     if not missed.isEmpty():
-        parts = components(links.union(confirm(docs, missed)))
+        parts = components(links.union(missed))
     found = members.select("doc_id", "rep").distinct().join(parts, F.col("rep") == F.col("node"), "left")
     found = found.select(F.col("doc_id").alias("id"), F.coalesce("component", "rep").alias("component"))
     joined = every.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("id"), "left")
