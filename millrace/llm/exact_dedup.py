@@ -7,9 +7,11 @@ fetches its bytes, and each shard of whole anchors builds suffix arrays (``suffi
 prefix of at least ``SPAN`` bytes with their neighbours are the places of one string, and it stays in the least
 document only.
 
-Hot text: equal stretches of the documents of one Arrow batch are settled there, by comparing bytes, and travel once
-for all of them. An anchor with more than ``HOT`` stretches, such as a short common line amid other text, is dealt
-anew by each whole string, which is again settled within batches first. So no task grows with a group of copies.
+Copies of a stretch are collapsed before its bytes are fetched: within an Arrow batch by comparing bytes, and among
+the records of an anchor by a second hash, which with the anchor's own makes 96 bits or more; the least document
+stands for all of them, and the others lose the stretch. So a group of copies reaches the shards once. An anchor with more
+than ``HOT`` different stretches, such as a short common line amid other text, is dealt anew by each whole string,
+settled within batches first. No task grows with a group of copies or with a common line.
 
 Defined cases: a null text is empty; texts shorter than ``SPAN`` and rows without ``doc_id`` are returned whole and
 remove nothing elsewhere; rows that repeat a ``doc_id`` with the same text are one document and get equal results; if
@@ -24,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,11 +37,13 @@ from millrace.llm.suffix_array import common_prefixes, suffix_array
 from millrace.llm.tables import written
 
 SPAN = 50
-ANCHOR = 24
+ANCHOR = 20
 HOT = 2000
 #: Bytes of text whose stretches are compared with each other before they are dealt.
 TOGETHER = 8 << 20
 SHARD = 4 << 20
+#: Bytes of text whose records are grouped at once.
+PART = 16 << 20
 
 _WINDOW = SPAN - ANCHOR + 1
 _TAG = np.uint64(0xA0761D6478BD642F)
@@ -118,9 +123,8 @@ def _equal(data: np.ndarray, x: np.ndarray, y: np.ndarray, sizes: np.ndarray) ->
     return out
 
 
-def _settled(data, key, start, size, doc) -> np.ndarray:
+def _settled(data, key, code, start, size, doc) -> np.ndarray:
     """Which strings also stand, with the same key, in a lesser document of this batch."""
-    code = _string_hashes(data, start, size)
     order = np.lexsort((doc, size, code, key))
     k, c, z, d, s = key[order], code[order], size[order], doc[order], start[order]
     new = np.ones(len(order), dtype=bool)
@@ -143,49 +147,98 @@ def _merged(text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return text[heads], begin[heads], end[np.append(heads[1:], len(text)) - 1]
 
 
-def _usable(batch: pa.RecordBatch) -> pa.RecordBatch:
-    return batch.filter(batch.column("doc_id").is_valid())
+RECORDS = "part int, settled boolean, keys binary, codes binary, docs binary, starts binary, sizes binary"
 
 
-RECORDS = "key long, doc long, start long, n long, settled boolean"
+def _packed(values: np.ndarray) -> np.ndarray:
+    """The upper six bytes of 64-bit hashes, a row each."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches to be dealt by anchor, and spans that a lesser document of the same batch settles."""
-    for batch in batches:
-        for part in flat.pieces(_usable(batch), "text", TOGETHER):
-            data, offsets = flat.texts(part.column("text"))
-            ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-            text, start, count, key = anchors(data, offsets)
-            gone = _settled(data, key, start, count + SPAN - 1, ids[text])
-            rest = ~gone
-            owner, begin, end = _merged(text[gone], start[gone], (start + count + SPAN - 1)[gone])
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "key": np.concatenate([key[rest].view(np.int64), flat.mix(ids[owner].astype(np.uint64)).view(np.int64)]),
-                    "doc": np.concatenate([ids[text[rest]], ids[owner]]),
-                    "start": np.concatenate([(start - offsets[text])[rest], begin - offsets[owner]]),
-                    "n": np.concatenate([count[rest], end - begin]),
-                    "settled": np.repeat([False, True], [int(rest.sum()), len(owner)]),
-                }
-            )
+def _unpacked(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 6, 8), dtype=np.uint8)
+    wide[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return wide.view("<u8").ravel()
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drops anchors of a single document and marks those with many stretches; settled spans pass."""
-    for table in whole_groups(batches, ["key"]):
-        settled = table.column("settled").to_numpy()
-        doc = table.column("doc").to_numpy()
-        heads = changes(table, ["key"])
-        size = np.diff(np.append(heads, table.num_rows))
-        low = np.minimum.reduceat(np.where(settled, np.iinfo(np.int64).max, doc), heads)
-        high = np.maximum.reduceat(np.where(settled, np.iinfo(np.int64).min, doc), heads)
-        keep = settled | np.repeat(low < high, size)
-        out = table.append_column("hot", pa.array(np.repeat(size > HOT, size) & ~settled)).filter(pa.array(keep))
-        yield from out.to_batches()
+def _dealt(parts: int):
+    """Records in arrays by the part their anchor belongs to, and spans that a lesser document of the batch settles."""
+
+    def blocks(part, settled, key, code, doc, start, size) -> pa.RecordBatch:
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        heads = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+        columns = [_packed(key[order]), _packed(code[order]), doc[order].astype("<i8"), start[order].astype("<u4"), size[order].astype("<u4")]
+        bounds = list(zip(heads, [*heads[1:], len(part)]))
+        arrays = [pa.array([c[lo:hi].tobytes() for lo, hi in bounds], pa.binary()) for c in columns]
+        heading = [pa.array(part[heads].astype(np.int32)), pa.array([settled] * len(heads), pa.bool_())]
+        return pa.RecordBatch.from_arrays(heading + arrays, ["part", "settled", "keys", "codes", "docs", "starts", "sizes"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in flat.pieces(batch, "text", TOGETHER):
+                data, offsets = flat.texts(piece.column("text"))
+                ids = piece.column("doc_id").to_numpy()
+                text, start, count, key = anchors(data, offsets)
+                size = count + SPAN - 1
+                code = _string_hashes(data, start, size)
+                gone = _settled(data, key, code, start, size, ids[text])
+                rest = ~gone
+                part = (flat.mix(key[rest]) % np.uint64(parts)).astype(np.int64)
+                yield blocks(part, False, key[rest], code[rest], ids[text[rest]], (start - offsets[text])[rest], size[rest])
+                owner, begin, end = _merged(text[gone], start[gone], (start + size)[gone])
+                none = np.zeros(len(owner), dtype=np.uint64)
+                part = (flat.mix(ids[owner].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+                yield blocks(part, True, none, none, ids[owner], begin - offsets[owner], end - begin)
 
+    return run
 
-STRINGS = "key long, doc long, start long, bytes binary, settled boolean"
+
+FOUND = "doc long, key long, start int, size int, kind byte"
+_STRETCH, _HOT, _SETTLED = 0, 1, 2
+
+
+def _found(doc, key, start, size, kind) -> pa.RecordBatch:
+    columns = [doc.astype(np.int64), key.view(np.int64), start.astype(np.int32), size.astype(np.int32), kind.astype(np.int8)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "key", "start", "size", "kind"])
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drops anchors of one document, settles copies of a stretch, and keeps the stretches that differ."""
+    for table in whole_groups(batches, ["part"]):
+        heads = changes(table, ["part"])
+        for lo, hi in zip(heads, [*heads[1:], table.num_rows]):
+            part = table.slice(lo, hi - lo)
+            done = part.filter(part.column("settled"))
+            if done.num_rows:
+                doc, start, size = _arrays(done)
+                yield _found(doc, np.zeros(len(doc), np.uint64), start, size, np.full(len(doc), _SETTLED))
+            part = part.filter(pc.invert(part.column("settled")))
+            key, code = (_unpacked(b"".join(part.column(c).to_pylist())) for c in ("keys", "codes"))
+            if not len(key):
+                continue
+            doc, start, size = _arrays(part)
+            order = np.lexsort((doc, size, code, key))
+            key, code, doc, start, size = (x[order] for x in (key, code, doc, start, size))
+            new_key = np.append(True, key[1:] != key[:-1])
+            new = new_key | np.append(True, (code[1:] != code[:-1]) | (size[1:] != size[:-1]))
+            at = np.flatnonzero(new_key)
+            count = np.diff(np.append(at, len(key)))
+            shared = np.repeat(np.minimum.reduceat(doc, at) < np.maximum.reduceat(doc, at), count)
+            different = np.repeat(np.add.reduceat(new.astype(np.int64), at), count)
+            copy = doc > doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+            kind = np.where(copy, _SETTLED, np.where(different > HOT, _HOT, _STRETCH))
+            # the least document of an anchor with one stretch has nothing to be compared with
+            keep = shared & (copy | (different > 1))
+            yield _found(doc[keep], key[keep], start[keep], size[keep], kind[keep])
+
+
+def _arrays(table: pa.Table) -> tuple[np.ndarray, ...]:
+    kinds = (("docs", "<i8"), ("starts", "<u4"), ("sizes", "<u4"))
+    return tuple(np.frombuffer(b"".join(table.column(c).to_pylist()), kind).astype(np.int64) for c, kind in kinds)
+
+
+STRINGS = "key long, doc long, start long, bytes binary, size long"
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,24 +249,30 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = part.column("held")
             rows = held.flatten()
             owner = np.repeat(np.arange(part.num_rows), held.value_lengths().to_numpy(zero_copy_only=False))
-            key, start, count, hot = (rows.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+            key, start, size, kind = (rows.field(k).to_numpy(zero_copy_only=False) for k in range(4))
             ids = part.column("doc_id").to_numpy()
-            start, size = start + offsets[owner], count + SPAN - 1
-            out = [(key[~hot], owner[~hot], start[~hot], size[~hot])]
+            start, size = start.astype(np.int64) + offsets[owner], size.astype(np.int64)
+            plain, hot, done = kind == _STRETCH, kind == _HOT, kind == _SETTLED
+            out = [(key[plain], owner[plain], start[plain], size[plain])]
+            if done.any():
+                order = np.lexsort((start[done] + size[done], start[done]))
+                whose, begin, end = owner[done][order], start[done][order], (start + size)[done][order]
+                whose, begin, end = _merged(whose, begin, np.maximum.accumulate(end))
+                yield _string_batch(ids[whose], ids[whose], begin - offsets[whose], [end - begin], True)
             if hot.any():
-                each = count[hot]
+                each = size[hot] - SPAN + 1
                 inner = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
                 single, whose = np.repeat(start[hot], each) + inner, np.repeat(owner[hot], each)
                 order = np.argsort(single, kind="stable")
                 single, whose = single[order], whose[order]
                 size = np.full(len(single), SPAN, dtype=np.int64)
                 code = _string_hashes(data, single, size)
-                gone = _settled(data, code, single, size, ids[whose])
+                gone = _settled(data, code, code, single, size, ids[whose])
                 rest = ~gone
                 out.append(((code[rest] ^ _TAG).view(np.int64), whose[rest], single[rest], size[rest]))
                 mine, begin, end = _merged(whose[gone], single[gone], single[gone] + SPAN)
                 if len(mine):
-                    yield _string_batch(ids[mine], ids[mine], begin - offsets[mine], [data[b:e] for b, e in zip(begin, end)], True)
+                    yield _string_batch(ids[mine], ids[mine], begin - offsets[mine], [end - begin], True)
             for key, whose, begin, size in out:
                 if len(key):
                     texts = [data[b : b + z].tobytes() for b, z in zip(begin.tolist(), size.tolist())]
@@ -221,20 +280,20 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _string_batch(key, doc, start, texts, settled) -> pa.RecordBatch:
-    if settled:
-        texts = [bytes(t) for t in texts]
-    columns = [pa.array(key), pa.array(doc), pa.array(start), pa.array(texts, pa.binary()), pa.array([settled] * len(key))]
-    return pa.RecordBatch.from_arrays(columns, ["key", "doc", "start", "bytes", "settled"])
+    """Strings to be compared; or spans that are settled, whose bytes are of no interest, with their sizes."""
+    size = texts[0] if settled else np.zeros(len(key), dtype=np.int64)
+    held = pa.nulls(len(key), pa.binary()) if settled else pa.array(texts, pa.binary())
+    columns = [pa.array(key), pa.array(doc), pa.array(start), held, pa.array(size)]
+    return pa.RecordBatch.from_arrays(columns, ["key", "doc", "start", "bytes", "size"])
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of the strings of a shard that a lesser document of the shard has too."""
     for table in whole_groups(batches, ["key"], SHARD):
-        settled = table.column("settled").to_numpy()
+        settled = table.column("size").to_numpy() > 0
         done = table.filter(pa.array(settled))
         if done.num_rows:
-            _, offsets = flat.texts(done.column("bytes"))
-            yield _spans(done.column("doc").to_numpy(), done.column("start").to_numpy(), np.diff(offsets))
+            yield _spans(*(done.column(c).to_numpy() for c in ("doc", "start", "size")))
         table = table.filter(pa.array(~settled))
         if not table.num_rows:
             continue
@@ -285,37 +344,42 @@ def _cut(text: pa.Scalar, spans: pa.Scalar, keep_text: bool) -> tuple:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``doc``, ``begin``, ``size`` of bytes to be removed; spans of one document may touch and overlap."""
-    dealt = docs.select("doc_id", "text").mapInArrow(_records, RECORDS).repartition("key").sortWithinPartitions("key")
-    found = written(dealt.mapInArrow(_shared, RECORDS + ", hot boolean"), "anchors")
-    held = found.filter("NOT settled").groupBy(F.col("doc").alias("of")).agg(
-        F.collect_list(F.struct("key", "start", "n", "hot")).alias("held")
+    """``doc``, ``begin``, ``size`` of bytes of ``_id`` and ``_text`` to be removed; spans may touch and overlap."""
+    total = docs.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    parts = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PART))
+    named = docs.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"))
+    dealt = named.mapInArrow(_dealt(parts), RECORDS).repartition("part").sortWithinPartitions("part")
+    held = dealt.mapInArrow(_shared, FOUND).groupBy(F.col("doc").alias("_of")).agg(
+        F.collect_list(F.struct("key", "start", "size", "kind")).alias("held")
     )
-    fetched = docs.join(held, F.col("doc_id") == F.col("of")).select("doc_id", "text", "held")
-    strings = fetched.mapInArrow(_strings, STRINGS).repartition("key").sortWithinPartitions("key")
-    repeats = strings.mapInArrow(_repeats, "doc long, begin long, size long")
-    settled = found.filter("settled").select("doc", F.col("start").alias("begin"), F.col("n").alias("size"))
-    return repeats.union(settled)
+    fetched = docs.join(held, F.col("_id") == F.col("_of"))
+    wanted = fetched.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), "held")
+    strings = wanted.mapInArrow(_strings, STRINGS).repartition("key").sortWithinPartitions("key")
+    return strings.mapInArrow(_repeats, "doc long, begin long, size long")
 
 
 def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), keep_text: bool = False) -> DataFrame:
     """The columns ``keep``, the bytes removed and the hash of the rest; with ``keep_text`` also ``kept_text``."""
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    sources = rows.filter("doc_id IS NOT NULL")
-    again = written(sources.groupBy(F.col("doc_id").alias("of")).count().filter("count > 1").select("of"), "again")
-    repeated = not again.isEmpty()
+    ids = F.col("doc_id").cast("long").alias("_id")
+    carried = [name for name in keep if name != "doc_id"]
+    # One shuffle of the texts serves both the fetching of strings and the cutting, if nothing else is carried.
+    rows = docs.filter(F.col("doc_id").isNotNull()).select(ids, F.col("text").alias("_text"), *carried)
+    again = written(rows.groupBy(F.col("_id").alias("_twice")).count().filter("count > 1").select("_twice"), "again")
+    sources, repeated = rows.select("_id", "_text"), not again.isEmpty()
     if repeated:
-        one = F.col("doc_id") == F.col("of")
-        twice = sources.join(again, one, "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-        sources = sources.join(again, one, "left_anti").unionByName(twice)
-    spans = written(repeated_spans(sources.filter(F.octet_length("text") >= SPAN)), "spans")
+        one = F.col("_id") == F.col("_twice")
+        least = sources.join(again, one, "left_semi").groupBy("_id").agg(F.min("_text").alias("_text"))
+        sources = sources.join(again, one, "left_anti").unionByName(least)
+    spans = repeated_spans(sources)
     by_doc = spans.groupBy(F.col("doc").alias("_of")).agg(F.collect_list(F.struct("begin", "size")).alias("_spans"))
-    wanted = docs.select(*keep, F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"))
-    joined = wanted.join(by_doc, F.col("_id") == F.col("_of"), "left")
+    joined = rows.join(by_doc, F.col("_id") == F.col("_of"), "left")
     if repeated:
-        its = twice.select(F.col("doc_id").alias("_one"), F.col("text").alias("_its"))
+        its = least.select(F.col("_id").alias("_one"), F.col("_text").alias("_its"))
         whole = F.col("_one").isNotNull() & ~F.col("_text").eqNullSafe(F.col("_its"))
         joined = joined.join(its, F.col("_id") == F.col("_one"), "left").withColumn("_spans", F.when(~whole, F.col("_spans")))
+    nameless = docs.filter(F.col("doc_id").isNull()).select(
+        ids, F.col("text").alias("_text"), *carried, F.lit(None).cast("array<struct<begin:long,size:long>>").alias("_spans")
+    )
     added = StructType.fromDDL(_CUT + ", kept_text string" * keep_text)
     kinds = [pa.int64()] * 3 + [pa.string()] * (len(added) - 3)
 
@@ -324,7 +388,9 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), keep_te
             for part in flat.pieces(batch, "_text", TOGETHER):
                 cut = [_cut(t, s, keep_text) for t, s in zip(part.column("_text"), part.column("_spans"))]
                 found = [pa.array(c, kind) for c, kind in zip(zip(*cut), kinds)]
-                yield pa.RecordBatch.from_arrays([*(part.column(name) for name in keep), *found], [*keep, *added.names])
+                kept = [part.column("_id" if name == "doc_id" else name) for name in keep]
+                yield pa.RecordBatch.from_arrays([*kept, *found], [*keep, *added.names])
 
-    schema = StructType([*docs.select(*keep).schema.fields, *added.fields])
-    return joined.select(*keep, "_text", "_spans").mapInArrow(run, schema)
+    kept = docs.withColumn("doc_id", F.col("doc_id").cast("long")).select(*keep)
+    schema = StructType([*kept.schema.fields, *added.fields])
+    return joined.select(nameless.columns).union(nameless).mapInArrow(run, schema)
