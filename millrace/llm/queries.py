@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, langid, near_dup, packing, quality_rules, url_filters, vector_dedup, warc
+from millrace.llm import chat, exact_dedup, langid, near_dup, packing, pieces, quality_rules, url_filters, vector_dedup, warc
 from millrace.session import use_utc
 
 
@@ -40,6 +40,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "spans")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every text in chunks, each with the checksum of the text that its ids decode to."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), path), path)
+    return coded.select("doc_id", "chunk", "ids", F.crc32("text").alias("text_crc32"))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -67,6 +74,10 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -77,10 +88,12 @@ CAPTURED = "2024-01-15T00:00:00Z"
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_language_id": op2_language_id,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_url_filters": op5_url_filters,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc_derivatives": op10_warc_derivatives,
 }
