@@ -277,6 +277,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     every = written(sketches(docs), "sketches")
     usable = every.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    classes = written(classes, "sets_by_least")  # read from a table, the join below can be split where one set is common
     members = written(usable.select("doc_id", "k1", "k2", "n_shingles").join(classes, ["k1", "k2", "n_shingles"]), "classes")
     reps = members.filter("doc_id = rep").select(F.col("doc_id").alias("id")).distinct()
     one_each = usable.join(reps, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"])

@@ -34,7 +34,7 @@ SPACE = "▁"
 #: Characters from which a document is giant, and the size of its chunks.
 CHUNK = 1 << 15
 #: Entries of a worker's memories of words and pairs.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
@@ -56,6 +56,12 @@ class Pieces:
         if crossing or len(self.byte_ids) != 256:
             raise ValueError("a model whose pieces do not cross spaces, with byte pieces, is needed")
         self.bytes = {i: p.encode() for p, i in self.ids.items()} | {i: bytes([b]) for b, i in self.byte_ids.items()}
+        self._codes = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
+        #: Lengths of the pieces that begin with two characters, longest first; one character always is a candidate.
+        found: dict[str, set[int]] = {}
+        for piece in self.ids:
+            found.setdefault(piece[:2], {1}).add(len(piece))
+        self.sizes = {start: tuple(sorted(sizes, reverse=True)) for start, sizes in found.items()}
         self._words: dict[str, bytes] = {}
         self._pairs: dict[tuple[str, str], bool] = {}
 
@@ -103,21 +109,27 @@ class Pieces:
 
         One path at most leads to a place, so that a place that leads nowhere is never looked at again.
         """
-        ids, n, adjacent = self.ids, len(text), self.adjacent
+        n, known, sizes = len(text), self._pairs, self.sizes
         path: list[str] = []
-        at, most, dead = 0, self.longest, set()
+        before, at, most, dead = "", 0, self.longest, set()
         while at < n:
-            before = path[-1] if path else None
-            for size in range(min(most, n - at), 0, -1):
-                piece = text[at : at + size]
-                if (size == 1 or piece in ids) and at + size not in dead and adjacent(before, piece):
+            for size in sizes.get(text[at : at + 2], (1,)):
+                end = at + size
+                if size > most or end > n or end in dead:
+                    continue
+                piece = text[at:end]
+                if piece not in self.ids and size > 1:
+                    continue
+                fits = known.get((before, piece))
+                if fits or (fits is None and self.adjacent(before, piece)):
                     path.append(piece)
-                    at, most = at + size, self.longest
+                    before, at, most = piece, end, self.longest
                     break
             else:
                 dead.add(at)
-                most = len(path[-1]) - 1
+                most = len(before) - 1
                 at -= len(path.pop())
+                before = path[-1] if path else ""
         return path
 
     @staticmethod
@@ -130,11 +142,8 @@ class Pieces:
 
     def encoded(self, pieces: list[str]) -> bytes:
         """Ids as little-endian 32-bit numbers; a piece outside the vocabulary is a character, given by its bytes."""
-        ids = []
-        for piece in pieces:
-            known = self.ids.get(piece)
-            ids += [known] if known is not None else [self.byte_ids[b] for b in piece.encode()]
-        return np.array(ids, dtype="<i4").tobytes()
+        known = self._codes.get
+        return b"".join([known(p) or b"".join([self.byte_ids[b].to_bytes(4, "little") for b in p.encode()]) for p in pieces])
 
     def word(self, text: str) -> bytes:
         known = self._words.get(text)
