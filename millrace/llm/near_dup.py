@@ -216,7 +216,7 @@ def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections, by a product over the shingles that more than one of the sets has."""
+    """Sizes of the intersections of different sets, by a product over the shingles that more than one of them has."""
     keys, inverse, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     column = np.cumsum(count > 1) - 1
