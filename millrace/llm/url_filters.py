@@ -2,8 +2,8 @@
 
 Variable segments (numbers, hexadecimal names, dates) become wildcards first, which folds all pages of a host into a
 few rows per path shape. The tree is then built over those rows, a level at a time: under each parent a segment stays
-a branch of its own if it is frequent and its labels differ from those of its siblings by a two-proportion test; all
-others merge into ``*``. A template is rejected if the labelled share of bad pages, smoothed towards the host's share
+a branch of its own if it is frequent and its labels differ from those of its siblings by a two-proportion test, the
+worse ones first; all others merge into ``*``. A template is rejected if the labelled share of bad pages, smoothed towards the host's share
 and that towards the share of all pages, reaches ``REJECT``. Counts are combined map-side, so that a host with a third
 of all pages is a handful of rows in every later step.
 
@@ -81,25 +81,36 @@ def _summed(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in _SUMS))
 
 
+def _beyond(labelled: Column, bad: Column, rest: Column, rest_bad: Column) -> Column:
+    """By how many standard errors a share of bad pages is above that of the rest; null without evidence."""
+    share = F.try_divide
+    pooled = share(bad + rest_bad, labelled + rest)
+    error = F.sqrt(pooled * (1 - pooled) * (share(F.lit(1), labelled) + share(F.lit(1), rest)))
+    known = (labelled >= LEAST_LABELLED) & (rest >= LEAST_LABELLED) & (error > 0)
+    return F.when(known, share(share(bad, labelled) - share(rest_bad, rest), error))
+
+
 def _level(tree: DataFrame, depth: int) -> DataFrame:
-    """One more segment of the templates; an ended path has the segment ``''``."""
+    """One more segment of the templates; an ended path has the segment ``''``.
+
+    Branches worse than their siblings are set apart first, so that the others are compared among themselves.
+    """
     tree = tree.withColumn("segment", F.coalesce(F.try_element_at("shape", F.lit(depth + 1)), F.lit("")))
-    own = _summed(tree, "host", "template", "segment")
-    all_ = own.groupBy("host", "template").agg(*(F.sum(c).alias(f"all_{c}") for c in _SUMS))
-    rest, rest_bad = F.col("all_labelled") - F.col("labelled"), F.col("all_bad") - F.col("bad")
-    pooled = F.col("all_bad") / F.greatest("all_labelled", F.lit(1))
-    error = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest("labelled", F.lit(1)) + 1 / F.greatest(rest, F.lit(1))))
-    apart = F.abs(F.col("bad") / F.greatest("labelled", F.lit(1)) - rest_bad / F.greatest(rest, F.lit(1)))
-    alone = (
-        (F.col("n") >= LEAST_SHARE * F.col("all_n"))
-        & (F.col("labelled") >= LEAST_LABELLED)
-        & (rest >= LEAST_LABELLED)
-        & (apart > DIFFERENT * error)
-    )
+    branch = _summed(tree, "host", "template", "segment")
+    parent = ["host", "template"]
+    for test in ("worse", "better"):
+        left = F.lit(True) if test == "worse" else ~F.col("worse")
+        sums = [F.sum(F.when(left, F.col(c))).alias(f"all_{c}") for c in _SUMS]
+        branch = branch.join(branch.groupBy(*parent).agg(*sums), parent)
+        rest, rest_bad = F.col("all_labelled") - F.col("labelled"), F.col("all_bad") - F.col("bad")
+        beyond = _beyond(F.col("labelled"), F.col("bad"), rest, rest_bad)
+        apart = left & (F.col("n") >= LEAST_SHARE * F.col("all_n")) & ((beyond if test == "worse" else -beyond) > DIFFERENT)
+        branch = branch.withColumn(test, F.coalesce(apart, F.lit(False))).drop(*(f"all_{c}" for c in _SUMS))
+    alone = F.col("worse") | F.col("better")
     ended = F.col("segment") == ""
     name = F.when(ended, F.lit("")).otherwise(F.concat(F.lit("/"), F.when(alone, F.col("segment")).otherwise(F.lit("*"))))
-    named = own.join(all_, ["host", "template"]).select("host", "template", "segment", name.alias("name"))
-    grown = tree.join(named, ["host", "template", "segment"])
+    named = branch.select(*parent, "segment", name.alias("name"))
+    grown = tree.join(named, [*parent, "segment"])
     return grown.withColumn("template", F.concat("template", "name")).drop("segment", "name")
 
 
