@@ -37,7 +37,7 @@ from millrace.llm.suffix_array import common_prefixes, suffix_array
 from millrace.llm.tables import written
 
 SPAN = 50
-ANCHOR = 20
+ANCHOR = 18
 HOT = 2000
 #: Bytes of text whose stretches are compared with each other before they are dealt.
 TOGETHER = 8 << 20
@@ -161,6 +161,15 @@ def _unpacked(data: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers as one plane per byte, so that high bytes, mostly zero, take no room where blocks are compressed."""
+    return values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _numbers(blocks: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.frombuffer(b, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel() for b in blocks])
+
+
 def _dealt(parts: int):
     """Records in arrays by the part their anchor belongs to, and spans that a lesser document of the batch settles."""
 
@@ -168,9 +177,10 @@ def _dealt(parts: int):
         order = np.argsort(part, kind="stable")
         part = part[order]
         heads = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
-        columns = [_packed(key[order]), _packed(code[order]), doc[order].astype("<i8"), start[order].astype("<u4"), size[order].astype("<u4")]
         bounds = list(zip(heads, [*heads[1:], len(part)]))
-        arrays = [pa.array([c[lo:hi].tobytes() for lo, hi in bounds], pa.binary()) for c in columns]
+        hashed = [_packed(key[order]), _packed(code[order])]
+        arrays = [pa.array([c[lo:hi].tobytes() for lo, hi in bounds], pa.binary()) for c in hashed]
+        arrays += [pa.array([_planes(c[order[lo:hi]]) for lo, hi in bounds], pa.binary()) for c in (doc, start, size)]
         heading = [pa.array(part[heads].astype(np.int32)), pa.array([settled] * len(heads), pa.bool_())]
         return pa.RecordBatch.from_arrays(heading + arrays, ["part", "settled", "keys", "codes", "docs", "starts", "sizes"])
 
@@ -234,8 +244,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _arrays(table: pa.Table) -> tuple[np.ndarray, ...]:
-    kinds = (("docs", "<i8"), ("starts", "<u4"), ("sizes", "<u4"))
-    return tuple(np.frombuffer(b"".join(table.column(c).to_pylist()), kind).astype(np.int64) for c, kind in kinds)
+    return tuple(_numbers(table.column(c).to_pylist()) for c in ("docs", "starts", "sizes"))
 
 
 STRINGS = "key long, doc long, start long, bytes binary, size long"
