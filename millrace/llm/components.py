@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import written
+from millrace.llm.tables import discard, written
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -44,5 +44,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
         if state == before or not state[0]:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = state
-        now = written(_small(_large(now).distinct()).distinct(), "stars")
+        before, last = state, now
+        now = written(_small(_large(last).distinct()).distinct(), "stars")
+        discard(last)

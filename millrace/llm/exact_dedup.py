@@ -34,7 +34,7 @@ from pyspark.sql.types import StructType
 from millrace.llm import flat
 from millrace.llm.groups import changes, whole_groups
 from millrace.llm.suffix_array import common_prefixes, suffix_array
-from millrace.llm.tables import written
+from millrace.llm.tables import discard, written
 
 SPAN = 50
 ANCHOR = 18
@@ -375,6 +375,8 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), keep_te
     rows = docs.filter(F.col("doc_id").isNotNull()).select(ids, F.col("text").alias("_text"), *carried)
     again = written(rows.groupBy(F.col("_id").alias("_twice")).count().filter("count > 1").select("_twice"), "again")
     sources, repeated = rows.select("_id", "_text"), not again.isEmpty()
+    if not repeated:
+        discard(again)
     if repeated:
         one = F.col("_id") == F.col("_twice")
         least = sources.join(again, one, "left_semi").groupBy("_id").agg(F.min("_text").alias("_text"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from millrace.llm import flat
 from millrace.llm.components import components
 from millrace.llm.groups import changes, whole_groups
-from millrace.llm.tables import written
+from millrace.llm.tables import discard, written
 
 SHINGLE = 5
 PERCENT = 75
@@ -293,6 +293,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     missed = written(_missed(shared.select("bucket", "doc"), sketched, sets, parts), "missed")
     if not missed.isEmpty():
         parts = components(links.union(missed))
+    discard(classes, sketched, shared, stars, sets, links, missed)
     found = members.select("doc_id", "rep").distinct().join(parts, F.col("rep") == F.col("node"), "left")
     found = found.select(F.col("doc_id").alias("id"), F.coalesce("component", "rep").alias("component"))
     joined = every.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("id"), "left")

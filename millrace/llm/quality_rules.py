@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm import flat
-from millrace.llm.tables import written
+from millrace.llm.tables import discard, written
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -175,5 +175,7 @@ def kept_documents(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
 
     Texts are measured a second time rather than shuffled, as only the fences are joined to them.
     """
-    fences = written(thresholds(rates(written(text_metrics(docs), "metrics"))), "fences")
+    metrics = written(text_metrics(docs), "metrics")
+    fences = written(thresholds(rates(metrics)), "fences")
+    discard(metrics)
     return _judged(rates(text_metrics(docs, keep)), fences).filter("kept").select(*keep)

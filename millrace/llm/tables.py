@@ -11,4 +11,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet below ``spark.checkpoint.dir`` and read again, so that it is computed once."""
     path = shared_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._written_at = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that no frame in use reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

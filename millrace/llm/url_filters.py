@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import written
+from millrace.llm.tables import discard, written
 
 #: Levels of the tree; what is deeper is one segment.
 DEPTH = 4
@@ -116,9 +116,10 @@ def _level(tree: DataFrame, depth: int) -> DataFrame:
 
 def templates(shapes: DataFrame) -> DataFrame:
     """``host``, ``shape``, ``template``, ``purity`` from counts per host and shape (``n``, ``labelled``, ``bad``)."""
-    tree = shapes.withColumn("template", F.lit(""))
+    tree = written(shapes.withColumn("template", F.lit("")), "tree")
     for depth in range(DEPTH + 1):
-        tree = written(_level(tree, depth), "tree")
+        last, tree = tree, written(_level(tree, depth), "tree")
+        discard(last)
     by_template = _summed(tree, "host", "template")
     by_host = _summed(tree, "host").select("host", F.col("labelled").alias("h_labelled"), F.col("bad").alias("h_bad"))
     total = tree.agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")).first()
@@ -144,7 +145,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str,
     counts = marked.groupBy("host", "shape").agg(
         F.count("*").alias("n"), F.coalesce(F.sum("labelled"), F.lit(0)).alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
     )
-    judged = templates(written(counts, "shapes"))
+    judged = templates(counts)
     rule, says = fitting_rule(F.col("host"), F.col("path"), rules)
     by_method = F.when(F.col("purity") >= REJECT, F.lit("block")).otherwise(F.lit("allow"))
     return (

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.components import components
 from millrace.llm.groups import changes, whole_groups
-from millrace.llm.tables import written
+from millrace.llm.tables import discard, written
 
 COSINE = 0.95
 #: Rows the codebooks are fitted on, and rows compared with all others to measure recall.
@@ -250,7 +250,9 @@ def _links(units: DataFrame, dim: int, rows: int, cosine: float, target: float)
     told = told.select("id", F.col("cell").alias("visited"), mine, block, F.lit(False).alias("asks"), "unit", "weight", "cell")
     keys = ["visited", "block", "q_block"]
     both = told.unionByName(asking.select(told.columns)).repartition(*keys).sortWithinPartitions(*keys)
-    return both.mapInArrow(_verified(books, dim, cosine), "id long, links long, low long")
+    found = written(both.mapInArrow(_verified(books, dim, cosine), "id long, links long, low long"), "links")
+    discard(listed, visits)
+    return found
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, target: float = TARGET_RECALL) -> DataFrame:
@@ -265,7 +267,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, target: float = TAR
     counts, edges = None, None
     for dim, n in sorted(tuple(row) for row in classes.groupBy("dim").count().collect()):  # lengths of vectors: few
         one = classes.filter(F.col("dim") == dim).select(F.col("rep").alias("id"), "unit", "weight")
-        found = written(_links(one, dim, n, cosine, target), "links")
+        found = _links(one, dim, n, cosine, target)
         count = found.groupBy("id").agg(F.sum("links").alias("links"))
         edge = found.filter("id != low").select(F.col("id").alias("a"), F.col("low").alias("b"))
         counts, edges = (count, edge) if counts is None else (counts.union(count), edges.union(edge))
