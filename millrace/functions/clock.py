@@ -25,8 +25,11 @@ def iso(ts: Column) -> Column:
 
 
 def as_timestamp(text: Column) -> Column:
-    """ISO text to timestamp; text that is no time becomes null instead of failing the job."""
-    return text.try_cast("timestamp")
+    """ISO text to timestamp; text that is no time becomes null instead of failing the job.
+
+    So does a time without a date, which a cast would place on the day of the run.
+    """
+    return F.when(text.rlike(r"^\s*[+-]?\d{4}"), text.try_cast("timestamp"))
 
 
 def to_micros(ts: Column) -> Column:

@@ -18,6 +18,7 @@ from millrace.sources.files import read_lines
 from millrace.sources.streams import archive_source, stream_source
 from millrace.streaming.archive import archive_stream
 from millrace.streaming.layering import start_layers
+from millrace.streaming.progress import ProgressLog
 from millrace.streaming.supervise import supervise
 
 
@@ -45,7 +46,8 @@ def arguments() -> argparse.ArgumentParser:
             job.add_argument("--dedup", choices=("exact", "bounded"), default="exact")
             job.add_argument("--delay", default="1 hour")
             job.add_argument("--separate", action="store_true", help="one folder and query per layer")
-            job.add_argument("--files-per-hour", type=int)
+            job.add_argument("--files-per-hour", type=int, default=1)
+            job.add_argument("--progress", help="table of batch reports, default <root>_progress")
             job.add_argument("--state-partitions", type=int)
     for name in ("monitor", "errors"):
         job = jobs.add_parser(name)
@@ -75,6 +77,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
         if args.job == "archive":
             supervise(spark, [archive_stream(messages, args.root, trigger)])
             return
+        spark.streams.addListener(ProgressLog(spark, args.progress or f"{args.root}_progress"))
         queries = start_layers(
             messages,
             args.root,

@@ -113,8 +113,9 @@ def alert_node_memory(
     keep_firing: str = ALERT_KEEP_FIRING,
     labels: Sequence[str] = ("job", "instance"),
     where=None,
+    until=None,
 ) -> DataFrame:
     """States of the memory alert: used share in percent above the limit."""
     used = metric_ratio_join(m, avail, total, [*labels, "ts"], where)
-    breaches = alert_threshold(used, ">", limit, every, lookback, series=labels)
+    breaches = alert_threshold(used, ">", limit, every, lookback, until, series=labels)
     return alert_states(breaches, for_, keep_firing, series=labels)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ def melt_copies(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFrame:
 
     def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = pa.Table.from_batches([batch]).append_column("_row", pa.array(range(batch.num_rows)))
+            rows = pa.Table.from_batches([batch]).append_column("_row", pa.array(np.arange(batch.num_rows)))
             kept = rows.group_by(list(keys), use_threads=False).aggregate([("_row", "min")])
             yield batch.take(kept["_row_min"].combine_chunks())
 

@@ -53,8 +53,11 @@ def device_count(latest: DataFrame) -> DataFrame:
     return latest.agg(F.count("*").alias("devices"))
 
 
-def is_empty(df: DataFrame) -> bool:
-    return df.isEmpty()
+def is_empty(df: DataFrame, cases: Mapping[str, Column]) -> DataFrame:
+    """``checked``, ``empty``: whether no row meets the condition of the case. One aggregation answers all cases, when
+    the frame is read."""
+    counted = df.agg(*[(F.count_if(condition) == 0).alias(name) for name, condition in cases.items()])
+    return counted.unpivot([], list(cases), "checked", "empty")
 
 
 def label_values(m: DataFrame, metric: str, label: str = "device_id") -> DataFrame:

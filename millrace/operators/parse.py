@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.checks import is_json
 from millrace.functions.clock import as_timestamp, instant, iso
@@ -82,6 +83,22 @@ def project_metrics(df: DataFrame) -> DataFrame:
     return df.select("DeviceId", *MEASURES)
 
 
+def write_records(
+    records: DataFrame, fmt: str = "kafka", path: str | None = None, checkpoint: str | None = None, **options: str
+) -> StreamingQuery | None:
+    """Send ``key`` and ``value`` of :func:`encode_records` to a topic, or with another format and a path to files.
+
+    A batch is sent at once; a stream starts a query that sends what arrives.
+    """
+    if not records.isStreaming:
+        writer = records.write.format(fmt).mode("append").options(**options)
+        writer.save(path) if path else writer.save()
+        return None
+    sink = records.writeStream.format(fmt).outputMode("append").options(**options)
+    sink = sink.option("checkpointLocation", checkpoint) if checkpoint else sink
+    return sink.start(path) if path else sink.start()
+
+
 def encode_records(df: DataFrame) -> DataFrame:
     """Message form: the device id as key, the whole record as JSON value."""
     return df.select(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.checks import branch_label, valid_range
@@ -28,6 +28,37 @@ def route_branch(df: DataFrame, ranges: Ranges = DEFAULT_RANGES) -> DataFrame:
     return df.withColumn("branch", branch_label(ranges))
 
 
+def branch_union_cases(
+    raw: DataFrame, parts: Mapping[str, DataFrame], cases: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """:func:`branch_union_check` for several choices of parts: rows that do not add up, and by how many.
+
+    Raw and every part are read once, each row with the name it comes by; a case is a sum over names. All cases share
+    one shuffle.
+    """
+    cols = raw.columns
+    tagged = [raw.select(*cols, F.lit("").alias("part"))]
+    tagged += [df.select(*cols, F.lit(name).alias("part")) for name, df in parts.items()]
+
+    def surplus(chosen: Sequence[str]) -> Column:
+        weight = F.when(F.col("part") == "", 1)
+        for name in dict.fromkeys(chosen):
+            weight = weight.when(F.col("part") == name, -chosen.count(name))
+        return F.coalesce(F.sum(weight), F.lit(0))
+
+    sums = [surplus(list(chosen)).alias(f"case_{k}") for k, chosen in enumerate(cases.values())]
+    found = reduce(DataFrame.unionAll, tagged).groupBy(*cols).agg(*sums)
+    each = [
+        F.struct(
+            F.lit(name).alias("checked"),
+            F.count_if(F.col(f"case_{k}") != 0).alias("violations"),
+            F.coalesce(F.sum(f"case_{k}"), F.lit(0)).alias("surplus"),
+        )
+        for k, name in enumerate(cases)
+    ]
+    return found.agg(F.array(*each).alias("each")).select(F.inline("each"))
+
+
 def branch_union_check(raw: DataFrame, parts: Sequence[DataFrame]) -> DataFrame:
     """Rows that break raw = the parts together, each row counted.
 

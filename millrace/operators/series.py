@@ -107,13 +107,16 @@ def avg_over_time(
 ) -> DataFrame:
     """Mean of the values at the steps of the trailing ``window``, re-evaluated at each step.
 
-    A step that has no value is left out of the mean. A step at the far end of the window belongs to the
+    Samples off the grid of ``step`` count at the next step, the last one of a step for all. A step that has no value
+    is left out of the mean. A step at the far end of the window belongs to the
     window before, so ``1 minute`` of 30-second steps is two of them.
     """
     length, every = micros(window), micros(step)
-    at = to_micros(F.col("ts"))
+    us, at = to_micros(F.col("ts")), F.col("tick")
+    steps = m.select(*series, ceil_to(us, every).alias("tick"), us.alias("us"), F.col(value).alias(value))
+    steps = steps.groupBy(*series, "tick").agg(F.max(F.struct("us", value))[value].alias(value))
     return (
-        m.select(*series, F.explode(F.sequence(at, at + length - every, F.lit(every))).alias("at"), value)
+        steps.select(*series, F.explode(F.sequence(at, at + length - every, F.lit(every))).alias("at"), value)
         .groupBy(*series, "at")
         .agg(F.avg(value).alias("mean"), F.count(value).alias("steps"))
         .select(*series, from_micros(F.col("at")).alias("ts"), "mean", "steps")
@@ -142,22 +145,25 @@ def evaluations(
     series: Sequence[str] = SERIES,
 ) -> DataFrame:
     """Every series at every evaluation time since its first sample: the last value in the look-back, or
-    null. Evaluation ends with ``until``, else when the last sample of the series has left the look-back.
+    null. Evaluation ends with ``until``, of which later samples know nothing, else when the last sample of the series
+    has left the look-back.
 
     Samples first shrink, map-side, to one per series and evaluation interval. The window over a series
     then holds as many rows as the clock has ticks, whatever the sample rate, and the gaps between the
     rows are filled by sequences: no join with a grid.
     """
     step, reach = micros(every), micros(lookback)
+    end = None if until is None else floor_to(to_micros(instant(until)), step)
+    known = F.col("value").isNotNull()
     ticks = (
-        m.filter("value IS NOT NULL")
+        m.filter(known if end is None else known & (to_micros(F.col("ts")) <= end))
         .select(*series, ceil_to(to_micros(F.col("ts")), step).alias("tick"), "ts", "value")
         .groupBy(*series, "tick")
         .agg(F.max(F.struct(to_micros(F.col("ts")).alias("us"), "value")).alias("last"))
         .select(*series, "tick", "last.us", "last.value")
     )
     order = Window.partitionBy(*series).orderBy("tick")
-    tail = floor_to(F.col("us") + reach, step) if until is None else floor_to(to_micros(instant(until)), step)
+    tail = floor_to(F.col("us") + reach, step) if end is None else end
     ahead = F.coalesce(F.lead("tick").over(order) - step, F.greatest("tick", tail))
     return (
         ticks.withColumn("stop", ahead)

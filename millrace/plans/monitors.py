@@ -8,9 +8,12 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.metrics import error_count_per_device, latest_per_device, to_metrics
+from millrace.operators.metrics import error_count_per_device, latest_per_device, threshold_band, to_metrics
 from millrace.operators.parse import project_metrics
+from millrace.operators.series import avg_over_time, counter_increase_grid
+from millrace.schema import LATENCY_STEPS
 from millrace.sources.layers import scan_layer
+from millrace.streaming.progress import state_metrics
 
 
 def latest_metrics(readings: DataFrame, prefix: str = "") -> DataFrame:
@@ -39,6 +42,21 @@ def monitor_errors(
     return error_metrics(scan_layer(spark, root, "dataerr", start, end, **layout), as_of, metric)
 
 
+def records_per_minute(
+    progress: DataFrame, window: str = "30 seconds", mean: str = "1 minute", step: str = "30 seconds"
+) -> DataFrame:
+    """Mean growth of the readings held by each query: ``name``, ``ts``, ``mean``, ``steps``."""
+    held = state_metrics(progress).filter(F.col("metric").endswith("_states_rowsTotal"))
+    grown = counter_increase_grid(held, window, step, series=("name",))
+    return avg_over_time(grown, mean, step, series=("name",))
+
+
+def batch_latency_bands(progress: DataFrame, steps=LATENCY_STEPS) -> DataFrame:
+    """Latency of every micro-batch with the colour of its band."""
+    latency = state_metrics(progress).filter(F.col("metric").endswith("_latency"))
+    return threshold_band(latency, steps)
+
+
 def counter_metrics(events: DataFrame) -> DataFrame:
     """A counter per device that restarts now and then, sampled at each event."""
     return events.select(
@@ -75,7 +93,7 @@ def host_metrics(part: DataFrame, labels: Sequence[str] = ("job", "instance")) -
     """Parts as memory readings of twenty hosts, one sample of either metric per minute."""
     price = F.col("p_retailprice")
     wide = part.select(
-        F.lit("node").alias("job"),
+        F.when(F.col("p_partkey") % 20 < 15, "node").otherwise("spark").alias("job"),
         (F.col("p_partkey") % 20).cast("string").alias("instance"),
         F.timestamp_seconds(F.lit(1704067200) + F.floor(F.col("p_partkey") / 20) * 60).alias("ts"),
         (price * F.col("p_size") / 100).alias("mem_available"),

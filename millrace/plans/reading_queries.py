@@ -223,21 +223,13 @@ def branch_union_check(spark, sf_dir):
     path = shared_dir(spark, "raw")
     layers(spark, sf_dir).write.parquet(path)
     raw = spark.read.parquet(path)
-    fail, dataerr, data = route.route_fail(raw), route.route_dataerr(raw), route.route_correct(raw)
+    parts = {"fail": route.route_fail(raw), "dataerr": route.route_dataerr(raw), "data": route.route_correct(raw)}
     cases = {
-        "all_parts": [fail, dataerr, data],
-        "data_missing": [fail, dataerr],
-        "fail_twice": [fail, fail, dataerr, data],
+        "all_parts": ["fail", "dataerr", "data"],
+        "data_missing": ["fail", "dataerr"],
+        "fail_twice": ["fail", "fail", "dataerr", "data"],
     }
-    found = [
-        route.branch_union_check(raw, parts).agg(
-            F.lit(name).alias("checked"),
-            F.count("*").alias("violations"),
-            F.coalesce(F.sum("surplus"), F.lit(0)).alias("surplus"),
-        )
-        for name, parts in cases.items()
-    ]
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    return route.branch_union_cases(raw, parts, cases)
 
 
 _LAYER_ROWS = f"SELECT {FIELDS}, ts, branch FROM layers"
@@ -408,11 +400,8 @@ def device_count(spark, sf_dir):
 )
 def is_empty(spark, sf_dir):
     rows = labelled_readings(messages(spark, sf_dir))
-    verdicts = [
-        ("data", metrics.is_empty(rows.filter("branch = 'data'"))),
-        ("future", metrics.is_empty(rows.filter("ts > TIMESTAMP '2100-01-01'"))),
-    ]
-    return spark.createDataFrame(verdicts, "checked string, empty boolean")
+    cases = {"data": F.col("branch") == "data", "future": F.col("ts") > F.lit("2100-01-01").cast("timestamp")}
+    return metrics.is_empty(rows, cases)
 
 
 @query(

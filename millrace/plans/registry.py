@@ -118,7 +118,7 @@ HOURLY_ERRORS = """metrics AS (
   FROM layers WHERE branch = 'dataerr' AND ts IS NOT NULL GROUP BY ALL)"""
 
 HOSTS = """hosts AS (
-  SELECT 'node' AS job, CAST(p_partkey % 20 AS VARCHAR) AS instance,
+  SELECT CASE WHEN p_partkey % 20 < 15 THEN 'node' ELSE 'spark' END AS job, CAST(p_partkey % 20 AS VARCHAR) AS instance,
          TIMESTAMP '2024-01-01' + to_minutes(p_partkey // 20) AS ts,
          p_retailprice * p_size / 100 AS mem_available, p_retailprice AS mem_total
   FROM part)"""

@@ -180,7 +180,7 @@ def instant_value_at(spark, sf_dir):
 _USED = """used AS (
   SELECT a.job, a.instance, a.ts, (1 - a.mem_available / t.mem_total) * 100 AS value
   FROM hosts a JOIN hosts t ON a.job = t.job AND a.instance = t.instance AND a.ts = t.ts
-  WHERE a.mem_available IS NOT NULL AND t.mem_total IS NOT NULL)"""
+  WHERE a.job = 'node' AND a.mem_available IS NOT NULL AND t.mem_total IS NOT NULL)"""
 
 
 @query(
@@ -296,5 +296,5 @@ def alert_messages(spark, sf_dir):
 )
 def alert_node_memory(spark, sf_dir):
     hosts = monitors.host_metrics(table(spark, sf_dir, "part"))
-    states = alerts.alert_node_memory(hosts, "mem_available", "mem_total")
+    states = alerts.alert_node_memory(hosts, "mem_available", "mem_total", where=F.col("job") == "node")
     return states.withColumn("value", F.round("value", 6))

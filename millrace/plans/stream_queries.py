@@ -1,38 +1,66 @@
 """Streaming jobs over the events table, run until all of it is read, and read back.
 
-Each takes the table as a stream of files, all that are there when it starts.
+Each takes the table as a stream of files, all that are there when it starts, in batches of bounded size. Where
+results depend on the order of arrival, the events come by time, as they would from a feed.
 """
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import functions as F
 
+from millrace.functions.checks import is_json
 from millrace.operators import parse
+from millrace.plans import monitors
 from millrace.plans.readings import event_messages, labelled_readings
-from millrace.plans.reading_queries import _HOURLY, _LAYER_ROWS, ID
-from millrace.plans.registry import CLEANED, FIELDS, MESSAGES, READINGS, TO_LAYERS, query, with_
-from millrace.plans.series_queries import _ERROR_STATES, _recursive, error_breaches
-from millrace.schema import BRANCHES
+from millrace.plans.reading_queries import _HOURLY, _LAYER_ROWS, AS_OF, ID, layers
+from millrace.plans.registry import CLEANED, FIELDS, MESSAGES, READINGS, TO_LAYERS, query, table, with_
+from millrace.plans.series_queries import _ERROR_STATES, _GRID_INCREASE, _recursive, error_breaches
+from millrace.schema import BRANCHES, PARTITIONS
 from millrace.session import shared_dir, stateful_settings
 from millrace.sinks.layers import write_layer
 from millrace.sources.layers import scan_layer
-from millrace.sources.streams import archive_source, stream_source, table_stream
+from millrace.sources.streams import archive_source, exactly, stream_source, table_stream
 from millrace.streaming.alerts import stream_alert_states
 from millrace.streaming.archive import archive_stream
 from millrace.streaming.layering import distinct, start_layers
-from millrace.streaming.progress import progress_frame, state_metrics
+from millrace.streaming.progress import ProgressLog, progress_frame, state_metrics
 from millrace.streaming.supervise import supervise
 from millrace.streaming.windows import streaming_branch_counts
 
 
 # A batch of a terabyte is done over when it fails, not the whole table.
 BATCH = {"maxBytesPerTrigger": str(10**12)}
+#: Files of a batch where events come by time; at least five batches, whatever the table's size.
+FEED = {"maxFilesPerTrigger": "4"}
+#: Span of event time that arrives together, and so the longest that a reading may be behind the latest one.
+SLICE, DELAY = timedelta(days=6), "6 days"
+#: Files per hour and batch of the layered writes; an hour of the table is small.
+FILES_PER_HOUR = 1
 
 
 def message_stream(spark, sf_dir, **options):
     return event_messages(table_stream(spark, f"{sf_dir}/events.parquet", **options))
 
 
+def feed(spark, sf_dir):
+    """The events as messages in order of arrival: slices of event time, written one after the other.
+
+    A file source takes older files first. Within a slice files come in any order, which ``DELAY`` covers.
+    """
+    events = table(spark, sf_dir, "events")
+    path = shared_dir(spark, "feed")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    begin = first or datetime(2024, 1, 1)
+    while begin <= (last or begin):
+        events.filter(F.col("ts").between(begin, begin + SLICE - timedelta(microseconds=1))).repartition(4).write.mode(
+            "append"
+        ).parquet(path)
+        begin += SLICE
+    return event_messages(table_stream(spark, path, **FEED))
+
+
 def state_partitions(spark) -> int:
     return spark.sparkContext.defaultParallelism
 
@@ -52,13 +80,13 @@ def through(spark, stream, label: str, mode: str = "append"):
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def run_layers(spark, sf_dir, path, **options):
-    """Run the layered write to its end. A hot hour is spread over a quarter of the cluster's cores."""
+def run_layers(spark, path, messages, **options):
+    """Run the layered write to its end."""
     jobs = start_layers(
-        message_stream(spark, sf_dir, **BATCH),
+        messages,
         path,
         trigger=None,
-        files_per_hour=max(1, state_partitions(spark) // 4),
+        files_per_hour=FILES_PER_HOUR,
         state_partitions=state_partitions(spark),
         **options,
     )
@@ -66,16 +94,19 @@ def run_layers(spark, sf_dir, path, **options):
     return jobs
 
 
-_written: dict[tuple[str, str], tuple] = {}
-
-
-def written_layers(spark, sf_dir):
-    """Path and finished query of the layered write, run when an application first asks for it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _written:
-        path = shared_dir(spark, "stream-layers")
-        _written[key] = (path, run_layers(spark, sf_dir, path))
-    return _written[key]
+def reported(spark, stream, name: str):
+    """Run a stream to its end and read the table of its batch reports."""
+    path, reports = shared_dir(spark, name), shared_dir(spark, "reports")
+    log = ProgressLog(spark, reports)
+    spark.streams.addListener(log)
+    try:
+        with stateful_settings(spark, state_partitions(spark)):
+            job = write_layer(stream, path, name, trigger=None, fmt="parquet", partitions=["branch"])
+        supervise(spark, [job])
+        log.wait(job)
+    finally:
+        spark.streams.removeListener(log)
+    return progress_frame(spark, reports)
 
 
 @query(
@@ -88,7 +119,8 @@ def stream_source_(spark, sf_dir):
 
 @query("layered_write", with_(*TO_LAYERS, body=_LAYER_ROWS))
 def layered_write(spark, sf_dir):
-    path, _ = written_layers(spark, sf_dir)
+    path = shared_dir(spark, "stream-layers")
+    run_layers(spark, path, message_stream(spark, sf_dir, **BATCH))
     return scan_layer(spark, path).drop("year", "month", "day", "hour")
 
 
@@ -102,7 +134,7 @@ def layered_write(spark, sf_dir):
 )
 def layered_write_separate(spark, sf_dir):
     path = shared_dir(spark, "stream-separate")
-    run_layers(spark, sf_dir, path, separate=True)
+    run_layers(spark, path, message_stream(spark, sf_dir, **BATCH), separate=True)
     parts = [
         scan_layer(spark, path, layer, separate=True).select(F.lit(layer).alias("layer"), *FIELDS.split(", "))
         for layer in ("raw-data", *BRANCHES)
@@ -112,10 +144,15 @@ def layered_write_separate(spark, sf_dir):
 
 @query("checkpoint_recovery", with_(*TO_LAYERS, body=_LAYER_ROWS))
 def checkpoint_recovery(spark, sf_dir):
-    """Started again on its own checkpoint, the job finds nothing new and repeats nothing."""
-    path = shared_dir(spark, "stream-again")
-    for _ in range(2):
-        run_layers(spark, sf_dir, path)
+    """Started again on its own checkpoint, the job takes what is new since and repeats nothing: of the events in
+    the folder, each run finds one half more, and the third finds nothing."""
+    path, source = shared_dir(spark, "stream-again"), shared_dir(spark, "stream-source")
+    half = F.col("event_id") % 2
+    events = table(spark, sf_dir, "events")
+    for new in (events.filter(half == 0), events.filter(half == 1), None):
+        if new is not None:
+            new.write.mode("append").parquet(source)
+        run_layers(spark, path, event_messages(table_stream(spark, source, **BATCH)))
     return scan_layer(spark, path).drop("year", "month", "day", "hour")
 
 
@@ -133,18 +170,18 @@ def stateful_dedup(spark, sf_dir):
     return per_device(through(spark, distinct(rows), "exact-dedup"))
 
 
-@query("dedup_bounded", with_(*TO_LAYERS, body=_PER_DEVICE.format(" WHERE ts IS NOT NULL")))
+@query("dedup_bounded", with_(*TO_LAYERS, body=_PER_DEVICE.format("")))
 def dedup_bounded(spark, sf_dir):
-    """Readings are forgotten after a while; the table is one batch, so its copies meet before that."""
-    rows = labelled_readings(message_stream(spark, sf_dir)).filter("ts IS NOT NULL")
-    return per_device(through(spark, distinct(rows, "bounded", "1 hour"), "bounded-dedup"))
+    """Readings are forgotten after a while, those without a time never."""
+    rows = labelled_readings(feed(spark, sf_dir))
+    return per_device(through(spark, distinct(rows, "bounded", DELAY), "bounded-dedup"))
 
 
 @query("micro_batch_trigger", with_(*TO_LAYERS, body=_PER_DEVICE.format("")))
 def micro_batch_trigger(spark, sf_dir):
     """The same on a clock, stopped when it has caught up."""
     path = shared_dir(spark, "ticking")
-    rows = distinct(labelled_readings(message_stream(spark, sf_dir)))
+    rows = distinct(labelled_readings(feed(spark, sf_dir)))
     with stateful_settings(spark, state_partitions(spark)):
         job = write_layer(rows, path, "ticking", "1 second", "parquet", partitions=["branch"])
     try:
@@ -162,7 +199,7 @@ def ingest_archive(spark, sf_dir):
     path = shared_dir(spark, "archive")
     table_path = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(table_path).schema
-    events = archive_source(spark, "parquet", path=f"{table_path}*", schema=schema, **BATCH)
+    events = archive_source(spark, "parquet", path=exactly(table_path), schema=schema, **BATCH)
     job = archive_stream(event_messages(events), path, trigger=None)
     supervise(spark, [job])
     return parse.parse_reading(spark.read.text(path).select("value"))
@@ -177,28 +214,34 @@ def ingest_archive(spark, sf_dir):
         body=_HOURLY.replace("FROM layers", "FROM cleaned").replace(
             "GROUP BY ALL",
             """AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= (
-                 SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM cleaned) GROUP BY ALL""",
+                 SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 6 DAY FROM cleaned) GROUP BY ALL""",
         ),
     ),
 )
 def streaming_window_count(spark, sf_dir):
-    """Hours that the watermark has closed. The table is one batch, so that no row is late."""
-    return through(spark, streaming_branch_counts(labelled_readings(message_stream(spark, sf_dir))), "windows")
+    """Hours that the watermark has closed."""
+    counts = streaming_branch_counts(labelled_readings(feed(spark, sf_dir)), delay=DELAY)
+    return through(spark, counts, "windows")
 
 
 _PROGRESS = with_(
     *TO_LAYERS,
     body="""SELECT 'layers' AS name, (SELECT count(*) FROM events) AS input_rows,
-                   (SELECT count(*) FROM layers) AS state_rows""",
+                   (SELECT count(*) FROM layers) AS state_rows, CAST(0 AS BIGINT) AS late_rows""",
 )
 
 
+def layers_progress(spark, sf_dir):
+    return reported(spark, distinct(labelled_readings(feed(spark, sf_dir))), "layers")
+
+
 @query("progress_metrics", _PROGRESS)
 def progress_metrics(spark, sf_dir):
     """Rows read over all batches and distinct readings held at the end; times vary and are left out."""
-    _, jobs = written_layers(spark, sf_dir)
-    return progress_frame(*jobs).groupBy("name").agg(
-        F.sum("numInputRows").alias("input_rows"), F.max("stateRows").alias("state_rows")
+    return layers_progress(spark, sf_dir).groupBy("name").agg(
+        F.sum("numInputRows").alias("input_rows"),
+        F.max("stateRows").alias("state_rows"),
+        F.sum("lateRows").alias("late_rows"),
     )
 
 
@@ -208,19 +251,92 @@ def progress_metrics(spark, sf_dir):
         *TO_LAYERS,
         body="""SELECT 'layers_latency' AS metric, CAST(1 AS DOUBLE) AS value
                 UNION ALL SELECT 'layers_input_rows', CAST(count(*) AS DOUBLE) FROM events
+                UNION ALL SELECT 'layers_late_rows', CAST(0 AS DOUBLE)
                 UNION ALL SELECT 'layers_states_rowsTotal', CAST(count(*) AS DOUBLE) FROM layers""",
     ),
 )
 def stream_state_metrics(spark, sf_dir):
     """The metric samples of the batches, summed up; of the latency, which varies, only the sign."""
-    _, jobs = written_layers(spark, sf_dir)
     name = F.col("metric")
     value = (
         F.when(name.endswith("_latency"), F.signum(F.max("value")))
         .when(name.endswith("_input_rows"), F.sum("value"))
         .otherwise(F.max("value"))
     )
-    return state_metrics(progress_frame(*jobs)).groupBy("metric").agg(value.alias("value"))
+    return state_metrics(layers_progress(spark, sf_dir)).groupBy("metric").agg(value.alias("value"))
+
+
+@query(
+    "batch_latency_bands",
+    with_(
+        READINGS,
+        body="""SELECT 'layers_latency' AS metric, true AS banded, CAST(1 AS BIGINT) AS series
+                FROM readings LIMIT 1""",
+    ),
+)
+def batch_latency_bands(spark, sf_dir):
+    """Every batch of the job has a band; which one depends on the machine."""
+    bands = monitors.batch_latency_bands(layers_progress(spark, sf_dir))
+    return bands.groupBy("metric").agg(
+        F.bool_and(F.col("band").isNotNull()).alias("banded"), F.countDistinct("name").alias("series")
+    )
+
+
+_HELD = """metrics AS (
+  SELECT 'q' || CAST(user_id % 4 AS VARCHAR) AS device_id, ts, 'held' AS metric,
+         CAST(event_id % 400 AS DOUBLE) AS value FROM events)"""
+
+
+@query(
+    "records_per_minute",
+    with_(
+        _HELD,
+        _GRID_INCREASE,
+        """shifted AS (
+  SELECT device_id, ts, increase FROM stepped
+  UNION ALL SELECT device_id, ts + INTERVAL 1 HOUR, increase FROM stepped)""",
+        body="""SELECT device_id AS name, ts, round(avg(increase), 6) AS mean, count(*) AS steps
+                FROM shifted GROUP BY ALL""",
+    ),
+)
+def records_per_minute(spark, sf_dir):
+    """Events as the reports of four queries, whose state grows and restarts now and then."""
+    name = F.concat(F.lit("q"), F.col("user_id") % 4)
+    reports = table(spark, sf_dir, "events").select(
+        name.alias("name"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.lit(1).alias("triggerMs"),
+        F.lit(1).alias("numInputRows"),
+        F.lit(0).alias("lateRows"),
+        (F.col("event_id") % 400).alias("stateRows"),
+    )
+    found = monitors.records_per_minute(reports, "1 hour", "2 hours", "1 hour")
+    return found.withColumn("mean", F.round("mean", 6))
+
+
+@query(
+    "error_monitor",
+    with_(
+        *TO_LAYERS,
+        body=f"""SELECT 'errors' AS metric, CAST(DeviceId AS VARCHAR) AS device_id, CAST(count(*) AS DOUBLE) AS value
+                 FROM layers WHERE branch = 'dataerr'
+                 AND ts BETWEEN TIMESTAMP '{AS_OF}' - INTERVAL 1 HOUR AND TIMESTAMP '{AS_OF}' GROUP BY ALL""",
+    ),
+)
+def error_monitor(spark, sf_dir):
+    """Implausible readings of the hour before an instant, from the folders of the two hours it touches."""
+    path = shared_dir(spark, "monitored")
+    write_layer(layers(spark, sf_dir), path, partitions=("branch", *PARTITIONS), least_share="64k")
+    return monitors.monitor_errors(spark, path, datetime.fromisoformat(AS_OF), "errors", by_folder=True)
+
+
+@query("write_records", with_(*TO_LAYERS, body="SELECT CAST(DeviceId AS VARCHAR) AS key, count(*) AS records FROM layers GROUP BY ALL"))
+def write_records(spark, sf_dir):
+    """Layers as messages, sent to files in place of a topic."""
+    path = shared_dir(spark, "records")
+    parse.write_records(parse.encode_records(layers(spark, sf_dir)), "parquet", path)
+    sent = spark.read.schema("key string, value string").parquet(path).filter(is_json(F.col("value")))
+    return sent.groupBy("key").agg(F.count("*").alias("records"))
 
 
 @query(

@@ -107,17 +107,11 @@ _BACK = f"""SELECT {FIELDS}, branch, CAST(year(ts) AS INTEGER) AS year, CAST(mon
                    CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour, ts FROM layers"""
 
 
-_written: dict[tuple[str, str], str] = {}
-
-
 def written(spark, sf_dir) -> str:
-    """Path of the layers of all messages, written as one batch when an application first asks for them."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _written:
-        path = shared_dir(spark, "layers")
-        write_layer(layers(spark, sf_dir), path, partitions=("branch", *PARTITIONS))
-        _written[key] = path
-    return _written[key]
+    """Path of the layers of all messages, written as one batch."""
+    path = shared_dir(spark, "layers")
+    write_layer(layers(spark, sf_dir), path, partitions=("branch", *PARTITIONS), least_share="64k")
+    return path
 
 
 @query("partitioned_sink", with_(*TO_LAYERS, body=_BACK))
@@ -135,7 +129,7 @@ def partitioned_sink(spark, sf_dir):
 )
 def partition_scan(spark, sf_dir):
     path = written(spark, sf_dir)
-    return scan_layer(spark, path, "data", "2024-01-15 09:30:00", "2024-01-17 12:00:00")
+    return scan_layer(spark, path, "data", "2024-01-15 09:30:00", "2024-01-17 12:00:00", by_folder=True)
 
 
 @query(
@@ -145,7 +139,7 @@ def partition_scan(spark, sf_dir):
 def missing_partition_as_empty(spark, sf_dir):
     """A range that runs on past the last hour, and a layer that was never written."""
     path = written(spark, sf_dir)
-    fail = scan_layer(spark, path, "fail", "2024-01-29", "2024-06-01")
+    fail = scan_layer(spark, path, "fail", "2024-01-29", "2024-06-01", by_folder=True)
     return fail.unionByName(scan_layer(spark, f"{path}-none", "fail", "2024-01-29", "2024-06-01"))
 
 

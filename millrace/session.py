@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from contextlib import contextmanager
 from uuid import uuid4
 
@@ -20,13 +19,9 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder all executors share, named by ``spark.checkpoint.dir``.
 
-    Only a local session, where the one machine is the cluster, may fall back to a temporary folder.
+    Where that is unset, tables go below the session's warehouse, which is shared as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="run-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/shared"
     return f"{root.rstrip('/')}/{label}-{uuid4().hex}"
 
 

@@ -17,7 +17,8 @@ def _packed(df: DataFrame, partitions: Sequence[str], files_per_hour: int | None
 
     A hot hour must not end up in one task. In batch the rebalance hint leaves it to the engine to split
     large partitions and to merge small ones by their measured size. A stream has no such step: there the
-    rows of an hour are spread over ``files_per_hour`` tasks by a hash of the reading.
+    rows of an hour are spread over ``files_per_hour`` tasks by a hash of the reading. Take that number from the
+    size expected of an hour; it is also how many files each batch adds to it.
     """
     if not df.isStreaming:
         return df.hint("rebalance", *partitions)
@@ -36,17 +37,20 @@ def write_layer(
     partitions: Sequence[str] = PARTITIONS,
     checkpoint: str | None = None,
     files_per_hour: int | None = None,
+    least_share: str | None = None,
     **options: str,
 ) -> StreamingQuery | None:
     """Append readings under ``path`` by year, month, day and hour.
 
     A stream starts a query with its own checkpoint, ``<path>_checkpoint`` unless given, which runs every
-    ``trigger``, or with None over what is there now and then ends.
+    ``trigger``, or with None over what is there now and then ends. In batch, ``least_share`` is the least size of
+    what one task writes: less than the engine's default where there are many small hours, since opening files costs
+    more than moving few bytes.
     """
     packed = _packed(df, partitions, files_per_hour)
     if not df.isStreaming:
-        # Opening many files costs more than moving few bytes: let small data keep several writers.
-        with settings(df.sparkSession, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}):
+        wanted = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": least_share} if least_share else {}
+        with settings(df.sparkSession, wanted):
             packed.write.mode("append").format(fmt).options(**options).partitionBy(*partitions).save(path)
         return None
     pace = {"processingTime": trigger} if trigger else {"availableNow": True}

@@ -19,14 +19,12 @@ def _utc(at: datetime | str) -> datetime:
     return moment.astimezone(timezone.utc).replace(tzinfo=None) if moment.tzinfo else moment
 
 
-def partition_bounds(start: datetime | str, end: datetime | str) -> Column:
-    """Hours touched by [start, end) as plain comparisons of the four partition columns.
+def partition_bounds(start: datetime | str | None, end: datetime | str | None) -> Column:
+    """Hours touched by [start, end) as plain comparisons of the four partition columns; None bounds nothing.
 
     Nested so that each level only matters where the ones above are equal; file listings and catalogs can
     prune by such comparisons.
     """
-    first, last = _utc(start), _utc(end) - timedelta(microseconds=1)
-
     def side(moment: datetime, strict, loose) -> Column:
         values = [moment.year, moment.month, moment.day, moment.hour]
         out = loose(F.col("hour"), values[-1])
@@ -34,9 +32,28 @@ def partition_bounds(start: datetime | str, end: datetime | str) -> Column:
             out = strict(F.col(name), value) | ((F.col(name) == value) & out)
         return out
 
-    return side(first, lambda c, v: c > v, lambda c, v: c >= v) & side(
-        last, lambda c, v: c < v, lambda c, v: c <= v
-    )
+    out = F.lit(True)
+    if start is not None:
+        out = side(_utc(start), lambda c, v: c > v, lambda c, v: c >= v)
+    if end is not None:
+        last = _utc(end) - timedelta(microseconds=1)
+        out = out & side(last, lambda c, v: c < v, lambda c, v: c <= v)
+    return out
+
+
+def hour_folders(start: datetime | str, end: datetime | str) -> str:
+    """A path pattern for the folders of the hours that [start, end) touches, with and without leading zeros."""
+    hour, last = _utc(start).replace(minute=0, second=0, microsecond=0), _utc(end) - timedelta(microseconds=1)
+    days: dict[tuple, list[int]] = {}
+    while hour <= last:
+        days.setdefault((hour.year, hour.month, hour.day), []).append(hour.hour)
+        hour += timedelta(hours=1)
+
+    def either(values: Sequence[int]) -> str:
+        return "{" + ",".join(dict.fromkeys(f for v in values for f in (str(v), f"{v:02d}"))) + "}"
+
+    paths = [f"year={y}/month={either([m])}/day={either([d])}/hour={either(hours)}" for (y, m, d), hours in days.items()]
+    return "{" + ",".join(paths) + "}"
 
 
 def layer_schema(partitions: Sequence[str]) -> T.StructType:
@@ -53,18 +70,28 @@ def scan_layer(
     end: datetime | str | None = None,
     fmt: str = "json",
     separate: bool = False,
+    by_folder: bool = False,
 ) -> DataFrame:
     """Readings of one layer (None: of all) with event time in [start, end), reading only those hours.
 
+    Either bound may be left out. With ``by_folder`` and both bounds only the folders of those hours are listed, which
+    is what a monitor over years of hours needs. It passes over the log in which a stream notes the files it has
+    committed, so it is for roots that are written in batch; for others a catalog table saves the listing.
+
     The event time is taken from ``collected_at``, which keeps the microseconds that the JSON form of a
     timestamp drops. Month or hour directories with and without a leading zero read alike. Nothing written
     yet is an empty frame, not an error.
     """
+    if separate and layer is None:
+        raise ValueError("with a directory for each layer, name the layer")
     partitions = PARTITIONS if separate else ("branch", *PARTITIONS)
     schema = layer_schema(partitions)
-    path = f"{root}/{layer}" if separate and layer else root
+    base = path = f"{root}/{layer}" if separate else root
+    if by_folder and start is not None and end is not None:
+        branch = "" if separate else f"branch={layer or '*'}/"
+        path = f"{base}/{branch}{hour_folders(start, end)}"
     try:
-        df = spark.read.schema(schema).format(fmt).load(path)
+        df = spark.read.schema(schema).format(fmt).option("basePath", base).load(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -72,9 +99,10 @@ def scan_layer(
     df = df.withColumn("ts", as_timestamp(F.col("collected_at")))
     if layer is not None and not separate:
         df = df.filter(F.col("branch") == layer)
-    if start is not None and end is not None:
-        df = df.filter(partition_bounds(start, end)).filter(
-            (F.col("ts") >= F.lit(_utc(start)).cast("timestamp"))
-            & (F.col("ts") < F.lit(_utc(end)).cast("timestamp"))
-        )
+    if start is not None or end is not None:
+        df = df.filter(partition_bounds(start, end))
+    if start is not None:
+        df = df.filter(F.col("ts") >= F.lit(_utc(start)).cast("timestamp"))
+    if end is not None:
+        df = df.filter(F.col("ts") < F.lit(_utc(end)).cast("timestamp"))
     return df

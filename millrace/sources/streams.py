@@ -32,7 +32,13 @@ def archive_source(spark: SparkSession, fmt: str = "kafka", **options: str) -> D
     return stream_source(spark, fmt, **options)
 
 
+def exactly(path: str) -> str:
+    """A pattern for this path and no other; a file source takes a single file as a pattern only."""
+    path = path.rstrip("/")
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def table_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """Stream the files of a parquet table, given as one file or as a directory of files."""
     schema = spark.read.parquet(path).schema
-    return stream_source(spark, "parquet", path=f"{path}*", schema=schema, **options)
+    return stream_source(spark, "parquet", path=exactly(path), schema=schema, **options)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -13,19 +14,31 @@ from millrace.operators.metrics import SERIES
 from millrace.schema import ALERT_FOR, ALERT_KEEP_FIRING
 
 
-def next_state(kind: str, at: int, memory: tuple, hold: int, keep: int) -> tuple[str, tuple]:
-    """State after one evaluation; ``memory`` is (kind of the running spell, its start, alert on)."""
+def spell_states(kinds: np.ndarray, at: np.ndarray, memory: tuple, hold: int, keep: int) -> tuple[list[str], tuple]:
+    """States after evaluations in order; ``memory`` is (kind of the running spell, its start, alert on).
+
+    Evaluations of one kind in a row are a spell: there the alert turns on or off at most once, at an age. So the
+    spells are gone through, not the evaluations.
+    """
+    states = np.empty(len(kinds), dtype=object)
+    heads = np.flatnonzero(np.append(True, kinds[1:] != kinds[:-1]))
     last, since, on = memory
-    if kind != last:
-        since = at
-    age = at - since
-    if kind == "none":
-        return "NoData", (kind, since, False)
-    if kind == "breach":
-        on = on or age >= hold
-        return ("Firing" if on else "Pending"), (kind, since, on)
-    on = on and age < keep
-    return ("Recovering" if on else "Normal"), (kind, since, on)
+    for lo, hi in zip(heads, [*heads[1:], len(kinds)]):
+        kind = kinds[lo]
+        since = since if kind == last else int(at[lo])
+        age = at[lo:hi] - since
+        if kind == "none":
+            states[lo:hi], on = "NoData", False
+        elif kind == "breach":
+            firing = on | (age >= hold)
+            states[lo:hi] = np.where(firing, "Firing", "Pending")
+            on = bool(firing[-1])
+        else:
+            kept = on & (age < keep)
+            states[lo:hi] = np.where(kept, "Recovering", "Normal")
+            on = bool(kept[-1])
+        last = str(kind)
+    return list(states), (last, since, on)
 
 
 def stream_alert_states(
@@ -36,9 +49,10 @@ def stream_alert_states(
 ) -> DataFrame:
     """The states of :func:`millrace.operators.alerts.alert_states` as evaluations arrive.
 
-    ``breaches`` has the series columns, ``eval_ts``, ``value`` and ``breach``. Per series three values are
-    kept between batches; evaluations of a batch are put in order, those older than the last one seen are
-    late and left out.
+    ``breaches`` has the series columns, ``eval_ts``, ``value`` and ``breach``. Per series four values are
+    kept between batches; evaluations of a batch are put in order. One older than the last seen comes too late for
+    a state; it is passed on with the state ``Late``, so that it can be counted. Bound the batches at the source:
+    the evaluations of a series in one batch are put in order in memory.
     """
     hold, keep = micros(for_), micros(keep_firing)
 
@@ -48,14 +62,16 @@ def stream_alert_states(
         kind, since, on, seen = state.get if state.exists else ("", 0, False, -(2**63))
         rows = pd.concat(list(frames)).sort_values("eval_ts")
         at = rows["eval_ts"].astype("datetime64[us]").astype("int64")
-        rows, at = rows[at > seen], at[at > seen]
-        memory, states = (kind, since, on), []
-        for breach, us in zip(rows["breach"], at):
-            spell = "none" if pd.isna(breach) else "breach" if breach else "calm"
-            verdict, memory = next_state(spell, int(us), memory, hold, keep)
-            states.append(verdict)
+        at = at.to_numpy()
+        late = at <= seen
+        breach = rows["breach"].astype("object")
+        spell = np.where(breach.isna(), "none", np.where(breach.fillna(False).astype(bool), "breach", "calm"))
+        states = np.full(len(rows), "Late", dtype=object)
+        if not late.all():
+            found, memory = spell_states(spell[~late], at[~late], (kind, since, on), hold, keep)
+            states[~late] = found
+            state.update((*memory, int(at[-1])))
         if len(rows):
-            state.update((*memory, int(at.iloc[-1])))
             yield rows.assign(state=states)[[*series, "eval_ts", "value", "breach", "state"]]
 
     picked = breaches.select(*series, "eval_ts", "value", "breach")

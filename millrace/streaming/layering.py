@@ -15,11 +15,19 @@ from millrace.sinks.layers import write_layer
 
 
 def distinct(rows: DataFrame, dedup: str = "exact", delay: str = "1 hour", melt: bool = True) -> DataFrame:
-    """Distinct readings of a stream; copies that arrive together melt before they are shuffled."""
+    """Distinct readings of a stream; copies that arrive together melt before they are shuffled.
+
+    ``bounded`` forgets a reading after ``delay``, so ``delay`` has to cover the disorder of arrival; readings that
+    come later are dropped and counted in the progress. Readings without event time are remembered for ever.
+    """
     if dedup not in ("exact", "bounded"):
         raise ValueError(f"dedup must be exact or bounded, not {dedup}")
     rows = melt_copies(rows) if melt and rows.isStreaming else rows
-    return dedup_bounded(rows, delay=delay) if dedup == "bounded" else dedup_exact(rows)
+    if dedup == "exact" or not rows.isStreaming:
+        return dedup_exact(rows)
+    # What has no time has no place on the clock by which it could be forgotten.
+    dated, undated = rows.filter("ts IS NOT NULL"), rows.filter("ts IS NULL")
+    return dedup_bounded(dated, delay=delay).union(dedup_exact(undated))
 
 
 def start_layers(
@@ -32,7 +40,7 @@ def start_layers(
     separate: bool = False,
     trigger: str | None = TRIGGER,
     fmt: str = "json",
-    files_per_hour: int | None = None,
+    files_per_hour: int = 1,
     checkpoint: str | None = None,
     state_partitions: int | None = None,
     name: str = "layers",

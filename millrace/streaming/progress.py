@@ -1,18 +1,22 @@
-"""What running queries report about themselves."""
+"""What running queries report about themselves, kept as a table."""
 
 from __future__ import annotations
 
 import logging
-from collections import deque
+import threading
 
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 PROGRESS_SCHEMA = (
-    "name string, batchId long, ts timestamp, numInputRows long, addBatchMs long, triggerMs long, "
-    "inputRowsPerSecond double, processedRowsPerSecond double, stateRows long"
+    "name string, runId string, batchId long, ts timestamp, numInputRows long, addBatchMs long, triggerMs long, "
+    "inputRowsPerSecond double, processedRowsPerSecond double, stateRows long, lateRows long"
 )
+_KINDS = {"string": pa.string(), "long": pa.int64(), "double": pa.float64(), "timestamp": pa.string()}
+_REPORT = [(name, _KINDS[kind]) for name, kind in (part.split() for part in PROGRESS_SCHEMA.split(", "))]
 
 log = logging.getLogger(__name__)
 
@@ -22,6 +26,7 @@ def _row(progress) -> tuple:
     took = progress.durationMs
     return (
         progress.name,
+        str(progress.runId),
         progress.batchId,
         progress.timestamp,
         progress.numInputRows,
@@ -30,22 +35,23 @@ def _row(progress) -> tuple:
         progress.inputRowsPerSecond,
         progress.processedRowsPerSecond,
         sum(op.numRowsTotal for op in progress.stateOperators),
+        sum(op.numRowsDroppedByWatermark for op in progress.stateOperators),
     )
 
 
-def _frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    text = PROGRESS_SCHEMA.replace("ts timestamp", "ts string")
-    return spark.createDataFrame(rows, text).withColumn("ts", F.col("ts").try_cast("timestamp"))
-
-
-def progress_frame(*queries: StreamingQuery) -> DataFrame:
-    """The recent micro-batches of the queries; how many are kept is a setting of the engine."""
-    rows = [_row(p) for query in queries for p in query.recentProgress]
-    return _frame(SparkSession.active(), rows)
+def progress_frame(spark: SparkSession, path: str) -> DataFrame:
+    """All micro-batches reported so far to the :class:`ProgressLog` at ``path``; rows that came too late and were
+    dropped are in ``lateRows``."""
+    try:
+        return spark.read.schema(PROGRESS_SCHEMA).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], PROGRESS_SCHEMA)
 
 
 def state_metrics(progress: DataFrame) -> DataFrame:
-    """Progress as metric samples: ``<query>_latency`` in ms, ``<query>_input_rows`` and
+    """Progress as metric samples: ``<query>_latency`` in ms, ``<query>_input_rows``, ``<query>_late_rows`` and
     ``<query>_states_rowsTotal``.
 
     The last counts distinct readings held, so its growth is not throughput; input rows are.
@@ -55,33 +61,60 @@ def state_metrics(progress: DataFrame) -> DataFrame:
         "ts",
         F.col("triggerMs").cast("double").alias("latency"),
         F.col("numInputRows").cast("double").alias("input_rows"),
+        F.col("lateRows").cast("double").alias("late_rows"),
         F.col("stateRows").cast("double").alias("states_rowsTotal"),
     )
-    long = wide.unpivot(["name", "ts"], ["latency", "input_rows", "states_rowsTotal"], "kind", "value")
+    kinds = ["latency", "input_rows", "late_rows", "states_rowsTotal"]
+    long = wide.unpivot(["name", "ts"], kinds, "kind", "value")
     return long.filter("value IS NOT NULL").select(
         F.concat_ws("_", "name", "kind").alias("metric"), "name", "ts", "value"
     )
 
 
-class ProgressListener(StreamingQueryListener):
-    """Logs each micro-batch and keeps the latest ones for :meth:`frame`."""
+class ProgressLog(StreamingQueryListener):
+    """Logs each micro-batch and appends its report to a table at ``path``, in the folder that all executors share.
+
+    ``every`` reports are written together, and what is left when a query ends. Nothing is forgotten, however many
+    batches there are. Register it before the queries start: ``spark.streams.addListener(ProgressLog(spark, path))``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 1):
+        self.spark, self.path, self.every = spark, path, every
+        self._waiting: list[tuple] = []
+        self._ended: set[str] = set()
+        self._change = threading.Condition()
 
-    def __init__(self, keep: int = 1000):
-        self.rows: deque[tuple] = deque(maxlen=keep)
+    def _write(self) -> None:
+        rows, self._waiting = self._waiting, []
+        if rows:
+            held = pa.table({name: pa.array([row[k] for row in rows], kind) for k, (name, kind) in enumerate(_REPORT)})
+            typed = self.spark.createDataFrame(held).withColumn("ts", F.col("ts").try_cast("timestamp"))
+            typed.coalesce(1).write.mode("append").parquet(self.path)
 
     def onQueryStarted(self, event) -> None:
         log.info("query %s started", event.name or event.id)
 
     def onQueryProgress(self, event) -> None:
         row = _row(event.progress)
-        self.rows.append(row)
-        log.info("query %s: %s rows, %s ms, %s rows/s", row[0], row[3], row[4], row[6])
+        log.info("query %s: %s rows, %s ms, %s rows/s", row[0], row[4], row[6], row[8])
+        self._waiting.append(row)
+        if len(self._waiting) >= self.every:
+            self._write()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
         log.info("query %s ended %s", event.id, event.exception or "")
-
-    def frame(self, spark: SparkSession) -> DataFrame:
-        return _frame(spark, list(self.rows))
+        self._write()
+        with self._change:
+            self._ended.add(str(event.runId))
+            self._change.notify_all()
+
+    def wait(self, *queries: StreamingQuery, timeout: float = 60) -> None:
+        """Until the end of the queries has been reported, and so all of their batches; reports arrive later than
+        the batches end."""
+        runs = {str(query.runId) for query in queries}
+        with self._change:
+            if not self._change.wait_for(lambda: runs <= self._ended, timeout):
+                raise TimeoutError(f"no report of the end of {runs - self._ended} in {timeout} s")

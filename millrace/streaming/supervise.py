@@ -2,29 +2,37 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+#: Seconds after which the other queries are looked at again.
+LOOK = 0.5
 
-def supervise(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: int | None = None) -> None:
-    """Wait until any query fails or all have ended; a failure stops the others and is raised.
 
-    Waiting for one query after the other would miss a failure in a later one.
+def supervise(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
+    """Wait until any of ``queries`` fails or all have ended, or until ``timeout`` seconds have passed.
+
+    A failure stops the others and is raised, with a timeout as without; at the timeout all run on. Queries that are
+    not given are none of its business. Waiting for one query after the other would miss a failure in a later one.
     """
+    deadline = None if timeout is None else time.monotonic() + timeout
     try:
-        while any(query.isActive for query in queries):
-            ended = spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
-            if timeout and not ended:
+        while True:
+            active = [query for query in queries if query.isActive]
+            for query in queries:
+                if failure := query.exception():
+                    raise failure
+            if not active:
                 return
-            spark.streams.resetTerminated()
+            left = LOOK if deadline is None else min(LOOK, deadline - time.monotonic())
+            if left <= 0:
+                return
+            active[0].awaitTermination(left)
+    except BaseException:
         for query in queries:
-            failure = query.exception()
-            if failure:
-                raise failure
-    finally:
-        if not timeout:
-            for query in queries:
-                if query.isActive:
-                    query.stop()
+            if query.isActive:
+                query.stop()
+        raise

@@ -3,13 +3,14 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 
 from millrace.functions.clock import micros
 from millrace.operators.alerts import alert_messages, alert_node_memory, alert_states, alert_threshold
 from millrace.session import shared_dir
 from millrace.sources.streams import stream_source
-from millrace.streaming.alerts import next_state, stream_alert_states
+from millrace.streaming.alerts import spell_states, stream_alert_states
 
 T0 = datetime(2024, 1, 1)
 BREACH = "metric string, device_id string, eval_ts timestamp, value double, breach boolean"
@@ -46,6 +47,37 @@ def test_states(rows, flags, for_, keep, want):
     assert states(rows, flags, for_, keep) == want
 
 
+def next_state(kind, at, memory, hold, keep):
+    """The alert, one evaluation after the other; memory is (kind of the running spell, its start, alert on)."""
+    last, since, on = memory
+    since = at if kind != last else since
+    age = at - since
+    if kind == "none":
+        return "NoData", (kind, since, False)
+    if kind == "breach":
+        on = on or age >= hold
+        return ("Firing" if on else "Pending"), (kind, since, on)
+    on = on and age < keep
+    return ("Recovering" if on else "Normal"), (kind, since, on)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_spells_equal_the_step_by_step_machine(seed):
+    rnd = random.Random(seed)
+    hold, keep = rnd.choice([0, 1, 3]), rnd.choice([0, 2, 4])
+    kinds = rnd.choices(("breach", "calm", "none"), (5, 4, 1), k=90)
+    memory, want = ("", 0, False), []
+    for at, kind in enumerate(kinds):
+        state, memory = next_state(kind, at, memory, hold, keep)
+        want.append(state)
+    got, carried = [], ("", 0, False)
+    cuts = [0, *sorted(rnd.sample(range(1, 90), 7)), 90]
+    for lo, hi in zip(cuts, cuts[1:]):
+        states, carried = spell_states(np.array(kinds[lo:hi]), np.arange(lo, hi), carried, hold, keep)
+        got += states
+    assert got == want and carried == memory
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_windows_equal_the_step_by_step_machine(rows, seed):
     rnd = random.Random(seed)

@@ -187,3 +187,8 @@ def test_label_regex_covers_the_whole_value(rows):
 
 def test_measures_are_schema_fields():
     assert set(MEASURES) < set(READING_SCHEMA.fieldNames())
+
+
+def test_a_time_without_a_date_is_no_time(rows):
+    df = rows([("12:30:00",), ("T12:30",), ("2024-01-01",), (" 2024-01-01T01:00:00",), (None,)], "collected_at string")
+    assert [r["ts"] is None for r in event_time(df).collect()] == [True, True, False, False, True]

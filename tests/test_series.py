@@ -233,3 +233,15 @@ def test_hourly_counts(rows):
 
 def test_micros():
     assert micros("30 seconds") == 30_000_000 and micros("1 hour") == micros(timedelta(hours=1))
+
+
+def test_evaluations_end_with_until_amid_the_data(rows):
+    df = rows([("m", "1", sec(60 * i), float(i)) for i in range(1, 11)], METRIC)
+    got = evaluations(df, "1 minute", "10 minutes", until=sec(300)).orderBy("eval_ts").collect()
+    assert [(r["eval_ts"], r["value"]) for r in got] == [(sec(60 * i), float(i)) for i in range(1, 6)]
+
+
+def test_means_are_on_the_grid(rows):
+    df = rows([("m", "1", sec(7), 1.0), ("m", "1", sec(20), 3.0), ("m", "1", sec(37), 5.0)], METRIC.replace("value", "increase"))
+    got = avg_over_time(df, "1 minute", "30 seconds").orderBy("ts").collect()
+    assert [(r["ts"], r["mean"], r["steps"]) for r in got] == [(sec(30), 3.0, 1), (sec(60), 4.0, 2), (sec(90), 5.0, 1)]

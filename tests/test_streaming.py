@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import glob
 import json
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.operators.dedup import dedup_bounded
 from millrace.operators.metrics import hourly_branch_counts
 from millrace.operators.parse import event_time
+from millrace.plans.monitors import batch_latency_bands
 from millrace.plans.readings import distinct_layers, event_messages, labelled_readings
 from millrace.schema import BRANCHES, DEDUP_KEYS, READING_SCHEMA
 from millrace.session import shared_dir, stateful_settings
@@ -19,7 +21,7 @@ from millrace.sources.layers import scan_layer
 from millrace.sources.streams import archive_source, stream_source, table_stream
 from millrace.streaming.archive import archive_stream
 from millrace.streaming.layering import start_layers
-from millrace.streaming.progress import ProgressListener, progress_frame, state_metrics
+from millrace.streaming.progress import ProgressLog, progress_frame, state_metrics
 from millrace.streaming.supervise import supervise
 from millrace.streaming.windows import streaming_branch_counts
 
@@ -110,7 +112,7 @@ def test_bounded_dedup_drops_copies_within_the_delay_and_forgets_later(spark, ro
                 dedup_bounded(labelled_readings(stream(spark, path)), delay="1 hour"), out, trigger=None
             )
         job.awaitTermination()
-    got = sorted((r["sensor1"], r["collected_at"]) for r in scan_layer(spark, out, separate=True).collect())
+    got = sorted((r["sensor1"], r["collected_at"]) for r in scan_layer(spark, *out.rsplit("/", 1), separate=True).collect())
     assert got == [(1.0, "2024-01-01T00:00:00"), (1.0, "2024-01-01T05:11:00"), (2.0, "2024-01-01T05:00:00"),
                    (3.0, "2024-01-01T05:10:00")]
 
@@ -171,9 +173,9 @@ def test_scan_reads_padded_and_plain_directories_and_only_the_hours_asked_for(sp
     root = shared_dir(spark, "mixed")
     for month, hour, at in (("7", "3", "2024-07-05T03:30:00"), ("07", "04", "2024-07-05T04:30:00"), ("8", "4", "2024-08-05T04:30:00")):
         rows([(1, at)], "DeviceId int, collected_at string").coalesce(1).write.json(f"{root}/year=2024/month={month}/day=5/hour={hour}")
-    hit = scan_layer(spark, root, start="2024-07-05T03:00:00", end="2024-07-05T05:00:00", separate=True)
+    hit = scan_layer(spark, *root.rsplit("/", 1), start="2024-07-05T03:00:00", end="2024-07-05T05:00:00", separate=True)
     assert sorted(r["hour"] for r in hit.collect()) == [3, 4]
-    edge = scan_layer(spark, root, start="2024-07-05T03:30:00", end="2024-07-05T04:30:00", separate=True)
+    edge = scan_layer(spark, *root.rsplit("/", 1), start="2024-07-05T03:30:00", end="2024-07-05T04:30:00", separate=True)
     assert [r["hour"] for r in edge.collect()] == [3]
     edge.explain("formatted")
     plan = capsys.readouterr().out
@@ -186,25 +188,134 @@ def test_scan_of_nothing_is_empty_but_typed(spark):
     assert df.count() == 0 and "ts" in df.columns and df.schema["hour"].dataType.simpleString() == "int"
 
 
+def report(batch, late=0):
+    took = {"triggerExecution": 5} if batch == 2 else {"triggerExecution": 9, "addBatch": 7}
+    state = SimpleNamespace(numRowsTotal=4, numRowsDroppedByWatermark=late)
+    return SimpleNamespace(progress=SimpleNamespace(
+        name="q", runId="r", batchId=batch, timestamp="2024-01-01T00:00:00.000Z", numInputRows=batch, durationMs=took,
+        inputRowsPerSecond=1.0, processedRowsPerSecond=2.0, stateOperators=[state]))
+
+
+def logged(spark, start, every=1):
+    """The reports of the queries that ``start`` returns, run to their end."""
+    path = shared_dir(spark, "reports")
+    log = ProgressLog(spark, path, every)
+    spark.streams.addListener(log)
+    try:
+        jobs = start()
+        supervise(spark, jobs)
+        log.wait(*jobs)
+    finally:
+        spark.streams.removeListener(log)
+    return progress_frame(spark, path)
+
+
 def test_progress_and_state(spark, messages):
-    jobs = start_layers(stream(spark, messages), shared_dir(spark, "out"), trigger=None, state_partitions=2, files_per_hour=1)
-    supervise(spark, jobs)
-    progress = progress_frame(*jobs)
+    out = shared_dir(spark, "out")
+    progress = logged(spark, lambda: start_layers(stream(spark, messages), out, trigger=None, state_partitions=2))
     assert progress.agg(F.sum("numInputRows")).first()[0] == spark.read.text(messages).count()
     held = state_metrics(progress).filter("metric = 'layers_states_rowsTotal'").agg(F.max("value")).first()[0]
     assert held == distinct_layers(spark.read.text(messages)).count()
     assert state_metrics(progress).filter("metric = 'layers_latency'").count() >= 1
+    assert batch_latency_bands(progress).filter("band IS NULL").count() == 0
+
+
+def test_every_batch_is_kept(spark, rows):
+    """More batches than a query remembers of itself."""
+    path = shared_dir(spark, "many")
+    spark.range(160).selectExpr("string(id) AS value").coalesce(1).write.option("maxRecordsPerFile", 1).text(path)
+    files = len(stream(spark, path).sparkSession.read.text(path).inputFiles())
+    df = stream_source(spark, "text", path=path, schema="value string", maxFilesPerTrigger="1")
 
+    def start():
+        return [df.writeStream.format("noop").option("checkpointLocation", shared_dir(spark, "c")).trigger(availableNow=True).start()]
 
-def test_listener_copes_with_batches_without_data(spark):
-    listener = ProgressListener(keep=2)
+    progress = logged(spark, start, every=40)
+    assert progress.agg(F.sum("numInputRows")).first()[0] == 160
+    assert progress.filter("numInputRows > 0").select("batchId").distinct().count() == files > 150
+
+
+def test_log_copes_with_batches_without_data(spark):
+    log = ProgressLog(spark, shared_dir(spark, "reports"), every=2)
+    assert progress_frame(spark, log.path).count() == 0
     for batch in range(3):
-        took = {"triggerExecution": 5} if batch == 2 else {"triggerExecution": 9, "addBatch": 7}
-        listener.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(
-            name="q", batchId=batch, timestamp="2024-01-01T00:00:00.000Z", numInputRows=batch, durationMs=took,
-            inputRowsPerSecond=1.0, processedRowsPerSecond=2.0, stateOperators=[SimpleNamespace(numRowsTotal=4)])))
-    got = listener.frame(spark).orderBy("batchId").collect()
-    assert [(r["batchId"], r["addBatchMs"], r["stateRows"]) for r in got] == [(1, 7, 4), (2, None, 4)]
+        log.onQueryProgress(report(batch, late=batch))
+    log.onQueryTerminated(SimpleNamespace(id="i", runId="r", exception=None))
+    got = progress_frame(spark, log.path).orderBy("batchId").collect()
+    assert [(r["batchId"], r["addBatchMs"], r["stateRows"], r["lateRows"]) for r in got] == [(0, 7, 4, 0), (1, 7, 4, 1), (2, None, 4, 2)]
+    log.wait(SimpleNamespace(runId="r"))
+    with pytest.raises(TimeoutError):
+        log.wait(SimpleNamespace(runId="other"), timeout=0.1)
+
+
+def test_dropped_rows_are_reported(spark, rows):
+    """Unsorted input with a short delay loses readings, and says so."""
+    path, out = shared_dir(spark, "source"), shared_dir(spark, "out")
+
+    def reading(at, value):
+        return json.dumps(dict(DeviceId=1, sensor1=value, sensor2=1.0, sensor3=1.0, motor1=1.0, motor2=1.0, motor3=1.0,
+                               isFail=False, collected_at=at))
+
+    late = 0
+    for batch in ([("2024-01-01T05:00:00", 1.0)], [("2024-01-01T06:00:00", 2.0)], [("2024-01-01T01:00:00", 3.0)]):
+        rows([(reading(*r),) for r in batch], "value string").coalesce(1).write.mode("append").text(path)
+        progress = logged(
+            spark, lambda: start_layers(stream(spark, path), out, dedup="bounded", delay="1 hour", trigger=None, state_partitions=2)
+        )
+        late += progress.agg(F.sum("lateRows")).first()[0]
+    assert late == 1 and scan_layer(spark, out).count() == 2
+
+
+def test_supervision_is_only_of_the_given_queries(spark, rows):
+    path = shared_dir(spark, "source")
+    rows([("x",)], "value string").write.text(path)
+    df = stream(spark, path)
+
+    def start(frame):
+        return frame.writeStream.format("noop").option("checkpointLocation", shared_dir(spark, "c")).start()
+
+    foreign = start(df.select(F.raise_error("broken").alias("e"), "value"))
+    good = start(df)
+    began = time.monotonic()
+    supervise(spark, [good], timeout=3)
+    assert good.isActive and time.monotonic() - began < 10
+    bad = start(df.select(F.raise_error("broken").alias("e"), "value"))
+    with pytest.raises(StreamingQueryException):
+        supervise(spark, [good, bad], timeout=60)
+    assert not good.isActive and not foreign.isActive
+    spark.streams.resetTerminated()
+
+
+def test_table_stream_leaves_its_neighbours_alone(spark, rows):
+    root = shared_dir(spark, "tables")
+    for name, n in (("events.parquet", 3), ("events.parquet_old", 5), ("events.parque", 7)):
+        spark.range(n).write.parquet(f"{root}/{name}")
+    df = table_stream(spark, f"{root}/events.parquet")
+    out = shared_dir(spark, "out")
+    df.writeStream.format("parquet").option("checkpointLocation", f"{out}_c").trigger(availableNow=True).start(out).awaitTermination()
+    assert spark.read.schema(df.schema).parquet(out).count() == 3
+
+
+def test_one_sided_scans_and_folders(spark, rows):
+    root = shared_dir(spark, "layers")
+    times = [f"2024-01-{d:02d}T{h:02d}:30:00" for d in (1, 2, 3) for h in (0, 9, 10, 23)]
+    data = [(json.dumps(dict(DeviceId=1, sensor1=float(i), sensor2=1.0, sensor3=1.0, motor1=1.0, motor2=1.0, motor3=1.0,
+                             isFail=False, collected_at=t)),) for i, t in enumerate(times)]
+    write_layer(labelled_readings(rows(data, "value string")), root, partitions=("branch", "year", "month", "day", "hour"))
+
+    def found(**bounds):
+        return sorted(r["collected_at"] for r in scan_layer(spark, root, "data", **bounds).collect())
+
+    assert found(start="2024-01-03") == times[8:]
+    assert found(end="2024-01-01T09:30:00") == times[:1]
+    two = dict(start="2024-01-02T09:00:00", end="2024-01-02T11:00:00")
+    assert found(**two) == found(**two, by_folder=True) == times[5:7]
+    assert found(start="2025-01-01", end="2025-01-02", by_folder=True) == []
+    listed = scan_layer(spark, root, "data", **two, by_folder=True)
+    files = listed._jdf.queryExecution().optimizedPlan().collectLeaves().head().relation().location().inputFiles()
+    assert len(files) == 2
+    with pytest.raises(ValueError):
+        scan_layer(spark, root, separate=True)
 
 
 def test_supervision_stops_the_others_when_one_fails(spark, rows):
