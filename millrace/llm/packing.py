@@ -13,9 +13,11 @@ table gives no rows; columns besides ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +48,9 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.exact = Tokenizer.from_file(path)
-        self.special = [token.content for token in self.exact.get_added_tokens_decoder().values()]
-        self.fast = None
+        with open(path, encoding="utf-8") as file:
+            self.special = [token["content"] for token in json.load(file)["added_tokens"]]
+        self.path, self.fast = path, None
         ranks = path.removesuffix(".json") + ".tiktoken"
         if os.path.exists(ranks):
             import base64
@@ -62,6 +62,12 @@ class Encoder:
                 pairs = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=pairs, special_tokens={})
 
+    @cached_property
+    def exact(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is None or _RARE.search(text) or any(token in text for token in self.special):
             ids = self.exact.encode(text, add_special_tokens=False).ids

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from millrace.session import shared_dir
+from millrace.session import settings, shared_dir
+
+#: Rows of an Arrow batch while a table is written; with whole texts or sets in a row, the default of 10,000 would take
+#: as much memory as a worker has.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet below ``spark.checkpoint.dir`` and read again, so that it is computed once."""
     path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    with settings(df.sparkSession, BATCH):
+        df.write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._written_at = path
     return back
