@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions.clock import as_timestamp, ceil_to, floor_to, from_micros, instant, micros, to_micros
 from millrace.operators.metrics import SERIES
+from millrace.session import stored
 
 SLICE = "1 minute"
-SLICE_WINDOWS = 20
+#: Parts that the rows without a time are spread over.
+UNDATED = 1024
 
 
 def _growth(previous: str, value: str):
@@ -23,50 +25,108 @@ def _growth(previous: str, value: str):
     return F.when(F.col(value) < F.col(previous), F.col(value)).otherwise(F.col(value) - F.col(previous))
 
 
-def counter_increase(
-    m: DataFrame, window: str = "30 seconds", series: Sequence[str] = SERIES
-) -> DataFrame:
-    """Growth of each counter over the ``window`` up to each of its samples, both ends included.
+def _running(m: DataFrame, width: int, series: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Samples with the running growth and number of their series, and the buckets of ``width`` microseconds they are in.
 
-    Null where the window holds one sample only. The growth is the running total at the sample minus the
-    running total at the first sample of its window. To find that first sample without rescanning the
-    window, each row also enters the order at the window's start, as a probe that takes the nearest sample
-    from there on: linear in the samples however dense they are. A slice is some windows long and gets the
-    rows of one more window before it, so it is complete in itself.
+    Windows over samples stay in a bucket, whose width has nothing to do with the windows that are asked for; growth is
+    then summed up over the buckets of a series, one row each. Both are used several times below, so they are tables
+    in the shared folder: samples are shuffled and sorted by bucket once.
     """
-    length = micros(window)
-    width = max(SLICE_WINDOWS * length, micros(SLICE))
-    rows = (
-        m.filter("value IS NOT NULL")
-        .select(*series, to_micros(F.col("ts")).alias("us"), "value")
-        .withColumn("home", F.floor(F.col("us") / width))
-        .withColumn("slice", F.explode(F.sequence("home", F.floor((F.col("us") + length) / width))))
-    )
-    forward = Window.partitionBy(*series, "slice").orderBy("us", "value")
+    rows = m.filter("value IS NOT NULL").select(*series, to_micros(F.col("ts")).alias("us"), "value")
+    rows = rows.withColumn("bucket", F.floor(F.col("us") / width))
+    forward = Window.partitionBy(*series, "bucket").orderBy("us", "value")
     so_far = forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = (
+    inner = (
         rows.withColumns({"prev": F.lag("value").over(forward), "prev_us": F.lag("us").over(forward)})
         .withColumn("step", F.coalesce(_growth("prev", "value"), F.lit(0.0)))
-        .withColumn("total", F.sum("step").over(so_far))
-        .withColumn("alone", F.coalesce(F.col("prev_us") < F.col("us") - length, F.lit(True)))
+        .withColumns({"grown": F.sum("step").over(so_far), "nth": F.count("*").over(so_far)})
+        .select(*series, "bucket", "us", "value", "prev_us", "grown", "nth")
+    )
+    inner = stored(inner, "samples")
+    buckets = inner.groupBy(*series, "bucket").agg(
+        F.min(F.struct("us", "value")).alias("first"),
+        F.max(F.struct("us", "value")).alias("last"),
+        F.max("grown").alias("inside"),
+        F.max("nth").alias("rows"),
+    )
+    line = Window.partitionBy(*series).orderBy("bucket")
+    until = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.lag("last").over(line)
+    buckets = (
+        buckets.withColumns({"last_value": last["value"], "last_us": last["us"], "first_value": F.col("first")["value"]})
+        .withColumn("edge", F.coalesce(_growth("last_value", "first_value"), F.lit(0.0)))
+        .select(
+            *series,
+            "bucket",
+            F.col("first.us").alias("first_us"),
+            F.col("last.us").alias("end_us"),
+            "last_us",
+            F.lead("first.us").over(line).alias("next_us"),
+            (F.sum(F.col("edge") + F.col("inside")).over(until) - F.col("inside")).alias("base"),
+            (F.sum("rows").over(until) - F.col("rows")).alias("base_n"),
+        )
     )
-    sample, start = F.struct(F.col("us").alias("at"), F.lit(False).alias("probe")), F.col("us") - length
-    both = F.array(sample, F.struct(start.alias("at"), F.lit(True).alias("probe")))
-    marks = F.when(F.col("slice") == F.col("home"), both).otherwise(F.array(sample))
+    buckets = stored(buckets, "buckets")
+    totals = inner.join(buckets.select(*series, "bucket", "base", "base_n", "last_us"), [*series, "bucket"]).select(
+        *series,
+        "bucket",
+        "us",
+        "value",
+        F.coalesce("prev_us", "last_us").alias("prev_us"),
+        (F.col("base") + F.col("grown")).alias("total"),
+        (F.col("base_n") + F.col("nth")).alias("n"),
+    )
+    return totals, buckets
+
+
+def _first_from(
+    probes: DataFrame, totals: DataFrame, buckets: DataFrame, width: int, series: Sequence[str], carried: Sequence[str]
+) -> DataFrame:
+    """``probes`` (the series and ``at``) with ``start``: total and number of the first sample from ``at`` on.
+
+    A probe enters the order of the samples of its bucket; where none follows there, the next bucket's first sample is
+    taken, which is looked up among buckets.
+    """
+    probes = probes.withColumn("bucket", F.floor(F.col("at") / width))
+    sample = F.struct("total", "n")
+    none = F.lit(None)
+    marks = totals.select(
+        *series, "bucket", F.col("us").alias("at"), sample.alias("sample"), *[none.alias(c) for c in carried]
+    ).unionByName(probes.withColumn("sample", none))
     # Totals never fall, so of samples with one time the earliest comes last in this order.
     backward = (
-        Window.partitionBy(*series, "slice")
-        .orderBy(F.col("at").desc(), "probe", F.col("total").desc())
+        Window.partitionBy(*series, "bucket")
+        .orderBy(F.col("at").desc(), F.col("sample").isNull(), F.col("sample.total").desc(), F.col("sample.n").desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    base = F.last(F.when(~F.col("probe"), F.col("total")), ignorenulls=True).over(backward)
-    found = totals.select(*series, "slice", "us", "value", "total", "alone", F.inline(marks))
-    grown = F.when(~F.col("alone"), F.col("total") - F.col("base"))
-    return (
-        found.withColumn("base", base)
-        .filter("probe")
-        .select(*series, from_micros(F.col("us")).alias("ts"), "value", grown.alias("increase"))
+    found = marks.withColumn("start", F.last("sample", ignorenulls=True).over(backward)).filter("sample IS NULL")
+    heads = buckets.select(*series, "bucket", F.struct(F.col("base").alias("total"), (F.col("base_n") + 1).alias("n")).alias("head"))
+    line = (
+        heads.unionByName(probes.select(*series, "bucket").distinct().withColumn("head", none))
+        .groupBy(*series, "bucket")
+        .agg(F.max("head").alias("head"))
     )
+    later = Window.partitionBy(*series).orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    nexts = line.select(*series, "bucket", F.last("head", ignorenulls=True).over(later).alias("next"))
+    joined = found.drop("sample").join(nexts, [*series, "bucket"])
+    return joined.withColumn("start", F.coalesce("start", "next")).drop("next", "bucket")
+
+
+def counter_increase(
+    m: DataFrame, window: str = "30 seconds", series: Sequence[str] = SERIES, bucket: str = SLICE
+) -> DataFrame:
+    """Growth of each counter over the ``window`` up to each of its samples, both ends included.
+
+    Null where the window holds one sample only. The growth is the running total at the sample minus the running total
+    at the first sample of its window: linear in the samples however long the window and however dense they are.
+    """
+    length, width = micros(window), micros(bucket)
+    totals, buckets = _running(m, width, series)
+    carried = ["us", "value", "total", "prev_us"]
+    probes = totals.select(*series, (F.col("us") - length).alias("at"), *carried)
+    found = _first_from(probes, totals, buckets, width, series, carried)
+    grown = F.when(F.col("prev_us") >= F.col("us") - length, F.col("total") - F.col("start.total"))
+    return found.select(*series, from_micros(F.col("us")).alias("ts"), "value", grown.alias("increase"))
 
 
 def counter_increase_grid(
@@ -74,27 +134,31 @@ def counter_increase_grid(
     window: str = "30 seconds",
     step: str = "30 seconds",
     series: Sequence[str] = SERIES,
+    bucket: str = SLICE,
 ) -> DataFrame:
-    """The same growth at fixed evaluation times, multiples of ``step``.
+    """The same growth at fixed evaluation times, multiples of ``step``; times with one sample or none have no row.
 
-    Each sample goes to the evaluation times whose window holds it, so a group is one window of one series.
+    A bucket is asked for the evaluation times from its first sample to the next bucket's, as long as its last sample
+    is in the window; so evaluation times are made once, and no sample is copied.
     """
-    length, every = micros(window), micros(step)
-    us = F.col("us")
-    rows = (
-        m.filter("value IS NOT NULL")
-        .select(*series, to_micros(F.col("ts")).alias("us"), "value")
-        .withColumns({"from": ceil_to(us, every), "to": floor_to(us + length, every)})
-        .filter("from <= to")
-        .withColumn("at", F.explode(F.sequence("from", "to", F.lit(every))))
+    length, every, width = micros(window), micros(step), micros(bucket)
+    totals, buckets = _running(m, width, series)
+    low, high = ceil_to(F.col("first_us"), every), floor_to(F.col("end_us") + length, every)
+    high = F.least(high, ceil_to(F.col("next_us"), every) - every)
+    times = buckets.select(*series, "bucket", low.alias("low"), high.alias("high")).filter("low <= high")
+    times = times.select(*series, "bucket", F.explode(F.sequence("low", "high", F.lit(every))).alias("at"))
+    marks = totals.select(*series, "bucket", F.col("us").alias("at"), F.struct("total", "n").alias("sample"))
+    marks = marks.unionByName(times.withColumn("sample", F.lit(None)))
+    forward = (
+        Window.partitionBy(*series, "bucket")
+        .orderBy("at", F.col("sample").isNull(), "sample.total", "sample.n")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    forward = Window.partitionBy(*series, "at").orderBy("us", "value")
-    return (
-        rows.withColumn("prev", F.lag("value").over(forward))
-        .groupBy(*series, "at")
-        .agg(F.sum(F.when(F.col("prev").isNotNull(), _growth("prev", "value"))).alias("increase"))
-        .filter("increase IS NOT NULL")
-        .select(*series, from_micros(F.col("at")).alias("ts"), "increase")
+    ends = marks.withColumn("end", F.last("sample", ignorenulls=True).over(forward)).filter("sample IS NULL")
+    probes = ends.select(*series, (F.col("at") - length).alias("at"), F.col("at").alias("eval"), "end")
+    found = _first_from(probes, totals, buckets, width, series, ["eval", "end"])
+    return found.filter("end.n > start.n").select(
+        *series, from_micros(F.col("eval")).alias("ts"), (F.col("end.total") - F.col("start.total")).alias("increase")
     )
 
 
@@ -219,9 +283,11 @@ def time_reversal(df: DataFrame, key: str = "DeviceId", slice_width: str = SLICE
         key, "_us", F.when(F.col("first"), F.col("outer")).otherwise(F.col("inner")).alias("before")
     )
     late = to_micros(as_timestamp(F.col("time"))) < F.col("before")
+    # Rows without a time match nothing; spread over salts, those of a device do not travel as one group.
+    salt = F.when(F.col("ts").isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(UNDATED))).otherwise(0)
     return (
-        df.withColumn("_us", us)
-        .join(before, [key, "_us"], "left")
+        df.withColumns({"_us": us, "_salt": salt})
+        .join(before.withColumn("_salt", F.lit(0).cast("long")), [key, "_us", "_salt"], "left")
         .select(
             *df.columns,
             from_micros(F.col("before")).alias("previous_time"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from contextlib import contextmanager
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -25,6 +25,13 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder, for what is used several times."""
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def settings(spark: SparkSession, wanted: dict[str, str]):
     """Session settings for the length of a block."""

@@ -43,7 +43,7 @@ def test_row_work_has_no_shuffle(spark, name):
 
 @pytest.mark.parametrize(("name", "shuffles"), [("branch_counts", 2), ("dedup_exact", 1), ("latest_per_device", 2),
                                                 ("metric_ratio_join", 1), ("word_count", 1), ("legend_reduce", 1),
-                                                ("counter_increase", 1), ("counter_increase_grid", 1)])
+                                                ("branch_union_check", 1), ("is_empty", 0)])
 def test_number_of_shuffles(spark, name, shuffles):
     assert len(re.findall(r"Exchange hashpartitioning", query_plan(spark, name))) == shuffles
 
@@ -60,10 +60,37 @@ def test_top_one_is_limited_before_the_shuffle(spark):
 
 
 def test_windows_over_a_device_are_cut_by_time(spark):
-    """No window over raw samples is partitioned by device or series alone."""
+    """No window over raw samples is partitioned by device or series alone: those over a series have one row a bucket."""
     for name in ("counter_increase", "counter_increase_grid", "time_reversal"):
-        for keys in re.findall(r"Window \[.*?\], \[([^\]]*)\]", query_plan(spark, name)):
-            assert re.search(r"slice|at#|group", keys), (name, keys)
+        for frame, keys in re.findall(r"Window \[(.*?)\], \[([^\]]*)\]", query_plan(spark, name)):
+            assert re.search(r"slice|bucket|group", keys) or "last(head" in frame, (name, frame, keys)
+
+
+def test_windows_longer_than_a_bucket(spark):
+    """A dense series under windows of many buckets, against a rescan of each window."""
+    data = [("m", "1", t + 0.5 * (t % 3), float(t * 7 % 50)) for t in range(0, 900, 2)] + [("m", "2", 5000.0, 1.0), ("m", "2", 5400.0, 4.0)]
+    m = spark.createDataFrame(data, "metric string, device_id string, at double, value double")
+    m = m.select("metric", "device_id", F.timestamp_micros((F.col("at") * 1e6).cast("long")).alias("ts"), "value")
+
+    def growth(values):
+        return sum(b if b < a else b - a for a, b in zip(values, values[1:])) if len(values) > 1 else None
+
+    by = {d: [(at, v) for _, e, at, v in data if e == d] for d in ("1", "2")}
+    for window in (7, 300, 3600):
+        got = series.counter_increase(m, f"{window} seconds", bucket="10 seconds").collect()
+        assert len(got) == len(data)
+        for r in got:
+            at = r["ts"].timestamp()
+            assert r["increase"] == growth([v for t, v in by[r["device_id"]] if at - window <= t <= at])
+        grid = series.counter_increase_grid(m, f"{window} seconds", "30 seconds", bucket="10 seconds").collect()
+        found = {(r["device_id"], r["ts"].timestamp()): r["increase"] for r in grid}
+        want = {}
+        for d, samples in by.items():
+            for at in range(0, 9100, 30):
+                value = growth([v for t, v in samples if at - window <= t <= at])
+                if value is not None:
+                    want[d, float(at)] = value
+        assert found == want and len(grid) == len(want)
 
 
 def test_hot_counts_are_combined_before_the_shuffle(spark, rows):
