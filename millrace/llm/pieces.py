@@ -157,7 +157,8 @@ class Pieces:
 
     def whole(self, text: str) -> bytes:
         """Ids of a normalised text."""
-        return b"".join(map(self.word, _WORDS.findall(text)))
+        known = self._words.get
+        return b"".join([known(word) or self.word(word) for word in _WORDS.findall(text)])
 
 
 _loaded: dict[str, Pieces] = {}
