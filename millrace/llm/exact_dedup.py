@@ -41,9 +41,9 @@ ANCHOR = 18
 HOT = 2000
 #: Bytes of text whose stretches are compared with each other before they are dealt.
 TOGETHER = 8 << 20
-SHARD = 4 << 20
+SHARD = 2 << 20
 #: Bytes of text whose records are grouped at once.
-PART = 16 << 20
+PART = 8 << 20
 
 _WINDOW = SPAN - ANCHOR + 1
 _TAG = np.uint64(0xA0761D6478BD642F)
