@@ -262,6 +262,7 @@ def trailing_window(spark, sf_dir):
         body="""SELECT event_id, copy, concat_ws(',',
           CASE WHEN cut_off OR time IS NULL THEN 'missing_time' END,
           CASE WHEN cut_off THEN 'missing_DeviceId' END,
+          CASE WHEN NOT cut_off AND DeviceId NOT BETWEEN 1 AND 5 THEN 'out_of_range_DeviceId' END,
           CASE WHEN cut_off OR sensor1 IS NULL THEN 'missing_sensor1' END,
           CASE WHEN NOT cut_off AND sensor1 NOT BETWEEN 0 AND 100 THEN 'out_of_range_sensor1' END,
           CASE WHEN cut_off THEN 'missing_sensor2' END,
@@ -336,7 +337,8 @@ def _quality_sql(by: str) -> str:
          cut_off OR time IS NULL OR sensor1 IS NULL AS missing,
          NOT cut_off AND collected_at = 'garbage' AS bad_time,
          false AS type_mismatch,
-         NOT cut_off AND coalesce(NOT {VALID}, NOT (sensor2 BETWEEN 0 AND 100 AND sensor3 BETWEEN 0 AND 150
+         NOT cut_off AND coalesce(NOT (sensor1 BETWEEN 0 AND 100 AND sensor2 BETWEEN 0 AND 100 AND sensor3 BETWEEN 0 AND 150
+            AND motor1 BETWEEN 0 AND 2000 AND motor2 BETWEEN 0 AND 1500 AND motor3 BETWEEN 0 AND 1800), NOT (sensor2 BETWEEN 0 AND 100 AND sensor3 BETWEEN 0 AND 150
             AND motor1 BETWEEN 0 AND 2000 AND motor2 BETWEEN 0 AND 1500 AND motor3 BETWEEN 0 AND 1800)) AS out_of_range,
          NOT cut_off AND DeviceId NOT BETWEEN 1 AND 5 AS wrong_device
   FROM dated)""",

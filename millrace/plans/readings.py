@@ -41,7 +41,7 @@ def distinct_layers(messages: DataFrame, ranges: Ranges = DEFAULT_RANGES) -> Dat
 
 
 def event_readings(events: DataFrame, device_clock_lag: bool = False) -> DataFrame:
-    """Events as readings, with the faults real feeds have: missing values, missing and bad times.
+    """Events as readings, with the faults real feeds have: missing values, missing and bad times, foreign devices.
 
     ``device_clock_lag`` lets the device clock run up to two minutes behind the collector's.
     """
@@ -51,7 +51,7 @@ def event_readings(events: DataFrame, device_clock_lag: bool = False) -> DataFra
     event = F.col("event_id")
     return events.select(
         F.when(event % 89 != 0, iso(seen)).alias("time"),
-        (F.col("user_id") % 5 + 1).cast("int").alias("DeviceId"),
+        (F.col("user_id") % 5 + F.when(event % 151 == 0, 98).otherwise(1)).cast("int").alias("DeviceId"),
         F.when(event % 97 != 0, F.col("value")).alias("sensor1"),
         k.alias("sensor2"),
         (F.col("value") + k).alias("sensor3"),

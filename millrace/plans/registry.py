@@ -58,7 +58,7 @@ def _readings_sql(lag: str) -> str:
     return f"""readings AS (
   SELECT event_id,
          CASE WHEN event_id % 89 <> 0 THEN strftime(ts{lag}, {ISO}) END AS time,
-         CAST(1 + user_id % 5 AS INTEGER) AS DeviceId,
+         CAST(user_id % 5 + CASE WHEN event_id % 151 = 0 THEN 98 ELSE 1 END AS INTEGER) AS DeviceId,
          CASE WHEN event_id % 97 <> 0 THEN value END AS sensor1,
          CAST(json_extract(props, '$.k') AS DOUBLE) AS sensor2,
          value + CAST(json_extract(props, '$.k') AS DOUBLE) AS sensor3,

@@ -54,12 +54,12 @@ def range_repartition(spark, sf_dir):
 
 @query(
     "word_split_ws",
-    f"""SELECT doc_id, len(list_filter(regexp_split_to_array(text, '{ANY_SPACE}'), lambda w: w <> '')) AS words
+    f"""SELECT doc_id, array_to_string(list_filter(regexp_split_to_array(text, '{ANY_SPACE}'), lambda w: w <> ''), chr(31)) AS words
         FROM documents""",
 )
 def word_split_ws(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
-    return documents.select("doc_id", F.size(words_any_space(F.col("text"))).cast("long").alias("words"))
+    return documents.select("doc_id", F.array_join(words_any_space(F.col("text")), "\x1f").alias("words"))
 
 
 @query(
