@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -69,6 +71,16 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give memory back that Python workers no longer use: they live on beyond a task, beside a heap of fixed size."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def pieces(batch: pa.RecordBatch, column: str, most: int = BLOCK) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most ``most`` bytes of text each, or a single row."""
     _, offsets = texts(batch.column(column))
@@ -77,6 +89,7 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = BLOCK) -> Iterator[pa
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
         yield batch.slice(at, end - at)
         at = end
+    release()
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

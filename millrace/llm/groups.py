@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from millrace.llm.flat import release
+
 
 def changes(table: pa.Table, keys: list[str]) -> np.ndarray:
     """The row at which each group begins, in a table sorted by ``keys`` (integers without nulls)."""
@@ -33,9 +35,11 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], most: int =
         cut = int(changes(table, keys)[-1])
         if cut:
             yield table.slice(0, cut)
+            release()
             held, limit = table.slice(cut).to_batches(), most
             size = sum(b.nbytes for b in held)
         else:
             limit = 2 * size
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
+        release()
