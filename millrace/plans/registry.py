@@ -124,13 +124,18 @@ HOSTS = """hosts AS (
   FROM part)"""
 
 
-def evaluation_sql(series: str, step: str, lookback: str, source: str = "metrics") -> str:
-    """Every series at every step from its first sample on until its last sample has left the look-back."""
+def evaluation_sql(series: str, step: str, lookback: str, source: str = "metrics", until: str | None = None) -> str:
+    """Every series at every step from its first sample on until its last sample has left the look-back.
+
+    With ``until``, a time on the grid, later samples are unknown and evaluation ends there.
+    """
+    if until:
+        source = f"(SELECT * FROM {source} WHERE ts <= TIMESTAMP '{until}')"
     joined = " AND ".join(f"g.{s.strip()} = m.{s.strip()}" for s in series.split(","))
     return f"""spans AS (
   SELECT {series}, min(time_bucket(INTERVAL '{step}', ts + INTERVAL '{step}' - INTERVAL 1 MICROSECOND)) AS lo,
          greatest(max(time_bucket(INTERVAL '{step}', ts + INTERVAL '{step}' - INTERVAL 1 MICROSECOND)),
-                  time_bucket(INTERVAL '{step}', max(ts) + INTERVAL '{lookback}')) AS hi
+                  time_bucket(INTERVAL '{step}', {f"TIMESTAMP '{until}'" if until else f"max(ts) + INTERVAL '{lookback}'"})) AS hi
   FROM {source} WHERE value IS NOT NULL GROUP BY ALL),
 grid AS (
   SELECT {series}, unnest(generate_series(lo, hi, INTERVAL '{step}')) AS eval_ts FROM spans),

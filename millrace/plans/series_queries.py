@@ -165,6 +165,31 @@ def instant_value(spark, sf_dir):
     return series.instant_value(values(spark, sf_dir), "30 minutes", "1 hour")
 
 
+@query(
+    "instant_value_until",
+    with_(
+        VALUE_METRICS,
+        evaluation_sql(SERIES, "30 minutes", "1 hour", until=AS_OF),
+        body="SELECT metric, device_id, eval_ts, value FROM evaluated WHERE value IS NOT NULL",
+    ),
+)
+def instant_value_until(spark, sf_dir):
+    """Evaluation that ends amid the data."""
+    return series.instant_value(values(spark, sf_dir), "30 minutes", "1 hour", until=AS_OF)
+
+
+@query(
+    "alert_threshold_until",
+    with_(
+        VALUE_METRICS,
+        evaluation_sql(SERIES, "30 minutes", "1 hour", until=AS_OF),
+        body="SELECT metric, device_id, eval_ts, value, value > 75 AS breach FROM evaluated",
+    ),
+)
+def alert_threshold_until(spark, sf_dir):
+    return alerts.alert_threshold(values(spark, sf_dir), ">", 75, "30 minutes", "1 hour", until=AS_OF)
+
+
 @query(
     "instant_value_at",
     with_(
