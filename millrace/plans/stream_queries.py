@@ -6,7 +6,7 @@ results depend on the order of arrival, the events come by time, as they would f
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -34,8 +34,10 @@ from millrace.streaming.windows import streaming_branch_counts
 BATCH = {"maxBytesPerTrigger": str(10**12)}
 #: Files of a batch where events come by time; at least five batches, whatever the table's size.
 FEED = {"maxFilesPerTrigger": "4"}
-#: Span of event time that arrives together, and so the longest that a reading may be behind the latest one.
-SLICE, DELAY = timedelta(days=6), "6 days"
+#: Files of a feed at least, and bytes of the events that one of them is written for.
+LEAST_FILES, FILE_SIZE = 20, 2**27
+#: The longest that a reading may be behind the latest one.
+DELAY = "10 minutes"
 #: Files per hour and batch of the layered writes; an hour of the table is small.
 FILES_PER_HOUR = 1
 
@@ -44,20 +46,33 @@ def message_stream(spark, sf_dir, **options):
     return event_messages(table_stream(spark, f"{sf_dir}/events.parquet", **options))
 
 
+def in_order(spark, path: str) -> None:
+    """Date the part files of a table one millisecond after the other, in the order of their numbers.
+
+    A file source takes older files first, and the files of one write are as old as their tasks happened to end.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = [f for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
+    parts.sort(key=lambda f: int(f.getPath().getName().split("-")[1]))
+    first = min((f.getModificationTime() for f in parts), default=0) - len(parts)
+    for number, part in enumerate(parts):
+        fs.setTimes(part.getPath(), first + number, -1)
+        if fs.getFileStatus(part.getPath()).getModificationTime() != first + number:
+            raise OSError(f"files cannot be dated here, so their order is unknown: {part.getPath()}")
+
+
 def feed(spark, sf_dir):
-    """The events as messages in order of arrival: slices of event time, written one after the other.
+    """The events as messages in order of arrival: files of event time, each later than the one before it.
 
-    A file source takes older files first. Within a slice files come in any order, which ``DELAY`` covers.
+    Rows of one file come in any order but are never apart by a batch, so that a batch may end behind any file.
     """
-    events = table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events").filter("ts IS NOT NULL")
     path = shared_dir(spark, "feed")
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    begin = first or datetime(2024, 1, 1)
-    while begin <= (last or begin):
-        events.filter(F.col("ts").between(begin, begin + SLICE - timedelta(microseconds=1))).repartition(4).write.mode(
-            "append"
-        ).parquet(path)
-        begin += SLICE
+    size = int(events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    # by event_id as well, so that an instant with many events is not one file
+    events.repartitionByRange(max(LEAST_FILES, -(-size // FILE_SIZE)), "ts", "event_id").write.parquet(path)
+    in_order(spark, path)
     return event_messages(table_stream(spark, path, **FEED))
 
 

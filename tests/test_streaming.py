@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.operators.dedup import dedup_bounded
 from millrace.operators.metrics import hourly_branch_counts
 from millrace.operators.parse import event_time
+from millrace.plans import stream_queries
 from millrace.plans.monitors import batch_latency_bands
 from millrace.plans.readings import distinct_layers, event_messages, labelled_readings
 from millrace.schema import BRANCHES, DEDUP_KEYS, READING_SCHEMA
@@ -352,3 +353,14 @@ def test_topic_source_defaults(spark, monkeypatch):
 def test_table_stream_reads_a_single_file_table(spark):
     df = table_stream(spark, EVENTS)
     assert df.isStreaming and df.columns == spark.read.parquet(EVENTS).columns
+
+
+def test_feed_comes_by_time_and_every_hour_the_watermark_has_passed_is_counted(spark):
+    """Of the hours of the table only those that end later than ten minutes before its last reading stay open."""
+    got = stream_queries.streaming_window_count(spark, "/root/testdata/sf0.001")
+    rows = labelled_readings(event_messages(spark.read.parquet(EVENTS))).filter("ts IS NOT NULL")
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_start")
+    until = rows.agg(F.date_trunc("millisecond", F.max("ts")) - F.expr("INTERVAL 70 MINUTES")).first()[0]
+    want = rows.filter(F.date_trunc("hour", "ts") <= until).groupBy(hour, "DeviceId", "branch").agg(F.count("*").alias("readings"))
+    columns = ["hour_start", "DeviceId", "branch", "readings"]
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
