@@ -32,8 +32,8 @@ from millrace.streaming.windows import streaming_branch_counts
 
 # A batch of a terabyte is done over when it fails, not the whole table.
 BATCH = {"maxBytesPerTrigger": str(10**12)}
-#: Files of a batch where events come by time; at least five batches, whatever the table's size.
-FEED = {"maxFilesPerTrigger": "4"}
+#: Batches of a feed at least, whatever the table's size.
+LEAST_BATCHES = 5
 #: Files of a feed at least, and bytes of the events that one of them is written for.
 LEAST_FILES, FILE_SIZE = 20, 2**27
 #: The longest that a reading may be behind the latest one.
@@ -46,8 +46,8 @@ def message_stream(spark, sf_dir, **options):
     return event_messages(table_stream(spark, f"{sf_dir}/events.parquet", **options))
 
 
-def in_order(spark, path: str) -> None:
-    """Date the part files of a table one millisecond after the other, in the order of their numbers.
+def in_order(spark, path: str) -> int:
+    """Date the part files of a table one millisecond after the other, in the order of their numbers; their bytes.
 
     A file source takes older files first, and the files of one write are as old as their tasks happened to end.
     """
@@ -60,20 +60,22 @@ def in_order(spark, path: str) -> None:
         fs.setTimes(part.getPath(), first + number, -1)
         if fs.getFileStatus(part.getPath()).getModificationTime() != first + number:
             raise OSError(f"files cannot be dated here, so their order is unknown: {part.getPath()}")
+    return sum(part.getLen() for part in parts)
 
 
 def feed(spark, sf_dir):
     """The events as messages in order of arrival: files of event time, each later than the one before it.
 
     Rows of one file come in any order but are never apart by a batch, so that a batch may end behind any file.
+    Events without a time come first.
     """
-    events = table(spark, sf_dir, "events").filter("ts IS NOT NULL")
+    events = table(spark, sf_dir, "events")
     path = shared_dir(spark, "feed")
     size = int(events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     # by event_id as well, so that an instant with many events is not one file
     events.repartitionByRange(max(LEAST_FILES, -(-size // FILE_SIZE)), "ts", "event_id").write.parquet(path)
-    in_order(spark, path)
-    return event_messages(table_stream(spark, path, **FEED))
+    batch = min(int(BATCH["maxBytesPerTrigger"]), max(1, in_order(spark, path) // LEAST_BATCHES))
+    return event_messages(table_stream(spark, path, maxBytesPerTrigger=str(batch)))
 
 
 def state_partitions(spark) -> int:

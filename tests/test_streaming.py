@@ -364,3 +364,17 @@ def test_feed_comes_by_time_and_every_hour_the_watermark_has_passed_is_counted(s
     want = rows.filter(F.date_trunc("hour", "ts") <= until).groupBy(hour, "DeviceId", "branch").agg(F.count("*").alias("readings"))
     columns = ["hour_start", "DeviceId", "branch", "readings"]
     assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
+
+
+def test_feed_has_events_without_a_time_and_batches_of_bounded_bytes(spark, monkeypatch):
+    events, path = spark.read.parquet(EVENTS), shared_dir(spark, "tables")
+    undated = F.when(F.col("event_id") % 3 != 0, F.col("ts")).alias("ts")
+    events.select(*[undated if c == "ts" else c for c in events.columns]).write.parquet(f"{path}/events.parquet")
+    got = stream_queries.progress_metrics(spark, path).first()
+    batch = distinct_layers(event_messages(spark.read.parquet(f"{path}/events.parquet")))
+    assert (got.input_rows, got.state_rows, got.late_rows) == (events.count(), batch.count(), 0)
+    per_device = stream_queries.dedup_bounded(spark, path)
+    assert sorted(map(tuple, per_device.collect())) == sorted(map(tuple, stream_queries.per_device(batch).collect()))
+    monkeypatch.setitem(stream_queries.BATCH, "maxBytesPerTrigger", "1")  # of which every file is too large
+    batches = stream_queries.layers_progress(spark, path).filter("numInputRows > 0")
+    assert batches.count() == stream_queries.LEAST_FILES
