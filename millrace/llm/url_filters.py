@@ -1,9 +1,10 @@
 """URL filters: explicit rules, and for all other pages a tree of path templates judged by labelled purity.
 
 Variable segments (numbers, hexadecimal names, dates) become wildcards first, which folds all pages of a host into a
-few rows per path shape. The tree is then built over those rows, a level at a time: under each parent a segment stays
-a branch of its own if it is frequent and its labels differ from those of its siblings by a two-proportion test, the
-worse ones first; all others merge into ``*``. A template is rejected if the labelled share of bad pages, smoothed towards the host's share
+few rows per path shape. The tree is then built over those rows, a level at a time down to the last segment: under each
+parent a segment stays a branch of its own if its labels differ from those of its siblings by a two-proportion test, the
+worse ones first; all others merge into ``*``. Where the labels of a parent cannot tell any two branches apart, all that
+is below it is ``*`` at once. A template is rejected if the labelled share of bad pages, smoothed towards the host's share
 and that towards the share of all pages, reaches ``REJECT``. Counts are combined map-side, so that a host with a third
 of all pages is a handful of rows in every later step.
 
@@ -15,16 +16,15 @@ empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import discard, written
+from millrace.llm.tables import written
 
-#: Levels of the tree; what is deeper is one segment.
-DEPTH = 4
-#: A branch needs this share of its parent's pages, and so many labelled ones, to stand alone.
-LEAST_SHARE = 0.01
+#: A branch needs so many labelled pages, and its siblings as many, to stand alone.
 LEAST_LABELLED = 20
 #: Standard errors between the bad shares of a branch and its siblings from which they count as different.
 DIFFERENT = 3.0
@@ -56,7 +56,7 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
 
 
 def shape(path: Column) -> Column:
-    """Segments of a path with variable ones as wildcards; those below ``DEPTH`` are one."""
+    """Segments of a path with variable ones as wildcards."""
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
     kinds = (
         (r"^\d{4}-\d\d-\d\d$", "<date>"),
@@ -69,9 +69,7 @@ def shape(path: Column) -> Column:
             segment = F.regexp_replace(segment, pattern, name)
         return segment
 
-    segments = F.transform(segments, general)
-    deep = F.when(F.size(segments) > DEPTH, F.array(F.lit("<deep>"))).otherwise(F.array().cast("array<string>"))
-    return F.concat(F.slice(segments, 1, DEPTH), deep)
+    return F.transform(segments, general)
 
 
 _SUMS = ("n", "labelled", "bad")
@@ -104,7 +102,7 @@ def _level(tree: DataFrame, depth: int) -> DataFrame:
         branch = branch.join(branch.groupBy(*parent).agg(*sums), parent)
         rest, rest_bad = F.col("all_labelled") - F.col("labelled"), F.col("all_bad") - F.col("bad")
         beyond = _beyond(F.col("labelled"), F.col("bad"), rest, rest_bad)
-        apart = left & (F.col("n") >= LEAST_SHARE * F.col("all_n")) & ((beyond if test == "worse" else -beyond) > DIFFERENT)
+        apart = left & ((beyond if test == "worse" else -beyond) > DIFFERENT)
         branch = branch.withColumn(test, F.coalesce(apart, F.lit(False))).drop(*(f"all_{c}" for c in _SUMS))
     alone = F.col("worse") | F.col("better")
     ended = F.col("segment") == ""
@@ -114,12 +112,27 @@ def _level(tree: DataFrame, depth: int) -> DataFrame:
     return grown.withColumn("template", F.concat("template", "name")).drop("segment", "name")
 
 
+def _open(tree: DataFrame, depth: int) -> DataFrame:
+    """The templates with paths below ``depth`` whose labels could still set branches apart."""
+    sums = tree.groupBy("host", "template").agg(
+        F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"), F.max(F.size("shape")).alias("deepest")
+    )
+    enough = (F.col("labelled") >= 2 * LEAST_LABELLED) & (F.col("bad") > 0) & (F.col("bad") < F.col("labelled"))
+    return sums.filter(enough & (F.col("deepest") > depth)).select("host", "template")
+
+
 def templates(shapes: DataFrame) -> DataFrame:
     """``host``, ``shape``, ``template``, ``purity`` from counts per host and shape (``n``, ``labelled``, ``bad``)."""
-    tree = written(shapes.withColumn("template", F.lit("")), "tree")
-    for depth in range(DEPTH + 1):
-        last, tree = tree, written(_level(tree, depth), "tree")
-        discard(last)
+    tree, done = written(shapes.withColumn("template", F.lit("")), "tree"), []
+    for depth in count():
+        parents = written(_open(tree, depth), "parents")
+        below = F.repeat(F.lit("/*"), F.greatest(F.size("shape") - depth, F.lit(0)))
+        ended = tree.join(parents, ["host", "template"], "left_anti")
+        done.append(ended.select("host", "shape", F.concat("template", below).alias("template"), *_SUMS))
+        if parents.isEmpty():
+            break
+        tree = written(_level(tree.join(parents, ["host", "template"], "left_semi"), depth), "tree")
+    tree = written(reduce(DataFrame.union, done), "templates")
     by_template = _summed(tree, "host", "template")
     by_host = _summed(tree, "host").select("host", F.col("labelled").alias("h_labelled"), F.col("bad").alias("h_bad"))
     total = tree.agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")).first()

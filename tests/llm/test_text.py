@@ -264,6 +264,20 @@ def test_templates_split_and_are_rejected(spark):
     assert {r.template for r in got if r.host == "h.org"} == {"h.org/spam/*/*", "h.org/*/*/*"}
 
 
+def test_rare_and_deep_branches_are_set_apart(spark):
+    """One of 150 equal branches is bad, and of another host two that differ from the sixth segment on."""
+    pages = [(f"http://wide.org/b{chr(97 + k // 26)}{chr(97 + k % 26)}/{i}", int(k == 7)) for k in range(150) for i in range(30)]
+    pages += [(f"http://deep.org/a/b/c/d/e/{kind}/x/{i}", int(kind == "bad")) for kind in ("bad", "good", "other") for i in range(60)]
+    pages += [("http://deep.org/a/b/c/d/e", 0), ("http://deep.org/" + "z/" * 40, 0)]
+    numbered = [(n, *page) for n, page in enumerate(pages)]
+    table = spark.createDataFrame(numbered, "page_id long, url string, bad int")
+    got = url_filters.filter_urls(table.select("page_id", "url"), table.select("page_id", "bad"), ()).collect()
+    assert {r.page_id: r.verdict for r in got} == {n: "block" if bad else "allow" for n, _, bad in numbered}
+    assert len(got) == len(pages)
+    assert {r.template for r in got if r.host == "wide.org"} == {"wide.org/bah/*", "wide.org/*/*"}
+    assert "deep.org/*/*/*/*/*/bad/*/*" in {r.template for r in got}
+
+
 def test_warc_records_are_linked(rows):
     page = '<html lang="fr"><head><title>A &amp; B</title><meta charset="utf-8"><style>p{}</style></head><body><p>Un<br>deux</p><script>var t="</p>"</script><a href="/x">lien &eacute;</a></body></html>'
     df = rows([(1, "http://a.org/", page), (2, None, None), (3, "http://b.org/", ""), (1, "http://a.org/", page)], "page_id long, url string, html string")
