@@ -7,9 +7,9 @@ chooses what costs least. The cost of a chunk of turns between any two states is
 conversation is split into chunks: matrices first, then one pass over them fixes the states at the borders, then every
 chunk is traced back and rendered on its own. The rendered parts of a conversation follow each other without a gap.
 
-Defined cases: turns are ordered by ``turn``, role and text, those without ``turn`` last; a null or unknown role can be
-relabelled to any; a null text is empty; rows that repeat a turn word for word are one turn; rows without ``conv_id``
-are one conversation; an empty table gives no rows; other columns are not read.
+Defined cases: turns are ordered by ``turn``, role and text, those without ``turn`` last; of a crowded chunk the rows of one turn come by a hash first; a null or unknown role can be
+relabelled to any; a null text is empty; rows that repeat a turn word for word are one turn; every row without
+``conv_id`` is a conversation of its own; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ FOLLOWS = {0: (1,), 1: (2,), 2: (1,), START: (0, 1)}
 STATES = len(ROLES) + 1
 
 MERGE, RELABEL, INSERT = 1, 3, 4
-#: Values of ``turn`` that share a chunk.
+#: Values of ``turn`` that share a chunk, and rows of a chunk from which its turns are chunks of their own.
 CHUNK = 1024
 
 NEVER = 1 << 40
@@ -92,17 +92,30 @@ def trace(roles: list[str | None], enter: int, leave: int) -> list[int]:
 
 def _keyed(turns: DataFrame) -> DataFrame:
     """Turns with the chunk they are in; those without ``turn`` are spread over chunks of their own by a hash."""
-    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text").distinct()
+    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    named, nameless = rows.filter("conv_id IS NOT NULL").distinct(), rows.filter("conv_id IS NULL")
+    named = named.select(F.lit(0).alias("nameless"), F.col("conv_id").alias("conv"), "turn", "role", "text")
+    nameless = nameless.select(F.lit(1).alias("nameless"), F.monotonically_increasing_id().alias("conv"), "turn", "role", "text")
     behind = F.lit(1 << 54) + F.pmod(F.xxhash64("role", "text"), F.lit(CHUNK))
-    return rows.select(
-        F.col("conv_id").isNull().cast("int").alias("nameless"),
-        F.coalesce("conv_id", F.lit(0)).alias("conv"),
-        F.coalesce(F.floor(F.col("turn") / CHUNK), behind).alias("chunk"),
-        "turn", "role", "text",
-    )
+    chunk = F.coalesce(F.floor(F.col("turn") / CHUNK), behind).alias("chunk")
+    return named.union(nameless).select("nameless", "conv", chunk, "turn", "role", "text")
 
 
-_KEYS = ["nameless", "conv", "chunk"]
+def _slotted(rows: DataFrame) -> DataFrame:
+    """``rows`` with a ``slot``: 0, or in a chunk of more than ``CHUNK`` rows the turn and a hash over as many as it needs."""
+    of_turn = rows.groupBy("nameless", "conv", "chunk", "turn").agg(F.count("*").alias("n"))
+    crowded = of_turn.groupBy("nameless", "conv", "chunk").agg(F.sum("n").alias("n")).filter(F.col("n") > CHUNK).drop("n")
+    slots = F.ceil(F.col("n") / CHUNK).alias("slots")
+    crowd = written(of_turn.join(crowded, ["nameless", "conv", "chunk"]).select("nameless", "conv", "chunk", F.col("turn").alias("of"), slots), "crowd")
+    if crowd.isEmpty():
+        return rows.withColumn("slot", F.lit(0).cast("long"))
+    same = [rows[c] == crowd[c] for c in ("nameless", "conv", "chunk")] + [rows["turn"].eqNullSafe(crowd["of"])]
+    offset = F.coalesce(F.pmod(F.col("turn"), F.lit(CHUNK)), F.lit(0)) * F.lit(1 << 40)
+    slot = F.coalesce(1 + offset + F.pmod(F.xxhash64(F.lit("slot"), "role", "text"), F.col("slots")), F.lit(0)).cast("long")
+    return rows.join(crowd, same, "left").select(*(rows[c] for c in rows.columns), slot.alias("slot"))
+
+
+_KEYS = ["nameless", "conv", "chunk", "slot"]
 
 
 def _costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,37 +172,38 @@ def render(roles: list[str | None], texts: list[str | None], enter: int, states:
     return "".join(out) + ("<|end|>\n" if last else ""), counts
 
 
-RENDERED = "nameless int, conv long, part long, cost long, turns int, merged int, relabelled int, inserted int, rendered string"
+RENDERED = "nameless int, conv long, part long, slot long, cost long, turns int, merged int, relabelled int, inserted int, rendered string"
 
 
 def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in whole_groups(batches, _KEYS):
         heads = changes(table, _KEYS)
         roles, texts = table.column("role").to_pylist(), table.column("text").to_pylist()
-        fixed = [table.column(c).to_numpy() for c in ("nameless", "conv", "chunk", "cost", "enter", "leave", "last")]
+        fixed = [table.column(c).to_numpy() for c in ("nameless", "conv", "chunk", "slot", "cost", "enter", "leave", "last")]
         rows = []
         for lo, hi in zip(heads, [*heads[1:], table.num_rows]):
-            nameless, conv, chunk, cost, enter, leave, last = (c[lo] for c in fixed)
+            nameless, conv, chunk, slot, cost, enter, leave, last = (c[lo] for c in fixed)
             states = trace(roles[lo:hi], int(enter), int(leave))
             text, counts = render(roles[lo:hi], texts[lo:hi], int(enter), states, bool(last))
-            rows.append((nameless, conv, chunk, cost, *counts.values(), text))
-        kinds = [pa.int32(), *[pa.int64()] * 3, *[pa.int32()] * 4, pa.string()]
+            rows.append((nameless, conv, chunk, slot, cost, *counts.values(), text))
+        kinds = [pa.int32(), *[pa.int64()] * 4, *[pa.int32()] * 4, pa.string()]
         names = [part.split()[0] for part in RENDERED.split(", ")]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
 def format_chats(turns: DataFrame) -> DataFrame:
-    """``conv_id``, ``part``, the cost of the conversation's repair, repairs of the part and its rendered text.
+    """``conv_id``, ``part``, ``slot``, the cost of the conversation's repair, repairs of the part and its rendered text.
 
-    A conversation whose turns span no more than ``CHUNK`` has one part.
+    A conversation whose turns span no more than ``CHUNK`` and which has no more rows is one part. Parts follow each other by
+    ``part`` and ``slot``, which is 0 unless a part has too many rows.
     """
-    rows = written(_keyed(turns), "turns")
+    rows = _slotted(written(_keyed(turns), "turns"))
     order = [*_KEYS, F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_last(), F.col("text").asc_nulls_last()]
     narrow = rows.repartition(*_KEYS).sortWithinPartitions(*order).select(*_KEYS, "role")
-    costs = narrow.mapInArrow(_costs, "nameless int, conv long, chunk long, costs array<long>")
+    costs = narrow.mapInArrow(_costs, "nameless int, conv long, chunk long, slot long, costs array<long>")
     by_conv = costs.repartition("nameless", "conv").sortWithinPartitions(*_KEYS)
-    borders = by_conv.mapInArrow(_borders, "nameless int, conv long, chunk long, enter int, leave int, cost long, last boolean")
+    borders = by_conv.mapInArrow(_borders, "nameless int, conv long, chunk long, slot long, enter int, leave int, cost long, last boolean")
     dealt = rows.join(borders, _KEYS).repartition(*_KEYS).sortWithinPartitions(*order)
     parts = dealt.mapInArrow(_rendered, RENDERED)
     conv_id = F.when(F.col("nameless") == 0, F.col("conv")).alias("conv_id")
-    return parts.select(conv_id, "part", "cost", "turns", "merged", "relabelled", "inserted", "rendered")
+    return parts.select(conv_id, "part", "slot", "cost", "turns", "merged", "relabelled", "inserted", "rendered")

@@ -362,6 +362,22 @@ def test_chats_of_edge_rows(rows):
     assert chat.format_chats(rows([], schema)).count() == 0
 
 
+def test_crowded_turns_and_turns_without_a_conversation(spark, monkeypatch):
+    monkeypatch.setattr(chat, "CHUNK", 16)
+    roles = ("user", "assistant", "tool")
+    turns = [(1, t, roles[i % 3], f"<{t}.{i}>") for t in (0, 1, 40) for i in range(200)] + [(1, None, "user", f"<9.{i}>") for i in range(900)]
+    turns += [(None, 0, "user", "hello")] * 3 + [(None, 7, "assistant", "well")]
+    got = chat.format_chats(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()
+    one = sorted((r for r in got if r.conv_id == 1), key=lambda r: (r.part, r.slot))
+    text = "".join(r.rendered for r in one)
+    marks = re.findall(r"<(\d+)\.(\d+)>", text)
+    assert [int(t) for t, _ in marks] == [0] * 200 + [1] * 200 + [40] * 200 + [9] * 900 and len(set(marks)) == 1500
+    assert max(len(re.findall(r"<\d+\.\d+>", r.rendered)) for r in one) <= 48
+    assert len({(r.part, r.slot) for r in one}) == len(one) and len({r.cost for r in one}) == 1
+    # to relabel a turn costs less than to insert one before it
+    assert sorted(r.rendered for r in got if r.conv_id is None) == ["<|user|>\nhello<|end|>\n"] * 3 + ["<|user|>\nwell<|end|>\n"]
+
+
 # pipeline
 
 
