@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact_dedup, langid, near_dup, packing, pieces, quality_rules, url_filters, vector_dedup, warc
+from millrace.llm import (
+    chat,
+    exact_dedup,
+    langid,
+    near_dup,
+    oracles,
+    packing,
+    pieces,
+    quality_rules,
+    resampling,
+    token_counts,
+    url_filters,
+    variants,
+    vector_dedup,
+    warc,
+)
 from millrace.session import use_utc
 
 
@@ -82,6 +97,19 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a new cache, so that all distinct texts are encoded."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 #: The pages carry no time of capture.
 CAPTURED = "2024-01-15T00:00:00Z"
 
@@ -96,6 +124,12 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc_derivatives": op10_warc_derivatives,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_token_counts": op13_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op11_spelling_variants": oracles.SPELLING_VARIANTS,
+    "op12_importance_resampling": oracles.IMPORTANCE_RESAMPLING,
+}
