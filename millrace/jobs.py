@@ -77,18 +77,23 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
         if args.job == "archive":
             supervise(spark, [archive_stream(messages, args.root, trigger)])
             return
-        spark.streams.addListener(ProgressLog(spark, args.progress or f"{args.root}_progress"))
-        queries = start_layers(
-            messages,
-            args.root,
-            dedup=args.dedup,
-            delay=args.delay,
-            separate=args.separate,
-            trigger=trigger,
-            files_per_hour=args.files_per_hour,
-            state_partitions=args.state_partitions,
-        )
-        supervise(spark, queries)
+        log = ProgressLog(spark, args.progress or f"{args.root}_progress")
+        spark.streams.addListener(log)
+        try:
+            queries = start_layers(
+                messages,
+                args.root,
+                dedup=args.dedup,
+                delay=args.delay,
+                separate=args.separate,
+                trigger=trigger,
+                files_per_hour=args.files_per_hour,
+                state_partitions=args.state_partitions,
+            )
+            supervise(spark, queries)
+        finally:
+            spark.streams.removeListener(log)
+            log.close()
         return
     if args.job == "words":
         write_kv(word_count(word_split_ws(read_lines(spark, args.path))), args.out)

@@ -114,7 +114,7 @@ def run_layers(spark, path, messages, **options):
 def reported(spark, stream, name: str):
     """Run a stream to its end and read the table of its batch reports."""
     path, reports = shared_dir(spark, name), shared_dir(spark, "reports")
-    log = ProgressLog(spark, reports)
+    log = ProgressLog(spark, reports, names=[name])
     spark.streams.addListener(log)
     try:
         with stateful_settings(spark, state_partitions(spark)):
@@ -123,6 +123,7 @@ def reported(spark, stream, name: str):
         log.wait(job)
     finally:
         spark.streams.removeListener(log)
+        log.close()
     return progress_frame(spark, reports)
 
 
@@ -231,7 +232,7 @@ def ingest_archive(spark, sf_dir):
         body=_HOURLY.replace("FROM layers", "FROM cleaned").replace(
             "GROUP BY ALL",
             """AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= (
-                 SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 6 DAY FROM cleaned) GROUP BY ALL""",
+                 SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM cleaned) GROUP BY ALL""",
         ),
     ),
 )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import threading
+from collections.abc import Collection
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -74,47 +75,118 @@ def state_metrics(progress: DataFrame) -> DataFrame:
 class ProgressLog(StreamingQueryListener):
     """Logs each micro-batch and appends its report to a table at ``path``, in the folder that all executors share.
 
-    ``every`` reports are written together, and what is left when a query ends. Nothing is forgotten, however many
-    batches there are. Register it before the queries start: ``spark.streams.addListener(ProgressLog(spark, path))``.
+    Only runs that start while the log is registered are reported, and of those, if ``names`` are given, only queries of
+    these names; :meth:`follow` adds one that runs already. A callback does no more than take a report in: a thread of
+    the log's own writes ``every`` reports together, and what is left when a query ends. Nothing is forgotten, however
+    many batches there are; reports that cannot be written wait and are tried again. Register it before the queries
+    start, ``spark.streams.addListener(log)``, and :meth:`close` it in the end.
     """
 
-    def __init__(self, spark: SparkSession, path: str, every: int = 1):
-        self.spark, self.path, self.every = spark, path, every
+    #: Seconds until a failed write is tried again.
+    AGAIN = 1.0
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 1, names: Collection[str] | None = None):
+        self.spark, self.path, self.every, self.names = spark, path, every, names
+        self._change = threading.Condition()
         self._waiting: list[tuple] = []
+        self._runs: set[str] = set()
         self._ended: set[str] = set()
-        self._change = threading.Condition()
+        self._due = self._closed = False
+        self._failure: Exception | None = None
+        self._writer: threading.Thread | None = None
 
-    def _write(self) -> None:
-        rows, self._waiting = self._waiting, []
-        if rows:
-            held = pa.table({name: pa.array([row[k] for row in rows], kind) for k, (name, kind) in enumerate(_REPORT)})
-            typed = self.spark.createDataFrame(held).withColumn("ts", F.col("ts").try_cast("timestamp"))
-            typed.coalesce(1).write.mode("append").parquet(self.path)
+    def follow(self, *queries: StreamingQuery) -> None:
+        """Take reports of these runs as well, from now on."""
+        with self._change:
+            self._runs.update(str(query.runId) for query in queries)
+
+    def _write(self, rows: list[tuple]) -> None:
+        held = pa.table({name: pa.array([row[k] for row in rows], kind) for k, (name, kind) in enumerate(_REPORT)})
+        typed = self.spark.createDataFrame(held).withColumn("ts", F.col("ts").try_cast("timestamp"))
+        typed.coalesce(1).write.mode("append").parquet(self.path)
+
+    def _work(self) -> None:
+        while True:
+            with self._change:
+                self._change.wait_for(lambda: len(self._waiting) >= self.every or self._due or self._closed)
+                rows = list(self._waiting)
+                if not rows:
+                    self._due = False
+                    self._change.notify_all()
+                    if self._closed:
+                        return
+                    continue
+            try:
+                self._write(rows)
+            except Exception as failure:  # noqa: BLE001 - told to whoever waits
+                log.exception("reports could not be written to %s", self.path)
+                with self._change:
+                    self._failure = failure
+                    self._change.notify_all()
+                    if self._closed:
+                        return
+                    self._change.wait(self.AGAIN)
+                continue
+            with self._change:
+                del self._waiting[: len(rows)]
+                self._failure = None
+                self._change.notify_all()
+
+    def _wake(self) -> None:
+        if self._writer is None:
+            self._writer = threading.Thread(target=self._work, name="progress-log", daemon=True)
+            self._writer.start()
+        self._change.notify_all()
 
     def onQueryStarted(self, event) -> None:
         log.info("query %s started", event.name or event.id)
+        if self.names is None or event.name in self.names:
+            with self._change:
+                self._runs.add(str(event.runId))
 
     def onQueryProgress(self, event) -> None:
         row = _row(event.progress)
+        with self._change:
+            if row[1] not in self._runs:
+                return
+            self._waiting.append(row)
+            self._wake()
         log.info("query %s: %s rows, %s ms, %s rows/s", row[0], row[4], row[6], row[8])
-        self._waiting.append(row)
-        if len(self._waiting) >= self.every:
-            self._write()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
         log.info("query %s ended %s", event.id, event.exception or "")
-        self._write()
         with self._change:
-            self._ended.add(str(event.runId))
-            self._change.notify_all()
+            if str(event.runId) in self._runs:
+                self._ended.add(str(event.runId))
+                self._due = True
+                self._wake()
+
+    def flush(self, timeout: float = 60) -> None:
+        """Until all reports taken in so far are written."""
+        with self._change:
+            self._due = True
+            self._wake()
+            if not self._change.wait_for(lambda: not self._waiting or self._failure, timeout):
+                raise TimeoutError(f"{len(self._waiting)} reports not written in {timeout} s")
+            if self._failure:
+                raise self._failure
 
     def wait(self, *queries: StreamingQuery, timeout: float = 60) -> None:
-        """Until the end of the queries has been reported, and so all of their batches; reports arrive later than
-        the batches end."""
+        """Until the end of the queries has been reported, and so all of their batches, and all is written; reports
+        arrive later than the batches end."""
         runs = {str(query.runId) for query in queries}
         with self._change:
             if not self._change.wait_for(lambda: runs <= self._ended, timeout):
                 raise TimeoutError(f"no report of the end of {runs - self._ended} in {timeout} s")
+        self.flush(timeout)
+
+    def close(self) -> None:
+        """Write what is left and end the thread."""
+        with self._change:
+            self._closed = True
+            self._change.notify_all()
+        if self._writer is not None:
+            self._writer.join()

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import glob
 import json
+import threading
 import time
 from types import SimpleNamespace
 
@@ -208,6 +209,7 @@ def logged(spark, start, every=1):
         log.wait(*jobs)
     finally:
         spark.streams.removeListener(log)
+        log.close()
     return progress_frame(spark, path)
 
 
@@ -239,14 +241,64 @@ def test_every_batch_is_kept(spark, rows):
 def test_log_copes_with_batches_without_data(spark):
     log = ProgressLog(spark, shared_dir(spark, "reports"), every=2)
     assert progress_frame(spark, log.path).count() == 0
+    log.follow(SimpleNamespace(runId="r"))
     for batch in range(3):
         log.onQueryProgress(report(batch, late=batch))
     log.onQueryTerminated(SimpleNamespace(id="i", runId="r", exception=None))
+    log.wait(SimpleNamespace(runId="r"))
     got = progress_frame(spark, log.path).orderBy("batchId").collect()
     assert [(r["batchId"], r["addBatchMs"], r["stateRows"], r["lateRows"]) for r in got] == [(0, 7, 4, 0), (1, 7, 4, 1), (2, None, 4, 2)]
-    log.wait(SimpleNamespace(runId="r"))
     with pytest.raises(TimeoutError):
         log.wait(SimpleNamespace(runId="other"), timeout=0.1)
+    log.close()
+
+
+def test_foreign_queries_leave_no_report(spark, messages):
+    """Neither a run from before the log, nor one of another name beside it."""
+    spark_stream = stream(spark, messages, maxFilesPerTrigger="1")
+
+    def start(name, **pace):
+        writer = spark_stream.writeStream.format("noop").queryName(name).option("checkpointLocation", shared_dir(spark, "c"))
+        return writer.trigger(**pace).start()
+
+    before = start("before", processingTime="100 milliseconds")
+    log = ProgressLog(spark, shared_dir(spark, "reports"), names=["mine"])
+    spark.streams.addListener(log)
+    try:
+        beside = start("beside", availableNow=True)
+        mine = start("mine", availableNow=True)
+        supervise(spark, [beside, mine])
+        log.wait(mine)
+    finally:
+        before.stop()
+        spark.streams.removeListener(log)
+        log.close()
+    got = progress_frame(spark, log.path)
+    assert {(r["name"], r["runId"]) for r in got.collect()} == {("mine", str(mine.runId))}
+    assert got.agg(F.sum("numInputRows")).first()[0] == spark.read.text(messages).count()
+
+
+def test_reports_that_cannot_be_written_are_tried_again(spark, monkeypatch):
+    log = ProgressLog(spark, shared_dir(spark, "reports"))
+    monkeypatch.setattr(log, "AGAIN", 0.05)
+    write, broken = log._write, threading.Event()
+
+    def failing(rows):
+        if broken.is_set():
+            raise OSError("full")
+        write(rows)
+
+    monkeypatch.setattr(log, "_write", failing)
+    broken.set()
+    log.follow(SimpleNamespace(runId="r"))
+    log.onQueryProgress(report(0))
+    with pytest.raises(OSError):
+        log.flush()
+    broken.clear()
+    log.onQueryProgress(report(1))
+    log.onQueryTerminated(SimpleNamespace(id="i", runId="r", exception=None))
+    log.close()
+    assert sorted(r["batchId"] for r in progress_frame(spark, log.path).collect()) == [0, 1]
 
 
 def test_dropped_rows_are_reported(spark, rows):
