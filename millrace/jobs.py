@@ -45,7 +45,7 @@ def arguments() -> argparse.ArgumentParser:
         if name == "layers":
             job.add_argument("--dedup", choices=("exact", "bounded"), default="exact")
             job.add_argument("--delay", default="1 hour")
-            job.add_argument("--separate", action="store_true", help="one folder and query per layer")
+            job.add_argument("--separate", action="store_true", help="one folder per layer")
             job.add_argument("--files-per-hour", type=int, default=1)
             job.add_argument("--progress", help="table of batch reports, default <root>_progress")
             job.add_argument("--state-partitions", type=int)
@@ -86,6 +86,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
                 dedup=args.dedup,
                 delay=args.delay,
                 separate=args.separate,
+                committed=True,
                 trigger=trigger,
                 files_per_hour=args.files_per_hour,
                 state_partitions=args.state_partitions,

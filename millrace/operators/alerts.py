@@ -18,7 +18,10 @@ from millrace.schema import (
     MEMORY_ALERT_LIMIT,
 )
 
-_COMPARE = {
+#: The state of an evaluation that says nothing about the condition.
+UNKNOWN = {"none": "NoData", "error": "Error"}
+
+COMPARE = {
     ">": lambda v, limit: v > limit,
     ">=": lambda v, limit: v >= limit,
     "<": lambda v, limit: v < limit,
@@ -35,9 +38,10 @@ def alert_threshold(
     until=None,
     series: Sequence[str] = SERIES,
 ) -> DataFrame:
-    """The condition on the last value, for each series and evaluation time; null without a value."""
+    """The condition on the last value, for each series and evaluation time; null without a value, and for a value that
+    is not a number, of which the condition cannot be told."""
     at = evaluations(m, every, lookback, until, series)
-    return at.withColumn("breach", _COMPARE[op](F.col("value"), limit))
+    return at.withColumn("breach", F.when(~F.isnan(F.col("value").cast("double")), COMPARE[op](F.col("value"), limit)))
 
 
 def alert_states(
@@ -50,15 +54,17 @@ def alert_states(
 
     Pending from the first breach, Firing once the breach has lasted ``for_``; Recovering from the first
     evaluation without a breach until ``keep_firing`` has passed, then Normal; a breach while Recovering is
-    Firing at once. Without a value the state is NoData and what was pending or firing is forgotten.
+    Firing at once. Without a value the state is NoData and what was pending or firing is forgotten; so it is with a
+    value that is not a number, whose state is Error.
 
     All windows share one order, so the plan sorts once. A series has one row per evaluation time, a number
     set by the clock and not by the data.
     """
     order = Window.partitionBy(*series).orderBy("eval_ts")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    failed = F.isnan(F.col("value").cast("double")) if "value" in breaches.columns else F.lit(False)
     kind = (
-        F.when(F.col("breach").isNull(), "none").when(F.col("breach"), "breach").otherwise("calm")
+        F.when(failed, "error").when(F.col("breach").isNull(), "none").when(F.col("breach"), "breach").otherwise("calm")
     )
     us = to_micros(F.col("eval_ts"))
     runs = (
@@ -71,11 +77,12 @@ def alert_states(
     switch = (
         F.when((F.col("_kind") == "breach") & (F.col("_age") >= micros(for_)), True)
         .when((F.col("_kind") == "calm") & (F.col("_age") >= micros(keep_firing)), False)
-        .when(F.col("_kind") == "none", False)
+        .when(F.col("_kind").isin(*UNKNOWN), False)
     )
     on = F.coalesce(F.last("_switch", ignorenulls=True).over(so_far), F.lit(False))
     state = (
-        F.when(F.col("_kind") == "none", "NoData")
+        F.when(F.col("_kind") == "none", UNKNOWN["none"])
+        .when(F.col("_kind") == "error", UNKNOWN["error"])
         .when((F.col("_kind") == "breach") & F.col("_on"), "Firing")
         .when(F.col("_kind") == "breach", "Pending")
         .when(F.col("_on"), "Recovering")

@@ -7,125 +7,99 @@ every window here is bounded by the clock: it runs inside one slice of a series,
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import gcd
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.clock import as_timestamp, ceil_to, floor_to, from_micros, instant, micros, to_micros
 from millrace.operators.metrics import SERIES
-from millrace.session import stored
 
 SLICE = "1 minute"
+#: Buckets of a window over counters at most; buckets of longer windows are wider than a slice.
+MOST = 1440
 #: Parts that the rows without a time are spread over.
 UNDATED = 1024
 
 
-def _growth(previous: str, value: str):
+def _growth(previous: Column, value: Column) -> Column:
     """Step of a counter from one sample to the next; after a drop it has restarted from zero."""
-    return F.when(F.col(value) < F.col(previous), F.col(value)).otherwise(F.col(value) - F.col(previous))
+    return F.when(value < previous, value).otherwise(value - previous)
 
 
-def _running(m: DataFrame, width: int, series: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Samples with the running growth and number of their series, and the buckets of ``width`` microseconds they are in.
+def _width(length: int, unit: int, least: int) -> int:
+    """Microseconds of a bucket: a part of ``unit``, about ``least`` or more, of which ``length`` has ``MOST`` at most,
+    if that can be."""
+    return next(unit // k for k in range(max(1, unit // least), 0, -1) if unit % k == 0 and (k == 1 or length * k <= MOST * unit))
 
-    Windows over samples stay in a bucket, whose width has nothing to do with the windows that are asked for; growth is
-    then summed up over the buckets of a series, one row each. Both are used several times below, so they are tables
-    in the shared folder: samples are shuffled and sorted by bucket once.
-    """
+
+def _stepped(m: DataFrame, bucket, series: Sequence[str]) -> DataFrame:
+    """Samples by bucket, with the value and time before each, and its step from there, within the bucket."""
     rows = m.filter("value IS NOT NULL").select(*series, to_micros(F.col("ts")).alias("us"), "value")
-    rows = rows.withColumn("bucket", F.floor(F.col("us") / width))
+    rows = rows.withColumn("bucket", bucket(F.col("us")))
     forward = Window.partitionBy(*series, "bucket").orderBy("us", "value")
-    so_far = forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inner = (
-        rows.withColumns({"prev": F.lag("value").over(forward), "prev_us": F.lag("us").over(forward)})
-        .withColumn("step", F.coalesce(_growth("prev", "value"), F.lit(0.0)))
-        .withColumns({"grown": F.sum("step").over(so_far), "nth": F.count("*").over(so_far)})
-        .select(*series, "bucket", "us", "value", "prev_us", "grown", "nth")
-    )
-    inner = stored(inner, "samples")
-    buckets = inner.groupBy(*series, "bucket").agg(
+    return rows.withColumns(
+        {
+            "prev_us": F.lag("us").over(forward),
+            "step": F.coalesce(_growth(F.lag("value").over(forward), F.col("value")), F.lit(0.0)),
+            "step_next": F.coalesce(_growth(F.col("value"), F.lead("value").over(forward)), F.lit(0.0)),
+            "grown": F.lit(0.0),
+        }
+    ).withColumn("grown", F.sum("step").over(forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+
+def _summed(stepped: DataFrame, series: Sequence[str]) -> DataFrame:
+    """One row per bucket: its first and last sample, its samples and the growth within it."""
+    return stepped.groupBy(*series, "bucket").agg(
         F.min(F.struct("us", "value")).alias("first"),
         F.max(F.struct("us", "value")).alias("last"),
-        F.max("grown").alias("inside"),
-        F.max("nth").alias("rows"),
+        F.sum("step").alias("inside"),
+        F.count("*").alias("rows"),
     )
-    line = Window.partitionBy(*series).orderBy("bucket")
-    until = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = F.lag("last").over(line)
-    buckets = (
-        buckets.withColumns({"last_value": last["value"], "last_us": last["us"], "first_value": F.col("first")["value"]})
-        .withColumn("edge", F.coalesce(_growth("last_value", "first_value"), F.lit(0.0)))
-        .select(
-            *series,
-            "bucket",
-            F.col("first.us").alias("first_us"),
-            F.col("last.us").alias("end_us"),
-            "last_us",
-            F.lead("first.us").over(line).alias("next_us"),
-            (F.sum(F.col("edge") + F.col("inside")).over(until) - F.col("inside")).alias("base"),
-            (F.sum("rows").over(until) - F.col("rows")).alias("base_n"),
-        )
-    )
-    buckets = stored(buckets, "buckets")
-    totals = inner.join(buckets.select(*series, "bucket", "base", "base_n", "last_us"), [*series, "bucket"]).select(
-        *series,
-        "bucket",
-        "us",
-        "value",
-        F.coalesce("prev_us", "last_us").alias("prev_us"),
-        (F.col("base") + F.col("grown")).alias("total"),
-        (F.col("base_n") + F.col("nth")).alias("n"),
-    )
-    return totals, buckets
 
 
-def _first_from(
-    probes: DataFrame, totals: DataFrame, buckets: DataFrame, width: int, series: Sequence[str], carried: Sequence[str]
+def counter_increase(
+    m: DataFrame, window: str = "30 seconds", series: Sequence[str] = SERIES, bucket: str = SLICE
 ) -> DataFrame:
-    """``probes`` (the series and ``at``) with ``start``: total and number of the first sample from ``at`` on.
+    """Growth of each counter over the ``window`` up to each of its samples, both ends included.
 
-    A probe enters the order of the samples of its bucket; where none follows there, the next bucket's first sample is
-    taken, which is looked up among buckets.
+    Null where the window holds one sample only. The window has ``n`` buckets. Growth is the sum of the steps from the
+    start of the window to the end of the bucket it is in, of the ``n - 1`` whole buckets behind that one, and of the
+    steps from the start of the sample's own bucket. Nothing is subtracted, so a small step after a large one is not
+    lost; samples are never copied per window, and windows over a series have one row per bucket.
     """
-    probes = probes.withColumn("bucket", F.floor(F.col("at") / width))
-    sample = F.struct("total", "n")
-    none = F.lit(None)
-    marks = totals.select(
-        *series, "bucket", F.col("us").alias("at"), sample.alias("sample"), *[none.alias(c) for c in carried]
-    ).unionByName(probes.withColumn("sample", none))
-    # Totals never fall, so of samples with one time the earliest comes last in this order.
+    length = micros(window)
+    width = _width(length, length, micros(bucket))
+    n = length // width
+    inner = _stepped(m, lambda us: F.floor(us / width), series)
+    line = Window.partitionBy(*series).orderBy("bucket")
+    edge = F.coalesce(_growth(F.col("last.value"), F.lead("first.value").over(line)), F.lit(0.0))
+    buckets = _summed(inner, series).withColumns({"edge": edge, "before_us": F.lag("last.us").over(line)})
+    between = F.sum(F.col("inside") + F.col("edge")).over(line.rangeBetween(1 - n, -1)) if n > 1 else F.lit(0.0)
+    buckets = buckets.withColumn("between", F.coalesce(between, F.lit(0.0)))
+    ends = inner.join(buckets.select(*series, "bucket", "between", "before_us"), [*series, "bucket"])
+    carried = {"us": "long", "value": "double", "later": "double", "prev_us": "long"}
+    probes = ends.select(
+        *series,
+        (F.col("bucket") - n).alias("bucket"),
+        (F.col("us") - length).alias("at"),
+        F.lit(None).cast("double").alias("step_next"),
+        "us",
+        "value",
+        (F.col("between") + F.col("grown")).alias("later"),
+        F.coalesce("prev_us", "before_us").alias("prev_us"),
+    )
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in carried.items()]
+    # The step out of a bucket is one more mark at its last sample.
+    marks = inner.select(*series, "bucket", F.col("us").alias("at"), "step_next", *none)
+    marks = marks.unionByName(buckets.select(*series, "bucket", F.col("last.us").alias("at"), F.col("edge").alias("step_next"), *none))
     backward = (
         Window.partitionBy(*series, "bucket")
-        .orderBy(F.col("at").desc(), F.col("sample").isNull(), F.col("sample.total").desc(), F.col("sample.n").desc())
+        .orderBy(F.col("at").desc(), F.col("us").isNotNull())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    found = marks.withColumn("start", F.last("sample", ignorenulls=True).over(backward)).filter("sample IS NULL")
-    heads = buckets.select(*series, "bucket", F.struct(F.col("base").alias("total"), (F.col("base_n") + 1).alias("n")).alias("head"))
-    line = (
-        heads.unionByName(probes.select(*series, "bucket").distinct().withColumn("head", none))
-        .groupBy(*series, "bucket")
-        .agg(F.max("head").alias("head"))
-    )
-    later = Window.partitionBy(*series).orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    nexts = line.select(*series, "bucket", F.last("head", ignorenulls=True).over(later).alias("next"))
-    joined = found.drop("sample").join(nexts, [*series, "bucket"])
-    return joined.withColumn("start", F.coalesce("start", "next")).drop("next", "bucket")
-
-
-def counter_increase(
-    m: DataFrame, window: str = "30 seconds", series: Sequence[str] = SERIES, bucket: str = SLICE
-) -> DataFrame:
-    """Growth of each counter over the ``window`` up to each of its samples, both ends included.
-
-    Null where the window holds one sample only. The growth is the running total at the sample minus the running total
-    at the first sample of its window: linear in the samples however long the window and however dense they are.
-    """
-    length, width = micros(window), micros(bucket)
-    totals, buckets = _running(m, width, series)
-    carried = ["us", "value", "total", "prev_us"]
-    probes = totals.select(*series, (F.col("us") - length).alias("at"), *carried)
-    found = _first_from(probes, totals, buckets, width, series, carried)
-    grown = F.when(F.col("prev_us") >= F.col("us") - length, F.col("total") - F.col("start.total"))
+    found = marks.unionByName(probes).withColumn("sooner", F.sum("step_next").over(backward)).filter("us IS NOT NULL")
+    grown = F.when(F.col("prev_us") >= F.col("us") - length, F.coalesce("sooner", F.lit(0.0)) + F.col("later"))
     return found.select(*series, from_micros(F.col("us")).alias("ts"), "value", grown.alias("increase"))
 
 
@@ -138,28 +112,37 @@ def counter_increase_grid(
 ) -> DataFrame:
     """The same growth at fixed evaluation times, multiples of ``step``; times with one sample or none have no row.
 
-    A bucket is asked for the evaluation times from its first sample to the next bucket's, as long as its last sample
-    is in the window; so evaluation times are made once, and no sample is copied.
+    Buckets end at evaluation times and are part of a window or not, so samples are looked at once, to sum up their
+    bucket. A bucket brings forth the evaluation times from its first sample to the next bucket's, as long as its last
+    sample is in the window; each adds up the buckets of its window, and of the steps between them those that start
+    in it.
     """
-    length, every, width = micros(window), micros(step), micros(bucket)
-    totals, buckets = _running(m, width, series)
-    low, high = ceil_to(F.col("first_us"), every), floor_to(F.col("end_us") + length, every)
-    high = F.least(high, ceil_to(F.col("next_us"), every) - every)
-    times = buckets.select(*series, "bucket", low.alias("low"), high.alias("high")).filter("low <= high")
-    times = times.select(*series, "bucket", F.explode(F.sequence("low", "high", F.lit(every))).alias("at"))
-    marks = totals.select(*series, "bucket", F.col("us").alias("at"), F.struct("total", "n").alias("sample"))
-    marks = marks.unionByName(times.withColumn("sample", F.lit(None)))
-    forward = (
-        Window.partitionBy(*series, "bucket")
-        .orderBy("at", F.col("sample").isNull(), "sample.total", "sample.n")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ends = marks.withColumn("end", F.last("sample", ignorenulls=True).over(forward)).filter("sample IS NULL")
-    probes = ends.select(*series, (F.col("at") - length).alias("at"), F.col("at").alias("eval"), "end")
-    found = _first_from(probes, totals, buckets, width, series, ["eval", "end"])
-    return found.filter("end.n > start.n").select(
-        *series, from_micros(F.col("eval")).alias("ts"), (F.col("end.total") - F.col("start.total")).alias("increase")
-    )
+    length, every = micros(window), micros(step)
+    width = _width(length, gcd(length, every), micros(bucket))
+    n = length // width
+    # a bucket includes its end, not its start
+    buckets = _summed(_stepped(m, lambda us: F.floor((us - 1) / width), series), series)
+    line = Window.partitionBy(*series).orderBy("bucket")
+    low, high = ceil_to(F.col("first.us"), every), floor_to(F.col("last.us") + length, every)
+    high = F.least(high, ceil_to(F.lead("first.us").over(line), every) - every)
+    buckets = buckets.withColumns({"edge": _growth(F.lag("last.value").over(line), F.col("first.value")),
+                                   "edge_us": F.lag("last.us").over(line), "low": low, "high": high})
+    none = F.array(F.lit(None).cast("long"))
+    times = F.when(F.col("low") <= F.col("high"), F.sequence("low", "high", F.lit(every))).otherwise(F.array().cast("array<long>"))
+    rows = buckets.withColumn("at", F.explode(F.concat(none, times)))
+    rows = rows.withColumn("place", F.coalesce(F.floor(F.col("at") / width) - 1, "bucket"))
+    own = F.when(F.col("at").isNull(), F.struct("inside", "rows", F.coalesce("edge", F.lit(0.0)).alias("edge"), "edge_us"))
+    frame = Window.partitionBy(*series).orderBy("place").rangeBetween(1 - n, 0)
+    held = rows.withColumn("held", F.collect_list(own).over(frame)).filter("at IS NOT NULL")
+
+    def added(total, x):
+        starts = F.coalesce(x["edge_us"] >= F.col("at") - length, F.lit(False))
+        grown = x["inside"] + F.when(starts, x["edge"]).otherwise(0.0)
+        return F.struct((total["grown"] + grown).alias("grown"), (total["steps"] + x["rows"] - 1 + starts.cast("long")).alias("steps"))
+
+    start = F.struct(F.lit(0.0).alias("grown"), F.lit(0).cast("long").alias("steps"))
+    found = held.withColumn("sum", F.aggregate("held", start, added))
+    return found.filter("sum.steps > 0").select(*series, from_micros(F.col("at")).alias("ts"), F.col("sum.grown").alias("increase"))
 
 
 def avg_over_time(
@@ -240,15 +223,77 @@ def evaluations(
     )
 
 
+def _asked(m: DataFrame, times: DataFrame, reach: int, width: int, series: Sequence[str]) -> DataFrame:
+    """The series and ``at`` of all values that are asked for and may exist."""
+    at = to_micros(F.col("eval_ts").cast("timestamp"))
+    named = [c for c in series if c in times.columns]
+    asked = times.select(*named, at.alias("at")).filter("at IS NOT NULL").distinct()
+    if len(named) == len(series):
+        return asked
+    # Times for all series: a series is asked for near its samples only, in spans of the clock.
+    span = max(width, reach)
+    alive = m.select(*series, F.floor(F.col("us") / span).alias("span")).distinct()
+    alive = alive.select(*series, F.explode(F.array("span", F.col("span") + 1)).alias("span")).distinct()
+    return asked.withColumn("span", F.floor(F.col("at") / span)).join(alive, [*named, "span"]).select(*series, "at")
+
+
+def instant_value_at_times(
+    m: DataFrame, times: DataFrame, lookback: str = "600 seconds", series: Sequence[str] = SERIES, slice_width: str = SLICE
+) -> DataFrame:
+    """Last sample of each series in the ``lookback`` up to each time of a frame: the series, ``eval_ts``, ``ts``, ``value``.
+
+    ``times`` has ``eval_ts`` and any of the series columns: with all of them, each series has its own times; a time
+    without some of them is asked of every series that has the others. A time that is asked twice is answered once, a
+    time without a sample has no row.
+
+    An as-of join by union: samples and times of a series are put in order within slices of the clock, and the last
+    sample of the slices before enters a slice as one more row. No window spans the samples of a series, and no time
+    is paired with more than one sample.
+    """
+    reach, width = micros(lookback), micros(slice_width)
+    known = m.filter("value IS NOT NULL AND ts IS NOT NULL")
+    known = known.select(*series, to_micros(F.col("ts").cast("timestamp")).alias("us"), "value")
+    asked = _asked(known, times, reach, width, series)
+    sample = F.struct("us", "value")
+    here = F.floor(F.col("at") / width).alias("slice")
+    nothing = F.lit(None).cast(f"struct<us:long,value:{m.schema['value'].dataType.simpleString()}>").alias("sample")
+    marks = known.select(*series, F.floor(F.col("us") / width).alias("slice"), F.col("us").alias("at"), sample.alias("sample"))
+    probes = asked.select(*series, here, "at", nothing)
+    # The last sample of a slice, and the slices it is carried into: those that are asked.
+    slices = (
+        known.groupBy(*series, F.floor(F.col("us") / width).alias("slice")).agg(F.max(sample).alias("last"), F.lit(False).alias("asks"))
+        .unionByName(probes.select(*series, "slice").distinct().withColumns({"last": nothing, "asks": F.lit(True)}))
+        .groupBy(*series, "slice").agg(F.max("last").alias("last"), F.bool_or("asks").alias("asks"))
+    )
+    before = Window.partitionBy(*series).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = slices.withColumn("sample", F.last("last", ignorenulls=True).over(before)).filter("asks AND sample IS NOT NULL")
+    start = F.col("slice") * width
+    carried = carried.filter(F.col("sample.us") >= start - reach).select(*series, "slice", F.col("sample.us").alias("at"), "sample")
+    forward = (
+        Window.partitionBy(*series, "slice")
+        .orderBy("at", F.col("sample").isNull(), "sample.value")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    rows = marks.unionByName(carried).unionByName(probes).withColumn("found", F.last("sample", ignorenulls=True).over(forward))
+    found = rows.filter(F.col("sample").isNull() & (F.col("at") - F.col("found.us") <= reach))
+    return found.select(
+        *series, from_micros(F.col("at")).alias("eval_ts"), from_micros(F.col("found.us")).alias("ts"), F.col("found.value").alias("value")
+    )
+
+
 def instant_value(
     m: DataFrame,
-    every: str = "1 minute",
+    eval_times: str | DataFrame = "1 minute",
     lookback: str = "600 seconds",
     until=None,
     series: Sequence[str] = SERIES,
 ) -> DataFrame:
-    """Last sample in the look-back at each evaluation time that has one."""
-    return evaluations(m, every, lookback, until, series).filter("value IS NOT NULL")
+    """Last sample in the look-back at each evaluation time that has one: at the steps of a grid, or at the times of a
+    frame as in :func:`instant_value_at_times`, of which those after ``until`` are left out."""
+    if isinstance(eval_times, str):
+        return evaluations(m, eval_times, lookback, until, series).filter("value IS NOT NULL")
+    times = eval_times if until is None else eval_times.filter(F.col("eval_ts") <= instant(until))
+    return instant_value_at_times(m, times, lookback, series).drop("ts")
 
 
 def time_reversal(df: DataFrame, key: str = "DeviceId", slice_width: str = SLICE) -> DataFrame:

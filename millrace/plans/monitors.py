@@ -8,10 +8,11 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.alerts import alert_threshold
 from millrace.operators.metrics import error_count_per_device, latest_per_device, threshold_band, to_metrics
 from millrace.operators.parse import project_metrics
 from millrace.operators.series import avg_over_time, counter_increase_grid
-from millrace.schema import LATENCY_STEPS
+from millrace.schema import ERROR_ALERT_LIMIT, ERROR_COUNT_STEPS, LATENCY_STEPS
 from millrace.sources.layers import scan_layer
 from millrace.streaming.progress import state_metrics
 
@@ -80,6 +81,29 @@ def value_metrics(events: DataFrame) -> DataFrame:
     return to_metrics(wide, measures=("sensor1", "sensor2", "sensor3"), keep=("ts",))
 
 
+def restless_metrics(events: DataFrame, ends) -> DataFrame:
+    """Event values as a gauge per device, on batch and stream: some samples are no number, the first device falls silent
+    at ``ends``, the second every night."""
+    ts, device = F.col("ts").cast("timestamp"), F.col("user_id") % 5 + 1
+    silent = ((device == 1) & (ts >= F.lit(ends).cast("timestamp"))) | ((device == 2) & F.hour(ts).between(3, 5))
+    return events.filter(F.col("ts").isNotNull() & ~silent).select(
+        F.lit("sensor1").alias("metric"),
+        device.cast("string").alias("device_id"),
+        ts.alias("ts"),
+        F.when(F.col("event_id") % 97 == 0, float("nan")).otherwise(F.col("value")).alias("value"),
+    )
+
+
+def error_alerts(m: DataFrame, limit: float = ERROR_ALERT_LIMIT, **timing) -> DataFrame:
+    """Whether a device has more errors an hour than it may, at each evaluation."""
+    return alert_threshold(m, ">", limit, **timing)
+
+
+def error_bands(counts: DataFrame, steps=ERROR_COUNT_STEPS) -> DataFrame:
+    """Error counts with the colour of their band."""
+    return threshold_band(counts, steps)
+
+
 def hourly_error_metrics(dataerr: DataFrame, metric: str = "error_count_per_hour") -> DataFrame:
     """Implausible readings per device and hour, sampled when the hour is over."""
     end = F.date_trunc("hour", "ts") + F.expr("INTERVAL 1 HOUR")

@@ -127,15 +127,16 @@ HOSTS = """hosts AS (
 def evaluation_sql(series: str, step: str, lookback: str, source: str = "metrics", until: str | None = None) -> str:
     """Every series at every step from its first sample on until its last sample has left the look-back.
 
-    With ``until``, a time on the grid, later samples are unknown and evaluation ends there.
+    With ``until``, a time on the grid or an expression for one, later samples are unknown and evaluation ends there.
     """
     if until:
-        source = f"(SELECT * FROM {source} WHERE ts <= TIMESTAMP '{until}')"
+        until = until if until.startswith("(") else f"TIMESTAMP '{until}'"
+        source = f"(SELECT * FROM {source} WHERE ts <= {until})"
     joined = " AND ".join(f"g.{s.strip()} = m.{s.strip()}" for s in series.split(","))
     return f"""spans AS (
   SELECT {series}, min(time_bucket(INTERVAL '{step}', ts + INTERVAL '{step}' - INTERVAL 1 MICROSECOND)) AS lo,
          greatest(max(time_bucket(INTERVAL '{step}', ts + INTERVAL '{step}' - INTERVAL 1 MICROSECOND)),
-                  time_bucket(INTERVAL '{step}', {f"TIMESTAMP '{until}'" if until else f"max(ts) + INTERVAL '{lookback}'"})) AS hi
+                  time_bucket(INTERVAL '{step}', {until or f"max(ts) + INTERVAL '{lookback}'"})) AS hi
   FROM {source} WHERE value IS NOT NULL GROUP BY ALL),
 grid AS (
   SELECT {series}, unnest(generate_series(lo, hi, INTERVAL '{step}')) AS eval_ts FROM spans),
@@ -154,7 +155,7 @@ def states_sql(series: str, hold: str, keep: str) -> str:
     b_cols = ", ".join(f"b.{c}" for c in cols)
     return f"""numbered AS (
   SELECT {series}, eval_ts, value, breach,
-         CASE WHEN breach IS NULL THEN 'none' WHEN breach THEN 'breach' ELSE 'calm' END AS kind,
+         CASE WHEN isnan(value) THEN 'error' WHEN breach IS NULL THEN 'none' WHEN breach THEN 'breach' ELSE 'calm' END AS kind,
          row_number() OVER (PARTITION BY {series} ORDER BY eval_ts) AS n
   FROM breaches),
 steps AS (
@@ -166,6 +167,7 @@ steps AS (
          CASE WHEN b.kind = s.kind THEN s.since ELSE b.eval_ts END,
          CASE b.kind
            WHEN 'none' THEN false
+           WHEN 'error' THEN false
            WHEN 'breach' THEN s.active
              OR b.eval_ts - CASE WHEN b.kind = s.kind THEN s.since ELSE b.eval_ts END >= INTERVAL '{hold}'
            ELSE s.active
@@ -175,6 +177,7 @@ steps AS (
 states AS (
   SELECT {b_cols}, b.eval_ts, b.value, b.breach,
          CASE WHEN s.kind = 'none' THEN 'NoData'
+              WHEN s.kind = 'error' THEN 'Error'
               WHEN s.kind = 'breach' AND s.active THEN 'Firing'
               WHEN s.kind = 'breach' THEN 'Pending'
               WHEN s.active THEN 'Recovering' ELSE 'Normal' END AS state

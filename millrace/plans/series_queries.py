@@ -202,6 +202,48 @@ def instant_value_at(spark, sf_dir):
     return series.instant_value_at(values(spark, sf_dir), AS_OF, "1 hour")
 
 
+_SAMPLES = """samples AS (
+  SELECT metric, device_id, ts, max(value) AS value FROM metrics WHERE value IS NOT NULL GROUP BY ALL)"""
+
+
+@query(
+    "instant_value_times",
+    with_(
+        VALUE_METRICS,
+        _SAMPLES,
+        "times AS (SELECT DISTINCT ts AS eval_ts FROM events WHERE event_type = 'error' AND ts IS NOT NULL)",
+        "asked AS (SELECT * FROM (SELECT DISTINCT metric, device_id FROM samples), times)",
+        body="""SELECT a.metric, a.device_id, eval_ts, value
+                FROM asked a ASOF JOIN samples m ON a.metric = m.metric AND a.device_id = m.device_id AND eval_ts >= m.ts
+                WHERE m.ts >= eval_ts - INTERVAL 20 MINUTE""",
+    ),
+)
+def instant_value_times(spark, sf_dir):
+    """Every series at the times of all failures, which lie on no grid."""
+    failures = table(spark, sf_dir, "events").filter("event_type = 'error'").select(F.col("ts").alias("eval_ts"))
+    return series.instant_value(values(spark, sf_dir), failures, "20 minutes")
+
+
+@query(
+    "instant_value_by_device",
+    with_(
+        VALUE_METRICS,
+        _SAMPLES,
+        """asked AS (SELECT DISTINCT metric, device_id, ts AS eval_ts
+                     FROM (SELECT CAST(1 + user_id % 5 AS VARCHAR) AS device_id, ts FROM events WHERE event_type = 'error'),
+                          (SELECT DISTINCT metric FROM samples) WHERE ts IS NOT NULL)""",
+        body="""SELECT a.metric, a.device_id, eval_ts, m.ts, value
+                FROM asked a ASOF JOIN samples m ON a.metric = m.metric AND a.device_id = m.device_id AND eval_ts >= m.ts
+                WHERE m.ts >= eval_ts - INTERVAL 1 DAY""",
+    ),
+)
+def instant_value_by_device(spark, sf_dir):
+    """The series of a device at the times of its own failures, each with the time it was measured."""
+    device = (F.col("user_id") % 5 + 1).cast("string").alias("device_id")
+    failures = table(spark, sf_dir, "events").filter("event_type = 'error'").select(device, F.col("ts").alias("eval_ts"))
+    return series.instant_value_at_times(values(spark, sf_dir), failures, "1 day")
+
+
 _USED = """used AS (
   SELECT a.job, a.instance, a.ts, (1 - a.mem_available / t.mem_total) * 100 AS value
   FROM hosts a JOIN hosts t ON a.job = t.job AND a.instance = t.instance AND a.ts = t.ts
@@ -245,7 +287,7 @@ def threshold_band(spark, sf_dir):
 def error_stat_band(spark, sf_dir):
     """Counts in the given tables are small, so the step is set to match."""
     steps = ((None, "green"), (3, "red"))
-    return metrics.threshold_band(hourly_errors(spark, sf_dir), steps).drop("metric")
+    return monitors.error_bands(hourly_errors(spark, sf_dir), steps).drop("metric")
 
 
 @query(
@@ -267,7 +309,7 @@ _ERROR_BREACHES = (
 
 
 def error_breaches(spark, sf_dir):
-    return alerts.alert_threshold(hourly_errors(spark, sf_dir), ">", 1, "30 minutes", "2 hours")
+    return monitors.error_alerts(hourly_errors(spark, sf_dir), 1, every="30 minutes", lookback="2 hours")
 
 
 @query(

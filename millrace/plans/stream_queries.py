@@ -6,7 +6,7 @@ results depend on the order of arrival, the events come by time, as they would f
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -15,19 +15,30 @@ from millrace.operators import parse
 from millrace.plans import monitors
 from millrace.plans.readings import event_messages, labelled_readings
 from millrace.plans.reading_queries import _HOURLY, _LAYER_ROWS, AS_OF, ID, layers
-from millrace.plans.registry import CLEANED, FIELDS, MESSAGES, READINGS, TO_LAYERS, query, table, with_
-from millrace.plans.series_queries import _ERROR_STATES, _GRID_INCREASE, _recursive, error_breaches
+from millrace.plans.registry import (
+    CLEANED,
+    FIELDS,
+    MESSAGES,
+    READINGS,
+    TO_LAYERS,
+    evaluation_sql,
+    query,
+    states_sql,
+    table,
+    with_,
+)
+from millrace.plans.series_queries import _ERROR_STATES, _GRID_INCREASE, SERIES, _recursive, error_breaches
 from millrace.schema import BRANCHES, PARTITIONS
 from millrace.session import shared_dir, stateful_settings
 from millrace.sinks.layers import write_layer
 from millrace.sources.layers import scan_layer
 from millrace.sources.streams import archive_source, exactly, stream_source, table_stream
-from millrace.streaming.alerts import stream_alert_states
+from millrace.streaming.alerts import stream_alert_states, stream_alerts
 from millrace.streaming.archive import archive_stream
 from millrace.streaming.layering import distinct, start_layers
 from millrace.streaming.progress import ProgressLog, progress_frame, state_metrics
-from millrace.streaming.supervise import supervise
-from millrace.streaming.windows import streaming_branch_counts
+from millrace.streaming.supervise import keep_running, supervise
+from millrace.streaming.windows import streaming_branch_counts, streaming_error_counts
 
 
 # A batch of a terabyte is done over when it fails, not the whole table.
@@ -64,7 +75,11 @@ def in_order(spark, path: str) -> int:
 
 
 def feed(spark, sf_dir):
-    """The events as messages in order of arrival: files of event time, each later than the one before it.
+    return event_messages(event_feed(spark, sf_dir))
+
+
+def event_feed(spark, sf_dir):
+    """The events in order of arrival: files of event time, each later than the one before it.
 
     Rows of one file come in any order but are never apart by a batch, so that a batch may end behind any file.
     Events without a time come first.
@@ -75,7 +90,7 @@ def feed(spark, sf_dir):
     # by event_id as well, so that an instant with many events is not one file
     events.repartitionByRange(max(LEAST_FILES, -(-size // FILE_SIZE)), "ts", "event_id").write.parquet(path)
     batch = min(int(BATCH["maxBytesPerTrigger"]), max(1, in_order(spark, path) // LEAST_BATCHES))
-    return event_messages(table_stream(spark, path, maxBytesPerTrigger=str(batch)))
+    return table_stream(spark, path, maxBytesPerTrigger=str(batch))
 
 
 def state_partitions(spark) -> int:
@@ -174,6 +189,99 @@ def checkpoint_recovery(spark, sf_dir):
     return scan_layer(spark, path).drop("year", "month", "day", "hour")
 
 
+class Failure(Exception):
+    """Made for a test of recovery."""
+
+
+@query(
+    "checkpoint_recovery_within_batch",
+    with_(
+        *TO_LAYERS,
+        body=f"""SELECT 'raw-data' AS layer, {FIELDS} FROM layers
+                 UNION ALL SELECT branch, {FIELDS} FROM layers""",
+    ),
+)
+def checkpoint_recovery_within_batch(spark, sf_dir):
+    """A job that fails within its batches: after the files of some layers, before and after its batch is valid but
+    before its state is. Each time it is started again on its checkpoint, and every reading is in its layers once."""
+    path, source = shared_dir(spark, "stream-failing"), shared_dir(spark, "stream-source")
+    table(spark, sf_dir, "events").repartition(2, "event_id").write.parquet(source)
+    failures = {("written fail", 0), ("committed", 0), ("indexed", 1)}
+    count = len(failures)
+
+    def probe(stage: str, batch: int) -> None:
+        if (stage, batch) in failures:
+            failures.remove((stage, batch))
+            raise Failure(f"{stage} of batch {batch}")
+
+    def start():
+        messages = event_messages(table_stream(spark, source, maxFilesPerTrigger="1"))
+        options = dict(files_per_hour=FILES_PER_HOUR, state_partitions=state_partitions(spark))
+        return start_layers(messages, path, trigger=None, separate=True, probe=probe, merge=2, **options)[0]
+
+    restarts = keep_running({"layers": start}, restarts=count, wait=0.1)
+    if failures or restarts["layers"] != count:
+        raise AssertionError(f"not failed: {failures}")
+    parts = [
+        scan_layer(spark, path, layer, separate=True).select(F.lit(layer).alias("layer"), *FIELDS.split(", "))
+        for layer in ("raw-data", *BRANCHES)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query(
+    "multi_query_supervision",
+    with_(
+        *TO_LAYERS,
+        body=f"""SELECT 'raw-data' AS layer, {FIELDS} FROM layers
+                 UNION ALL SELECT branch, {FIELDS} FROM layers""",
+    ),
+)
+def multi_query_supervision(spark, sf_dir):
+    """A query for each layer, of which the second fails once amid its work and is started again; the others run on."""
+    path = shared_dir(spark, "stream-supervised")
+    started = []
+
+    def starter(layer):
+        def start():
+            started.append(layer)
+            rows = labelled_readings(message_stream(spark, sf_dir, **BATCH))
+            own = rows if layer == "raw-data" else rows.filter(F.col("branch") == layer)
+            found = distinct(own)
+            if layer == "fail" and started.count(layer) == 1:
+                broken = F.when(F.col("DeviceId") >= 0, F.raise_error(F.lit("broken")).cast("int")).otherwise(F.col("DeviceId"))
+                found = found.withColumn("DeviceId", broken)
+            with stateful_settings(spark, state_partitions(spark)):
+                return write_layer(found, f"{path}/{layer}", f"supervised-{layer}", None, files_per_hour=FILES_PER_HOUR)
+
+        return start
+
+    names = ("raw-data", *BRANCHES)
+    restarts = keep_running({layer: starter(layer) for layer in names}, wait=0.1)
+    if restarts != {layer: int(layer == "fail") for layer in names}:
+        raise AssertionError(f"restarts {restarts}")
+    parts = [
+        scan_layer(spark, path, layer, separate=True).select(F.lit(layer).alias("layer"), *FIELDS.split(", ")) for layer in names
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query(
+    "partition_index_scan",
+    with_(
+        *TO_LAYERS,
+        body=f"""SELECT branch, {FIELDS}, ts FROM layers
+                 WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 1 HOUR AND ts < TIMESTAMP '{AS_OF}' + INTERVAL 1 HOUR""",
+    ),
+)
+def partition_index_scan(spark, sf_dir):
+    """Two hours of a root that a stream has written, from the folders that its index has for them."""
+    path, at = shared_dir(spark, "stream-indexed"), datetime.fromisoformat(AS_OF)
+    run_layers(spark, path, message_stream(spark, sf_dir, **BATCH), committed=True)
+    found = scan_layer(spark, path, None, at - timedelta(hours=1), at + timedelta(hours=1))
+    return found.drop(*PARTITIONS)
+
+
 _PER_DEVICE = "SELECT DeviceId, branch, count(*) AS readings FROM layers{} GROUP BY ALL"
 
 
@@ -366,5 +474,53 @@ def stream_alert_states_(spark, sf_dir):
     path = shared_dir(spark, "breaches")
     breaches = error_breaches(spark, sf_dir)
     breaches.write.parquet(path)
-    stream = stream_source(spark, "parquet", path=path, schema=breaches.schema)
+    stream = stream_source(spark, "parquet", path=path, schema=breaches.schema, **BATCH)
     return through(spark, stream_alert_states(stream, "1 hour", "1 hour"), "alert-states")
+
+
+_RESTLESS = f"""metrics AS (
+  SELECT 'sensor1' AS metric, CAST(1 + user_id % 5 AS VARCHAR) AS device_id, ts,
+         CASE WHEN event_id % 97 = 0 THEN 'NaN'::DOUBLE ELSE value END AS value
+  FROM events
+  WHERE ts IS NOT NULL AND NOT (user_id % 5 = 0 AND ts >= TIMESTAMP '{AS_OF}') AND NOT (user_id % 5 = 1 AND hour(ts) BETWEEN 3 AND 5))"""
+
+
+@query(
+    "stream_alerts",
+    _recursive(
+        _RESTLESS,
+        """closing AS (
+  SELECT time_bucket(INTERVAL '30 minutes', date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE) AS until FROM metrics)""",
+        evaluation_sql(SERIES, "30 minutes", "1 hour", until="(SELECT until FROM closing)"),
+        "breaches AS (SELECT *, CASE WHEN NOT isnan(value) THEN value > 30 END AS breach FROM evaluated)",
+        states_sql(SERIES, "1 hour", "1 hour"),
+        body="""SELECT metric, device_id, eval_ts, CASE WHEN state <> 'Error' THEN value END AS value, breach, state FROM states""",
+    ),
+)
+def stream_alerts_(spark, sf_dir):
+    """A feed of samples with gaps, evaluated as the watermark goes on, also where no sample comes any more."""
+    samples = monitors.restless_metrics(event_feed(spark, sf_dir), AS_OF)
+    states = stream_alerts(samples, ">", 30, "30 minutes", "1 hour", "1 hour", "1 hour", DELAY)
+    told = through(spark, states, "alerts")
+    return told.withColumn("value", F.when(F.col("state") != "Error", F.col("value")))
+
+
+@query(
+    "streaming_error_count",
+    with_(
+        READINGS,
+        MESSAGES,
+        CLEANED,
+        """instants AS (
+  SELECT DeviceId, unnest(generate_series(time_bucket(INTERVAL 10 MINUTE, ts + INTERVAL 10 MINUTE - INTERVAL 1 MICROSECOND),
+                                          ts + INTERVAL 1 HOUR, INTERVAL 10 MINUTE)) AS as_of
+  FROM cleaned WHERE branch = 'dataerr' AND ts IS NOT NULL)""",
+        body="""SELECT as_of, DeviceId, count(*) AS error_count FROM instants
+                WHERE as_of <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM cleaned WHERE branch = 'dataerr')
+                GROUP BY ALL""",
+    ),
+)
+def streaming_error_count(spark, sf_dir):
+    """Implausible readings of the trailing hour per device, every ten minutes that the watermark passes."""
+    errors = labelled_readings(feed(spark, sf_dir)).filter("branch = 'dataerr'")
+    return through(spark, streaming_error_counts(errors, every="10 minutes", delay=DELAY), "error-counts")

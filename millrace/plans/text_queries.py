@@ -12,7 +12,7 @@ from millrace.plans.registry import FIELDS, MEASURED, TO_LAYERS, query, table, w
 from millrace.schema import PARTITIONS
 from millrace.session import shared_dir
 from millrace.sinks.layers import write_layer
-from millrace.sinks.text import write_exposition, write_kv, write_lines, write_snapshot
+from millrace.sinks.text import current_snapshot, read_snapshot, write_exposition, write_kv, write_lines, write_snapshot
 from millrace.sources.files import partition_report, read_lines
 from millrace.sources.layers import scan_layer
 
@@ -173,7 +173,7 @@ def gauge_snapshot_replace(spark, sf_dir):
     errors = layers(spark, sf_dir).filter("branch = 'dataerr'")
     write_snapshot(monitors.error_metrics(errors, "2024-01-10 08:00:00"), path)
     write_snapshot(monitors.error_metrics(errors, AS_OF), path)
-    return spark.read.parquet(path)
+    return read_snapshot(spark, path)
 
 
 @query(
@@ -190,4 +190,4 @@ def exposition_file(spark, sf_dir):
     path = shared_dir(spark, "exposition")
     data = layers(spark, sf_dir).filter("branch = 'data'")
     write_exposition(monitors.latest_metrics(data, "latest_"), path)
-    return read_lines(spark, path)
+    return read_lines(spark, current_snapshot(spark, path))

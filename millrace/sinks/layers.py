@@ -22,6 +22,11 @@ def _packed(df: DataFrame, partitions: Sequence[str], files_per_hour: int | None
     """
     if not df.isStreaming:
         return df.hint("rebalance", *partitions)
+    return spread(df, partitions, files_per_hour)
+
+
+def spread(df: DataFrame, partitions: Sequence[str], files_per_hour: int | None) -> DataFrame:
+    """The rows of a directory in ``files_per_hour`` tasks; None leaves them where they are."""
     if files_per_hour is None:
         return df
     salt = F.pmod(F.xxhash64(*DEDUP_KEYS), F.lit(files_per_hour))

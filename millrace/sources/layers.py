@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.clock import as_timestamp
 from millrace.schema import PARTITIONS, READING_SCHEMA
+from millrace.sinks.committed import batch_index, committed, valid_batches
 
 
 def _utc(at: datetime | str) -> datetime:
@@ -57,11 +58,23 @@ def hour_folders(start: datetime | str, end: datetime | str) -> str:
 
 
 def layer_schema(partitions: Sequence[str]) -> T.StructType:
-    kinds = {"branch": T.StringType()}
+    kinds = {"branch": T.StringType(), "batch": T.StringType()}
     extra = [T.StructField(name, kinds.get(name, T.IntegerType())) for name in partitions]
     return T.StructType([*READING_SCHEMA.fields, *extra])
 
 
+def _indexed(spark: SparkSession, root: str, state: dict, layer: str | None, separate: bool, bounds: Column) -> list[str]:
+    """The folders of the hours within bounds, as the index has them."""
+    rows = batch_index(spark, root, state).filter(bounds)
+    if layer is not None:
+        rows = rows.filter(F.col("layer") == layer)
+    base = f"{root}/{layer}" if separate else root
+    return [
+        f"{base}/batch={r.batch}/" + ("" if separate else f"branch={r.layer}/") + "/".join(f"{c}={r[c]}" for c in PARTITIONS)
+        for r in rows.distinct().collect()  # one row per folder that is read
+    ]
+
+
 def scan_layer(
     spark: SparkSession,
     root: str,
@@ -74,9 +87,10 @@ def scan_layer(
 ) -> DataFrame:
     """Readings of one layer (None: of all) with event time in [start, end), reading only those hours.
 
-    Either bound may be left out. With ``by_folder`` and both bounds only the folders of those hours are listed, which
-    is what a monitor over years of hours needs. It passes over the log in which a stream notes the files it has
-    committed, so it is for roots that are written in batch; for others a catalog table saves the listing.
+    Either bound may be left out. Of a root whose batches are committed (:mod:`millrace.sinks.committed`) only valid
+    batches are read, and with a bound only the folders that the index has for those hours are listed, which is what a
+    monitor over years of hours needs. For other roots ``by_folder``, with both bounds, does so by the names of the folders; it
+    passes over the log in which a stream notes the files it has committed, so it is for roots written in batch.
 
     The event time is taken from ``collected_at``, which keeps the microseconds that the JSON form of a
     timestamp drops. Month or hour directories with and without a leading zero read alike. Nothing written
@@ -85,17 +99,24 @@ def scan_layer(
     if separate and layer is None:
         raise ValueError("with a directory for each layer, name the layer")
     partitions = PARTITIONS if separate else ("branch", *PARTITIONS)
-    schema = layer_schema(partitions)
-    base = path = f"{root}/{layer}" if separate else root
-    if by_folder and start is not None and end is not None:
+    base = f"{root}/{layer}" if separate else root
+    state = committed(spark, root)
+    schema = layer_schema(partitions if state is None else ("batch", *partitions))
+    paths = [base]
+    if state is not None and (start is not None or end is not None):
+        paths = _indexed(spark, root, state, layer, separate, partition_bounds(start, end))
+    elif state is None and by_folder and start is not None and end is not None:
         branch = "" if separate else f"branch={layer or '*'}/"
-        path = f"{base}/{branch}{hour_folders(start, end)}"
+        paths = [f"{base}/{branch}{hour_folders(start, end)}"]
     try:
-        df = spark.read.schema(schema).format(fmt).option("basePath", base).load(path)
+        reader = spark.read.schema(schema).format(fmt).option("basePath", base)
+        df = reader.load(paths) if paths else spark.createDataFrame([], schema)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         df = spark.createDataFrame([], schema)
+    if state is not None:
+        df = df.filter(valid_batches(state)).drop("batch")
     df = df.withColumn("ts", as_timestamp(F.col("collected_at")))
     if layer is not None and not separate:
         df = df.filter(F.col("branch") == layer)

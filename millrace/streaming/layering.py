@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.functions.checks import branch_label
 from millrace.operators.dedup import dedup_bounded, dedup_exact, melt_copies
-from millrace.operators.parse import time_partitions
 from millrace.plans.readings import complete_readings, labelled
 from millrace.schema import BRANCHES, DEFAULT_RANGES, PARTITIONS, TRIGGER, Ranges
 from millrace.session import stateful_settings
+from millrace.sinks.committed import write_committed
 from millrace.sinks.layers import write_layer
 
 
@@ -44,36 +44,28 @@ def start_layers(
     checkpoint: str | None = None,
     state_partitions: int | None = None,
     name: str = "layers",
+    committed: bool = False,
+    **sink,
 ) -> list[StreamingQuery]:
-    """Start the layered write of a message stream and return its queries.
+    """Start the layered write of a message stream and return its query, as a list.
 
-    One query does it all: readings are deduplicated once and written once, below ``branch=<layer>``; all
-    branches together are the raw layer. With ``separate`` each layer has its own directory, query and
-    checkpoint instead. The branch is then filtered before deduplication, which is safe since it depends
-    on deduplication keys only, and keeps the state of each query to its own branch.
+    One query does it all: readings are read and deduplicated once, with one state, and written once, below
+    ``branch=<layer>``; all branches together are the raw layer. With ``committed`` batches have folders of their own
+    and an index of their hours (:mod:`millrace.sinks.committed`), which lets a scan open the folders of its hours
+    only. ``separate`` is that with a directory for each layer and one for the raw layer, which holds all readings
+    once more; ``sink`` are further arguments for :func:`millrace.sinks.committed.write_committed`.
     """
     spark = messages.sparkSession
     with stateful_settings(spark, state_partitions):
         rows = complete_readings(messages)
-        if not separate:
-            one = labelled(distinct(rows, dedup, delay, melt), ranges)
-            query = write_layer(
-                one, root, name, trigger, fmt, ("branch", *PARTITIONS), checkpoint, files_per_hour
-            )
-            return [query]
-        queries = []
-        for layer in ("raw-data", *BRANCHES):
-            own = rows if layer == "raw-data" else rows.filter(branch_label(ranges) == layer)
-            queries.append(
-                write_layer(
-                    time_partitions(distinct(own, dedup, delay, melt)),
-                    f"{root}/{layer}",
-                    f"{name}-{layer}",
-                    trigger,
-                    fmt,
-                    PARTITIONS,
-                    f"{checkpoint}/{layer}" if checkpoint else None,
-                    files_per_hour,
-                )
-            )
-        return queries
+        one = labelled(distinct(rows, dedup, delay, melt), ranges)
+        if separate:
+            layers = {"raw-data": None, **{layer: F.col("branch") == layer for layer in BRANCHES}}
+            parts = PARTITIONS
+        else:
+            layers, parts = {"": None}, ("branch", *PARTITIONS)
+        if separate or committed:
+            query = write_committed(one, root, layers, name, trigger, fmt, parts, checkpoint, files_per_hour, **sink)
+        else:
+            query = write_layer(one, root, name, trigger, fmt, parts, checkpoint, files_per_hour)
+        return [query]

@@ -10,7 +10,7 @@ from millrace.functions.clock import micros
 from millrace.operators.alerts import alert_messages, alert_node_memory, alert_states, alert_threshold
 from millrace.session import shared_dir
 from millrace.sources.streams import stream_source
-from millrace.streaming.alerts import spell_states, stream_alert_states
+from millrace.streaming.alerts import spell_states, stream_alert_states, stream_alerts
 
 T0 = datetime(2024, 1, 1)
 BREACH = "metric string, device_id string, eval_ts timestamp, value double, breach boolean"
@@ -145,3 +145,80 @@ def test_stream_states_equal_batch_over_several_batches(spark, rows):
     got = sorted(map(tuple, spark.read.parquet(out).select("device_id", "eval_ts", "state").collect()))
     want = alert_states(rows(data, BREACH), "2 minutes", "2 minutes").select("device_id", "eval_ts", "state")
     assert got == sorted(map(tuple, want.collect()))
+
+
+METRIC = "metric string, device_id string, ts timestamp, value double"
+
+
+def test_failed_evaluations_are_errors(rows):
+    flags = [9.0, 9.0, float("nan"), 9.0, 9.0, None, float("nan")]
+    breach = [("m", "1", minute(i), v, None if v is None or v != v else True) for i, v in enumerate(flags)]
+    got = [r["state"] for r in alert_states(rows(breach, BREACH)).orderBy("eval_ts").collect()]
+    assert got == ["Pending", "Firing", "Error", "Pending", "Firing", "NoData", "Error"]
+    data = [("m", "1", minute(i), v) for i, v in enumerate([1.0, float("nan"), 95.0])]
+    got = alert_threshold(rows(data, METRIC), ">", 90, until=minute(2)).orderBy("eval_ts").collect()
+    assert [r["breach"] for r in got] == [False, None, True]
+
+
+def run_in_batches(spark, rows, data, schema, build, size):
+    """A stream over ``data`` in batches, restarted with each; its output and the batches' watermark at the end."""
+    path, out = shared_dir(spark, "source"), shared_dir(spark, "out")
+    whole = rows(data, schema).schema
+    for low in range(0, len(data), size):
+        rows(data[low : low + size], schema).coalesce(1).write.mode("append").parquet(path)
+        job = (
+            build(stream_source(spark, "parquet", path, whole)).writeStream.format("parquet")
+            .option("checkpointLocation", f"{out}_c").trigger(availableNow=True).start(out)
+        )
+        job.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def flighty(seed, n=500):
+    """Samples of four series: one that is always there, one with gaps, one that ends, one that starts late; in disorder
+    of up to two minutes."""
+    rnd = random.Random(seed)
+    data = []
+    for _ in range(n):
+        device, at = rnd.choice("1234"), round(rnd.uniform(0, 200), 3)
+        if (device == "2" and at % 60 > 20) or (device == "3" and at > 50) or (device == "4" and at < 120):
+            continue
+        data.append(("m", device, minute(at), rnd.choice([1.0, 9.0, 9.0, 9.0, float("nan")])))
+    return sorted(data, key=lambda r: r[2] + timedelta(seconds=rnd.uniform(0, 60)))
+
+
+@pytest.mark.parametrize(("seed", "size"), [(1, 40), (2, 150)])
+def test_silent_series_equal_batch_over_several_batches(spark, rows, seed, size):
+    data = flighty(seed)
+    args = dict(every="1 minute", lookback="5 minutes")
+
+    def build(samples):
+        return stream_alerts(samples, ">", 5, **args, for_="2 minutes", keep_firing="3 minutes", delay="2 minutes")
+
+    got = run_in_batches(spark, rows, data, METRIC, build, size)
+    last = max(r[2] for r in data) - timedelta(minutes=2)
+    until = last.replace(second=0, microsecond=0)
+    known = [r for r in data if r[2] <= until]
+    want = alert_states(alert_threshold(rows(known, METRIC), ">", 5, **args, until=until), "2 minutes", "3 minutes")
+    columns = ["device_id", "eval_ts", "breach", "state"]
+    have = sorted(map(str, got.select(columns).collect()))
+    assert have == sorted(map(str, want.select(columns).collect()))
+    value = ["device_id", "eval_ts", "value"]
+    assert sorted(map(str, got.select(value).collect())) == sorted(map(str, want.select(value).collect()))
+    assert {"NoData", "Error", "Firing", "Recovering", "Normal"} <= {r["state"] for r in got.collect()}
+    ended = got.filter("device_id = '3'").orderBy("eval_ts").collect()
+    assert ended[-1]["state"] == "NoData" and ended[-1]["eval_ts"] == until
+
+
+def test_forgotten_series_begin_anew(spark, rows):
+    data = [("m", "1", minute(m), 9.0) for m in (0, 1, 2, 40, 41, 42)] + [("m", "2", minute(m), 1.0) for m in range(0, 60)]
+    data.sort(key=lambda r: r[2])
+
+    def build(samples):
+        return stream_alerts(samples, ">", 5, lookback="3 minutes", for_="2 minutes", delay="1 minute", forget="4 minutes")
+
+    for size in (9, len(data)):
+        got = run_in_batches(spark, rows, data, METRIC, build, size).filter("device_id = '1'").orderBy("eval_ts").collect()
+        short = "".join({"Pending": "P", "Firing": "F", "NoData": "X"}[r["state"]] for r in got)
+        assert short == "PPFFFFXXXX" + "PPFFFFXXXX"
+        assert [r["eval_ts"] for r in got] == [minute(m) for m in [*range(0, 10), *range(40, 50)]]

@@ -8,6 +8,8 @@ import pytest
 
 from millrace.jobs import arguments, run
 from millrace.session import shared_dir
+from millrace.sinks.committed import committed
+from millrace.sinks.text import read_snapshot
 
 
 def reading(at: str, device: int, value: float, fail: bool = False) -> str:
@@ -32,11 +34,12 @@ def test_layers_then_monitors(spark, rows, separate):
     rows([(m,) for m in messages], "value string").coalesce(1).write.text(source)
     layout = ["--separate"] if separate else []
     run(spark, ["layers", root, "--format", "text", "--path", source, "--trigger", "once", "--state-partitions", "2", *layout])
+    assert committed(spark, root)["last"]
     run(spark, ["monitor", root, f"{out}-m", "--layer", "data", "--as-of", "2024-01-01T12:30:00", "--prefix", "p_", *layout])
-    got = {(r["metric"], r["device_id"]): r["value"] for r in spark.read.parquet(f"{out}-m").collect()}
+    got = {(r["metric"], r["device_id"]): r["value"] for r in read_snapshot(spark, f"{out}-m").collect()}
     assert got["p_sensor1", "1"] == 2.0 and len(got) == 6
     run(spark, ["errors", root, f"{out}-e", "--as-of", "2024-01-01T12:30:00", "--text", *layout])
-    assert spark.read.text(f"{out}-e").first()["value"] == 'error_count_per_hour{device_id="1"} 2.0'
+    assert read_snapshot(spark, f"{out}-e", "text").first()["value"] == 'error_count_per_hour{device_id="1"} 2.0'
 
 
 def test_archive_and_words(spark, rows):

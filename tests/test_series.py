@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.clock import micros
 from millrace.operators.metrics import (
+    SERIES,
     device_count,
     error_count_per_device,
     hourly_branch_counts,
@@ -27,6 +28,7 @@ from millrace.operators.series import (
     evaluations,
     instant_value,
     instant_value_at,
+    instant_value_at_times,
     time_reversal,
 )
 from millrace.schema import GAUGE_STEPS
@@ -81,6 +83,86 @@ def test_counter_restart_counts_from_zero(rows):
     assert got == {sec(0): None, sec(10): 4.0, sec(20): 6.0, sec(60): None}
 
 
+def test_small_steps_after_large_totals_are_kept(rows):
+    """A running total of 1e17 has no room for 0.5, so growth may not be a difference of totals."""
+    data = [("c", "1", sec(60 * i), v) for i, v in enumerate([0.0, 1e17, 0.0, 0.5, 1.0])]
+    got = {r["ts"]: r["increase"] for r in counter_increase(rows(data, METRIC), "2 minutes").collect()}
+    assert got == {sec(0): None, sec(60): 1e17, sec(120): 1e17, sec(180): 0.5, sec(240): 1.0}
+    grid = counter_increase_grid(rows(data, METRIC), "2 minutes", "1 minute").collect()
+    assert {r["ts"]: r["increase"] for r in grid} == {sec(60): 1e17, sec(120): 1e17, sec(180): 0.5, sec(240): 1.0, sec(300): 0.5}
+    dense = [("c", "1", sec(i), v) for i, v in enumerate([0.0, 1e17, 0.0, 0.5, 1.0, 1.5])]
+    got = {r["ts"]: r["increase"] for r in counter_increase(rows(dense, METRIC), "2 seconds").collect()}
+    assert got == {sec(0): None, sec(1): 1e17, sec(2): 1e17, sec(3): 0.5, sec(4): 1.0, sec(5): 1.0}
+
+
+@pytest.mark.parametrize(("window", "step", "bucket"), [(90, 60, 10), (600, 30, 60), (45, 100, 7), (3600, 1800, 60)])
+def test_growth_with_many_buckets_equals_brute_force(rows, window, step, bucket):
+    data = samples(window, 250, 4000)
+    points = defaultdict(list)
+    for _, device, ts, value in sorted(data, key=lambda r: r[2]):
+        points[device].append((ts, value))
+
+    def want(device, at):
+        inside = [v for t, v in points[device] if at - timedelta(seconds=window) <= t <= at]
+        return grown(inside) if len(inside) > 1 else None
+
+    names = (f"{window} seconds", f"{step} seconds", f"{bucket} seconds")
+    for r in counter_increase(rows(data, METRIC), names[0], bucket=names[2]).collect():
+        expected = want(r["device_id"], r["ts"])
+        assert r["increase"] == (expected if expected is None else pytest.approx(expected))
+    grid = {(r["device_id"], r["ts"]): r["increase"] for r in counter_increase_grid(rows(data, METRIC), *names[:2], bucket=names[2]).collect()}
+    zero = datetime(1970, 1, 1)
+    first = zero + timedelta(seconds=(T0 - zero).total_seconds() // step * step)
+    times = [first + timedelta(seconds=k * step) for k in range(8000 // step + 2)]
+    expected = {(d, t): want(d, t) for d in points for t in times}
+    assert grid == {k: pytest.approx(v) for k, v in expected.items() if v is not None}
+
+
+def as_of(data, times, reach):
+    """Per time (of a device or of all) the last sample of each series within the look-back."""
+    out = set()
+    for device, at in times:
+        for one in {r[:2] for r in data if device in (None, r[1])}:
+            seen = [(t, v) for m, d, t, v in data if (m, d) == one and v is not None and at - timedelta(seconds=reach) <= t <= at]
+            if seen:
+                out.add((*one, at, *max(seen)))
+    return out
+
+
+@pytest.mark.parametrize(("span", "reach", "width"), [(600, 30, 60), (6000, 400, 60), (300, 5000, 10), (6000, 45, 3600)])
+def test_values_at_given_times_equal_brute_force(rows, span, reach, width):
+    data = samples(span, 150, span) + [("d", "1", sec(s), v) for s, v in [(3, 1.0), (3, 2.0), (90, None), (90.5, 7.0)]]
+    rnd = random.Random(reach)
+    at = [sec(rnd.randrange(-100, span + 6000) / 2) for _ in range(120)] + [r[2] for r in data[:10]] + [sec(3), sec(3), sec(1e5)]
+    args = (f"{reach} seconds", SERIES, f"{width} seconds")
+    all_series = instant_value_at_times(rows(data, METRIC), rows([(t,) for t in at] + [(None,)], "eval_ts timestamp"), *args)
+    got = [tuple(r[c] for c in ("metric", "device_id", "eval_ts", "ts", "value")) for r in all_series.collect()]
+    assert len(got) == len(set(got)) and set(got) == as_of(data, [(None, t) for t in at], reach)
+    per_device = [(rnd.choice("12"), t) for t in at]
+    times = rows([(d, t, "other") for d, t in per_device], "device_id string, eval_ts timestamp, value string")
+    got = [tuple(r[c] for c in ("metric", "device_id", "eval_ts", "ts", "value")) for r in instant_value_at_times(rows(data, METRIC), times, *args).collect()]
+    assert len(got) == len(set(got)) and set(got) == as_of(data, per_device, reach)
+    named = rows([("c", d, t) for d, t in per_device], "metric string, device_id string, eval_ts timestamp")
+    got = {tuple(r[c] for c in ("metric", "device_id", "eval_ts", "ts", "value")) for r in instant_value_at_times(rows(data, METRIC), named, *args).collect()}
+    assert got == {r for r in as_of(data, per_device, reach) if r[0] == "c"}
+
+
+def test_values_at_times_of_empty_frames(rows):
+    times, none = rows([(sec(5),)], "eval_ts timestamp"), rows([], "eval_ts timestamp")
+    assert instant_value(rows([], METRIC), times).collect() == []
+    assert instant_value(rows([("c", "1", sec(0), 1.0)], METRIC), none).collect() == []
+    got = instant_value(rows([("c", "1", sec(0), 1.0)], METRIC), times, until=sec(5)).collect()
+    assert [tuple(r) for r in got] == [("c", "1", sec(5), 1.0)]
+    assert instant_value(rows([("c", "1", sec(0), 1.0)], METRIC), times, until=sec(4)).collect() == []
+
+
+def test_values_at_times_put_no_series_into_one_group(rows):
+    """Windows go over slices, and over one row per slice; a sample meets no time by a join."""
+    df = instant_value_at_times(rows(samples(1, 50, 600), METRIC), rows([("c", "1", sec(5))], "metric string, device_id string, eval_ts timestamp"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Window [") == 2
+
+
 @pytest.mark.parametrize("seed", [4, 5])
 def test_grid_increase_and_mean_equal_brute_force(rows, seed):
     data = samples(seed, 400, 400)

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import glob
 import json
+import random
 import threading
 import time
+from datetime import datetime, timedelta
 from types import SimpleNamespace
 
 import pytest
@@ -11,21 +13,23 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import dedup_bounded
-from millrace.operators.metrics import hourly_branch_counts
+from millrace.functions.clock import micros
+from millrace.operators.metrics import error_count_per_device, hourly_branch_counts
 from millrace.operators.parse import event_time
 from millrace.plans import stream_queries
 from millrace.plans.monitors import batch_latency_bands
 from millrace.plans.readings import distinct_layers, event_messages, labelled_readings
 from millrace.schema import BRANCHES, DEDUP_KEYS, READING_SCHEMA
 from millrace.session import shared_dir, stateful_settings
+from millrace.sinks.committed import committed
 from millrace.sinks.layers import write_layer
 from millrace.sources.layers import scan_layer
 from millrace.sources.streams import archive_source, stream_source, table_stream
 from millrace.streaming.archive import archive_stream
 from millrace.streaming.layering import start_layers
 from millrace.streaming.progress import ProgressLog, progress_frame, state_metrics
-from millrace.streaming.supervise import supervise
-from millrace.streaming.windows import streaming_branch_counts
+from millrace.streaming.supervise import keep_running, supervise
+from millrace.streaming.windows import streaming_branch_counts, streaming_error_counts
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
 KEYS = [*DEDUP_KEYS, "branch"]
@@ -430,3 +434,153 @@ def test_feed_has_events_without_a_time_and_batches_of_bounded_bytes(spark, monk
     monkeypatch.setitem(stream_queries.BATCH, "maxBytesPerTrigger", "1")  # of which every file is too large
     batches = stream_queries.layers_progress(spark, path).filter("numInputRows > 0")
     assert batches.count() == stream_queries.LEAST_FILES
+
+
+def error_rows(seed, n=300):
+    """Rows of three devices in disorder of up to two minutes, some of them on the minute; the second falls silent, the
+    third comes back after hours."""
+    rnd = random.Random(seed)
+    out = []
+    for _ in range(n):
+        device, at = rnd.choice((1, 1, 2, 3)), rnd.choice([round(rnd.uniform(0, 400), 4), float(rnd.randrange(400))])
+        if (device == 2 and at > 60) or (device == 3 and 20 < at < 300):
+            continue
+        out.append((device, datetime(2024, 1, 1) + timedelta(minutes=at)))
+    return [*sorted(out, key=lambda r: r[1] + timedelta(seconds=rnd.uniform(0, 60))), (None, datetime(2024, 1, 1, 5)), (1, None)]
+
+
+@pytest.mark.parametrize(("seed", "size", "every", "length"), [(1, 50, "1 minute", "1 hour"), (2, 300, "10 minutes", "30 minutes")])
+def test_trailing_counts_equal_batch_at_every_instant(spark, rows, seed, size, every, length):
+    data, schema = error_rows(seed), "DeviceId int, ts timestamp"
+    path, out = shared_dir(spark, "source"), shared_dir(spark, "out")
+    whole = rows(data, schema).schema
+    for low in range(0, len(data), size):
+        rows(data[low : low + size], schema).coalesce(1).write.mode("append").parquet(path)
+        counts = streaming_error_counts(stream_source(spark, "parquet", path, whole), length, every, "2 minutes")
+        job = counts.writeStream.format("parquet").option("checkpointLocation", f"{out}_c").trigger(availableNow=True).start(out)
+        job.awaitTermination()
+    got = {(r["as_of"], r["DeviceId"]): r["error_count"] for r in spark.read.parquet(out).collect()}
+    assert len(got) == spark.read.parquet(out).count()
+    step, span = (timedelta(seconds=micros(x) // 1_000_000) for x in (every, length))
+    dated = [r for r in data if None not in r]
+    until, want = max(r[1] for r in dated) - timedelta(minutes=2), {}
+    at = datetime(2024, 1, 1)
+    while at <= until:
+        for device in (1, 2, 3):
+            if n := sum(d == device and at - span <= t <= at for d, t in dated):
+                want[at, device] = n
+        at += step
+    assert got == want
+    for at in sorted({k[0] for k in want})[:: len(want) // 7]:
+        batch = error_count_per_device(rows(dated, schema), at, length).collect()
+        assert {(at, r["DeviceId"]): r["error_count"] for r in batch} == {k: n for k, n in got.items() if k[0] == at}
+
+
+class Failure(Exception):
+    pass
+
+
+STAGES = ["written raw-data", "written fail", "written data", "indexed", "committed"]
+
+
+@pytest.mark.parametrize("stage", STAGES)
+def test_a_batch_that_fails_anywhere_leaves_each_row_once(spark, messages, stage):
+    """Two of its batches fail at one stage, whatever is read in between is of whole batches."""
+    out, failures = shared_dir(spark, "out"), {(stage, 0), (stage, 2)}
+    batch = distinct_layers(spark.read.text(messages))
+
+    def probe(*at):
+        if at in failures:
+            failures.remove(at)
+            raise Failure(at)
+
+    def start():
+        return start_layers(
+            stream(spark, messages, maxFilesPerTrigger="1"), out, separate=True, trigger=None, state_partitions=2,
+            files_per_hour=1, probe=probe, merge=2,
+        )[0]
+
+    counts = []
+    for _ in range(3):
+        job = start()
+        try:
+            job.awaitTermination()
+        except StreamingQueryException:
+            pass
+        parts = [scan_layer(spark, out, layer, separate=True).count() for layer in BRANCHES]
+        counts.append(sum(parts))
+        state = committed(spark, out)
+        raw = 0 if state is None else scan_layer(spark, out, "raw-data", separate=True).count()
+        assert raw == counts[-1]
+    assert not failures and counts == sorted(counts) and counts[-1] == batch.count()
+    for layer in BRANCHES:
+        got = scan_layer(spark, out, layer, separate=True).withColumn("branch", F.lit(layer))
+        assert keys(got) == keys(batch.filter(F.col("branch") == layer))
+    start().awaitTermination()
+    assert scan_layer(spark, out, "raw-data", separate=True).count() == batch.count()
+
+
+@pytest.mark.parametrize("separate", [False, True])
+def test_indexed_scan_opens_the_folders_of_its_hours_only(spark, rows, separate):
+    """Two hours out of a thousand, written by a stream in several batches."""
+    source, out = shared_dir(spark, "source"), shared_dir(spark, "out")
+    times = [datetime(2024, 1, 1) + timedelta(hours=h, minutes=7) for h in range(1000)]
+    data = [(json.dumps(dict(DeviceId=1, sensor1=float(h % 90), sensor2=float(h % 7), sensor3=float(h % 11), motor1=float(h), motor2=1.0,
+                             motor3=1.0, isFail=False, collected_at=t.isoformat())),) for h, t in enumerate(times)]
+    for low in range(0, 1000, 250):
+        rows(data[low : low + 250], "value string").coalesce(1).write.mode("append").text(source)
+    options = dict(separate=separate, committed=True, trigger=None, state_partitions=2, merge=3)
+    start_layers(stream(spark, source, maxFilesPerTrigger="1"), out, **options)[0].awaitTermination()
+    state = committed(spark, out)
+    assert state["merged"] and len(state["loose"]) == 1
+    for hour in (0, 333, 998):
+        got = scan_layer(spark, out, "data", times[hour], times[hour] + timedelta(hours=2), separate=separate)
+        assert sorted(r["collected_at"] for r in got.collect()) == [t.isoformat() for t in times[hour : hour + 2]]
+        location = got._jdf.queryExecution().optimizedPlan().collectLeaves().head().relation().location()
+        assert 2 <= len(location.inputFiles()) <= 3 and location.rootPaths().size() <= 3
+    assert scan_layer(spark, out, "data", separate=separate).count() == 1000
+    assert scan_layer(spark, out, "data", "2030-01-01", "2030-01-02", separate=separate).count() == 0
+    if not separate:
+        assert scan_layer(spark, out, None, end=times[3]).count() == 3
+
+
+def test_batches_of_two_checkpoints_share_a_root(spark, messages):
+    out = shared_dir(spark, "out")
+    for checkpoint in ("a", "b"):
+        start_layers(stream(spark, messages), out, separate=True, trigger=None, state_partitions=2, checkpoint=f"{out}_{checkpoint}")[0].awaitTermination()
+    batch = distinct_layers(spark.read.text(messages)).count()
+    assert scan_layer(spark, out, "raw-data", separate=True).count() == 2 * batch
+
+
+def test_failed_queries_are_started_again_a_bounded_number_of_times(spark, rows):
+    path = shared_dir(spark, "source")
+    rows([("x",)], "value string").write.text(path)
+    started = []
+
+    def starter(name, failures):
+        checkpoint, out = shared_dir(spark, "c"), shared_dir(spark, "o")
+
+        def start():
+            started.append(name)
+            broken = started.count(name) <= failures
+            frame = stream(spark, path).select(F.raise_error(F.lit("broken")).cast("string").alias("value") if broken else "value")
+            return frame.writeStream.format("text").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
+
+        return start, out
+
+    (good, a), (flaky, b) = starter("good", 0), starter("flaky", 2)
+    assert keep_running({"good": good, "flaky": flaky}, restarts=2, wait=0.05) == {"good": 0, "flaky": 2}
+    assert spark.read.text(a).count() == spark.read.text(b).count() == 1
+    endless = stream(spark, path).writeStream.format("noop").option("checkpointLocation", shared_dir(spark, "c"))
+    running = []
+
+    def lasting():
+        running.append(endless.start())
+        return running[-1]
+
+    with pytest.raises(StreamingQueryException):
+        keep_running({"lasting": lasting, "bad": starter("bad", 9)[0]}, restarts=1, wait=0.05)
+    assert started.count("bad") == 2 and len(running) == 1 and not running[0].isActive
+    assert keep_running({"lasting": lasting}, timeout=1) == {"lasting": 0} and running[1].isActive
+    running[1].stop()
+    spark.streams.resetTerminated()

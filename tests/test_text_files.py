@@ -1,11 +1,16 @@
 from __future__ import annotations
 
+import threading
+
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from millrace.functions.tokens import words_any_space, words_ascii_space
 from millrace.operators.words import word_count, word_split_java, word_split_ws
 from millrace.session import shared_dir
-from millrace.sinks.text import write_exposition, write_kv, write_snapshot
+from millrace.sinks.pointer import folders, pointed, swap
+from millrace.sinks.text import current_snapshot, read_snapshot, write_exposition, write_kv, write_snapshot
 from millrace.sources.files import partition_report, read_lines
 
 LINES = [
@@ -56,12 +61,62 @@ def test_snapshot_forgets_absent_devices_and_clears_on_empty(spark, rows):
     path, schema = shared_dir(spark, "snap"), "metric string, device_id string, value double"
     write_snapshot(rows([("m", "1", 1.0), ("m", "2", 2.0)], schema), path)
     write_snapshot(rows([("m", "2", 3.0)], schema), path)
-    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("m", "2", 3.0)]
+    assert [tuple(r) for r in read_snapshot(spark, path).collect()] == [("m", "2", 3.0)]
     write_snapshot(rows([], schema), path)
-    assert spark.read.parquet(path).count() == 0
+    assert read_snapshot(spark, path).count() == 0
     lines = shared_dir(spark, "lines")
     write_exposition(rows([("m", "1", 5.0)], schema), lines)
-    assert read_lines(spark, lines).first()["value"] == 'm{device_id="1"} 5.0'
+    assert read_lines(spark, current_snapshot(spark, lines)).first()["value"] == 'm{device_id="1"} 5.0'
+
+
+def test_a_reader_finds_a_whole_snapshot_at_any_time(spark, rows):
+    """Snapshots whose rows all have the number of the snapshot, read while they are replaced."""
+    path = shared_dir(spark, "snap")
+
+    def snapshot(k):
+        return spark.range(0, 500, 1, 3).select(F.lit("m").alias("metric"), F.col("id").cast("string").alias("device_id"), F.lit(float(k)).alias("value"))
+
+    write_snapshot(snapshot(0), path)
+    done, seen, failures = threading.Event(), [], []
+
+    def look():
+        while not done.is_set():
+            try:
+                seen.append(read_snapshot(spark, path).groupBy("value").count().collect())
+            except Exception as failure:  # noqa: BLE001
+                failures.append(failure)
+
+    reader = threading.Thread(target=look)
+    reader.start()
+    for k in range(1, 9):
+        write_snapshot(snapshot(k), path, former=3)
+    done.set()
+    reader.join()
+    assert not failures and len(seen) > 2
+    assert all(len(found) == 1 and found[0]["count"] == 500 for found in seen)
+    assert [found[0]["value"] for found in seen] == sorted(found[0]["value"] for found in seen)
+    assert len(folders(spark, path, "version-")) == 4
+
+
+def test_a_failed_write_leaves_the_last_snapshot(spark, rows):
+    path, schema = shared_dir(spark, "snap"), "metric string, device_id string, value double"
+    with pytest.raises(FileNotFoundError):
+        read_snapshot(spark, path)
+    write_snapshot(rows([("m", "1", 1.0)], schema), path)
+    broken = spark.range(9).select(F.lit("m").alias("metric"), F.raise_error(F.lit("broken")).cast("string").alias("device_id"), F.lit(2.0).alias("value"))
+    with pytest.raises(PySparkException):
+        write_snapshot(broken, path)
+    assert [tuple(r) for r in read_snapshot(spark, path).collect()] == [("m", "1", 1.0)]
+    write_snapshot(rows([("m", "1", 3.0)], schema), path, former=0)
+    assert read_snapshot(spark, path).first()["value"] == 3.0 and len(folders(spark, path, "version-")) == 1
+
+
+def test_swapped_files(spark):
+    path = f"{shared_dir(spark, 'pointer')}/_current"
+    assert pointed(spark, path) is None
+    for text in ("one", "zwei ü", ""):
+        swap(spark, path, text)
+        assert pointed(spark, path) == text
 
 
 def test_partition_report_spreads_rows_evenly(spark):
