@@ -330,19 +330,20 @@ def _quality_sql(by: str) -> str:
         LAGGING,
         MESSAGES,
         f"""dated AS (
-  SELECT event_id, copy, cut_off, CASE WHEN NOT cut_off THEN TRY_CAST(collected_at AS TIMESTAMP) END AS ts,
-         {_PARSED} FROM messages)""",
+  SELECT * REPLACE (CASE WHEN event_id % 173 <> 0 THEN sensor2 END AS sensor2) FROM (
+    SELECT event_id, copy, cut_off, CASE WHEN NOT cut_off THEN TRY_CAST(collected_at AS TIMESTAMP) END AS ts,
+           {_PARSED} FROM messages))""",
         f"""judged AS (
   SELECT {where}
          cut_off OR time IS NULL OR sensor1 IS NULL AS missing,
          NOT cut_off AND collected_at = 'garbage' AS bad_time,
-         false AS type_mismatch,
+         NOT cut_off AND event_id % 173 = 0 AS type_mismatch,
          NOT cut_off AND coalesce(NOT (sensor1 BETWEEN 0 AND 100 AND sensor2 BETWEEN 0 AND 100 AND sensor3 BETWEEN 0 AND 150
             AND motor1 BETWEEN 0 AND 2000 AND motor2 BETWEEN 0 AND 1500 AND motor3 BETWEEN 0 AND 1800), NOT (sensor2 BETWEEN 0 AND 100 AND sensor3 BETWEEN 0 AND 150
             AND motor1 BETWEEN 0 AND 2000 AND motor2 BETWEEN 0 AND 1500 AND motor3 BETWEEN 0 AND 1800)) AS out_of_range,
          NOT cut_off AND DeviceId NOT BETWEEN 1 AND 5 AS wrong_device
   FROM dated)""",
-        "typed AS (SELECT * FROM dated WHERE NOT cut_off AND sensor1 IS NOT NULL)",
+        "typed AS (SELECT * FROM dated WHERE NOT cut_off AND sensor1 IS NOT NULL AND sensor2 IS NOT NULL)",
         f"""copies AS (
   SELECT {where} sensor1, sensor2, sensor3, motor1, motor2, motor3, isFail, {'' if by else 'DeviceId,'}
          count(*) AS n FROM typed GROUP BY ALL)""",
@@ -361,14 +362,20 @@ UNION ALL SELECT {cols} 'time_reversal', count(*) FILTER (reversed) FROM turned
     )
 
 
+def mistyped(messages: DataFrame) -> DataFrame:
+    """Messages of which some have text in place of a number."""
+    wrong = F.regexp_replace("value", '"sensor2":[^,}]*', '"sensor2":"n/a"')
+    return messages.withColumn("value", F.when(F.col("event_id") % 173 == 0, wrong).otherwise(F.col("value")))
+
+
 @query("quality_report", _quality_sql(""))
 def quality_report(spark, sf_dir):
-    return quality.quality_report(messages(spark, sf_dir, lagging=True))
+    return quality.quality_report(mistyped(messages(spark, sf_dir, lagging=True)))
 
 
 @query("quality_report_by_device_hour", _quality_sql("DeviceId, hour"))
 def quality_report_by_device_hour(spark, sf_dir):
-    return quality.quality_report(messages(spark, sf_dir, lagging=True), by=("DeviceId", "hour"))
+    return quality.quality_report(mistyped(messages(spark, sf_dir, lagging=True)), by=("DeviceId", "hour"))
 
 
 _LATEST = f"""latest AS (

@@ -31,6 +31,7 @@ from millrace.plans.series_queries import _ERROR_STATES, _GRID_INCREASE, SERIES,
 from millrace.schema import BRANCHES, PARTITIONS
 from millrace.session import shared_dir, stateful_settings
 from millrace.sinks.layers import write_layer
+from millrace.sinks.pointer import folders, make_folder, move
 from millrace.sources.layers import scan_layer
 from millrace.sources.streams import archive_source, exactly, stream_source, table_stream
 from millrace.streaming.alerts import stream_alert_states, stream_alerts
@@ -57,58 +58,58 @@ def message_stream(spark, sf_dir, **options):
     return event_messages(table_stream(spark, f"{sf_dir}/events.parquet", **options))
 
 
-def in_order(spark, path: str) -> int:
-    """Date the part files of a table one millisecond after the other, in the order of their numbers; their bytes.
+class Feed:
+    """The events of the table in order of arrival, as a stream of slices of event time that are let in one after the other.
 
-    A file source takes older files first, and the files of one write are as old as their tasks happened to end.
+    One job writes all slices aside, by ranges of time; events without a time come first. Then a slice is moved into the
+    folder that the stream reads, one rename each, and the next one follows when it has been read; so a batch holds a
+    slice, whatever the age and the order of its files. There are as many slices as batches of bounded size are needed.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    parts = [f for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
-    parts.sort(key=lambda f: int(f.getPath().getName().split("-")[1]))
-    first = min((f.getModificationTime() for f in parts), default=0) - len(parts)
-    for number, part in enumerate(parts):
-        fs.setTimes(part.getPath(), first + number, -1)
-        if fs.getFileStatus(part.getPath()).getModificationTime() != first + number:
-            raise OSError(f"files cannot be dated here, so their order is unknown: {part.getPath()}")
-    return sum(part.getLen() for part in parts)
 
-
-def feed(spark, sf_dir):
-    return event_messages(event_feed(spark, sf_dir))
-
-
-def event_feed(spark, sf_dir):
-    """The events in order of arrival: files of event time, each later than the one before it.
-
-    Rows of one file come in any order but are never apart by a batch, so that a batch may end behind any file.
-    Events without a time come first.
-    """
-    events = table(spark, sf_dir, "events")
-    path = shared_dir(spark, "feed")
-    size = int(events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    # by event_id as well, so that an instant with many events is not one file
-    events.repartitionByRange(max(LEAST_FILES, -(-size // FILE_SIZE)), "ts", "event_id").write.parquet(path)
-    batch = min(int(BATCH["maxBytesPerTrigger"]), max(1, in_order(spark, path) // LEAST_BATCHES))
-    return table_stream(spark, path, maxBytesPerTrigger=str(batch))
+    def __init__(self, spark, sf_dir):
+        events = table(spark, sf_dir, "events")
+        size = int(events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        files = max(LEAST_FILES, -(-size // FILE_SIZE))
+        self.slices = min(files, max(LEAST_BATCHES, -(-size // int(BATCH["maxBytesPerTrigger"]))))
+        self.spark, self.aside, self.path = spark, shared_dir(spark, "slices"), shared_dir(spark, "feed")
+        # by event_id as well, so that an instant with many events is not one file
+        dealt = events.repartitionByRange(files, "ts", "event_id")
+        dealt = dealt.withColumn("slice", F.floor(F.spark_partition_id() * self.slices / files))
+        dealt.write.partitionBy("slice").parquet(self.aside)
+        make_folder(spark, self.path)
+        self.events = stream_source(spark, "parquet", self.path, events.schema, recursiveFileLookup="true")
+        self.messages = event_messages(self.events)
+
+    def play(self, job) -> None:
+        """Let the slices in and wait until the job has read each; then end the job."""
+        try:
+            for name in sorted(folders(self.spark, self.aside, "slice="), key=lambda n: int(n.split("=")[1])):
+                move(self.spark, f"{self.aside}/{name}", f"{self.path}/{name}")
+                job.processAllAvailable()
+        finally:
+            job.stop()
 
 
 def state_partitions(spark) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def through(spark, stream, label: str, mode: str = "append"):
-    """Run a stream into a parquet table and read the table."""
+def through(spark, stream, label: str, mode: str = "append", feed: Feed | None = None):
+    """Run a stream into a parquet table, over what is there or as its feed comes in, and read the table."""
     path = shared_dir(spark, label)
+    pace = {"processingTime": "0 seconds"} if feed else {"availableNow": True}
     with stateful_settings(spark, state_partitions(spark)):
         job = (
             stream.writeStream.format("parquet")
             .outputMode(mode)
             .option("checkpointLocation", f"{path}_checkpoint")
-            .trigger(availableNow=True)
+            .trigger(**pace)
             .start(path)
         )
-    supervise(spark, [job])
+    if feed:
+        feed.play(job)
+    else:
+        supervise(spark, [job])
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -126,15 +127,15 @@ def run_layers(spark, path, messages, **options):
     return jobs
 
 
-def reported(spark, stream, name: str):
-    """Run a stream to its end and read the table of its batch reports."""
+def reported(spark, stream, name: str, feed: Feed):
+    """Run a stream to the end of its feed and read the table of its batch reports."""
     path, reports = shared_dir(spark, name), shared_dir(spark, "reports")
     log = ProgressLog(spark, reports, names=[name])
     spark.streams.addListener(log)
     try:
         with stateful_settings(spark, state_partitions(spark)):
-            job = write_layer(stream, path, name, trigger=None, fmt="parquet", partitions=["branch"])
-        supervise(spark, [job])
+            job = write_layer(stream, path, name, "0 seconds", "parquet", partitions=["branch"])
+        feed.play(job)
         log.wait(job)
     finally:
         spark.streams.removeListener(log)
@@ -299,21 +300,19 @@ def stateful_dedup(spark, sf_dir):
 @query("dedup_bounded", with_(*TO_LAYERS, body=_PER_DEVICE.format("")))
 def dedup_bounded(spark, sf_dir):
     """Readings are forgotten after a while, those without a time never."""
-    rows = labelled_readings(feed(spark, sf_dir))
-    return per_device(through(spark, distinct(rows, "bounded", DELAY), "bounded-dedup"))
+    feed = Feed(spark, sf_dir)
+    rows = labelled_readings(feed.messages)
+    return per_device(through(spark, distinct(rows, "bounded", DELAY), "bounded-dedup", feed=feed))
 
 
 @query("micro_batch_trigger", with_(*TO_LAYERS, body=_PER_DEVICE.format("")))
 def micro_batch_trigger(spark, sf_dir):
     """The same on a clock, stopped when it has caught up."""
-    path = shared_dir(spark, "ticking")
-    rows = distinct(labelled_readings(feed(spark, sf_dir)))
+    path, feed = shared_dir(spark, "ticking"), Feed(spark, sf_dir)
+    rows = distinct(labelled_readings(feed.messages))
     with stateful_settings(spark, state_partitions(spark)):
         job = write_layer(rows, path, "ticking", "1 second", "parquet", partitions=["branch"])
-    try:
-        job.processAllAvailable()
-    finally:
-        job.stop()
+    feed.play(job)
     return per_device(spark.read.schema(rows.schema).parquet(path))
 
 
@@ -346,8 +345,9 @@ def ingest_archive(spark, sf_dir):
 )
 def streaming_window_count(spark, sf_dir):
     """Hours that the watermark has closed."""
-    counts = streaming_branch_counts(labelled_readings(feed(spark, sf_dir)), delay=DELAY)
-    return through(spark, counts, "windows")
+    feed = Feed(spark, sf_dir)
+    counts = streaming_branch_counts(labelled_readings(feed.messages), delay=DELAY)
+    return through(spark, counts, "windows", feed=feed)
 
 
 _PROGRESS = with_(
@@ -358,7 +358,8 @@ _PROGRESS = with_(
 
 
 def layers_progress(spark, sf_dir):
-    return reported(spark, distinct(labelled_readings(feed(spark, sf_dir))), "layers")
+    feed = Feed(spark, sf_dir)
+    return reported(spark, distinct(labelled_readings(feed.messages)), "layers", feed)
 
 
 @query("progress_metrics", _PROGRESS)
@@ -499,9 +500,10 @@ _RESTLESS = f"""metrics AS (
 )
 def stream_alerts_(spark, sf_dir):
     """A feed of samples with gaps, evaluated as the watermark goes on, also where no sample comes any more."""
-    samples = monitors.restless_metrics(event_feed(spark, sf_dir), AS_OF)
+    feed = Feed(spark, sf_dir)
+    samples = monitors.restless_metrics(feed.events, AS_OF)
     states = stream_alerts(samples, ">", 30, "30 minutes", "1 hour", "1 hour", "1 hour", DELAY)
-    told = through(spark, states, "alerts")
+    told = through(spark, states, "alerts", feed=feed)
     return told.withColumn("value", F.when(F.col("state") != "Error", F.col("value")))
 
 
@@ -522,5 +524,6 @@ def stream_alerts_(spark, sf_dir):
 )
 def streaming_error_count(spark, sf_dir):
     """Implausible readings of the trailing hour per device, every ten minutes that the watermark passes."""
-    errors = labelled_readings(feed(spark, sf_dir)).filter("branch = 'dataerr'")
-    return through(spark, streaming_error_counts(errors, every="10 minutes", delay=DELAY), "error-counts")
+    feed = Feed(spark, sf_dir)
+    errors = labelled_readings(feed.messages).filter("branch = 'dataerr'")
+    return through(spark, streaming_error_counts(errors, every="10 minutes", delay=DELAY), "error-counts", feed=feed)

@@ -422,6 +422,21 @@ def test_feed_comes_by_time_and_every_hour_the_watermark_has_passed_is_counted(s
     assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
 
 
+def test_feed_lets_slices_of_time_in_one_after_the_other(spark):
+    """Each batch holds a slice that is later than those before; nothing depends on the age of files."""
+    feed = stream_queries.Feed(spark, "/root/testdata/sf0.001")
+    seen = []
+    job = (
+        feed.events.writeStream.option("checkpointLocation", shared_dir(spark, "c"))
+        .foreachBatch(lambda batch, _: seen.append(batch.agg(F.min("ts"), F.max("ts"), F.count("*")).first())).start()
+    )
+    feed.play(job)
+    seen = [r for r in seen if r[2]]
+    assert len(seen) == feed.slices == stream_queries.LEAST_BATCHES
+    assert sum(r[2] for r in seen) == spark.read.parquet(EVENTS).count()
+    assert all(a[1] <= b[0] for a, b in zip(seen, seen[1:])) and not job.isActive
+
+
 def test_feed_has_events_without_a_time_and_batches_of_bounded_bytes(spark, monkeypatch):
     events, path = spark.read.parquet(EVENTS), shared_dir(spark, "tables")
     undated = F.when(F.col("event_id") % 3 != 0, F.col("ts")).alias("ts")
