@@ -14,9 +14,8 @@ than ``HOT`` different stretches, such as a short common line amid other text, i
 settled within batches first. No task grows with a group of copies or with a common line.
 
 Defined cases: a null text is empty; texts shorter than ``SPAN`` and rows without ``doc_id`` are returned whole and
-remove nothing elsewhere; rows that repeat a ``doc_id`` with the same text are one document and get equal results; if
-they have different texts, the least one in byte order is the document and the others are returned whole; an empty
-table gives no rows; other columns are not read.
+remove nothing elsewhere; rows that repeat a ``doc_id`` are judged each by its own text against the documents with a
+lesser ``doc_id``, and remove nothing from each other; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -188,28 +187,29 @@ def _dealt(parts: int):
         for batch in batches:
             for piece in flat.pieces(batch, "text", TOGETHER):
                 data, offsets = flat.texts(piece.column("text"))
-                ids = piece.column("doc_id").to_numpy()
+                ids, base = (piece.column(c).to_numpy() for c in ("doc_id", "base"))
                 text, start, count, key = anchors(data, offsets)
+                place = base - offsets[:-1]  # what makes a place in the data one in its document
                 size = count + SPAN - 1
                 code = _string_hashes(data, start, size)
                 gone = _settled(data, key, code, start, size, ids[text])
                 rest = ~gone
                 part = (flat.mix(key[rest]) % np.uint64(parts)).astype(np.int64)
-                yield blocks(part, False, key[rest], code[rest], ids[text[rest]], (start - offsets[text])[rest], size[rest])
+                yield blocks(part, False, key[rest], code[rest], ids[text[rest]], (start + place[text])[rest], size[rest])
                 owner, begin, end = _merged(text[gone], start[gone], (start + size)[gone])
                 none = np.zeros(len(owner), dtype=np.uint64)
                 part = (flat.mix(ids[owner].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
-                yield blocks(part, True, none, none, ids[owner], begin - offsets[owner], end - begin)
+                yield blocks(part, True, none, none, ids[owner], begin + place[owner], end - begin)
 
     return run
 
 
-FOUND = "doc long, key long, start int, size int, kind byte"
+FOUND = "doc long, key long, start long, size int, kind byte"
 _STRETCH, _HOT, _SETTLED = 0, 1, 2
 
 
 def _found(doc, key, start, size, kind) -> pa.RecordBatch:
-    columns = [doc.astype(np.int64), key.view(np.int64), start.astype(np.int32), size.astype(np.int32), kind.astype(np.int8)]
+    columns = [doc.astype(np.int64), key.view(np.int64), start.astype(np.int64), size.astype(np.int32), kind.astype(np.int8)]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "key", "start", "size", "kind"])
 
 
@@ -259,15 +259,18 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = held.flatten()
             owner = np.repeat(np.arange(part.num_rows), held.value_lengths().to_numpy(zero_copy_only=False))
             key, start, size, kind = (rows.field(k).to_numpy(zero_copy_only=False) for k in range(4))
-            ids = part.column("doc_id").to_numpy()
-            start, size = start.astype(np.int64) + offsets[owner], size.astype(np.int64)
+            ids, base = (part.column(c).to_numpy() for c in ("doc_id", "base"))
+            own = (start >= base[owner]) & (start < base[owner] + np.diff(offsets)[owner])  # of this text of the document
+            owner, key, start, size, kind = (x[own] for x in (owner, key, start, size, kind))
+            place = base - offsets[:-1]
+            start, size = start - place[owner], size.astype(np.int64)
             plain, hot, done = kind == _STRETCH, kind == _HOT, kind == _SETTLED
             out = [(key[plain], owner[plain], start[plain], size[plain])]
             if done.any():
                 order = np.lexsort((start[done] + size[done], start[done]))
                 whose, begin, end = owner[done][order], start[done][order], (start + size)[done][order]
                 whose, begin, end = _merged(whose, begin, np.maximum.accumulate(end))
-                yield _string_batch(ids[whose], ids[whose], begin - offsets[whose], [end - begin], True)
+                yield _string_batch(ids[whose], ids[whose], begin + place[whose], [end - begin], True)
             if hot.any():
                 each = size[hot] - SPAN + 1
                 inner = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
@@ -281,11 +284,11 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out.append(((code[rest] ^ _TAG).view(np.int64), whose[rest], single[rest], size[rest]))
                 mine, begin, end = _merged(whose[gone], single[gone], single[gone] + SPAN)
                 if len(mine):
-                    yield _string_batch(ids[mine], ids[mine], begin - offsets[mine], [end - begin], True)
+                    yield _string_batch(ids[mine], ids[mine], begin + place[mine], [end - begin], True)
             for key, whose, begin, size in out:
                 if len(key):
                     texts = [data[b : b + z].tobytes() for b, z in zip(begin.tolist(), size.tolist())]
-                    yield _string_batch(key, ids[whose], begin - offsets[whose], texts, False)
+                    yield _string_batch(key, ids[whose], begin + place[whose], texts, False)
 
 
 def _string_batch(key, doc, start, texts, settled) -> pa.RecordBatch:
@@ -335,12 +338,14 @@ def _spans(doc: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.RecordBat
 _CUT = ("n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def _cut(text: pa.Scalar, spans: pa.Scalar, keep_text: bool) -> tuple:
-    """What is removed from one text, and what is left."""
+def _cut(text: pa.Scalar, spans: pa.Scalar, base: int, keep_text: bool) -> tuple:
+    """What is removed from one text, which begins at ``base`` in its document, and what is left."""
     raw = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
     kept, at, removed, n = [], 0, 0, 0
     if spans.is_valid:
         begin, size = (spans.values.field(k).to_numpy() for k in range(2))
+        own = (begin >= base) & (begin < base + len(raw))
+        begin, size = begin[own] - base, size[own]
         order = np.argsort(begin, kind="stable")
         begin, end = begin[order], np.maximum.accumulate(begin[order] + size[order])
         for _, b, e in zip(*_merged(np.zeros(len(begin), np.int64), begin, end)):
@@ -353,20 +358,54 @@ def _cut(text: pa.Scalar, spans: pa.Scalar, keep_text: bool) -> tuple:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``doc``, ``begin``, ``size`` of bytes of ``_id`` and ``_text`` to be removed; spans may touch and overlap."""
+    """``doc``, ``begin``, ``size`` of bytes of ``_id`` and ``_text`` to be removed; spans may touch and overlap.
+
+    Several texts of one ``_id`` are told by ``_base``, the place at which each begins in its document.
+    """
     total = docs.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     parts = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PART))
-    named = docs.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"))
+    named = docs.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), F.col("_base").alias("base"))
     dealt = named.mapInArrow(_dealt(parts), RECORDS).repartition("part").sortWithinPartitions("part")
     held = dealt.mapInArrow(_shared, FOUND).groupBy(F.col("doc").alias("_of")).agg(
         F.collect_list(F.struct("key", "start", "size", "kind")).alias("held")
     )
     fetched = docs.join(held, F.col("_id") == F.col("_of"))
-    wanted = fetched.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), "held")
+    wanted = fetched.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), F.col("_base").alias("base"), "held")
     strings = wanted.mapInArrow(_strings, STRINGS).repartition("key").sortWithinPartitions("key")
     return strings.mapInArrow(_repeats, "doc long, begin long, size long")
 
 
+#: Bits of a place within a text; what is above tells the text.
+PLACE = 31
+
+
+def _based(rows: DataFrame, again: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with the ``_base`` of their text, and each text of each document once; for documents with several rows.
+
+    The different texts of the ids in ``again`` are numbered over all, so that no id has to fit one task.
+    """
+    one = F.col("_id") == F.col("_twice")
+    texts = rows.select("_id", "_text").join(again, one, "left_semi").distinct()
+    texts = written(texts.withColumn("_at", F.monotonically_increasing_id()), "texts")
+    sizes = texts.groupBy(F.shiftright("_at", 33).alias("part")).count().collect()  # one row per task
+    before, total = {}, 0
+    for part, n in sorted(map(tuple, sizes)):
+        before[part], total = total, total + n
+    if total >= 1 << (63 - PLACE):
+        raise ValueError(f"{total} texts of repeated ids, at most {1 << (63 - PLACE)} can be told apart")
+    spark = rows.sparkSession
+    starts = spark.createDataFrame(sorted(before.items()), "_part long, _before long")
+    number = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    based = texts.join(starts, F.shiftright("_at", 33) == F.col("_part")).select(
+        F.col("_id").alias("_one"), F.col("_text").alias("_its"), F.shiftleft(number, PLACE).alias("_base")
+    )
+    single = rows.join(again, one, "left_anti").withColumn("_base", F.lit(0).cast("long"))
+    same = (F.col("_id") == F.col("_one")) & F.col("_text").eqNullSafe(F.col("_its"))
+    several = rows.join(again, one, "left_semi").join(based, same).select(single.columns)
+    sources = single.select("_id", "_text", "_base").union(based)
+    return single.union(several), sources
+
+
 def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), keep_text: bool = False) -> DataFrame:
     """The columns ``keep``, the bytes removed and the hash of the rest; with ``keep_text`` also ``kept_text``."""
     ids = F.col("doc_id").cast("long").alias("_id")
@@ -374,30 +413,27 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), keep_te
     # One shuffle of the texts serves both the fetching of strings and the cutting, if nothing else is carried.
     rows = docs.filter(F.col("doc_id").isNotNull()).select(ids, F.col("text").alias("_text"), *carried)
     again = written(rows.groupBy(F.col("_id").alias("_twice")).count().filter("count > 1").select("_twice"), "again")
-    sources, repeated = rows.select("_id", "_text"), not again.isEmpty()
-    if not repeated:
+    if again.isEmpty():
         discard(again)
-    if repeated:
-        one = F.col("_id") == F.col("_twice")
-        least = sources.join(again, one, "left_semi").groupBy("_id").agg(F.min("_text").alias("_text"))
-        sources = sources.join(again, one, "left_anti").unionByName(least)
+        rows = rows.withColumn("_base", F.lit(0).cast("long"))
+        sources = rows.select("_id", "_text", "_base")
+    else:
+        rows, sources = _based(rows, again)
     spans = repeated_spans(sources)
     by_doc = spans.groupBy(F.col("doc").alias("_of")).agg(F.collect_list(F.struct("begin", "size")).alias("_spans"))
     joined = rows.join(by_doc, F.col("_id") == F.col("_of"), "left")
-    if repeated:
-        its = least.select(F.col("_id").alias("_one"), F.col("_text").alias("_its"))
-        whole = F.col("_one").isNotNull() & ~F.col("_text").eqNullSafe(F.col("_its"))
-        joined = joined.join(its, F.col("_id") == F.col("_one"), "left").withColumn("_spans", F.when(~whole, F.col("_spans")))
     nameless = docs.filter(F.col("doc_id").isNull()).select(
-        ids, F.col("text").alias("_text"), *carried, F.lit(None).cast("array<struct<begin:long,size:long>>").alias("_spans")
-    )
+        ids, F.col("text").alias("_text"), *carried, F.lit(0).cast("long").alias("_base"),
+        F.lit(None).cast("array<struct<begin:long,size:long>>").alias("_spans"),
+    )
     added = StructType.fromDDL(_CUT + ", kept_text string" * keep_text)
     kinds = [pa.int64()] * 3 + [pa.string()] * (len(added) - 3)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in flat.pieces(batch, "_text", TOGETHER):
-                cut = [_cut(t, s, keep_text) for t, s in zip(part.column("_text"), part.column("_spans"))]
+                base = part.column("_base").to_pylist()
+                cut = [_cut(t, s, b, keep_text) for t, s, b in zip(part.column("_text"), part.column("_spans"), base)]
                 found = [pa.array(c, kind) for c, kind in zip(zip(*cut), kinds)]
                 kept = [part.column("_id" if name == "doc_id" else name) for name in keep]
                 yield pa.RecordBatch.from_arrays([*kept, *found], [*keep, *added.names])

@@ -6,14 +6,15 @@ a filled one found by its own fixed probing order. Documents with equal sets for
 the set, so that copies travel as one row from there on. ``ROWS`` bins make a band; in each bucket of a band every
 class is paired with the least one only, which bounds pairs by the number of bands. Pairs are confirmed on the full
 sets. A star can miss a pair of two members of different components; ``_missed`` compares just those, within the
-mixed buckets, in blocks of bounded size, each pair in the first band that it agrees in, so that the bound on pairs
+mixed buckets, which it parts by further bands and into blocks of bounded size, each pair in the first band that it agrees in, so that the bound on pairs
 costs no link.
 
 At a similarity of 0.75 a pair shares no bucket with a probability of (1 - 0.75^5)^51, about one in a million.
 
 Defined cases: null or empty text has no shingles and is linked with nothing; with fewer than five words the whole
 sequence is the one shingle; a row without ``doc_id`` is linked with nothing, its component is null and it is kept;
-repeated rows are equal sets; an empty table gives no rows; other columns are not read.
+rows are told by their sets, so that rows that repeat a ``doc_id`` are linked each by its own text, and every row is
+returned once; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -89,6 +90,10 @@ def densified(keys: np.ndarray, first: np.ndarray) -> np.ndarray:
     return values
 
 
+#: What tells a set: two sums of 64 bits over its shingles.
+_SALTS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
+
+
 def _total(keys: np.ndarray, first: np.ndarray, salt: int) -> np.ndarray:
     sums = np.zeros(len(keys) + 1, dtype=np.uint64)
     np.cumsum(flat.mix(keys ^ np.uint64(salt)), out=sums[1:])
@@ -109,8 +114,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             columns = [
                 part.column("doc_id"),
                 pa.array(np.diff(first)),
-                pa.array(_total(keys, first, 0x5851F42D4C957F2D)),
-                pa.array(_total(keys, first, 0x14057B7EF767814F)),
+                *(pa.array(_total(keys, first, salt)) for salt in _SALTS),
                 _rows(densified(keys, first)),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "k1", "k2", "sketch"])
@@ -125,28 +129,55 @@ def _values(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, BINS)
 
 
+def _band_keys(values: np.ndarray) -> Iterator[np.ndarray]:
+    """For each band the hash of its bins, one per row."""
+    for band in range(BANDS):
+        key = np.full(len(values), band + 1, dtype=np.uint64)
+        for k in range(ROWS):
+            key = flat.mix(key * np.uint64(0x9E3779B97F4A7C15) + values[:, band * ROWS + k])
+        yield key
+
+
+def _of_band(key: np.ndarray, band) -> pa.Array:
+    """Buckets that tell their band."""
+    return pa.array(((key & ~np.uint64(63)) | np.uint64(band)).view(np.int64))
+
+
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        values = _values(batch.column("sketch")).astype(np.uint64)
-        for band in range(BANDS):
-            part = values[:, band * ROWS : (band + 1) * ROWS]
-            key = np.full(len(part), band + 1, dtype=np.uint64)
-            for k in range(ROWS):
-                key = flat.mix(key * np.uint64(0x9E3779B97F4A7C15) + part[:, k])
-            key = (key & ~np.uint64(63)) | np.uint64(band)  # the bucket tells its band
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column("doc_id")], ["bucket", "doc"])
+        for band, key in enumerate(_band_keys(_values(batch.column("sketch")).astype(np.uint64))):
+            yield pa.RecordBatch.from_arrays([_of_band(key, band), batch.column("cls")], ["bucket", "doc"])
+
+
+def _refined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a bucket once for each other band, in the buckets of that band within theirs."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        bucket = batch.column("bucket").to_numpy().view(np.uint64)
+        own = bucket & np.uint64(63)
+        for band, key in enumerate(_band_keys(_values(batch.column("sketch")).astype(np.uint64))):
+            other = own != band
+            finer = flat.mix(bucket * np.uint64(0xD6E8FEB86659FD93) + key)
+            rows = batch.select(["doc", "comp"]).filter(pa.array(other))
+            yield pa.RecordBatch.from_arrays([_of_band(finer[other], own[other]), *rows.columns], ["bucket", "doc", "comp"])
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of texts that are those of the classes they are fetched for."""
     for batch in batches:
         for part in flat.pieces(batch, "text"):
             keys, first = shingles(*flat.texts(part.column("text")))
             held = pa.Array.from_buffers(
                 pa.large_binary(), part.num_rows, [None, pa.py_buffer(first * 8), pa.py_buffer(np.ascontiguousarray(keys))]
             )
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), held.cast(pa.binary())], ["of", "shingles"])
+            wanted = np.diff(first) == part.column("n_shingles").to_numpy()
+            for salt, name in zip(_SALTS, ("k1", "k2")):
+                wanted &= _total(keys, first, salt) == part.column(name).to_numpy()
+            rows = pa.RecordBatch.from_arrays([part.column("cls"), held.cast(pa.binary())], ["of", "shingles"])
+            yield rows.filter(pa.array(wanted))
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,14 +196,17 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.take(pa.array(hits, pa.int64())).select(["a", "b"])
 
 
-def shingle_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The full sets of the documents in ``pairs``.
+def shingle_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, repeated: bool) -> DataFrame:
+    """The full sets of the classes in ``pairs``, from the texts of their least documents; ``repeated`` if rows repeat a
+    ``doc_id``.
 
     Their number follows the corpus, so that the join never is a broadcast.
     """
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().hint("merge")
-    held = docs.select(F.col("doc_id").cast("long"), "text").join(ends, F.col("doc_id") == F.col("id"), "left_semi")
-    return held.mapInArrow(_set_rows, "of long, shingles binary")
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    wanted = classes.join(ends, F.col("cls") == F.col("id"), "left_semi").select("cls", "rep", "k1", "k2", "n_shingles").hint("merge")
+    held = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, F.col("id") == F.col("rep"))
+    sets = held.mapInArrow(_set_rows, "of long, shingles binary")
+    return sets.dropDuplicates(["of"]) if repeated else sets
 
 
 def confirm(sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -250,14 +284,29 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"a": doc[lo:hi][some], "b": low[some]})
 
 
+def _mixed(placed: DataFrame) -> DataFrame:
+    """Buckets with members of several components; of two members the star has tried the only pair."""
+    spread = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
+    return spread.filter("lo < hi AND n > 2").select("bucket", "n")
+
+
 def _missed(bands: DataFrame, sketched: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
-    """Links between members of one bucket that are not in one component yet."""
+    """Links between members of one bucket that are not in one component yet.
+
+    A bucket of more than ``BLOCK`` rows is parted by each other band first: a pair at the threshold agrees in none of
+    those with a probability of about one in a million, like in the bands as such, while texts that share little more
+    than the one bucket come apart. What still is larger is compared in blocks.
+    """
     known = parts.select(F.col("node").alias("doc"), "component")
     placed = bands.join(known, "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
-    # of two members the star has tried the only pair
-    mixed = mixed.filter("lo < hi AND n > 2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = placed.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    mixed = written(_mixed(placed), "mixed")
+    values = sketched.select(F.col("cls").alias("doc"), "n_shingles", "sketch")
+    large = placed.join(mixed.filter(F.col("n") > BLOCK).select("bucket"), "bucket").join(values, "doc")
+    finer = written(large.select("bucket", "doc", "comp", "sketch").mapInArrow(_refined, "bucket long, doc long, comp long"), "finer")
+    small = placed.join(mixed.filter(F.col("n") <= BLOCK), "bucket").select("bucket", "doc", "comp", "n")
+    rows = small.unionByName(finer.join(_mixed(finer), "bucket"))
+    rows = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     others = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")),
@@ -265,39 +314,48 @@ def _missed(bands: DataFrame, sketched: DataFrame, sets: DataFrame, parts: DataF
     rows = rows.select("bucket", "doc", "comp", "block", F.explode(others).alias("ij")).select(
         "bucket", "doc", "comp", "block", "ij.i", "ij.j"
     )
-    with_sketch = rows.join(sketched.select(F.col("doc_id").alias("doc"), "n_shingles", "sketch"), "doc")
-    dealt = with_sketch.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+    dealt = rows.join(values, "doc").repartition(*_GROUP).sortWithinPartitions(*_GROUP)
     chosen = dealt.mapInArrow(_promising, "bucket long, i int, j int, doc long, comp long")
     whole = chosen.join(sets.withColumnRenamed("of", "doc"), "doc").repartition(*_GROUP).sortWithinPartitions(*_GROUP)
-    return whole.mapInArrow(_linked, "a long, b long").distinct()
+    found = written(whole.mapInArrow(_linked, "a long, b long").distinct(), "missed")
+    discard(mixed, finer)
+    return found
+
+
+def _labelled(classes: DataFrame, parts: DataFrame) -> DataFrame:
+    """The sets with the least document of their component."""
+    placed = classes.select("cls", "rep", "k1", "k2", "n_shingles").join(parts, F.col("cls") == F.col("node"), "left")
+    placed = placed.withColumn("component", F.coalesce("component", "cls")).select("component", "rep", "k1", "k2", "n_shingles")
+    placed = written(placed, "placed")
+    least = placed.groupBy(F.col("component").alias("of")).agg(F.min("rep").alias("component_id"))
+    found = placed.join(written(least, "least"), F.col("component") == F.col("of"))
+    return written(found.select("k1", "k2", F.col("n_shingles").alias("size"), "component_id"), "labelled")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per document its number of shingles, its component's least ``doc_id``, and whether it is that document."""
+    """Per row its ``doc_id``, its number of shingles, its component's least ``doc_id``, and whether it is that document."""
     every = written(sketches(docs), "sketches")
     usable = every.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = usable.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    classes = written(classes, "sets_by_least")  # read from a table, the join below can be split where one set is common
-    members = written(usable.select("doc_id", "k1", "k2", "n_shingles").join(classes, ["k1", "k2", "n_shingles"]), "classes")
-    reps = members.filter("doc_id = rep").select(F.col("doc_id").alias("id")).distinct()
-    one_each = usable.join(reps, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"])
-    sketched = written(one_each.select("doc_id", "n_shingles", "sketch"), "representatives")
-    bands = sketched.select("doc_id", "sketch").mapInArrow(_banded, "bucket long, doc long")
+    repeated = not usable.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    # Equal sets have equal sketches, so that any will do.
+    classes = usable.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
+    classes = written(classes.withColumn("cls", F.monotonically_increasing_id()), "sets")
+    bands = classes.select("cls", "sketch").mapInArrow(_banded, "bucket long, doc long")
     centres = bands.groupBy("bucket").agg(F.min("doc").alias("b"), F.count("*").alias("n")).filter("n > 1")
     shared = written(bands.join(centres.select("bucket", "b"), "bucket"), "buckets")
     stars = written(shared.filter("doc > b").select(F.col("doc").alias("a"), "b").distinct(), "stars")
-    sets = written(shingle_sets(docs, stars), "sets")
+    sets = written(shingle_sets(docs, classes, stars, repeated), "full_sets")
     links = written(confirm(sets, stars), "links")
     parts = components(links)
     # whoever shares a bucket is an end of a star, so that its set is there
-    missed = written(_missed(shared.select("bucket", "doc"), sketched, sets, parts), "missed")
+    missed = _missed(shared.select("bucket", "doc"), classes, sets, parts)
     if not missed.isEmpty():
         parts = components(links.union(missed))
-    discard(classes, sketched, shared, stars, sets, links, missed)
-    found = members.select("doc_id", "rep").distinct().join(parts, F.col("rep") == F.col("node"), "left")
-    found = found.select(F.col("doc_id").alias("id"), F.coalesce("component", "rep").alias("component"))
-    joined = every.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("id"), "left")
-    component = F.coalesce("component", "doc_id")
+    labels = _labelled(classes, parts)
+    discard(classes, shared, stars, sets, links, missed)
+    same = [every[c] == labels[c] for c in ("k1", "k2")] + [every["n_shingles"] == labels["size"], every["doc_id"].isNotNull()]
+    joined = every.drop("sketch").join(labels, same, "left")
+    component = F.coalesce("component_id", "doc_id")
     return joined.select(
         "doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept")
     )
