@@ -7,18 +7,23 @@ chooses what costs least. The cost of a chunk of turns between any two states is
 conversation is split into chunks: matrices first, then one pass over them fixes the states at the borders, then every
 chunk is traced back and rendered on its own. The rendered parts of a conversation follow each other without a gap.
 
-Defined cases: turns are ordered by ``turn``, role and text, those without ``turn`` last; of a crowded chunk the rows of one turn come by a hash first; a null or unknown role can be
-relabelled to any; a null text is empty; rows that repeat a turn word for word are one turn; every row without
+A text cannot forge a turn: where it has ``<|``, or that with backslashes between, one backslash more is put in, which
+``unescaped`` takes out.
+
+Defined cases: turns are ordered by ``turn``, role and text, those without ``turn``, role or text last, at any number of
+rows; a null or unknown role can be relabelled to any; a null text is empty; rows that repeat a turn word for word are one turn; every row without
 ``conv_id`` is a conversation of its own; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.groups import changes, whole_groups
@@ -101,18 +106,37 @@ def _keyed(turns: DataFrame) -> DataFrame:
     return named.union(nameless).select("nameless", "conv", chunk, "turn", "role", "text")
 
 
+def _ordered() -> list[Column]:
+    return [F.col(c) for c in ("nameless", "conv", "chunk")] + [F.col(c).asc_nulls_last() for c in ("turn", "role", "text")]
+
+
+def _numbered(chunk: int):
+    """A slot for every ``chunk`` rows of a range partition; slots of later ranges are larger."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        part, n = (context.partitionId() if context else 0), 0
+        for batch in batches:
+            slot = 1 + (part << 40) + np.arange(n, n + batch.num_rows) // chunk
+            n += batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(slot, pa.int64())], [*batch.schema.names, "slot"])
+
+    return run
+
+
 def _slotted(rows: DataFrame) -> DataFrame:
-    """``rows`` with a ``slot``: 0, or in a chunk of more than ``CHUNK`` rows the turn and a hash over as many as it needs."""
-    of_turn = rows.groupBy("nameless", "conv", "chunk", "turn").agg(F.count("*").alias("n"))
-    crowded = of_turn.groupBy("nameless", "conv", "chunk").agg(F.sum("n").alias("n")).filter(F.col("n") > CHUNK).drop("n")
-    slots = F.ceil(F.col("n") / CHUNK).alias("slots")
-    crowd = written(of_turn.join(crowded, ["nameless", "conv", "chunk"]).select("nameless", "conv", "chunk", F.col("turn").alias("of"), slots), "crowd")
+    """``rows`` with a ``slot``: 0, or in a chunk of more than ``CHUNK`` rows one for each ``CHUNK`` rows or fewer, in their
+    order, so that whatever is read of it at once is bounded."""
+    keys = ["nameless", "conv", "chunk"]
+    crowded = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > CHUNK).drop("n")
+    crowd = written(crowded, "crowd")
     if crowd.isEmpty():
         return rows.withColumn("slot", F.lit(0).cast("long"))
-    same = [rows[c] == crowd[c] for c in ("nameless", "conv", "chunk")] + [rows["turn"].eqNullSafe(crowd["of"])]
-    offset = F.coalesce(F.pmod(F.col("turn"), F.lit(CHUNK)), F.lit(0)) * F.lit(1 << 40)
-    slot = F.coalesce(1 + offset + F.pmod(F.xxhash64(F.lit("slot"), "role", "text"), F.col("slots")), F.lit(0)).cast("long")
-    return rows.join(crowd, same, "left").select(*(rows[c] for c in rows.columns), slot.alias("slot"))
+    dealt = rows.join(crowd, keys, "left_semi").select(*rows.columns).repartitionByRange(*_ordered()).sortWithinPartitions(*_ordered())
+    fields = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    slots = written(dealt.mapInArrow(_numbered(CHUNK), f"{fields}, slot long"), "slots")
+    rest = rows.join(crowd, keys, "left_anti").select(*rows.columns, F.lit(0).cast("long").alias("slot"))
+    return rest.unionByName(slots)
 
 
 _KEYS = ["nameless", "conv", "chunk", "slot"]
@@ -153,6 +177,19 @@ def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+_MARK = re.compile(r"<(\\*)\|")
+_ESCAPED = re.compile(r"<(\\*)\\\|")
+
+
+def escaped(text: str) -> str:
+    """The text without ``<|``: a backslash more wherever one could have been put in."""
+    return _MARK.sub(r"<\1\\|", text)
+
+
+def unescaped(text: str) -> str:
+    return _ESCAPED.sub(r"<\1|", text)
+
+
 def render(roles: list[str | None], texts: list[str | None], enter: int, states: list[int], last: bool) -> tuple[str, dict[str, int]]:
     """The part of the rendered conversation that a chunk gives, and how often each repair was made."""
     out, counts, state = [], {"turns": 0, "merged": 0, "relabelled": 0, "inserted": 0}, enter
@@ -166,7 +203,7 @@ def render(roles: list[str | None], texts: list[str | None], enter: int, states:
                 out.append(("" if state == START and not out else "<|end|>\n") + f"<|{name}|>\n")
                 counts["turns"] += 1
             counts["inserted"] += how >= 0
-        out.append(text or "")
+        out.append(escaped(text or ""))
         counts["relabelled"] += role != ROLES[q]
         state = q
     return "".join(out) + ("<|end|>\n" if last else ""), counts

@@ -31,16 +31,15 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
-#: Measures with a fence, and the least spread it is drawn with, so that a group of equal texts still allows for some
-#: variety. ``both`` fences low values too.
+#: Measures with a fence: the quantile that stands for the tail of common texts, how many times its distance from the
+#: median lies between it and the fence, the least that this distance counts as, and whether low values are fenced too.
+#: Symbols and odd words come in whole classes of texts, up to a tenth of a group, so their tail begins before those.
 FENCED = {
-    "symbol_rate": (0.05, False),
-    "dup_line_rate": (0.1, False),
-    "repeat_rate": (0.075, False),
-    "word_length": (0.6, True),
+    "symbol_rate": (0.9, 1.0, 0.05, False),
+    "dup_line_rate": (0.99, 1.0, 0.02, False),
+    "repeat_rate": (0.99, 1.0, 0.01, False),
+    "word_length": (0.9, 2.5, 0.1, True),
 }
-#: Spreads between the quartiles and the fence.
-REACH = 4.0
 #: Rows a group needs for fences of its own; smaller ones take those of their language, then of all rows.
 LEAST_ROWS = 200
 SKETCH_K = 400
@@ -146,11 +145,13 @@ def thresholds(measured: DataFrame) -> DataFrame:
     )
     joined = joined.withColumn("sketch", chosen)
     fences = []
-    for name, (least, both) in FENCED.items():
-        at = [F.kll_sketch_get_quantile_double(F.col("sketch")[name], F.lit(q)) for q in (0.25, 0.75)]
-        spread = F.greatest(at[1] - at[0], F.lit(least))
-        fences.append((at[1] + REACH * spread).alias(f"{name}_high"))
-        fences.append(((at[0] - REACH * spread) if both else F.lit(float("-inf"))).alias(f"{name}_low"))
+    for name, (tail, reach, least, both) in FENCED.items():
+        low, middle, high = (
+            F.kll_sketch_get_quantile_double(F.col("sketch")[name], F.lit(q)) for q in (round(1 - tail, 6), 0.5, tail)
+        )
+        below = low - reach * F.greatest(middle - low, F.lit(least))
+        fences.append((high + reach * F.greatest(high - middle, F.lit(least))).alias(f"{name}_high"))
+        fences.append((below if both else F.lit(float("-inf"))).alias(f"{name}_low"))
     return joined.select("for_lang", "for_source", *fences)
 
 

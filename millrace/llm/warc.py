@@ -4,7 +4,8 @@ A response is a row with ``record_id``, ``target_uri``, ``date``, further WARC h
 two records in WARC 1.1: ``metadata`` (application/warc-fields: title, language, character set, outlinks) and
 ``conversion`` (the text of the page). Both name the response in WARC-Refers-To, keep its target, its date as
 WARC-Refers-To-Date and the digest of its payload, and carry digests of their own. Record ids are derived from the
-source record and the kind, so that a task that runs again writes the same records. There is no shuffle.
+source record and the kind, so that a task that runs again writes the same records. A page is scanned forward, in time
+linear in its length whatever tags stay open in it. There is no shuffle.
 
 Defined cases: null or empty html is an empty payload with an empty conversion; a null url gives records without a
 target; rows that repeat a page give equal records; an empty table gives no rows; other columns are not read.
@@ -28,13 +29,19 @@ from millrace.llm import flat
 VERSION = "WARC/1.1"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the namespace of urls, as RFC 4122 has it
 
-_HIDDEN = re.compile(r"<(script|style|template|noscript|head)\b.*?</\1\s*>|<!--.*?-->|<!doctype[^>]*>", re.I | re.S)
+_HIDDEN = re.compile(r"<(script|style|template|noscript|head)\b|<!--|<!doctype", re.I)
+_CLOSED = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "template", "noscript", "head")}
 _BREAK = re.compile(r"<(?:/?(?:p|div|article|section|header|footer|nav|main|aside|ul|ol|li|table|tr|h[1-6]|pre|blockquote|title)|br|hr)\b[^>]*>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.I | re.S)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
-_CHARSET = re.compile(r"<meta\b[^>]*?\bcharset\s*=\s*[\"']?([\w-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TITLE = re.compile(r"<title\b[^>]*>", re.I)
+_TITLED = re.compile(r"</title", re.I)
+_HTML = re.compile(r"<html\b[^>]*", re.I)
+_META = re.compile(r"<meta\b[^>]*", re.I)
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([\w-]+)", re.I)
+_CHARSET = re.compile(r"\bcharset\s*=\s*[\"']?([\w-]+)", re.I)
+_ANCHOR = re.compile(r"<a\b", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*", re.I)
+_VALUE = re.compile(r"\"([^\"]*)\"|'([^']*)'|([^\s>]+)")
 
 
 def digest(data: bytes) -> str:
@@ -49,21 +56,75 @@ def _line(text: str) -> str:
     return " ".join(text.split())
 
 
+def visible(page: str) -> str:
+    """The page with a space in place of comments, declarations and elements that are not shown.
+
+    One scan forward: what never closes stays, and is not looked for again.
+    """
+    out, at, begin = [], 0, 0
+    endless: set[str] = set()
+    while found := _HIDDEN.search(page, at):
+        name = (found[1] or found[0]).lower()
+        end = -1
+        if name not in endless:
+            if name in _CLOSED:
+                closed = _CLOSED[name].search(page, found.end())
+                end = closed.end() if closed else -1
+            else:
+                mark = "-->" if name == "<!--" else ">"
+                end = page.find(mark, found.end())
+                end += len(mark) if end >= 0 else 0
+        if end < 0:
+            endless.add(name)
+            at = found.end()
+            continue
+        out += [page[begin : found.start()], " "]
+        begin = at = end
+    return "".join([*out, page[begin:]])
+
+
 def plain_text(page: str) -> str:
     """The text of a page: a line for each block, without scripts, styles and markup."""
-    text = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub(" ", page)))
+    shown = visible(page)
+    tagged = shown.rfind(">") + 1  # behind the last one no tag ends
+    text = _TAG.sub("", _BREAK.sub("\n", shown[:tagged])) + shown[tagged:]
     lines = (_line(line) for line in html.unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def _attribute(page: str, tag: re.Pattern, attribute: re.Pattern) -> str | None:
+    """The attribute of the first tag that has it."""
+    values = (attribute.search(page, found.start(), found.end()) for found in tag.finditer(page))
+    return next((value[1] for value in values if value), None)
+
+
+def _links(page: str) -> Iterator[str]:
+    at = end = 0
+    while found := _ANCHOR.search(page, at):
+        at = found.end()
+        if at > end:
+            end = page.find(">", at)
+            end = len(page) if end < 0 else end
+        named = _HREF.search(page, at, end)
+        while named:
+            value = _VALUE.match(page, named.end())
+            if value:
+                yield next(filter(None, value.groups()), "")
+                break
+            named = _HREF.search(page, named.end(), end)
+        at = value.end() if named else end  # without a link in this tag there is none up to its end
+
+
 def page_fields(page: str) -> list[tuple[str, str]]:
     """Named facts of a page, in the order in which they stand in a metadata record."""
-    fields = [(name, found[1]) for name, found in (("language", _LANG.search(page)), ("charset", _CHARSET.search(page))) if found]
-    title = _TITLE.search(page)
-    if title:
-        fields.insert(0, ("title", _line(html.unescape(title[1]))))
-    links = (next(filter(None, found), "") for found in _LINK.findall(page))
-    return fields + [("outlink", _line(html.unescape(link))) for link in links if link.strip()]
+    fields = []
+    opened = _TITLE.search(page[: page.rfind(">") + 1])
+    closed = opened and _TITLED.search(page, opened.end())
+    if closed:
+        fields.append(("title", _line(html.unescape(page[opened.end() : closed.start()]))))
+    named = (("language", _attribute(page, _HTML, _LANG)), ("charset", _attribute(page, _META, _CHARSET)))
+    fields += [(name, value) for name, value in named if value]
+    return fields + [("outlink", _line(html.unescape(link))) for link in _links(page) if link.strip()]
 
 
 def serialise(headers: list[tuple[str, str]], block: bytes) -> bytes:
