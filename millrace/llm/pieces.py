@@ -6,10 +6,12 @@ that part; and if a merge did cross the border of two such neighbours, it would
 of a step from piece to piece is 0 where merging their text gives back the two, and minus infinity elsewhere, and the
 best path, of weight 0, has the ids of the library.
 
-Words are separated by spaces that no piece crosses, so that distinct words are solved once. A giant document is split
-into chunks at fixed places, also within a word. A border's state is the piece that reaches or crosses it. Each chunk
-gives the matrix from the states of its left border to those of its right one; the matrices of a document are combined
-in order, which leaves one state for each border; every chunk is then traced back on its own.
+Words are separated by spaces that no piece crosses, so that distinct words are solved once: texts are cut into words and
+words numbered over whole Arrow arrays, and ids gathered by those numbers. A giant document is split into chunks at fixed
+places, also within a word. A border's state is the piece that reaches or crosses it. Each chunk gives the matrix from
+the states of its left border to those of its right one. Matrices are multiplied in a tree, ``FAN`` neighbours at a
+time, each product in a task of its own; back down the tree, the states at the ends of a product give those at the borders
+within it, until every chunk is traced back on its own. Nothing holds more than ``FAN`` matrices of a document.
 
 Defined cases: a null or empty text has no ids and one empty chunk; characters outside the vocabulary become byte
 pieces; repeated rows are encoded alike, and so are rows without ``doc_id``; an empty table gives no rows; other
@@ -20,9 +22,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +37,8 @@ from millrace.llm.tables import written
 SPACE = "▁"
 #: Characters from which a document is giant, and the size of its chunks.
 CHUNK = 1 << 15
+#: Neighbouring matrices that are multiplied at once.
+FAN = 64
 #: Entries of a worker's memories of words and pairs.
 REMEMBERED = 500_000
 
@@ -220,22 +226,26 @@ def _walk(model: Pieces, text: str, begin: int, before: str | None, border: int,
     return ways
 
 
-SPLIT = "doc_id long, row long, chunk int, last boolean, border int, length int, context string"
+#: What tells a giant document: its ``doc_id``, its characters and a hash of its text.
+_OWNER = ("owner", "size", "row")
+_OWNED = "owner long, size long, row long"
+
+SPLIT = f"doc_id long, {_OWNED}, chunk int, last boolean, border int, length int, context string"
 
 
 def _split(longest: int, chunk: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, row, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, *owner, text in zip(*(c.to_pylist() for c in batch.columns)):
                 text = normalised(text)
                 starts = range(0, len(text), chunk)
                 rows = []
                 for k, at in enumerate(starts):
                     low, size = max(0, at - longest), min(chunk, len(text) - at)
                     context = text[low : at + size + longest]
-                    rows.append((doc_id, row, k, k == len(starts) - 1, at - low, size, context))
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.string()]
-                names = ["doc_id", "row", "chunk", "last", "border", "length", "context"]
+                    rows.append((doc_id, *owner, k, k == len(starts) - 1, at - low, size, context))
+                kinds = [*[pa.int64()] * 4, pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.string()]
+                names = ["doc_id", *_OWNER, "chunk", "last", "border", "length", "context"]
                 for at in range(0, len(rows), 64):
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[at : at + 64]), kinds)], names)
 
@@ -252,6 +262,17 @@ def _ways(model: Pieces, row: dict, only: tuple[int, int] | None = None) -> Iter
         yield (back, size), _walk(model, text, begin, before, border + row["length"], row["last"])
 
 
+#: A product of neighbouring matrices: the states on its left that lead to states on its right.
+PRODUCT = f"{_OWNED}, chunk int, steps array<array<int>>"
+_STEPS = pa.list_(pa.list_(pa.int32()))
+
+
+def _products(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [*[pa.int64()] * 3, pa.int32(), _STEPS]
+    columns = zip(*rows) if rows else [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [*_OWNER, "chunk", "steps"])
+
+
 def _matrices(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
@@ -259,33 +280,77 @@ def _matrices(path: str):
             out = []
             for row in batch.to_pylist():
                 steps = [[*enter, *leave] for enter, ways in _ways(model, row) for leave in ways]
-                out.append((row["row"], row["chunk"], row["last"], row["length"], steps))
-            kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.list_(pa.list_(pa.int32()))]
-            arrays = [pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds]
-            yield pa.RecordBatch.from_arrays(arrays, ["row", "chunk", "last", "length", "steps"])
+                out.append((*(row[k] for k in _OWNER), row["chunk"], steps))
+            yield _products(out)
 
     return run
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The state of every border of a document: forward over its matrices, then back from its end."""
-    for table in whole_groups(batches, ["row"]):
-        rows = table.to_pylist()
-        heads = changes(table, ["row"])
+def product(one: list[list[int]], other: list[list[int]]) -> list[list[int]]:
+    """The max-plus product of two matrices with weights 0 and minus infinity, each given by its steps of weight 0."""
+    onward: dict[tuple, list] = {}
+    for a, b, c, d in other:
+        onward.setdefault((a, b), []).append((c, d))
+    found = {(a, b, *leave) for a, b, c, d in one for leave in onward.get((c, d), ())}
+    return [list(step) for step in sorted(found)]
+
+
+def _multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The product of the matrices of each group."""
+    for table in whole_groups(batches, [*_OWNER, "upper"]):
+        heads, rows = changes(table, [*_OWNER, "upper"]), table.to_pylist()
         out = []
         for lo, hi in zip(heads, [*heads[1:], len(rows)]):
-            reached, backs = {(0, 0)}, []
-            for row in rows[lo:hi]:
-                steps = [((a, b), (c, d)) for a, b, c, d in row["steps"] if (a, b) in reached]
-                backs.append({leave: enter for enter, leave in steps})
+            steps = reduce(product, (row["steps"] for row in rows[lo:hi]))
+            out.append((*(rows[lo][k] for k in _OWNER), rows[lo]["upper"], steps))
+        yield _products(out)
+
+
+#: The states at the ends of a product on the way of weight 0; none are known of a whole document but its ends.
+STATES = f"{_OWNED}, chunk int, enter array<int>, leave array<int>"
+
+
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The states at the ends of the matrices of each group, from those at the ends of their product: forward from the one, back from
+    the other."""
+    for table in whole_groups(batches, [*_OWNER, "upper"]):
+        heads, rows = changes(table, [*_OWNER, "upper"]), table.to_pylist()
+        out = []
+        for lo, hi in zip(heads, [*heads[1:], len(rows)]):
+            group = rows[lo:hi]
+            reached, backs = {tuple(group[0]["from"] or (0, 0))}, []
+            for row in group:
+                backs.append({(c, d): (a, b) for a, b, c, d in row["steps"] if (a, b) in reached})
                 reached = set(backs[-1])
-            state = next(s for s in reached if s[0] == s[1])  # the last piece ends with the text
-            for row, back in zip(reversed(rows[lo:hi]), reversed(backs)):
-                enter = back[state]
-                out.append((row["row"], row["chunk"], list(enter), list(state)))
-                state = enter
-        kinds = [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["row", "chunk", "enter", "leave"])
+            # the last piece of a document ends with the text
+            state = tuple(group[0]["to"]) if group[0]["to"] else next(s for s in reached if s[0] == s[1])
+            for row, back in zip(reversed(group), reversed(backs)):
+                out.append((*(row[k] for k in _OWNER), row["chunk"], list(back[state]), list(state)))
+                state = back[state]
+        kinds = [*[pa.int64()] * 3, pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], [*_OWNER, "chunk", "enter", "leave"])
+
+
+def _border_states(matrices: DataFrame, fan: int) -> DataFrame:
+    """The states at the ends of every chunk: up the tree by products of ``fan`` neighbours, down again by their ends."""
+    upper = F.floor(F.col("chunk") / fan).cast("int").alias("upper")
+    group, order = [*_OWNER, "upper"], [*_OWNER, "upper", "chunk"]
+    levels = [written(matrices, "matrices")]
+    while (levels[-1].agg(F.max("chunk")).first()[0] or 0) >= fan:
+        dealt = levels[-1].select(*_OWNER, upper, "chunk", "steps").repartition(*group).sortWithinPartitions(*order)
+        levels.append(written(dealt.mapInArrow(_multiplied, PRODUCT), "products"))
+    none = F.lit(None).cast("array<int>")
+    states = None
+    for level in reversed(levels):
+        rows = level.select(*_OWNER, upper, "chunk", "steps")
+        if states is None:
+            rows = rows.withColumns({"from": none, "to": none})
+        else:
+            ends = states.select(*_OWNER, F.col("chunk").alias("upper"), F.col("enter").alias("from"), F.col("leave").alias("to"))
+            rows = rows.join(ends, group)
+        dealt = rows.repartition(*group).sortWithinPartitions(*order)
+        states = written(dealt.mapInArrow(_walked, STATES), "states")
+    return states
 
 
 def _traced(path: str):
@@ -313,42 +378,84 @@ def _id_batch(doc_id, chunk, ids) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(doc_id, pa.int64()), pa.array(chunk, pa.int32()), lists], ["doc_id", "chunk", "ids"])
 
 
+def _cut_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, with the space in front that every text gets, and for each text the words before it (one more).
+
+    A word begins with a run of spaces, and a text is nothing but words.
+    """
+    data, offsets = flat.texts(column)
+    size = np.diff(offsets)
+    some = size > 0
+    data = np.insert(data, offsets[:-1][some], 0x20)
+    bounds = np.concatenate([[0], np.cumsum(size + some)])
+    space = data == 0x20
+    begins = space.copy()
+    begins[1:] &= ~space[:-1]
+    begins[bounds[:-1][some]] = True
+    starts = np.flatnonzero(begins)
+    places = np.append(starts, len(data)).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(data)))
+    return words, np.searchsorted(starts, bounds)
+
+
+def _gathered(model: Pieces, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, and for each text the ids before it (one more); each distinct word is looked up once."""
+    words, first = _cut_words(column)
+    coded = words.dictionary_encode()
+    solved = [model.word(word.replace(" ", SPACE)) for word in coded.dictionary.to_pylist()]
+    held = np.frombuffer(b"".join(solved), "<i4")
+    begin = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in solved])]).astype(np.int64)
+    which = coded.indices.to_numpy()
+    count = np.diff(begin)[which]
+    ends = np.concatenate([[0], np.cumsum(count)])
+    at = np.arange(ends[-1]) + np.repeat(begin[:-1][which] - ends[:-1], count)
+    return held[at], ends[first]
+
+
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         for batch in batches:
             for part in flat.pieces(batch, "text", 4 << 20):
-                ids = [np.frombuffer(model.whole(normalised(t)), "<i4") for t in part.column("text").to_pylist()]
-                yield _id_batch(part.column("doc_id").to_pylist(), [0] * part.num_rows, ids)
+                column = part.column("text")
+                if pc.any(pc.match_substring(column, SPACE)).as_py():  # that character is a space to the library
+                    column = pc.replace_substring(column, SPACE, " ")
+                ids, ends = _gathered(model, column)
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                chunks = pa.array(np.zeros(part.num_rows, np.int32))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), chunks, lists], ["doc_id", "chunk", "ids"])
 
     return run
 
 
-def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
+def encode(docs: DataFrame, path: str, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
     """``doc_id``, ``chunk`` and the ids of each chunk; documents of up to ``chunk`` characters have one."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     giant = F.coalesce(F.char_length("text"), F.lit(0)) > chunk
     plain = rows.filter(~giant).mapInArrow(_encoded(path), ENCODED)
     longest = pieces(path).longest
-    named = rows.filter(giant).select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
-    split = written(named.mapInArrow(_split(longest, chunk), SPLIT).repartition("row", "chunk"), "chunks")
-    matrices = split.mapInArrow(_matrices(path), "row long, chunk int, last boolean, length int, steps array<array<int>>")
-    ordered = matrices.dropDuplicates(["row", "chunk"]).repartition("row").sortWithinPartitions("row", "chunk")
-    states = ordered.mapInArrow(_joined, "row long, chunk int, enter array<int>, leave array<int>")
-    traced = split.join(states, ["row", "chunk"]).mapInArrow(_traced(path), ENCODED)
+    owner = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("owner"), F.char_length("text").cast("long").alias("size"), F.xxhash64("doc_id", "text").alias("row")]
+    named = rows.filter(giant).select("doc_id", *owner, "text")
+    split = written(named.mapInArrow(_split(longest, chunk), SPLIT).repartition(*_OWNER, "chunk"), "chunks")
+    matrices = split.mapInArrow(_matrices(path), PRODUCT).dropDuplicates([*_OWNER, "chunk"])  # equal rows have equal ones
+    states = _border_states(matrices, fan)
+    traced = split.join(states, [*_OWNER, "chunk"]).mapInArrow(_traced(path), ENCODED)
     return plain.union(traced)
 
 
 def _decoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
+        table = pa.array([model.bytes.get(i) for i in range(max(model.bytes) + 1)], pa.binary())
         for batch in batches:
+            ids = batch.column("ids")
+            data, offsets = flat.texts(table.take(ids.flatten()))
+            ends = offsets[np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())])]
             texts = []
-            for chunk, ids in zip(batch.column("chunk").to_pylist(), batch.column("ids")):
-                raw = b"".join(map(model.bytes.__getitem__, ids.values.to_numpy().tolist())) if ids.is_valid else b""
-                text = raw.decode("utf-8", "replace").replace(SPACE, " ")
+            for chunk, lo, hi in zip(batch.column("chunk").to_pylist(), ends[:-1], ends[1:]):
+                text = data[lo:hi].tobytes().decode("utf-8", "replace").replace(SPACE, " ")
                 texts.append(text[1:] if chunk == 0 and text.startswith(" ") else text)
-            columns = [batch.column("doc_id"), batch.column("chunk"), batch.column("ids"), pa.array(texts, pa.string())]
+            columns = [batch.column("doc_id"), batch.column("chunk"), ids, pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "chunk", "ids", "text"])
 
     return run

@@ -168,22 +168,31 @@ def test_pieces_equal_the_library(documents, edges, chunk):
             assert "".join(t for _, _, t in mine) == (r.text or "")
 
 
-def test_chunks_cut_within_words(spark):
+@pytest.mark.parametrize("fan", [2, 3, 64])
+def test_chunks_cut_within_words(spark, fan):
+    """Also with a tree of several levels over the chunks of a document."""
     from sentencepiece import SentencePieceProcessor
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     library = SentencePieceProcessor(model_file=path)
     rng = np.random.default_rng(3)
     letters = list("thein  of\n\té漢😀0123.")
-    texts = ["".join(rng.choice(letters, int(rng.integers(1, 300)))) for _ in range(120)] + ["the" * 200, " " * 150]
+    texts = ["".join(rng.choice(letters, int(rng.integers(1, 300)))) for _ in range(120)] + ["the" * 200, " " * 150, "", "▁a▁▁b ▁ c"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     parts = {}
-    for r in pieces.encode(df, path, 40).collect():
+    for r in pieces.encode(df, path, 40, fan).collect():
         parts.setdefault(r.doc_id, []).append((r.chunk, list(r.ids)))
     for doc_id, text in enumerate(texts):
         assert [i for _, ids in sorted(parts[doc_id]) for i in ids] == library.encode(text)
 
 
+def test_products_are_associative():
+    rng = np.random.default_rng(1)
+    some = [[list(map(int, rng.integers(1, 4, 4))) for _ in range(12)] for _ in range(3)]
+    a, b, c = some
+    assert pieces.product(pieces.product(a, b), c) == pieces.product(a, pieces.product(b, c)) != []
+
+
 # quality
 
 
