@@ -26,6 +26,8 @@ from millrace.llm import flat
 UNDETERMINED = "und"
 #: Labelled rows that the model is fitted on, in expectation.
 SAMPLE_ROWS = 20_000
+#: Languages that are learned, at most.
+MOST_LANGS = 256
 BUCKETS = 1 << 16
 #: What a change of language costs, in nats.
 SWITCH = 12.0
@@ -132,13 +134,18 @@ def _counted(langs_column: str):
     return run
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, most_langs: int = MOST_LANGS) -> Model:
     """A model from ``text`` and ``lang`` of about ``sample_rows`` rows, drawn by a hash of the text.
 
-    What reaches the driver is bounded by ``BUCKETS`` counts per language.
+    What reaches the driver is bounded by ``BUCKETS`` counts for each of ``most_langs`` languages: should ``lang`` have more
+    values, those with the fewest rows, ties by name, are not learned.
     """
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
-    rows = usable.count()
+    sizes = usable.groupBy("lang").count()
+    rows = sizes.agg(F.sum("count")).first()[0] or 0
+    known = [r.lang for r in sizes.orderBy(F.desc("count"), "lang").limit(most_langs + 1).collect()]
+    if len(known) > most_langs:
+        usable = usable.filter(F.col("lang").isin(known[:most_langs]))
     if rows > sample_rows:
         most = int(sample_rows / rows * (1 << 40))
         usable = usable.filter(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 40)) < most)

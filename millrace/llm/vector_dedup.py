@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -85,20 +86,29 @@ class Codebooks:
     def cells(self) -> int:
         return len(self.left) * len(self.right)
 
+    @cached_property
+    def apart(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distances between the centroids of either half, computed once in a worker."""
+        out = []
+        for centres in (self.left, self.right):
+            norms = (centres**2).sum(axis=1)
+            out.append(np.sqrt(np.maximum(norms[:, None] + norms - 2 * centres @ centres.T, 0)))
+        return out[0], out[1]
+
     @staticmethod
-    def _costs(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _costs(points: np.ndarray, centres: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Nearest centroid, and the squared distance to the border of every centroid's region."""
         far = (points**2).sum(axis=1)[:, None] + (centres**2).sum(axis=1) - 2 * points @ centres.T
         own = far.argmin(axis=1)
-        apart = np.sqrt(np.maximum(((centres[:, None] - centres[None]) ** 2).sum(axis=2), 0))[own]
+        apart = apart[own]
         gain = far - far[np.arange(len(points)), own][:, None]
         border = np.divide(gain, 2 * apart, out=np.zeros_like(gain), where=apart > 0)
         return own, np.maximum(border, 0) ** 2
 
     def costs(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         half = units.shape[1] // 2
-        a, left = self._costs(units[:, :half], self.left)
-        b, right = self._costs(units[:, half:], self.right)
+        a, left = self._costs(units[:, :half], self.left, self.apart[0])
+        b, right = self._costs(units[:, half:], self.right, self.apart[1])
         return a * len(self.right) + b, left, right
 
     def reaches(self, left: np.ndarray, right: np.ndarray, cells: np.ndarray) -> np.ndarray:
@@ -235,8 +245,8 @@ def _links(units: DataFrame, dim: int, rows: int, cosine: float, target: float)
     visits = written(listed.select("id", "unit").mapInArrow(_visiting(books, dim), "id long, visited long"), "visits")
 
     def blocks(df: DataFrame, cell: str, name: str) -> DataFrame:
-        count = df.groupBy(F.col(cell).alias("of")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
-        return F.broadcast(count)  # at most as many rows as there are cells
+        # at most as many rows as there are cells; whether that is few, the engine finds out
+        return df.groupBy(F.col(cell).alias("of")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
 
     of_cell, of_queries = blocks(listed, "cell", "n_blocks"), blocks(visits, "visited", "q_blocks")
     # Every vector visits its own cell, so that each listed cell has queries; cells without vectors are left out.

@@ -254,6 +254,29 @@ def test_vectors_of_the_table(spark):
     check_vectors(df, vector_dedup.near_vectors(df).collect())
 
 
+def test_links_just_above_and_below_the_threshold(spark):
+    """Pairs at cosines from 0.93 to 0.97 among vectors that are unlike, in single precision as the table has them."""
+    rng = np.random.default_rng(17)
+    rows, n = [], 0
+    for k in range(120):
+        v = rng.normal(size=48)
+        v /= np.linalg.norm(v)
+        w = rng.normal(size=48)
+        w -= (w @ v) * v
+        w /= np.linalg.norm(w)
+        cosine = (0.9502, 0.9498, 0.951, 0.96, 0.97, 0.949, 0.93)[k % 7]
+        rows += [(n, v), (n + 1, 3.0 * (cosine * v + np.sqrt(1 - cosine**2) * w))]
+        n += 2
+    rows += [(n + k, rng.normal(size=48)) for k in range(400)]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<float>")
+    got = vector_dedup.near_vectors(df, target=1.0).collect()
+    check_vectors(df, got)
+    linked = sum(r.n_links for r in got) // 2
+    assert linked == sum(k % 7 in (0, 2, 3, 4) for k in range(120))
+    found = sum(r.n_links for r in vector_dedup.near_vectors(df).collect()) // 2
+    assert found >= 0.95 * linked
+
+
 def test_hot_cells_are_split_into_blocks(spark, monkeypatch):
     """Groups of near vectors that lie across cells, with blocks smaller than a group."""
     monkeypatch.setattr(vector_dedup, "BLOCK", 16)

@@ -146,6 +146,12 @@ def test_languages_of_edge_rows(edges, rows):
     assert {r.lang_pred for r in queries.languages(unlabelled).collect()} == {"und"}
 
 
+def test_only_the_most_common_languages_are_learned(spark):
+    rows = [(f"word{i} text{i}", f"junk{i}") for i in range(300)] + [("plain words here", "en")] * 3 + [("autres mots", "fr")] * 2
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), most_langs=3)
+    assert set(model.langs) == {"en", "fr", "junk0"}
+
+
 # pieces
 
 
@@ -337,6 +343,113 @@ def test_rare_and_deep_branches_are_set_apart(spark):
     assert "deep.org/*/*/*/*/*/bad/*/*" in {r.template for r in got}
 
 
+def plain_address(url):
+    head, mark, rest = (url or "").partition("://")
+    if not mark:
+        return "", ""
+    host = re.match(r"[^/?#]*", rest)[0]
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), re.match(r"[^?#]*", rest[len(host) :])[0]
+
+
+def plain_shape(path):
+    out = []
+    for part in filter(None, path.split("/")):
+        part = re.sub(r"^\d{4}-\d\d-\d\d$", "<date>", part)
+        part = re.sub(r"^[0-9a-f]{8}-[0-9a-f-]{27}$|^[0-9a-f]{16,}$", "<hex>", part)
+        out.append(re.sub(r"\d+", "<n>", part))
+    return tuple(out)
+
+
+def plain_verdicts(pages, labels, rules):
+    """The template tree by recursion over the pages of a host, and the verdict of every page."""
+    marks = {}
+    for page_id, bad in labels:
+        if bad is not None:
+            marks.setdefault(page_id, []).append(bad)
+    rows = [(*plain_address(url), plain_shape(plain_address(url)[1]), marks.get(page_id, [])) for page_id, url in pages]
+
+    def tally(part):
+        return sum(len(r[3]) for r in part), sum(sum(r[3]) for r in part)
+
+    def beyond(one, rest):
+        (n, bad), (m, other) = one, rest
+        if n < url_filters.LEAST_LABELLED or m < url_filters.LEAST_LABELLED:
+            return 0
+        share = (bad + other) / (n + m)
+        error = math.sqrt(share * (1 - share) * (1 / n + 1 / m))
+        return (bad / n - other / m) / error if error > 0 else 0
+
+    def grow(part, depth, template):
+        n, bad = tally(part)
+        if n < 2 * url_filters.LEAST_LABELLED or not 0 < bad < n or max(len(r[2]) for r in part) <= depth:
+            for r in part:
+                yield r, template + "/*" * max(0, len(r[2]) - depth)
+            return
+        branches = {}
+        for r in part:
+            branches.setdefault(r[2][depth] if len(r[2]) > depth else "", []).append(r)
+        counts, apart = {k: tally(v) for k, v in branches.items()}, set()
+        for sign in (1, -1):
+            left = [k for k in counts if k not in apart]
+            total = [sum(counts[k][i] for k in left) for i in (0, 1)]
+            for k in left:
+                rest = (total[0] - counts[k][0], total[1] - counts[k][1])
+                if sign * beyond(counts[k], rest) > url_filters.DIFFERENT:
+                    apart.add(k)
+        deeper = {}
+        for k, v in branches.items():
+            deeper.setdefault("" if not k else f"/{k}" if k in apart else "/*", []).extend(v)
+        for name, v in deeper.items():
+            yield from grow(v, depth + 1, template + name)
+
+    hosts, judged = {}, {}
+    for r in rows:
+        hosts.setdefault(r[0], []).append(r)
+    n, bad = tally(rows)
+    everywhere = bad / max(n, 1)
+    for host, part in hosts.items():
+        n, bad = tally(part)
+        of_host = (bad + url_filters.SMOOTHING * everywhere) / (n + url_filters.SMOOTHING)
+        templates = {}
+        for r, template in grow(part, 0, ""):
+            templates.setdefault(template, []).append(r)
+        for template, members in templates.items():
+            n, bad = tally(members)
+            purity = (bad + url_filters.SMOOTHING * of_host) / (n + url_filters.SMOOTHING)
+            judged |= {(host, r[2]): (host + template, purity) for r in members}
+    out = []
+    for (page_id, _), (host, path, shape, _) in zip(pages, rows):
+        template, purity = judged[host, shape]
+        rule = says = None
+        for verdict, text in sorted(rules, key=lambda r: len(r[1])):
+            domain, _, start = text.partition("/")
+            if (host == domain or host.endswith("." + domain)) and path.startswith("/" + start):
+                rule, says = text, verdict
+        out.append((page_id, host, path, rule, says or ("block" if purity >= url_filters.REJECT else "allow"), template, round(purity, 9)))
+    return sorted(out, key=str)
+
+
+def test_verdicts_equal_a_plain_tree(spark, rows):
+    """The table's own pages, and hosts with planted branches, of which the method blocks some."""
+    rng = np.random.default_rng(21)
+    pages = [(r.page_id, r.url) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    labels = [(r.doc_id, int(r.quality == 0 or r.toxic == 1)) for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()]
+    for k in range(3000):
+        host, kind, sub = rng.choice(["a.org", "B.org", "c.net"]), rng.choice(["spam", "news", "ads", "x"]), rng.choice(["in", "out", "deep/er"])
+        tail = rng.choice(["7", f"{k}/p-{k}.html", "2024-01-02", "0123456789abcdef0", "", "z/" * 9])
+        pages.append((10**6 + k, f"http://{host}/{kind}/{sub}/{tail}" + rng.choice(["", "?q=1", "#x"])))
+        likely = {"spam": 0.95, "ads": 0.6 if sub == "in" else 0.05}.get(kind, 0.05)
+        if rng.random() < 0.6:
+            labels.append((10**6 + k, int(rng.random() < likely)))
+    pages += [(2, None), (3, "no scheme"), (10**6, "http://a.org/spam/in/7"), (10**6, "http://a.org/spam/in/7")]
+    labels += [(10**6 + 5, 1), (10**6 + 5, 0), (4, None)]
+    want = plain_verdicts(pages, labels, queries.URL_RULES)
+    got = url_filters.filter_urls(rows(pages, "page_id long, url string"), rows(labels, "page_id long, bad int"), queries.URL_RULES)
+    found = sorted(((*tuple(r)[:6], round(r.purity, 9)) for r in got.collect()), key=str)
+    assert found == want
+    assert {r[4] for r in want if r[3] is None} == {"allow", "block"} and len({r[5] for r in want}) > 20
+
+
 def test_warc_records_are_linked(rows):
     page = '<html lang="fr"><head><title>A &amp; B</title><meta charset="utf-8"><style>p{}</style></head><body><p>Un<br>deux</p><script>var t="</p>"</script><a href="/x">lien &eacute;</a></body></html>'
     df = rows([(1, "http://a.org/", page), (2, None, None), (3, "http://b.org/", ""), (1, "http://a.org/", page)], "page_id long, url string, html string")
