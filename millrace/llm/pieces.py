@@ -68,6 +68,15 @@ class Pieces:
         for piece in self.ids:
             found.setdefault(piece[:2], {1}).add(len(piece))
         self.sizes = {start: tuple(sorted(sizes, reverse=True)) for start, sizes in found.items()}
+        #: The characters of longer pieces by number, 0 for all others, and which stand next to each other in a piece.
+        chars = sorted({c for piece in self.ids if len(piece) > 1 for c in piece})
+        self.alphabet = np.zeros(0x110000, dtype=np.int32)
+        self.alphabet[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.alphabet[0x20] = self.alphabet[ord(SPACE)]
+        self.joins = np.zeros((len(chars) + 1) ** 2, dtype=bool)
+        number = {c: k + 1 for k, c in enumerate(chars)}
+        pairs = {(number[a], number[b]) for piece in self.ids for a, b in zip(piece, piece[1:])}
+        self.joins[[a * (len(chars) + 1) + b for a, b in pairs]] = True
         self._words: dict[str, bytes] = {}
         self._pairs: dict[tuple[str, str], bool] = {}
 
@@ -378,21 +387,25 @@ def _id_batch(doc_id, chunk, ids) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(doc_id, pa.int64()), pa.array(chunk, pa.int32()), lists], ["doc_id", "chunk", "ids"])
 
 
-def _cut_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+def _cut_words(model: Pieces, column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts, with the space in front that every text gets, and for each text the words before it (one more).
 
-    A word begins with a run of spaces, and a text is nothing but words.
+    A text is cut between any two characters that stand next to each other in no piece: no piece crosses such a place, so that the
+    words are cut into pieces each on its own. That is so before spaces, and mostly around marks and digits.
     """
     data, offsets = flat.texts(column)
     size = np.diff(offsets)
     some = size > 0
     data = np.insert(data, offsets[:-1][some], 0x20)
     bounds = np.concatenate([[0], np.cumsum(size + some)])
-    space = data == 0x20
-    begins = space.copy()
-    begins[1:] &= ~space[:-1]
-    begins[bounds[:-1][some]] = True
-    starts = np.flatnonzero(begins)
+    points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    number = model.alphabet[points]
+    width = int(len(model.joins) ** 0.5)
+    begins = np.ones(len(points), dtype=bool)
+    begins[1:] = ~model.joins[number[:-1] * width + number[1:]]
+    heads = np.flatnonzero((data & 0xC0) != 0x80)
+    begins[np.searchsorted(heads, bounds[:-1][some])] = True
+    starts = heads[begins]
     places = np.append(starts, len(data)).astype(np.int32)
     words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(data)))
     return words, np.searchsorted(starts, bounds)
@@ -400,7 +413,7 @@ def _cut_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 def _gathered(model: Pieces, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts, and for each text the ids before it (one more); each distinct word is looked up once."""
-    words, first = _cut_words(column)
+    words, first = _cut_words(model, column)
     coded = words.dictionary_encode()
     solved = [model.word(word.replace(" ", SPACE)) for word in coded.dictionary.to_pylist()]
     held = np.frombuffer(b"".join(solved), "<i4")
