@@ -39,6 +39,10 @@ BANDS = BINS // ROWS
 #: Rows of a mixed bucket that are compared with each other at once.
 BLOCK = 500
 
+#: Rows of a mixed bucket from which it is parted by the other bands, which takes a copy of each row for each of them;
+#: up to here blocks take fewer.
+CROWD = BLOCK * BANDS
+
 _BIN_BITS = BINS.bit_length() - 1
 _PROBES = np.random.default_rng(11).integers(0, BINS, (4096, BINS))
 
@@ -293,7 +297,7 @@ def _mixed(placed: DataFrame) -> DataFrame:
 def _missed(bands: DataFrame, sketched: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
     """Links between members of one bucket that are not in one component yet.
 
-    A bucket of more than ``BLOCK`` rows is parted by each other band first: a pair at the threshold agrees in none of
+    A bucket of more than ``CROWD`` rows is parted by each other band first: a pair at the threshold agrees in none of
     those with a probability of about one in a million, like in the bands as such, while texts that share little more
     than the one bucket come apart. What still is larger is compared in blocks.
     """
@@ -301,9 +305,9 @@ def _missed(bands: DataFrame, sketched: DataFrame, sets: DataFrame, parts: DataF
     placed = bands.join(known, "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
     mixed = written(_mixed(placed), "mixed")
     values = sketched.select(F.col("cls").alias("doc"), "n_shingles", "sketch")
-    large = placed.join(mixed.filter(F.col("n") > BLOCK).select("bucket"), "bucket").join(values, "doc")
+    large = placed.join(mixed.filter(F.col("n") > CROWD).select("bucket"), "bucket").join(values, "doc")
     finer = written(large.select("bucket", "doc", "comp", "sketch").mapInArrow(_refined, "bucket long, doc long, comp long"), "finer")
-    small = placed.join(mixed.filter(F.col("n") <= BLOCK), "bucket").select("bucket", "doc", "comp", "n")
+    small = placed.join(mixed.filter(F.col("n") <= CROWD), "bucket").select("bucket", "doc", "comp", "n")
     rows = small.unionByName(finer.join(_mixed(finer), "bucket"))
     rows = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))

@@ -123,9 +123,11 @@ def test_rows_that_repeat_an_id(rows):
     check_near(rows([(5, a), (5, a), (5, b), (2, c), (7, c), (5, c), (9, None), (9, a), (None, a), (5, None)], "doc_id long, text string"))
 
 
-def test_loose_group_is_linked_through_its_members(spark, monkeypatch):
-    """Variants that resemble the base but not each other, in blocks smaller than the group."""
+@pytest.mark.parametrize("crowd", [8, 10**6])
+def test_loose_group_is_linked_through_its_members(spark, monkeypatch, crowd):
+    """Variants that resemble the base but not each other, in blocks smaller than the group, parted by further bands or not."""
     monkeypatch.setattr(near_dup, "BLOCK", 8)
+    monkeypatch.setattr(near_dup, "CROWD", crowd)
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in range(200)]
     rows = []
