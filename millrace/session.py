@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from contextlib import contextmanager
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -19,19 +20,19 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder all executors share, named by ``spark.checkpoint.dir``.
 
-    Where that is unset, tables go below the session's warehouse, which is shared as well.
+    Where that is unset, tables go below the session's warehouse, if that is shared as well: on a cluster it may not be
+    a folder of the machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/shared"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/shared"
+        place = spark._jvm.org.apache.hadoop.fs.Path(root)
+        scheme = place.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()
+        if scheme == "file" and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"{root} is a folder of one machine; name a shared one in spark.checkpoint.dir")
     return f"{root.rstrip('/')}/{label}-{uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared folder, for what is used several times."""
-    path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @contextmanager
 def settings(spark: SparkSession, wanted: dict[str, str]):
     """Session settings for the length of a block."""

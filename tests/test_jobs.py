@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import json
+import subprocess
+import sys
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
@@ -54,3 +58,29 @@ def test_archive_and_words(spark, rows):
 def test_topic_options():
     args = arguments().parse_args(["layers", "r", "--option", "subscribe=a", "--option", "kafka.bootstrap.servers=h:1=2"])
     assert dict(args.option) == {"subscribe": "a", "kafka.bootstrap.servers": "h:1=2"} and args.trigger == "30 seconds"
+
+
+class Elsewhere:
+    """A session whose master is another."""
+
+    def __init__(self, spark, master, **conf):
+        self._jvm, self._jsc, self.conf = spark._jvm, spark._jsc, SimpleNamespace(get=lambda key, *_: conf.get(key))
+        self.sparkContext = SimpleNamespace(master=master)
+
+
+def test_tables_do_not_go_to_a_folder_of_one_machine(spark, tmp_path):
+    local = {"spark.sql.warehouse.dir": f"file:{tmp_path}"}
+    for master in ("local", "local[4]", "local[*]"):
+        assert shared_dir(Elsewhere(spark, master, **local), "t").startswith(f"file:{tmp_path}/shared/t-")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_dir(Elsewhere(spark, master, **local), "t")
+        assert shared_dir(Elsewhere(spark, master, **local, **{"spark.checkpoint.dir": "file:/mnt/all/"}), "t").startswith("file:/mnt/all/t-")
+
+
+def test_other_queries_stay_without_the_training_data_libraries():
+    """As where the subpackage, or a library that only it needs, is not there."""
+    code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; print(len(e.queries()), any(k.startswith('op') for k in e.queries()))"
+    root = Path(__file__).resolve().parents[1]
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120, check=True)
+    assert done.stdout.split()[1] == "False" and int(done.stdout.split()[0]) > 70
