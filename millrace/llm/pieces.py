@@ -40,7 +40,7 @@ CHUNK = 1 << 15
 #: Neighbouring matrices that are multiplied at once.
 FAN = 64
 #: Entries of a worker's memories of words and pairs.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
@@ -429,7 +429,7 @@ def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         for batch in batches:
-            for part in flat.pieces(batch, "text", 4 << 20):
+            for part in flat.pieces(batch, "text"):
                 column = part.column("text")
                 if pc.any(pc.match_substring(column, SPACE)).as_py():  # that character is a space to the library
                     column = pc.replace_substring(column, SPACE, " ")
@@ -456,20 +456,36 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK, fan: int = FAN) -> Da
     return plain.union(traced)
 
 
+def _id_ends(ids: pa.Array) -> np.ndarray:
+    """For each list the ids before it (one more)."""
+    return np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())]).astype(np.int64)
+
+
+def _id_slices(batch: pa.RecordBatch, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most ``most`` ids each, or a single row."""
+    ends, at = _id_ends(batch.column("ids")), 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+        yield batch.slice(at, stop - at)
+        at = stop
+    flat.release()
+
+
 def _decoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         table = pa.array([model.bytes.get(i) for i in range(max(model.bytes) + 1)], pa.binary())
         for batch in batches:
-            ids = batch.column("ids")
-            data, offsets = flat.texts(table.take(ids.flatten()))
-            ends = offsets[np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())])]
-            texts = []
-            for chunk, lo, hi in zip(batch.column("chunk").to_pylist(), ends[:-1], ends[1:]):
-                text = data[lo:hi].tobytes().decode("utf-8", "replace").replace(SPACE, " ")
-                texts.append(text[1:] if chunk == 0 and text.startswith(" ") else text)
-            columns = [batch.column("doc_id"), batch.column("chunk"), ids, pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "chunk", "ids", "text"])
+            for part in _id_slices(batch):
+                ids = part.column("ids")
+                data, offsets = flat.texts(table.take(ids.flatten()))
+                ends = offsets[_id_ends(ids)]
+                texts = []
+                for chunk, lo, hi in zip(part.column("chunk").to_pylist(), ends[:-1], ends[1:]):
+                    text = data[lo:hi].tobytes().decode("utf-8", "replace").replace(SPACE, " ")
+                    texts.append(text[1:] if chunk == 0 and text.startswith(" ") else text)
+                columns = [part.column("doc_id"), part.column("chunk"), ids, pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "chunk", "ids", "text"])
 
     return run
 
