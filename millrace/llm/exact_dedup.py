@@ -7,11 +7,15 @@ fetches its bytes, and each shard of whole anchors builds suffix arrays (``suffi
 prefix of at least ``SPAN`` bytes with their neighbours are the places of one string, and it stays in the least
 document only.
 
+An anchor that more than ``CROWD`` documents of a batch have in different stretches, such as a short line that a third
+of all texts have, does not go to one task: that batch's records of it are dealt by stretch, and its own task is told.
+
 Copies of a stretch are collapsed before its bytes are fetched: within an Arrow batch by comparing bytes, and among
 the records of an anchor by a second hash, which with the anchor's own makes 96 bits or more; the least document
 stands for all of them, and the others lose the stretch. So a group of copies reaches the shards once. An anchor with more
 than ``HOT`` different stretches, such as a short common line amid other text, is dealt anew by each whole string,
-settled within batches first. No task grows with a group of copies or with a common line.
+settled within batches first. So are all stretches of an anchor dealt by stretch. One task holds at most ``CROWD``
+documents per batch of an anchor, and a common string once per batch.
 
 Defined cases: a null text is empty; texts shorter than ``SPAN`` and rows without ``doc_id`` are returned whole and
 remove nothing elsewhere; rows that repeat a ``doc_id`` are judged each by its own text against the documents with a
@@ -38,6 +42,8 @@ from millrace.llm.tables import discard, written
 SPAN = 50
 ANCHOR = 18
 HOT = 2000
+#: Documents of a batch that may send different stretches of one anchor to one task.
+CROWD = 200
 #: Bytes of text whose stretches are compared with each other before they are dealt.
 TOGETHER = 8 << 20
 SHARD = 2 << 20
@@ -146,7 +152,10 @@ def _merged(text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return text[heads], begin[heads], end[np.append(heads[1:], len(text)) - 1]
 
 
-RECORDS = "part int, settled boolean, keys binary, codes binary, docs binary, starts binary, sizes binary"
+#: Rows of records: stretches dealt by anchor or by stretch, anchors of the latter, and spans that are settled.
+_BY_ANCHOR, _BY_STRETCH, _CROWDED, _DONE = 0, 1, 2, 3
+
+RECORDS = "part int, form byte, keys binary, codes binary, docs binary, starts binary, sizes binary"
 
 
 def _packed(values: np.ndarray) -> np.ndarray:
@@ -169,10 +178,25 @@ def _numbers(blocks: list[bytes]) -> np.ndarray:
     return np.concatenate([np.frombuffer(b, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel() for b in blocks])
 
 
-def _dealt(parts: int):
-    """Records in arrays by the part their anchor belongs to, and spans that a lesser document of the batch settles."""
+def _crowded(key: np.ndarray, doc: np.ndarray, most: int) -> np.ndarray:
+    """Which records have an anchor that more than ``most`` documents have."""
+    order = np.lexsort((doc, key))
+    k, d = key[order], doc[order]
+    new = np.ones(len(k), dtype=bool)
+    new[1:] = k[1:] != k[:-1]
+    other = new.copy()
+    other[1:] |= d[1:] != d[:-1]
+    heads = np.flatnonzero(new)
+    out = np.zeros(len(k), dtype=bool)
+    if len(heads):
+        out[order] = np.repeat(np.add.reduceat(other.astype(np.int64), heads) > most, np.diff(np.append(heads, len(k))))
+    return out
 
-    def blocks(part, settled, key, code, doc, start, size) -> pa.RecordBatch:
+
+def _dealt(parts: int, crowd: int):
+    """Records in arrays by the part they belong to, and spans that a lesser document of the batch settles."""
+
+    def blocks(form, part, key, code, doc, start, size) -> pa.RecordBatch:
         order = np.argsort(part, kind="stable")
         part = part[order]
         heads = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
@@ -180,8 +204,11 @@ def _dealt(parts: int):
         hashed = [_packed(key[order]), _packed(code[order])]
         arrays = [pa.array([c[lo:hi].tobytes() for lo, hi in bounds], pa.binary()) for c in hashed]
         arrays += [pa.array([_planes(c[order[lo:hi]]) for lo, hi in bounds], pa.binary()) for c in (doc, start, size)]
-        heading = [pa.array(part[heads].astype(np.int32)), pa.array([settled] * len(heads), pa.bool_())]
-        return pa.RecordBatch.from_arrays(heading + arrays, ["part", "settled", "keys", "codes", "docs", "starts", "sizes"])
+        heading = [pa.array(part[heads].astype(np.int32)), pa.array(np.full(len(heads), form, dtype=np.int8))]
+        return pa.RecordBatch.from_arrays(heading + arrays, ["part", "form", "keys", "codes", "docs", "starts", "sizes"])
+
+    def dealt_to(hashes: np.ndarray) -> np.ndarray:
+        return (flat.mix(hashes) % np.uint64(parts)).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,12 +221,21 @@ def _dealt(parts: int):
                 code = _string_hashes(data, start, size)
                 gone = _settled(data, key, code, start, size, ids[text])
                 rest = ~gone
-                part = (flat.mix(key[rest]) % np.uint64(parts)).astype(np.int64)
-                yield blocks(part, False, key[rest], code[rest], ids[text[rest]], (start + place[text])[rest], size[rest])
-                owner, begin, end = _merged(text[gone], start[gone], (start + size)[gone])
+                doc, begin = ids[text], start + place[text]
+                crowded = np.zeros(len(key), dtype=bool)
+                crowded[rest] = _crowded(key[rest], doc[rest], crowd)
+                plain = rest & ~crowded
+                yield blocks(_BY_ANCHOR, dealt_to(key[plain]), *(x[plain] for x in (key, code, doc, begin, size)))
+                if crowded.any():
+                    own = dealt_to(flat.mix(key[crowded]) ^ code[crowded])
+                    yield blocks(_BY_STRETCH, own, *(x[crowded] for x in (key, code, doc, begin, size)))
+                    told = np.unique(key[crowded])
+                    zeros = np.zeros(len(told), dtype=np.int64)
+                    yield blocks(_CROWDED, dealt_to(told), told, zeros.view(np.uint64), zeros, zeros, zeros)
+                owner, first, last = _merged(text[gone], start[gone], (start + size)[gone])
                 none = np.zeros(len(owner), dtype=np.uint64)
-                part = (flat.mix(ids[owner].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
-                yield blocks(part, True, none, none, ids[owner], begin + place[owner], end - begin)
+                part = dealt_to(ids[owner].astype(np.uint64))
+                yield blocks(_DONE, part, none, none, ids[owner], first + place[owner], last - first)
 
     return run
 
@@ -213,34 +249,47 @@ def _found(doc, key, start, size, kind) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "key", "start", "size", "kind"])
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shared(hot: int):
     """Drops anchors of one document, settles copies of a stretch, and keeps the stretches that differ."""
-    for table in whole_groups(batches, ["part"]):
-        heads = changes(table, ["part"])
-        for lo, hi in zip(heads, [*heads[1:], table.num_rows]):
-            part = table.slice(lo, hi - lo)
-            done = part.filter(part.column("settled"))
-            if done.num_rows:
-                doc, start, size = _arrays(done)
-                yield _found(doc, np.zeros(len(doc), np.uint64), start, size, np.full(len(doc), _SETTLED))
-            part = part.filter(pc.invert(part.column("settled")))
-            key, code = (_unpacked(b"".join(part.column(c).to_pylist())) for c in ("keys", "codes"))
-            if not len(key):
-                continue
-            doc, start, size = _arrays(part)
-            order = np.lexsort((doc, size, code, key))
-            key, code, doc, start, size = (x[order] for x in (key, code, doc, start, size))
-            new_key = np.append(True, key[1:] != key[:-1])
-            new = new_key | np.append(True, (code[1:] != code[:-1]) | (size[1:] != size[:-1]))
-            at = np.flatnonzero(new_key)
-            count = np.diff(np.append(at, len(key)))
-            shared = np.repeat(np.minimum.reduceat(doc, at) < np.maximum.reduceat(doc, at), count)
-            different = np.repeat(np.add.reduceat(new.astype(np.int64), at), count)
-            copy = doc > doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
-            kind = np.where(copy, _SETTLED, np.where(different > HOT, _HOT, _STRETCH))
-            # the least document of an anchor with one stretch has nothing to be compared with
-            keep = shared & (copy | (different > 1))
-            yield _found(doc[keep], key[keep], start[keep], size[keep], kind[keep])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["part"]):
+            heads = changes(table, ["part"])
+            for lo, hi in zip(heads, [*heads[1:], table.num_rows]):
+                part = table.slice(lo, hi - lo)
+                done, told, plain, apart = (part.filter(pc.equal(part.column("form"), form))
+                                            for form in (_DONE, _CROWDED, _BY_ANCHOR, _BY_STRETCH))
+                if done.num_rows:
+                    doc, start, size = _arrays(done)
+                    yield _found(doc, np.zeros(len(doc), np.uint64), start, size, np.full(len(doc), _SETTLED))
+                crowded = _hashes(told, "keys")
+                for rows, everywhere in ((plain, False), (apart, True)):
+                    key = _hashes(rows, "keys")
+                    if len(key):
+                        yield of_anchors(key, _hashes(rows, "codes"), *_arrays(rows), crowded, everywhere)
+
+    def of_anchors(key, code, doc, start, size, crowded, everywhere) -> pa.RecordBatch:
+        """Anchors in ``crowded``, or with ``everywhere`` all, have further stretches in other parts."""
+        order = np.lexsort((doc, size, code, key))
+        key, code, doc, start, size = (x[order] for x in (key, code, doc, start, size))
+        new_key = np.append(True, key[1:] != key[:-1])
+        new = new_key | np.append(True, (code[1:] != code[:-1]) | (size[1:] != size[:-1]))
+        at = np.flatnonzero(new_key)
+        count = np.diff(np.append(at, len(key)))
+        beyond = np.ones(len(key), dtype=bool) if everywhere else np.repeat(np.isin(key[at], crowded), count)
+        shared = np.repeat(np.minimum.reduceat(doc, at) < np.maximum.reduceat(doc, at), count)
+        different = np.repeat(np.add.reduceat(new.astype(np.int64), at), count)
+        copy = doc > doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+        kind = np.where(copy, _SETTLED, np.where(beyond | (different > hot), _HOT, _STRETCH))
+        # the least document of an anchor with one stretch has nothing to be compared with
+        keep = beyond | (shared & (copy | (different > 1)))
+        return _found(doc[keep], key[keep], start[keep], size[keep], kind[keep])
+
+    return run
+
+
+def _hashes(table: pa.Table, name: str) -> np.ndarray:
+    return _unpacked(b"".join(table.column(name).to_pylist()))
 
 
 def _arrays(table: pa.Table) -> tuple[np.ndarray, ...]:
@@ -365,8 +414,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     parts = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PART))
     named = docs.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), F.col("_base").alias("base"))
-    dealt = named.mapInArrow(_dealt(parts), RECORDS).repartition("part").sortWithinPartitions("part")
-    held = dealt.mapInArrow(_shared, FOUND).groupBy(F.col("doc").alias("_of")).agg(
+    dealt = named.mapInArrow(_dealt(parts, CROWD), RECORDS).repartition("part").sortWithinPartitions("part")
+    held = dealt.mapInArrow(_shared(HOT), FOUND).groupBy(F.col("doc").alias("_of")).agg(
         F.collect_list(F.struct("key", "start", "size", "kind")).alias("held")
     )
     fetched = docs.join(held, F.col("_id") == F.col("_of"))

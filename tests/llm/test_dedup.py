@@ -8,6 +8,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import exact_dedup, near_dup, vector_dedup
@@ -203,9 +204,11 @@ def test_repeats_of_nothing(rows):
     assert exact_dedup.remove_repeats(rows([], DOCS)).count() == 0
 
 
-def test_hot_anchor_is_dealt_by_string(spark, monkeypatch):
-    """A short common line amid other text in more documents than an anchor may have stretches."""
-    monkeypatch.setattr(exact_dedup, "HOT", 10)
+@pytest.mark.parametrize("hot, crowd", [(10, 1000), (1000, 3), (10, 12)])
+def test_hot_anchor_is_dealt_by_string(spark, monkeypatch, hot, crowd):
+    """A short common line amid other text in more documents than an anchor may have stretches, or a batch may send."""
+    monkeypatch.setattr(exact_dedup, "HOT", hot)
+    monkeypatch.setattr(exact_dedup, "CROWD", crowd)
     rng = np.random.default_rng(4)
     line = "a common line of forty characters or so."
     rows = []
@@ -219,6 +222,22 @@ def test_hot_anchor_is_dealt_by_string(spark, monkeypatch):
     check_repeats(df.repartition(7))
 
 
+def test_records_of_a_crowded_anchor_do_not_meet_in_one_part():
+    """A line in every text: with more texts, its anchors' parts hold no more than the others."""
+    rng = np.random.default_rng(8)
+    line = "a common line of forty characters or so."
+    share = []
+    for n in (1000, 4000):
+        texts = ["".join(rng.choice(list("abcdefgh "), 60)) + line + "".join(rng.choice(list("abcdefgh "), 60)) for _ in range(n)]
+        batch = pa.RecordBatch.from_pydict({"doc_id": np.arange(n), "text": texts, "base": np.zeros(n, np.int64)})
+        sizes = Counter()
+        for block in exact_dedup._dealt(64, exact_dedup.CROWD)(iter([batch])):
+            for part, keys in zip(block.column("part").to_pylist(), block.column("keys").to_pylist()):
+                sizes[part] += len(keys) // 6
+        share.append(max(sizes.values()) * 64 / sum(sizes.values()))
+    assert max(share) < 1.5
+
+
 def test_one_id_with_two_texts(rows):
     """Each of its texts loses what lesser ids have, and both remove it elsewhere, but not from each other."""
     text = "the same passage of more than fifty bytes, found in every one of them"
