@@ -1,6 +1,12 @@
 """The corpus pipeline: language ID, quality rules, near-deduplication, suffix-array deduplication, packing.
 
 Each stage takes what its predecessor wrote. All but the last give the columns of ``documents``.
+
+Defined cases: null and empty texts, and those without a letter, go with the first stage; a null ``lang`` is filled with
+the prediction, a null ``source`` is a group of its own; rows without ``doc_id`` pass like others, but are neither
+learned from nor linked, and neither lose bytes nor remove any; of near-duplicates the least ``doc_id`` stays, rows that
+repeat one stay or go together, and texts of one ``doc_id`` remove nothing from each other; long texts are taken whole;
+an empty table gives no rows at every stage; other columns than those of ``documents`` are dropped by the first stage.
 """
 
 from __future__ import annotations
