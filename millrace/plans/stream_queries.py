@@ -194,6 +194,18 @@ class Failure(Exception):
     """Made for a test of recovery."""
 
 
+def write_halves(spark, events, path: str) -> int:
+    """Write events for a stream of two batches and return the files of one.
+
+    A file that has one row group is parsed by one task, so a batch has a file for every task of the session, and more
+    where those would be large.
+    """
+    size = int(events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    files = 2 * max(state_partitions(spark), -(-size // FILE_SIZE))
+    events.repartition(files, "event_id").write.parquet(path)
+    return -(-len(spark.read.parquet(path).inputFiles()) // 2)  # no file comes of a part without events
+
+
 @query(
     "checkpoint_recovery_within_batch",
     with_(
@@ -206,7 +218,7 @@ def checkpoint_recovery_within_batch(spark, sf_dir):
     """A job that fails within its batches: after the files of some layers, before and after its batch is valid but
     before its state is. Each time it is started again on its checkpoint, and every reading is in its layers once."""
     path, source = shared_dir(spark, "stream-failing"), shared_dir(spark, "stream-source")
-    table(spark, sf_dir, "events").repartition(2, "event_id").write.parquet(source)
+    half = write_halves(spark, table(spark, sf_dir, "events"), source)
     failures = {("written fail", 0), ("committed", 0), ("indexed", 1)}
     count = len(failures)
 
@@ -216,7 +228,7 @@ def checkpoint_recovery_within_batch(spark, sf_dir):
             raise Failure(f"{stage} of batch {batch}")
 
     def start():
-        messages = event_messages(table_stream(spark, source, maxFilesPerTrigger="1"))
+        messages = event_messages(table_stream(spark, source, maxFilesPerTrigger=str(half)))
         options = dict(files_per_hour=FILES_PER_HOUR, state_partitions=state_partitions(spark))
         return start_layers(messages, path, trigger=None, separate=True, probe=probe, merge=2, **options)[0]
 

@@ -535,6 +535,29 @@ def test_a_batch_that_fails_anywhere_leaves_each_row_once(spark, messages, stage
     assert scan_layer(spark, out, "raw-data", separate=True).count() == batch.count()
 
 
+@pytest.mark.parametrize("n", [2000, 3])
+def test_batches_that_fail_are_of_many_files_and_there_are_two(spark, monkeypatch, n):
+    """Each of the two batches is dealt to as many tasks as run at a time, if there are as many events."""
+    sf_dir, seen = shared_dir(spark, "tables"), []
+    ts = F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.col("id") * 1_000_000).cast("timestamp_ntz")
+    spark.range(n).select(
+        F.col("id").alias("event_id"), ts.alias("ts"), (F.col("id") % 7).alias("user_id"), F.lit("view").alias("event_type"),
+        (F.col("id") % 90 + F.col("id") / 1e6).alias("value"), F.lit('{"k": 5}').alias("props"),
+    ).coalesce(1).write.parquet(f"{sf_dir}/events.parquet")
+
+    def watched(spark, path, **options):
+        seen.append((len(spark.read.parquet(path).inputFiles()), int(options["maxFilesPerTrigger"])))
+        return table_stream(spark, path, **options)
+
+    monkeypatch.setattr(stream_queries, "table_stream", watched)
+    got = stream_queries.checkpoint_recovery_within_batch(spark, sf_dir)
+    files, each = seen[0]
+    assert set(seen) == {(files, each)} and each < files <= 2 * each
+    assert n < 2000 or each >= spark.sparkContext.defaultParallelism
+    want = distinct_layers(event_messages(spark.read.parquet(f"{sf_dir}/events.parquet"))).count()
+    assert got.filter("layer = 'raw-data'").count() == got.filter("layer <> 'raw-data'").count() == want
+
+
 @pytest.mark.parametrize("separate", [False, True])
 def test_indexed_scan_opens_the_folders_of_its_hours_only(spark, rows, separate):
     """Two hours out of a thousand, written by a stream in several batches."""
