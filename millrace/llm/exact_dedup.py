@@ -47,6 +47,10 @@ CROWD = 200
 #: Bytes of text whose stretches are compared with each other before they are dealt.
 TOGETHER = 8 << 20
 SHARD = 2 << 20
+#: Bytes of strings that one suffix array is built of; its arrays take some hundred times as much.
+SORTED = 1 << 19
+#: Bytes of text that are hashed at once, and pairs of strings that are compared at once.
+SCANNED, COMPARED = 1 << 18, 2000
 #: Bytes of text whose records are grouped at once.
 PART = 8 << 20
 
@@ -87,8 +91,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """The stretches of all texts, a bounded slice of bytes at a time; slices overlap by less than a string."""
     found = []
     n = int(offsets[-1])
-    for low in range(0, n, flat.BLOCK):
-        high = min(n, low + flat.BLOCK + SPAN - 1)
+    for low in range(0, n, SCANNED):
+        high = min(n, low + SCANNED + SPAN - 1)
         inner = np.clip(offsets, low, high) - low
         text, start, count, key = _slice_anchors(data[low:high], inner)
         found.append((text, start + low, count, key))
@@ -103,7 +107,7 @@ def _string_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> n
     at = 0
     while at < len(starts):
         base = starts[at]
-        stop = max(at + 1, int(np.searchsorted(starts, base + flat.BLOCK)))
+        stop = max(at + 1, int(np.searchsorted(starts, base + SCANNED)))
         top = int((starts[at:stop] + sizes[at:stop]).max())
         part = data[base:top]
         power, inverse = flat.powers(len(part) + 1)
@@ -118,8 +122,8 @@ def _string_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> n
 def _equal(data: np.ndarray, x: np.ndarray, y: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Which strings of bytes at ``x`` and ``y`` are equal."""
     out = np.ones(len(x), dtype=bool)
-    for at in range(0, len(x), 20_000):
-        part = slice(at, at + 20_000)
+    for at in range(0, len(x), COMPARED):
+        part = slice(at, at + COMPARED)
         size = sizes[part]
         step = np.arange(int(size.max()))
         inside = step < size[:, None]
@@ -131,14 +135,18 @@ def _equal(data: np.ndarray, x: np.ndarray, y: np.ndarray, sizes: np.ndarray) ->
 def _settled(data, key, code, start, size, doc) -> np.ndarray:
     """Which strings also stand, with the same key, in a lesser document of this batch."""
     order = np.lexsort((doc, size, code, key))
-    k, c, z, d, s = key[order], code[order], size[order], doc[order], start[order]
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1]) | (z[1:] != z[:-1])
-    first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    later = np.flatnonzero(d > d[first])
-    out = np.zeros(len(order), dtype=bool)
-    if len(later):
-        out[order[later[_equal(data, s[later], s[first[later]], z[later])]]] = True
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for column in (key, code, size):  # one at a time, for the sake of memory
+        column = column[order]
+        new[1:] |= column[1:] != column[:-1]
+    heads = np.flatnonzero(new)
+    first = np.repeat(order[heads], np.diff(np.append(heads, len(order))))
+    later = doc[order] > doc[first]
+    order, first = order[later], first[later]
+    out = np.zeros(len(later), dtype=bool)
+    if len(order):
+        out[order[_equal(data, start[order], start[first], size[order])]] = True
     return out
 
 
@@ -348,6 +356,17 @@ def _string_batch(key, doc, start, texts, settled) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["key", "doc", "start", "bytes", "size"])
 
 
+def _sortable(table: pa.Table) -> Iterator[pa.Table]:
+    """Slices of a table sorted by key that part no key and have at most ``SORTED`` bytes of strings each, or one key."""
+    _, offsets = flat.texts(table.column("bytes"))
+    heads = np.append(changes(table, ["key"]), table.num_rows)
+    place, at = offsets[heads], 0
+    while at + 1 < len(heads):
+        end = max(at + 1, int(np.searchsorted(place, place[at] + SORTED, "right")) - 1)
+        yield table.slice(heads[at], heads[end] - heads[at])
+        at = end
+
+
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of the strings of a shard that a lesser document of the shard has too."""
     for table in whole_groups(batches, ["key"], SHARD):
@@ -355,29 +374,32 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = table.filter(pa.array(settled))
         if done.num_rows:
             yield _spans(*(done.column(c).to_numpy() for c in ("doc", "start", "size")))
-        table = table.filter(pa.array(~settled))
-        if not table.num_rows:
-            continue
-        data, offsets = flat.texts(table.column("bytes"))
-        doc, start = table.column("doc").to_numpy(), table.column("start").to_numpy()
-        order = suffix_array(data, SPAN)
-        run = np.cumsum(common_prefixes(data, order, SPAN) < SPAN) - 1
-        text = flat.owners(offsets)
-        whole = np.arange(len(data)) + SPAN <= offsets[text + 1]  # the string does not run into the next one
-        least = np.full(run[-1] + 1, np.iinfo(np.int64).max)
-        at = order[whole[order]]
-        np.minimum.at(least, run[whole[order]], doc[text[at]])
-        gone = at[doc[text[at]] > least[run[whole[order]]]]
-        edges = np.zeros(len(data) + 1, dtype=np.int64)
-        np.add.at(edges, gone, 1)
-        np.add.at(edges, gone + SPAN, -1)
-        covered = np.cumsum(edges[:-1]) > 0
-        begins = covered.copy()
-        begins[1:] &= ~covered[:-1] | (text[1:] != text[:-1])
-        ends = covered.copy()
-        ends[:-1] &= ~covered[1:] | (text[1:] != text[:-1])
-        b, e = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-        yield _spans(doc[text[b]], start[text[b]] + b - offsets[text[b]], e - b)
+        for part in _sortable(table.filter(pa.array(~settled))):
+            yield _compared(part)
+
+
+def _compared(table: pa.Table) -> pa.RecordBatch:
+    """Spans of strings, whole keys of them, that a lesser document among them has too."""
+    data, offsets = flat.texts(table.column("bytes"))
+    doc, start = table.column("doc").to_numpy(), table.column("start").to_numpy()
+    order = suffix_array(data, SPAN)
+    run = np.cumsum(common_prefixes(data, order, SPAN) < SPAN) - 1
+    text = flat.owners(offsets)
+    whole = np.arange(len(data)) + SPAN <= offsets[text + 1]  # the string does not run into the next one
+    least = np.full(run[-1] + 1, np.iinfo(np.int64).max)
+    at = order[whole[order]]
+    np.minimum.at(least, run[whole[order]], doc[text[at]])
+    gone = at[doc[text[at]] > least[run[whole[order]]]]
+    edges = np.zeros(len(data) + 1, dtype=np.int64)
+    np.add.at(edges, gone, 1)
+    np.add.at(edges, gone + SPAN, -1)
+    covered = np.cumsum(edges[:-1]) > 0
+    begins = covered.copy()
+    begins[1:] &= ~covered[:-1] | (text[1:] != text[:-1])
+    ends = covered.copy()
+    ends[:-1] &= ~covered[1:] | (text[1:] != text[:-1])
+    b, e = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return _spans(doc[text[b]], start[text[b]] + b - offsets[text[b]], e - b)
 
 
 def _spans(doc: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.RecordBatch:

@@ -35,6 +35,8 @@ SWITCH = 12.0
 SCRIPT_SHARE = 0.01
 #: Bytes of text that are expanded at once.
 AT_ONCE = 2 << 20
+#: Letters that are hashed at once.
+HASHED = 1 << 16
 
 # Code point ranges of scripts, as Unicode has them; letters elsewhere are of script 0.
 SCRIPTS = (
@@ -102,9 +104,13 @@ def _points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 def _grams(points: np.ndarray, letter: np.ndarray) -> np.ndarray:
     """The bucket of each letter with its two neighbours; all but letters count as a gap."""
-    p = np.where(letter, points, 0x20).astype(np.uint64)
-    key = p[1:-1] * np.uint64(0x1F123BB5) + p[:-2] * np.uint64(0x9E3779B97F4A7C15) + p[2:] * np.uint64(0xC2B2AE3D27D4EB4F)
-    return (flat.mix(key) >> np.uint64(48)).astype(np.int64) & (BUCKETS - 1)
+    out = np.empty(len(points) - 2, dtype=np.int64)
+    for at in range(0, len(out), HASHED):
+        part = slice(at, at + HASHED + 2)
+        p = np.where(letter[part], points[part], 0x20).astype(np.uint64)
+        key = p[1:-1] * np.uint64(0x1F123BB5) + p[:-2] * np.uint64(0x9E3779B97F4A7C15) + p[2:] * np.uint64(0xC2B2AE3D27D4EB4F)
+        out[at : at + HASHED] = (flat.mix(key) >> np.uint64(48)).astype(np.int64) & (BUCKETS - 1)
+    return out
 
 
 def _counted(langs_column: str):
@@ -228,13 +234,13 @@ def label_texts(texts: list[str | None], model: Model) -> tuple[pa.Array, pa.Arr
             pa.struct([("begin", pa.int64()), ("stop", pa.int64()), ("lang", pa.string())])))
     grams = np.zeros(len(points), dtype=np.int64)
     grams[1:-1] = _grams(points, letter)
-    script = _scripts(points)
     scores = np.empty((len(begins), len(model.langs)), dtype=np.float32)
+    total = np.zeros(len(points) + 1, dtype=np.float32)
     for k in range(len(model.langs)):
-        per_letter = np.where(inside, model.weights[:, k][grams], 0.0)
-        total = np.concatenate([[0.0], np.cumsum(per_letter)])
+        np.cumsum(np.where(inside, model.weights[:, k][grams], 0.0), out=total[1:])
         scores[:, k] = total[stops] - total[begins]
-    held = model.allowed[script[begins]]  # the script of the first letter stands for the word
+    del grams, total
+    held = model.allowed[_scripts(points[begins])]  # the script of the first letter stands for the word
     scores = np.where(held | ~held.any(axis=1)[:, None], scores, -1e6)
     scores -= scores.max(axis=1)[:, None]
     labels = _viterbi(scores, first)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 from itertools import combinations
 
@@ -11,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from millrace.llm import exact_dedup, near_dup, vector_dedup
+from millrace.llm import exact_dedup, flat, near_dup, vector_dedup
 from millrace.llm.components import components
 from millrace.llm.suffix_array import common_prefixes, suffix_array
 
@@ -238,6 +239,40 @@ def test_records_of_a_crowded_anchor_do_not_meet_in_one_part():
     assert max(share) < 1.5
 
 
+def peak(run, *batches):
+    """The rows that come of batches, and the most bytes that arrays and objects of Python took meanwhile."""
+    tracemalloc.start()
+    try:
+        return [row for batch in run(iter(batches)) for row in batch.to_pylist()], tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_suffix_arrays_of_a_shard_take_little_memory():
+    """Strings of 20,000 anchors, each in two documents of which the later one loses it, and spans that are settled."""
+    n = 20_000
+    texts = np.random.default_rng(5).integers(97, 123, (n, 82), dtype=np.uint8)
+    shared = [t.tobytes() for t in texts]
+    key = np.repeat(np.arange(n), 2)
+    columns = dict(key=key, doc=np.tile([1, 2], n), start=key * 100, bytes=[t for t in shared for _ in (1, 2)], size=0 * key)
+    both = pa.RecordBatch.from_pydict({**columns, "bytes": pa.array(columns["bytes"], pa.binary())})
+    settled = exact_dedup._string_batch(np.full(1, n), np.array([3]), np.array([7]), [np.array([60])], True)
+    found, most = peak(exact_dedup._repeats, both, settled.cast(both.schema))
+    assert sorted((r["doc"], r["begin"], r["size"]) for r in found) == [(2, 100 * k, 82) for k in range(n)] + [(3, 7, 60)]
+    assert most < 100 << 20
+    assert [r["doc"] for batch in exact_dedup._repeats(iter([settled])) for r in batch.to_pylist()] == [3]
+
+
+def test_records_of_a_batch_take_little_memory():
+    """8 MB of texts of which each is in two documents, dealt by anchor."""
+    texts = np.random.default_rng(6).integers(97, 123, (2000, 2000), dtype=np.uint8)
+    text = pa.array([t.tobytes().decode() for t in texts for _ in (1, 2)])
+    batch = pa.RecordBatch.from_pydict({"doc_id": np.arange(4000), "text": text, "base": np.zeros(4000, dtype=np.int64)})
+    flat.powers(1)  # tables that stay
+    _, most = peak(lambda batches: (b.select(["part", "form"]) for b in exact_dedup._dealt(64, exact_dedup.CROWD)(batches)), batch)
+    assert most < 90 << 20
+
+
 def test_one_id_with_two_texts(rows):
     """Each of its texts loses what lesser ids have, and both remove it elsewhere, but not from each other."""
     text = "the same passage of more than fifty bytes, found in every one of them"
