@@ -2,7 +2,9 @@
 
 Every ``SPAN``-byte string is assigned to the least hash of its ``ANCHOR``-byte strings, its anchor, so that equal
 strings have equal anchors wherever they stand. A stretch of strings with one anchor is a record of a few numbers.
-Records are dealt by anchor, once; an anchor in one document only cannot repeat elsewhere and goes. What is left
+Records are dealt by anchor, once; an anchor in one document only cannot repeat elsewhere and goes. So does a stretch
+that agrees with no other document's on either side of the anchor: a string has ``SIDE`` bytes or more on one of them.
+The larger a table, the more anchors are shared by chance; few of those also share a side. What is left
 fetches its bytes, and each shard of whole anchors builds suffix arrays (``suffix_array``): suffixes that share a
 prefix of at least ``SPAN`` bytes with their neighbours are the places of one string, and it stays in the least
 document only.
@@ -36,7 +38,7 @@ from pyspark.sql.types import StructType
 
 from millrace.llm import flat
 from millrace.llm.groups import changes, whole_groups
-from millrace.llm.suffix_array import common_prefixes, suffix_array
+from millrace.llm.suffix_array import common_prefixes, ordered, suffix_array
 from millrace.llm.tables import discard, written
 
 SPAN = 50
@@ -55,15 +57,16 @@ SCANNED, COMPARED = 1 << 18, 2000
 PART = 8 << 20
 
 _WINDOW = SPAN - ANCHOR + 1
+#: A string has at least as many bytes before its anchor or behind it.
+SIDE = (SPAN - ANCHOR) // 2
 _TAG = np.uint64(0xA0761D6478BD642F)
 
 
 def _slice_anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Stretches of strings with one anchor: text, first string, number of strings, hash of the anchor."""
+    """Stretches of strings with one anchor: text, first string, number of strings, hashes of the anchor and its sides."""
     n = len(data)
-    empty = np.zeros(0, np.int64)
     if n < SPAN:
-        return empty, empty, empty, np.zeros(0, np.uint64)
+        return _no_stretches()
     grams = np.arange(n - ANCHOR + 1)
     power, inverse = flat.powers(n + 1)
     sums = np.zeros(n + 1, dtype=np.uint64)
@@ -78,13 +81,27 @@ def _slice_anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, .
     rest = _WINDOW - size
     least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
     place = (least & np.uint64((1 << int(bits)) - 1)).astype(np.int64)  # the anchor of the string at each byte
-    text = np.searchsorted(offsets, np.arange(len(place)), "right") - 1
+    text = flat.owners(offsets)[: len(place)]
     valid = np.arange(len(place)) + SPAN <= offsets[text + 1]
     new = valid.copy()
     new[1:] &= (place[1:] != place[:-1]) | ~valid[:-1]
     heads = np.flatnonzero(new)
     ends = np.flatnonzero(valid & ~np.append(valid[1:] & ~new[1:], False))
-    return text[heads], heads, ends - heads + 1, keys[place[heads]]
+    place = place[heads]
+
+    def side(low: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        """A byte of hash of the ``SIDE`` bytes at ``low``; 0 if the stretch has fewer on this side of its anchor."""
+        low = np.where(inside, low, 0)
+        hashed = flat.mix((sums[low + SIDE] - sums[low]) * inverse[low])
+        return np.where(inside, hashed % np.uint64(255) + np.uint64(1), np.uint64(0)).astype(np.uint8)
+
+    before = side(place - SIDE, place - SIDE >= heads)
+    behind = side(place + ANCHOR, place + ANCHOR + SIDE <= ends + SPAN)
+    return text[heads], heads, ends - heads + 1, keys[place], before, behind
+
+
+def _no_stretches() -> tuple[np.ndarray, ...]:
+    return tuple(np.zeros(0, kind) for kind in (*[np.int64] * 3, np.uint64, np.uint8, np.uint8))
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -94,10 +111,10 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     for low in range(0, n, SCANNED):
         high = min(n, low + SCANNED + SPAN - 1)
         inner = np.clip(offsets, low, high) - low
-        text, start, count, key = _slice_anchors(data[low:high], inner)
-        found.append((text, start + low, count, key))
+        text, start, *rest = _slice_anchors(data[low:high], inner)
+        found.append((text, start + low, *rest))
     if not found:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
+        return _no_stretches()
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
@@ -132,9 +149,21 @@ def _equal(data: np.ndarray, x: np.ndarray, y: np.ndarray, sizes: np.ndarray) ->
     return out
 
 
+def _several(values: np.ndarray, most: int = 1) -> np.ndarray:
+    """Which values occur more than ``most`` times. Sorting by one column is fast; what is left is sorted by all."""
+    order = np.argsort(values)
+    ranked = values[order]
+    heads = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])[: len(ranked)])
+    count = np.diff(np.append(heads, len(ranked)))
+    out = np.zeros(len(values), dtype=bool)
+    out[order] = np.repeat(count > most, count)
+    return out
+
+
 def _settled(data, key, code, start, size, doc) -> np.ndarray:
     """Which strings also stand, with the same key, in a lesser document of this batch."""
-    order = np.lexsort((doc, size, code, key))
+    several = np.flatnonzero(_several(code))
+    order = several[np.lexsort(tuple(x[several] for x in (doc, size, code, key)))]
     new = np.zeros(len(order), dtype=bool)
     new[:1] = True
     for column in (key, code, size):  # one at a time, for the sake of memory
@@ -144,7 +173,7 @@ def _settled(data, key, code, start, size, doc) -> np.ndarray:
     first = np.repeat(order[heads], np.diff(np.append(heads, len(order))))
     later = doc[order] > doc[first]
     order, first = order[later], first[later]
-    out = np.zeros(len(later), dtype=bool)
+    out = np.zeros(len(code), dtype=bool)
     if len(order):
         out[order[_equal(data, start[order], start[first], size[order])]] = True
     return out
@@ -163,7 +192,7 @@ def _merged(text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.nd
 #: Rows of records: stretches dealt by anchor or by stretch, anchors of the latter, and spans that are settled.
 _BY_ANCHOR, _BY_STRETCH, _CROWDED, _DONE = 0, 1, 2, 3
 
-RECORDS = "part int, form byte, keys binary, codes binary, docs binary, starts binary, sizes binary"
+RECORDS = "part int, form byte, keys binary, codes binary, sides binary, docs binary, starts binary, sizes binary"
 
 
 def _packed(values: np.ndarray) -> np.ndarray:
@@ -171,31 +200,57 @@ def _packed(values: np.ndarray) -> np.ndarray:
     return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]
 
 
-def _unpacked(data: bytes) -> np.ndarray:
+def _unpacked(data: np.ndarray) -> np.ndarray:
     wide = np.zeros((len(data) // 6, 8), dtype=np.uint8)
-    wide[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    wide[:, 2:] = data.reshape(-1, 6)
     return wide.view("<u8").ravel()
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Numbers as one plane per byte, so that high bytes, mostly zero, take no room where blocks are compressed."""
-    return values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+def _plane_places(bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the first byte of each number of blocks stands, and how far the next ones are from each other.
+
+    A block has one plane per byte, so that high bytes, mostly zero, take no room where blocks are compressed. Blocks
+    get fewer numbers the more parts there are, so that nothing may be done block by block.
+    """
+    count = np.diff(bounds)
+    return np.arange(bounds[-1]) + np.repeat((width - 1) * bounds[:-1], count), np.repeat(count, count)
+
+
+def _planes(values: np.ndarray, bounds: np.ndarray, width: int = 8) -> np.ndarray:
+    """Numbers of ``width`` bytes as blocks that begin at ``bounds``, the last of which is the end."""
+    at, step = _plane_places(bounds, width)
+    each = np.ascontiguousarray(values).view(np.uint8).reshape(-1, width)
+    out = np.zeros(width * len(values), dtype=np.uint8)
+    for k in range(width):
+        if each[:, k].any():
+            out[at + k * step] = each[:, k]
+    return out
+
 
+def _numbers(data: np.ndarray, bounds: np.ndarray, width: int = 8) -> np.ndarray:
+    at, step = _plane_places(bounds, width)
+    out = np.zeros((bounds[-1], width), dtype=np.uint8)
+    for k in range(width):
+        out[:, k] = data[at + k * step]
+    return out
 
-def _numbers(blocks: list[bytes]) -> np.ndarray:
-    return np.concatenate([np.frombuffer(b, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel() for b in blocks])
+
+def _binaries(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Rows of bytes from those of all, and where each begins (one more)."""
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
 
 
 def _crowded(key: np.ndarray, doc: np.ndarray, most: int) -> np.ndarray:
     """Which records have an anchor that more than ``most`` documents have."""
-    order = np.lexsort((doc, key))
+    several = np.flatnonzero(_several(key, most))
+    order = several[np.lexsort((doc[several], key[several]))]
     k, d = key[order], doc[order]
     new = np.ones(len(k), dtype=bool)
     new[1:] = k[1:] != k[:-1]
     other = new.copy()
     other[1:] |= d[1:] != d[:-1]
     heads = np.flatnonzero(new)
-    out = np.zeros(len(k), dtype=bool)
+    out = np.zeros(len(key), dtype=bool)
     if len(heads):
         out[order] = np.repeat(np.add.reduceat(other.astype(np.int64), heads) > most, np.diff(np.append(heads, len(k))))
     return out
@@ -204,16 +259,16 @@ def _crowded(key: np.ndarray, doc: np.ndarray, most: int) -> np.ndarray:
 def _dealt(parts: int, crowd: int):
     """Records in arrays by the part they belong to, and spans that a lesser document of the batch settles."""
 
-    def blocks(form, part, key, code, doc, start, size) -> pa.RecordBatch:
-        order = np.argsort(part, kind="stable")
+    def blocks(form, part, key, code, sides, doc, start, size) -> pa.RecordBatch:
+        order = ordered(part, parts)
         part = part[order]
-        heads = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
-        bounds = list(zip(heads, [*heads[1:], len(part)]))
-        hashed = [_packed(key[order]), _packed(code[order])]
-        arrays = [pa.array([c[lo:hi].tobytes() for lo, hi in bounds], pa.binary()) for c in hashed]
-        arrays += [pa.array([_planes(c[order[lo:hi]]) for lo, hi in bounds], pa.binary()) for c in (doc, start, size)]
+        heads = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
+        bounds = np.append(heads, len(part))
+        arrays = [_binaries(_packed(c[order]).ravel(), 6 * bounds) for c in (key, code)]
+        arrays.append(_binaries(_planes(sides[order], bounds, 2), 2 * bounds))
+        arrays += [_binaries(_planes(c[order].astype("<i8"), bounds), 8 * bounds) for c in (doc, start, size)]
         heading = [pa.array(part[heads].astype(np.int32)), pa.array(np.full(len(heads), form, dtype=np.int8))]
-        return pa.RecordBatch.from_arrays(heading + arrays, ["part", "form", "keys", "codes", "docs", "starts", "sizes"])
+        return pa.RecordBatch.from_arrays(heading + arrays, ["part", "form", "keys", "codes", "sides", "docs", "starts", "sizes"])
 
     def dealt_to(hashes: np.ndarray) -> np.ndarray:
         return (flat.mix(hashes) % np.uint64(parts)).astype(np.int64)
@@ -223,7 +278,8 @@ def _dealt(parts: int, crowd: int):
             for piece in flat.pieces(batch, "text", TOGETHER):
                 data, offsets = flat.texts(piece.column("text"))
                 ids, base = (piece.column(c).to_numpy() for c in ("doc_id", "base"))
-                text, start, count, key = anchors(data, offsets)
+                text, start, count, key, before, behind = anchors(data, offsets)
+                sides = np.stack([before, behind], axis=1)
                 place = base - offsets[:-1]  # what makes a place in the data one in its document
                 size = count + SPAN - 1
                 code = _string_hashes(data, start, size)
@@ -233,17 +289,17 @@ def _dealt(parts: int, crowd: int):
                 crowded = np.zeros(len(key), dtype=bool)
                 crowded[rest] = _crowded(key[rest], doc[rest], crowd)
                 plain = rest & ~crowded
-                yield blocks(_BY_ANCHOR, dealt_to(key[plain]), *(x[plain] for x in (key, code, doc, begin, size)))
+                yield blocks(_BY_ANCHOR, dealt_to(key[plain]), *(x[plain] for x in (key, code, sides, doc, begin, size)))
                 if crowded.any():
                     own = dealt_to(flat.mix(key[crowded]) ^ code[crowded])
-                    yield blocks(_BY_STRETCH, own, *(x[crowded] for x in (key, code, doc, begin, size)))
+                    yield blocks(_BY_STRETCH, own, *(x[crowded] for x in (key, code, sides, doc, begin, size)))
                     told = np.unique(key[crowded])
-                    zeros = np.zeros(len(told), dtype=np.int64)
-                    yield blocks(_CROWDED, dealt_to(told), told, zeros.view(np.uint64), zeros, zeros, zeros)
+                    zeros, flat_sides = np.zeros(len(told), dtype=np.int64), np.zeros((len(told), 2), dtype=np.uint8)
+                    yield blocks(_CROWDED, dealt_to(told), told, zeros.view(np.uint64), flat_sides, zeros, zeros, zeros)
                 owner, first, last = _merged(text[gone], start[gone], (start + size)[gone])
                 none = np.zeros(len(owner), dtype=np.uint64)
-                part = dealt_to(ids[owner].astype(np.uint64))
-                yield blocks(_DONE, part, none, none, ids[owner], first + place[owner], last - first)
+                part, sides = dealt_to(ids[owner].astype(np.uint64)), np.zeros((len(owner), 2), dtype=np.uint8)
+                yield blocks(_DONE, part, none, none, sides, ids[owner], first + place[owner], last - first)
 
     return run
 
@@ -258,7 +314,7 @@ def _found(doc, key, start, size, kind) -> pa.RecordBatch:
 
 
 def _shared(hot: int):
-    """Drops anchors of one document, settles copies of a stretch, and keeps the stretches that differ."""
+    """Drops anchors and sides of one document, settles copies of a stretch, and keeps the stretches that differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["part"]):
@@ -274,34 +330,71 @@ def _shared(hot: int):
                 for rows, everywhere in ((plain, False), (apart, True)):
                     key = _hashes(rows, "keys")
                     if len(key):
-                        yield of_anchors(key, _hashes(rows, "codes"), *_arrays(rows), crowded, everywhere)
+                        yield of_anchors(key, _hashes(rows, "codes"), _sides(rows), *_arrays(rows), crowded, everywhere)
 
-    def of_anchors(key, code, doc, start, size, crowded, everywhere) -> pa.RecordBatch:
+    def of_anchors(key, code, sides, doc, start, size, crowded, everywhere) -> pa.RecordBatch:
         """Anchors in ``crowded``, or with ``everywhere`` all, have further stretches in other parts."""
+        if not everywhere:
+            several = _several(key)
+            if len(crowded):
+                several |= np.isin(key, crowded)
+            key, code, sides, doc, start, size = (x[several] for x in (key, code, sides, doc, start, size))
         order = np.lexsort((doc, size, code, key))
-        key, code, doc, start, size = (x[order] for x in (key, code, doc, start, size))
-        new_key = np.append(True, key[1:] != key[:-1])
-        new = new_key | np.append(True, (code[1:] != code[:-1]) | (size[1:] != size[:-1]))
+        key, code, sides, doc, start, size = (x[order] for x in (key, code, sides, doc, start, size))
+        new_key = _changed(key)
+        new = new_key | _changed(code) | _changed(size)
         at = np.flatnonzero(new_key)
+        if not len(at):
+            return _found(doc, key, start, size, doc)
         count = np.diff(np.append(at, len(key)))
         beyond = np.ones(len(key), dtype=bool) if everywhere else np.repeat(np.isin(key[at], crowded), count)
         shared = np.repeat(np.minimum.reduceat(doc, at) < np.maximum.reduceat(doc, at), count)
         different = np.repeat(np.add.reduceat(new.astype(np.int64), at), count)
         copy = doc > doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
-        kind = np.where(copy, _SETTLED, np.where(beyond | (different > hot), _HOT, _STRETCH))
         # the least document of an anchor with one stretch has nothing to be compared with
-        keep = beyond | (shared & (copy | (different > 1)))
+        compared = shared & (different > 1)
+        left = np.flatnonzero(compared)
+        compared[left] = agreeing(key[left], np.cumsum(new)[left], sides[left], doc[left])
+        fetched = np.repeat(np.add.reduceat((new & compared).astype(np.int64), at), count)
+        kind = np.where(copy, _SETTLED, np.where(beyond | (fetched > hot), _HOT, _STRETCH))
+        keep = beyond | (shared & copy) | compared
         return _found(doc[keep], key[keep], start[keep], size[keep], kind[keep])
 
+    def agreeing(key, stretch, sides, doc) -> np.ndarray:
+        """Which records have a side in common with another stretch of their anchor, which may be of another document."""
+        out = np.zeros(len(key), dtype=bool)
+        for side in (sides[:, 0], sides[:, 1]):
+            order = np.lexsort((stretch, side, key))
+            order = order[side[order] > 0]
+            if not len(order):
+                continue
+            new = _changed(key[order]) | _changed(side[order])
+            at = np.flatnonzero(new)
+            lots = np.add.reduceat((new | _changed(stretch[order])).astype(np.int64), at) > 1
+            lots &= np.minimum.reduceat(doc[order], at) < np.maximum.reduceat(doc[order], at)
+            out[order] |= np.repeat(lots, np.diff(np.append(at, len(order))))
+        return out
+
     return run
 
 
+def _changed(values: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before, or there is none."""
+    return np.append(True, values[1:] != values[:-1])[: len(values)]
+
+
 def _hashes(table: pa.Table, name: str) -> np.ndarray:
-    return _unpacked(b"".join(table.column(name).to_pylist()))
+    return _unpacked(flat.texts(table.column(name))[0])
+
+
+def _sides(table: pa.Table) -> np.ndarray:
+    data, offsets = flat.texts(table.column("sides"))
+    return _numbers(data, offsets // 2, 2)
 
 
 def _arrays(table: pa.Table) -> tuple[np.ndarray, ...]:
-    return tuple(_numbers(table.column(c).to_pylist()) for c in ("docs", "starts", "sizes"))
+    found = (flat.texts(table.column(c)) for c in ("docs", "starts", "sizes"))
+    return tuple(_numbers(data, offsets // 8).view("<i8").ravel() for data, offsets in found)
 
 
 STRINGS = "key long, doc long, start long, bytes binary, size long"

@@ -15,7 +15,7 @@ def _smaller(s: np.ndarray) -> np.ndarray:
     """Which suffixes are smaller than the next one; the last symbol is the least and occurs once."""
     n = len(s)
     turn = np.flatnonzero(s[:-1] != s[1:])
-    nxt = turn[np.searchsorted(turn, np.arange(n - 1))]
+    nxt = np.repeat(turn, np.diff(turn, prepend=-1))
     out = np.ones(n, dtype=bool)
     out[:-1] = s[nxt] < s[nxt + 1]
     return out
@@ -89,14 +89,24 @@ def _names(s: np.ndarray, leftmost: np.ndarray, ranked: np.ndarray) -> np.ndarra
     return names
 
 
+def ordered(values: np.ndarray, bound: int) -> np.ndarray:
+    """The stable order of values from 0 to below ``bound``; sorted in one word with their places, if they fit in it."""
+    bits = len(values).bit_length()
+    if bound > 1 << (63 - bits):
+        return np.argsort(values, kind="stable")
+    both = (values.astype(np.int64) << bits) | np.arange(len(values))
+    both.sort()
+    return both & ((1 << bits) - 1)
+
+
 def _sorted_names(names: np.ndarray, covered: int, depth: int | None) -> np.ndarray:
     """The order of the suffixes of ``names``. A level of the recursion ranks runs of ``covered`` names by pairs."""
     if covered >= len(names) or (depth is not None and 2 * covered >= depth) or names.max() + 1 == len(names):
-        return np.argsort(names, kind="stable")
+        return ordered(names, len(names))
     follow = np.zeros(len(names), dtype=np.int64)
     follow[:-covered] = names[covered:] + 1
     pairs = names * (len(names) + 1) + follow
-    order = np.argsort(pairs, kind="stable")
+    order = ordered(pairs, len(names) * (len(names) + 1))
     ranked = pairs[order]
     new = np.zeros(len(names), dtype=np.int64)
     new[order[1:]] = np.cumsum(ranked[1:] != ranked[:-1])

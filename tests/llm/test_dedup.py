@@ -239,6 +239,62 @@ def test_records_of_a_crowded_anchor_do_not_meet_in_one_part():
     assert max(share) < 1.5
 
 
+def stretches(*texts):
+    """What is found of texts by id, each dealt in a batch of its own, by kind."""
+    kind = {"doc_id": pa.int64(), "text": pa.string(), "base": pa.int64()}
+    dealt = [b for i, t in texts for b in exact_dedup._dealt(64, exact_dedup.CROWD)(iter([
+        pa.RecordBatch.from_pydict({"doc_id": [i], "text": [t], "base": [0]}, pa.schema(kind))]))]
+    table = pa.Table.from_batches(dealt).sort_by("part")
+    return Counter(k for b in exact_dedup._shared(exact_dedup.HOT)(iter(table.to_batches())) for k in b.column("kind").to_pylist())
+
+
+def test_stretches_that_agree_on_no_side_of_their_anchor_are_not_fetched():
+    """Phrases too short for a string, each in two texts: their anchors are shared, but no more than those."""
+    rng = np.random.default_rng(11)
+
+    def letters(n):
+        return rng.integers(97, 123, n, dtype=np.uint8).tobytes().decode()
+
+    phrases = [letters(32) for _ in range(400)]
+    first, second = ("".join(p + letters(60) for p in phrases) for _ in range(2))
+    assert stretches((1, first), (2, second))[exact_dedup._STRETCH] < 40
+    longer = [p + letters(30) for p in phrases]
+    first, second = ("".join(p + letters(60) for p in longer) for _ in range(2))
+    assert stretches((1, first), (2, second))[exact_dedup._STRETCH] > 800
+
+
+def test_shared_passages_of_any_length_amid_other_text(spark):
+    """Passages about as long as a string, cut from longer ones anywhere, between letters that differ."""
+    rng = np.random.default_rng(12)
+
+    def letters(n):
+        return rng.choice(list("abcd e"), n)
+
+    source, rows = ["".join(letters(90)) for _ in range(12)], []
+    for doc in range(150):
+        text = ""
+        for _ in range(int(rng.integers(1, 5))):
+            at, size = int(rng.integers(0, 30)), int(rng.integers(44, 64))
+            text += "".join(letters(int(rng.integers(0, 40)))) + source[int(rng.integers(12))][at : at + size]
+        rows.append((int(rng.integers(0, 140)), "en", text))
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    check_repeats(df.coalesce(1))
+    check_repeats(df.repartition(9))
+
+
+def test_blocks_of_numbers():
+    """Blocks of any size, also of none, are read as they were written."""
+    rng = np.random.default_rng(13)
+    for width, kind in ((8, "<i8"), (2, "<u2")):
+        bounds = np.append(0, np.cumsum(rng.integers(0, 5, 300)))
+        values = rng.integers(0, [200, 60_000][width == 2] << (5 * (width == 8)), bounds[-1]).astype(kind)
+        data = exact_dedup._planes(values, bounds, width)
+        for lo, hi in zip(bounds, bounds[1:]):
+            planes = data[width * lo : width * hi].reshape(width, -1)
+            assert planes.T.copy().view(kind).ravel().tolist() == values[lo:hi].tolist()
+        assert exact_dedup._numbers(data, bounds, width).view(kind).ravel().tolist() == values.tolist()
+
+
 def peak(run, *batches):
     """The rows that come of batches, and the most bytes that arrays and objects of Python took meanwhile."""
     tracemalloc.start()
