@@ -59,6 +59,8 @@ PART = 8 << 20
 _WINDOW = SPAN - ANCHOR + 1
 #: A string has at least as many bytes before its anchor or behind it.
 SIDE = (SPAN - ANCHOR) // 2
+#: Bits of an anchor's hash that are left out of records.
+_LOW = np.uint64(16)
 _TAG = np.uint64(0xA0761D6478BD642F)
 
 
@@ -206,32 +208,38 @@ def _unpacked(data: np.ndarray) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-def _plane_places(bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where the first byte of each number of blocks stands, and how far the next ones are from each other.
+def _bytes(values: np.ndarray) -> np.ndarray:
+    """Numbers as rows of bytes, the lowest first, as many as the largest takes."""
+    bits = int(values.max(initial=0)).bit_length() if values.min(initial=0) >= 0 else 64
+    return values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, : max(1, -(-bits // 8))]
 
-    A block has one plane per byte, so that high bytes, mostly zero, take no room where blocks are compressed. Blocks
-    get fewer numbers the more parts there are, so that nothing may be done block by block.
-    """
-    count = np.diff(bounds)
-    return np.arange(bounds[-1]) + np.repeat((width - 1) * bounds[:-1], count), np.repeat(count, count)
 
+def _planes(each: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Rows of bytes as blocks that begin at ``bounds``, the last of which is the end.
 
-def _planes(values: np.ndarray, bounds: np.ndarray, width: int = 8) -> np.ndarray:
-    """Numbers of ``width`` bytes as blocks that begin at ``bounds``, the last of which is the end."""
-    at, step = _plane_places(bounds, width)
-    each = np.ascontiguousarray(values).view(np.uint8).reshape(-1, width)
-    out = np.zeros(width * len(values), dtype=np.uint8)
+    A block has one plane per byte, so that high bytes, mostly zero, take no room where blocks are compressed. The more
+    parts there are, the fewer rows a block has: nothing may be done block by block.
+    """
+    width, count = each.shape[1], np.diff(bounds)
+    at, step = np.arange(len(each)) + np.repeat((width - 1) * bounds[:-1], count), np.repeat(count, count)
+    out = np.empty(each.size, dtype=np.uint8)
     for k in range(width):
-        if each[:, k].any():
-            out[at + k * step] = each[:, k]
+        out[at + k * step] = each[:, k]
     return out
 
 
-def _numbers(data: np.ndarray, bounds: np.ndarray, width: int = 8) -> np.ndarray:
-    at, step = _plane_places(bounds, width)
-    out = np.zeros((bounds[-1], width), dtype=np.uint8)
-    for k in range(width):
-        out[:, k] = data[at + k * step]
+def _rows(data: np.ndarray, offsets: np.ndarray, count: np.ndarray, most: int) -> np.ndarray:
+    """The rows of ``count`` each of the blocks that begin at ``offsets``; those of fewer bytes than ``most`` end in zeros."""
+    width = np.diff(offsets) // np.maximum(count, 1)
+    at = np.arange(count.sum()) + np.repeat(offsets[:-1] - (np.cumsum(count) - count), count)
+    step, wide = np.repeat(count, count), np.repeat(width, count)
+    out = np.zeros((len(at), most), dtype=np.uint8)
+    for k in range(int(width.max(initial=0))):
+        has = wide > k
+        if has.all():
+            out[:, k] = data[at + k * step]
+        else:
+            out[has, k] = data[at[has] + k * step[has]]
     return out
 
 
@@ -264,15 +272,21 @@ def _dealt(parts: int, crowd: int):
         part = part[order]
         heads = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
         bounds = np.append(heads, len(part))
-        arrays = [_binaries(_packed(c[order]).ravel(), 6 * bounds) for c in (key, code)]
-        arrays.append(_binaries(_planes(sides[order], bounds, 2), 2 * bounds))
-        arrays += [_binaries(_planes(c[order].astype("<i8"), bounds), 8 * bounds) for c in (doc, start, size)]
+        each = [np.ascontiguousarray(key[order]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6], sides[order]]
+        each += [_bytes(c[order]) for c in (doc, start, size)]
+        arrays = [_binaries(_planes(rows, bounds), rows.shape[1] * bounds) for rows in each]
+        arrays.insert(1, _binaries(_packed(code[order]).ravel(), 6 * bounds))
         heading = [pa.array(part[heads].astype(np.int32)), pa.array(np.full(len(heads), form, dtype=np.int8))]
         return pa.RecordBatch.from_arrays(heading + arrays, ["part", "form", "keys", "codes", "sides", "docs", "starts", "sizes"])
 
     def dealt_to(hashes: np.ndarray) -> np.ndarray:
         return (flat.mix(hashes) % np.uint64(parts)).astype(np.int64)
 
+    def by_anchor(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The parts of anchors, and what is left of the upper 48 bits of their hashes where the part is known."""
+        part = (key >> _LOW) % np.uint64(parts)
+        return part.astype(np.int64), (key >> _LOW) // np.uint64(parts)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in flat.pieces(batch, "text", TOGETHER):
@@ -289,13 +303,13 @@ def _dealt(parts: int, crowd: int):
                 crowded = np.zeros(len(key), dtype=bool)
                 crowded[rest] = _crowded(key[rest], doc[rest], crowd)
                 plain = rest & ~crowded
-                yield blocks(_BY_ANCHOR, dealt_to(key[plain]), *(x[plain] for x in (key, code, sides, doc, begin, size)))
+                yield blocks(_BY_ANCHOR, *by_anchor(key[plain]), *(x[plain] for x in (code, sides, doc, begin, size)))
                 if crowded.any():
                     own = dealt_to(flat.mix(key[crowded]) ^ code[crowded])
-                    yield blocks(_BY_STRETCH, own, *(x[crowded] for x in (key, code, sides, doc, begin, size)))
+                    yield blocks(_BY_STRETCH, own, *(x[crowded] for x in (key >> _LOW, code, sides, doc, begin, size)))
                     told = np.unique(key[crowded])
-                    zeros, flat_sides = np.zeros(len(told), dtype=np.int64), np.zeros((len(told), 2), dtype=np.uint8)
-                    yield blocks(_CROWDED, dealt_to(told), told, zeros.view(np.uint64), flat_sides, zeros, zeros, zeros)
+                    zeros, none = np.zeros(len(told), dtype=np.int64), np.zeros((len(told), 2), dtype=np.uint8)
+                    yield blocks(_CROWDED, *by_anchor(told), zeros.view(np.uint64), none, zeros, zeros, zeros)
                 owner, first, last = _merged(text[gone], start[gone], (start + size)[gone])
                 none = np.zeros(len(owner), dtype=np.uint64)
                 part, sides = dealt_to(ids[owner].astype(np.uint64)), np.zeros((len(owner), 2), dtype=np.uint8)
@@ -313,7 +327,7 @@ def _found(doc, key, start, size, kind) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "key", "start", "size", "kind"])
 
 
-def _shared(hot: int):
+def _shared(hot: int, parts: int):
     """Drops anchors and sides of one document, settles copies of a stretch, and keeps the stretches that differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,11 +340,13 @@ def _shared(hot: int):
                 if done.num_rows:
                     doc, start, size = _arrays(done)
                     yield _found(doc, np.zeros(len(doc), np.uint64), start, size, np.full(len(doc), _SETTLED))
-                crowded = _hashes(told, "keys")
+                own = np.uint64(part.column("part")[0].as_py())
+                crowded = (_keys(told) * np.uint64(parts) + own) << _LOW
                 for rows, everywhere in ((plain, False), (apart, True)):
-                    key = _hashes(rows, "keys")
+                    key = (_keys(rows) if everywhere else _keys(rows) * np.uint64(parts) + own) << _LOW
                     if len(key):
-                        yield of_anchors(key, _hashes(rows, "codes"), _sides(rows), *_arrays(rows), crowded, everywhere)
+                        code = _unpacked(flat.texts(rows.column("codes"))[0])
+                        yield of_anchors(key, code, _column(rows, "sides", 2), *_arrays(rows), crowded, everywhere)
 
     def of_anchors(key, code, sides, doc, start, size, crowded, everywhere) -> pa.RecordBatch:
         """Anchors in ``crowded``, or with ``everywhere`` all, have further stretches in other parts."""
@@ -383,18 +399,17 @@ def _changed(values: np.ndarray) -> np.ndarray:
     return np.append(True, values[1:] != values[:-1])[: len(values)]
 
 
-def _hashes(table: pa.Table, name: str) -> np.ndarray:
-    return _unpacked(flat.texts(table.column(name))[0])
+def _column(table: pa.Table, name: str, most: int = 8) -> np.ndarray:
+    """The bytes of a column of blocks, a row for each record."""
+    return _rows(*flat.texts(table.column(name)), np.diff(flat.texts(table.column("codes"))[1]) // 6, most)
 
 
-def _sides(table: pa.Table) -> np.ndarray:
-    data, offsets = flat.texts(table.column("sides"))
-    return _numbers(data, offsets // 2, 2)
+def _keys(table: pa.Table) -> np.ndarray:
+    return _column(table, "keys").view("<u8").ravel()
 
 
 def _arrays(table: pa.Table) -> tuple[np.ndarray, ...]:
-    found = (flat.texts(table.column(c)) for c in ("docs", "starts", "sizes"))
-    return tuple(_numbers(data, offsets // 8).view("<i8").ravel() for data, offsets in found)
+    return tuple(_column(table, name).view("<i8").ravel() for name in ("docs", "starts", "sizes"))
 
 
 STRINGS = "key long, doc long, start long, bytes binary, size long"
@@ -530,7 +545,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     parts = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PART))
     named = docs.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), F.col("_base").alias("base"))
     dealt = named.mapInArrow(_dealt(parts, CROWD), RECORDS).repartition("part").sortWithinPartitions("part")
-    held = dealt.mapInArrow(_shared(HOT), FOUND).groupBy(F.col("doc").alias("_of")).agg(
+    held = dealt.mapInArrow(_shared(HOT, parts), FOUND).groupBy(F.col("doc").alias("_of")).agg(
         F.collect_list(F.struct("key", "start", "size", "kind")).alias("held")
     )
     fetched = docs.join(held, F.col("_id") == F.col("_of"))

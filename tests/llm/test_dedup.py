@@ -245,7 +245,7 @@ def stretches(*texts):
     dealt = [b for i, t in texts for b in exact_dedup._dealt(64, exact_dedup.CROWD)(iter([
         pa.RecordBatch.from_pydict({"doc_id": [i], "text": [t], "base": [0]}, pa.schema(kind))]))]
     table = pa.Table.from_batches(dealt).sort_by("part")
-    return Counter(k for b in exact_dedup._shared(exact_dedup.HOT)(iter(table.to_batches())) for k in b.column("kind").to_pylist())
+    return Counter(k for b in exact_dedup._shared(exact_dedup.HOT, 64)(iter(table.to_batches())) for k in b.column("kind").to_pylist())
 
 
 def test_stretches_that_agree_on_no_side_of_their_anchor_are_not_fetched():
@@ -283,16 +283,22 @@ def test_shared_passages_of_any_length_amid_other_text(spark):
 
 
 def test_blocks_of_numbers():
-    """Blocks of any size, also of none, are read as they were written."""
+    """Blocks of any size, also of none, and of different widths are read as they were written."""
     rng = np.random.default_rng(13)
-    for width, kind in ((8, "<i8"), (2, "<u2")):
-        bounds = np.append(0, np.cumsum(rng.integers(0, 5, 300)))
-        values = rng.integers(0, [200, 60_000][width == 2] << (5 * (width == 8)), bounds[-1]).astype(kind)
-        data = exact_dedup._planes(values, bounds, width)
+    data, counts, sizes, want = [], [], [], []
+    for low, high in ((0, 200), (0, 1), (-5, 5), (0, 1 << 40)):
+        bounds = np.append(0, np.cumsum(rng.integers(0, 5, 100)))
+        values = rng.integers(low, high, bounds[-1])
+        each = exact_dedup._bytes(values)
+        data.append(exact_dedup._planes(each, bounds))
+        counts.append(np.diff(bounds))
+        sizes.append(np.diff(bounds) * each.shape[1])
+        want += values.tolist()
         for lo, hi in zip(bounds, bounds[1:]):
-            planes = data[width * lo : width * hi].reshape(width, -1)
-            assert planes.T.copy().view(kind).ravel().tolist() == values[lo:hi].tolist()
-        assert exact_dedup._numbers(data, bounds, width).view(kind).ravel().tolist() == values.tolist()
+            assert data[-1][each.shape[1] * lo : each.shape[1] * hi].reshape(each.shape[1], -1).T.tolist() == each[lo:hi].tolist()
+    offsets = np.append(0, np.cumsum(np.concatenate(sizes)))
+    got = exact_dedup._rows(np.concatenate(data), offsets, np.concatenate(counts), 8)
+    assert got.view("<i8").ravel().tolist() == want
 
 
 def peak(run, *batches):
